@@ -72,13 +72,22 @@ def lex_ok(text) -> Column:
 
 
 def lex_ok_of(toks: Column) -> Column:
-    """:func:`lex_ok` on an already computed token array."""
-    lone_quote = F.exists(toks, lambda t: (t == F.lit('"')) | (t == F.lit("'")))
+    """:func:`lex_ok` on an already computed token array.
+
+    Lambdas here only see their own elements: an outer array referenced inside
+    a lambda body would be re-evaluated per element once Catalyst inlines it.
+    """
+    lone_quote = F.array_contains(toks, '"') | F.array_contains(toks, "'")
     # A closed comment is one token; an unclosed "/*" falls apart into a "/"
     # token directly followed by a token that starts with "*".
-    n = F.size(toks)
+    nxt = F.slice(toks, 2, F.greatest(F.size(toks) - 1, F.lit(1)))
     open_comment = F.exists(
-        F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-        lambda i: (i < n) & (F.element_at(toks, i) == F.lit("/")) &
-        F.startswith(F.element_at(toks, i + 1), F.lit("*")))
-    return F.when(n == 0, F.lit(True)).otherwise(~(lone_quote | open_comment))
+        F.zip_with(toks, nxt, lambda a, b: (a == F.lit("/")) & F.startswith(b, F.lit("*"))),
+        lambda hit: F.coalesce(hit, F.lit(False)))
+    return ~(lone_quote | open_comment)
+
+
+def indices_where(arr: Column, pred) -> Column:
+    """1-based positions of the elements of ``arr`` that satisfy ``pred``."""
+    return F.filter(F.transform(arr, lambda t, i: F.when(pred(t), i + 1)),
+                    lambda p: p.isNotNull())

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from holecard.functions.lexer import all_tokens, code_tokens_of, lex_ok, lex_ok_of
+from holecard.functions.lexer import all_tokens, code_tokens_of, indices_where, lex_ok, lex_ok_of
 from holecard.functions.text import WS, split_lines
 
 
@@ -70,17 +70,19 @@ def token_candidates(files: DataFrame, num_label_tokens: int = 1, min_tokens_bef
     if num_label_tokens + min_tokens_after <= 0:
         raise ValueError("num_label_tokens + min_tokens_after must be positive")
     lexed = files.select("path", all_tokens("text").alias("_all"))
-    toks = F.col("_toks")
-    keep = F.filter(
-        F.sequence(F.lit(0), F.size(toks) - 1),
-        lambda i: ~F.element_at(toks, i + 1).isin("import", "package"))
+    # one projection and no Filter on the token array: a filter would be
+    # pushed below the projection and tokenise every text twice
+    staged = lexed.select("path", code_tokens_of(F.col("_all")).alias("_toks"),
+                          lex_ok_of(F.col("_all")).alias("_ok"))
+    keep = F.transform(indices_where(F.col("_toks"), lambda t: ~t.isin("import", "package")),
+                       lambda p: p - 1)
+    ranked = staged.select("path", "_toks", F.when(F.col("_ok"), keep).alias("_keep"))
     length = F.greatest(
-        F.size(keep) - min_tokens_before - (num_label_tokens + min_tokens_after), F.lit(0))
-    trimmed = F.when(F.size(toks) > 0, F.slice(keep, min_tokens_before + 1, length))
-    return lexed.where(lex_ok_of(F.col("_all"))) \
-        .select("path", code_tokens_of(F.col("_all")).alias("_toks")) \
-        .select("path", "_toks", F.explode(trimmed).alias("token_idx")) \
-        .select("path", "token_idx", F.element_at("_toks", F.col("token_idx") + 1).alias("token"))
+        F.size("_keep") - min_tokens_before - (num_label_tokens + min_tokens_after), F.lit(0))
+    return ranked.select(
+        "path", "_toks",
+        F.explode(F.slice("_keep", min_tokens_before + 1, length)).alias("token_idx")
+    ).select("path", "token_idx", F.element_at("_toks", F.col("token_idx") + 1).alias("token"))
 
 
 def token_lex_failures(files: DataFrame) -> DataFrame:

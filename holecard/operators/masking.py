@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holecard.functions.lexer import all_tokens, is_code_token
+from holecard.functions.lexer import all_tokens, indices_where, is_code_token
 from holecard.functions.text import col, count_char, join_slice, split_lines
 
 # --- fixed values: fill-in-the-middle prompt markers ---
@@ -71,8 +71,7 @@ def mask_tokens(df: DataFrame, idx: str = "token_idx", num_label_tokens: int = 1
     n = num_label_tokens
     t = F.col(text)
     toks = F.col("_all")
-    code_pos = F.filter(F.sequence(F.lit(1), F.size(toks)),
-                        lambda i: is_code_token(F.element_at(toks, i)))
+    code_pos = indices_where(toks, is_code_token)
     p_first = F.element_at(F.col("_code_pos"), F.col(idx) + 1)
     p_last = F.element_at(F.col("_code_pos"), F.col(idx) + n)
     start_off = F.length(F.array_join(F.slice(toks, 1, p_first - 1), ""))

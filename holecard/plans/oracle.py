@@ -3,13 +3,25 @@
 Each statement recomputes its query from the raw views the driver registers
 (``documents``, ``labels``, ...), repeating the stand-in rules of
 ``plans/standins.py`` in SQL.  Where the Spark side uses array functions the
-SQL side often uses UNNEST + window functions, so the two are independent
+SQL side mostly uses UNNEST + window functions, so the two are independent
 derivations of the same result.
 """
 
 from __future__ import annotations
 
-NL = "chr(10)"
+from holecard.functions.lexer import TOKEN_PATTERN
+
+
+def lit(s: str) -> str:
+    """SQL string literal (DuckDB does not process backslash escapes)."""
+    return "'" + s.replace("'", "''") + "'"
+
+
+def with_(*ctes: str) -> str:
+    return "WITH " + ",".join(ctes)
+
+
+WS = r"[\t\n\x0B\f\r ]"
 
 # --- fixed values: stand-in corpus rendering, as in plans/standins.py ---
 FILES_CTE = r"""
@@ -38,16 +50,16 @@ files AS (
   FROM named
 )"""
 
-LINES_CTE = r"""
+LINE_RE = r"[^\n]*\n|[^\n]+\z"
+
+LINES_CTE = rf"""
 file_lines AS (
-  SELECT path, regexp_extract_all(text, '[^\n]*\n|[^\n]+\z', 0) AS ls FROM files
+  SELECT path, regexp_extract_all(text, '{LINE_RE}', 0) AS ls FROM files
 ),
 lines AS (
   SELECT path, unnest(ls) AS line, unnest(range(len(ls))) AS line_idx FROM file_lines
 )"""
 
-WS = r"[\t\n\x0B\f\r ]"
-
 
 def line_candidates_cte(n: int, above: int = 1, below: int = 1) -> str:
     return rf"""
@@ -67,28 +79,24 @@ flagged AS (
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS in_comment
   FROM survivors
 ),
-ranked AS (
+ranked_lines AS (
   SELECT path, line_idx,
          row_number() OVER (PARTITION BY path ORDER BY line_idx) - 1 AS r,
          count(*) OVER (PARTITION BY path) AS cnt
   FROM flagged WHERE NOT in_comment
 ),
 line_cands AS (
-  SELECT path, line_idx FROM ranked WHERE r >= {above + 1} AND r < cnt - {n + below}
+  SELECT path, line_idx FROM ranked_lines WHERE r >= {above + 1} AND r < cnt - {n + below}
 )"""
 
 
-def _with(*ctes: str) -> str:
-    return "WITH " + ",".join(ctes)
-
-
 def line_prompts_sql(k: int, n: int, infill: bool, seed: int = 0) -> str:
     label = (f"array_to_string(list_slice(ls, line_idx + 1, line_idx + {n}), '')" if infill
              else "array_to_string(list_slice(ls, line_idx + 1, len(ls)), '')")
     prefix = "array_to_string(list_slice(ls, line_idx - least(line_idx, 50) + 1, line_idx), '')"
     suffix = f"array_to_string(list_slice(ls, line_idx + {n} + 1, line_idx + {n} + 50), '')"
     prompt = (f"'<PRE> ' || {prefix} || ' <SUF>' || {suffix} || ' <MID>'" if infill else prefix)
-    return _with(FILES_CTE, LINES_CTE, line_candidates_cte(n), rf"""
+    return with_(FILES_CTE, LINES_CTE, line_candidates_cte(n), rf"""
 chosen AS (
   SELECT path, line_idx FROM line_cands
   ORDER BY md5(concat_ws('|', '{seed}', 'lines', path, CAST(line_idx AS VARCHAR))), path, line_idx
@@ -102,21 +110,134 @@ FROM chosen c JOIN file_lines f ON f.path = c.path
 """
 
 
+TOKENS_CTE = rf"""
+lexed AS (
+  SELECT path, text, regexp_extract_all(text, {lit(TOKEN_PATTERN)}, 0) AS all_t FROM files
+),
+tok AS (
+  SELECT path, unnest(all_t) AS tok, unnest(range(len(all_t))) AS pos FROM lexed
+),
+bad AS (
+  SELECT DISTINCT path FROM (
+    SELECT path, tok, lead(tok) OVER (PARTITION BY path ORDER BY pos) AS nxt FROM tok) x
+  WHERE tok = chr(34) OR tok = chr(39) OR (tok = '/' AND starts_with(nxt, '*'))
+),
+code AS (
+  SELECT path, tok, pos, row_number() OVER (PARTITION BY path ORDER BY pos) - 1 AS token_idx
+  FROM tok
+  WHERE NOT regexp_matches(tok, '^[ \t\r\n\f]+$') AND NOT regexp_matches(tok, '^(//|/\*)')
+    AND path NOT IN (SELECT path FROM bad)
+)"""
+
+
+def token_cands_cte(n: int, before: int = 1, after: int = 1) -> str:
+    return f"""
+kept AS (
+  SELECT path, token_idx, tok,
+         row_number() OVER (PARTITION BY path ORDER BY token_idx) - 1 AS r,
+         count(*) OVER (PARTITION BY path) AS cnt
+  FROM code WHERE tok NOT IN ('import', 'package')
+),
+token_cands AS (
+  SELECT path, token_idx, tok AS token FROM kept WHERE r >= {before} AND r < cnt - {n + after}
+)"""
+
+
+def token_prompts_sql(k: int, n: int, seed: int = 0, above: int = 50, below: int = 50) -> str:
+    return with_(FILES_CTE, TOKENS_CTE, token_cands_cte(n), rf"""
+chosen AS (
+  SELECT path, token_idx FROM token_cands
+  ORDER BY md5(concat_ws('|', '{seed}', 'tokens', path, CAST(token_idx AS VARCHAR))), path, token_idx
+  LIMIT {k}
+),
+cpos AS (
+  SELECT c.path, c.token_idx, f.pos AS p_first, l.pos AS p_last, l.tok AS last_tok
+  FROM chosen c
+  JOIN code f ON f.path = c.path AND f.token_idx = c.token_idx
+  JOIN code l ON l.path = c.path AND l.token_idx = c.token_idx + {n - 1}
+),
+offs AS (
+  SELECT cp.path, cp.token_idx, cp.last_tok,
+         CAST(coalesce(sum(length(t.tok)) FILTER (WHERE t.pos < cp.p_first), 0) AS BIGINT) AS s,
+         CAST(coalesce(sum(length(t.tok)) FILTER (WHERE t.pos <= cp.p_last), 0) AS BIGINT) AS e
+  FROM cpos cp JOIN tok t ON t.path = cp.path
+  GROUP BY cp.path, cp.token_idx, cp.last_tok
+),
+geo AS (
+  SELECT o.path, o.token_idx, o.s, o.e, f.text,
+         regexp_extract_all(f.text, '{LINE_RE}', 0) AS ls,
+         substr(f.text, 1, o.s) AS before,
+         substr(f.text, 1, o.e - length(o.last_tok)) AS before_last
+  FROM offs o JOIN files f ON f.path = o.path
+),
+geo2 AS (
+  SELECT *, 1 + length(before) - length(replace(before, chr(10), '')) AS first_ln,
+         1 + length(before_last) - length(replace(before_last, chr(10), '')) AS last_ln,
+         regexp_extract(before, '[^\n]*\z', 0) AS partial_pre,
+         regexp_extract(substr(text, e + 1), '^[^\n]*\n?', 0) AS partial_suf
+  FROM geo
+)""") + f"""
+SELECT 'tokens:' || path || ':' || CAST(token_idx AS VARCHAR) AS prompt_id,
+       path, path AS path_in_code_repo,
+       '<PRE> ' || array_to_string(list_slice(ls, greatest(1, first_ln - {above - 1}), first_ln - 1), '')
+         || partial_pre || ' <SUF>' || partial_suf
+         || array_to_string(list_slice(ls, last_ln + 1, last_ln + {below - 1}), '')
+         || ' <MID>' AS prompt,
+       substr(text, s + 1, e - s) AS label,
+       CAST(first_ln AS INTEGER) AS start_line, CAST(last_ln AS INTEGER) AS end_line
+FROM geo2
+"""
+
+
+SPLIT_CTE = """
+ranked_files AS (
+  SELECT path, file_name,
+         row_number() OVER (ORDER BY md5(concat_ws('|', '0', path)), path) AS rnk,
+         CAST(floor(CAST(0.8 AS DOUBLE) * count(*) OVER ()) AS BIGINT) AS cut
+  FROM files
+),
+split_files AS (
+  SELECT path, file_name,
+         CASE WHEN rnk <= cut THEN 'train' ELSE 'test' END AS split,
+         CAST(CASE WHEN rnk <= cut THEN rnk ELSE rnk - cut END AS BIGINT) AS split_id
+  FROM ranked_files
+)"""
+
+
 def oracle_sql() -> dict[str, str]:
     from holecard.plans import queries as q
     sql = {
-        "corpus_scan_filter": _with(FILES_CTE) + """
+        "corpus_scan_filter": with_(FILES_CTE) + """
 SELECT path, file_name,
        CASE WHEN contains(lower(file_name), 'test') THEN 'test' ELSE 'app' END AS role,
        CAST(length(text) AS BIGINT) AS n_chars
 FROM files WHERE suffix(file_name, '.java')""",
-        "module_extract": _with(FILES_CTE) + """
+        "module_extract": with_(FILES_CTE) + """
 SELECT CASE WHEN strpos(path, '/') > 0 THEN split_part(path, '/', 1) ELSE '' END AS module,
        count(*) AS n_files
 FROM files GROUP BY 1""",
-        "line_candidates": _with(FILES_CTE, LINES_CTE, line_candidates_cte(q.NUM_LABEL_LINES)) + """
+        "line_candidates": with_(FILES_CTE, LINES_CTE, line_candidates_cte(q.NUM_LABEL_LINES)) + """
 SELECT path, CAST(line_idx AS INTEGER) AS line_idx FROM line_cands""",
         "line_prompts": line_prompts_sql(q.LINES_K, q.NUM_LABEL_LINES, True, q.SEED),
         "prefix_only_prompts": line_prompts_sql(q.LINES_K, q.NUM_LABEL_LINES, False, q.SEED),
+        "token_candidates": with_(FILES_CTE, TOKENS_CTE, token_cands_cte(q.NUM_LABEL_TOKENS)) + """
+SELECT path, CAST(token_idx AS INTEGER) AS token_idx, token FROM token_cands""",
+        "token_prompts": token_prompts_sql(q.TOKENS_K, q.NUM_LABEL_TOKENS, q.SEED),
+        "lex_failures": with_(FILES_CTE, TOKENS_CTE) + """
+SELECT path, 'these_relevant_token_indices' AS reason FROM bad""",
+        "split_random_exact": with_(FILES_CTE, SPLIT_CTE) + """
+SELECT path, split, split_id FROM split_files""",
+        "split_holdout_per_module": with_(FILES_CTE) + """,
+chosen AS (
+  SELECT module, arg_min(path, md5(concat_ws('|', '0', 'holdout', path))) AS path
+  FROM files GROUP BY module
+)
+SELECT f.path, f.module, CASE WHEN c.path IS NULL THEN 'train' ELSE 'test' END AS split
+FROM files f LEFT JOIN chosen c ON c.path = f.path""",
+        "file_mapping": with_(FILES_CTE, SPLIT_CTE) + f"""
+SELECT path AS old_path,
+       '{q.OUT_DIR}/' || split || '/' || CAST(split_id AS VARCHAR) || '_' || file_name AS new_path,
+       split
+FROM split_files""",
     }
     return sql

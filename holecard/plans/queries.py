@@ -21,6 +21,7 @@ TOKENS_K = 200
 METHODS_K = 200
 NUM_LABEL_LINES = 2
 NUM_LABEL_TOKENS = 2
+OUT_DIR = "data/run"
 
 
 def corpus_scan_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,10 +70,60 @@ def prefix_only_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_prompts(spark, sf_dir, infill=False)
 
 
+def token_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T6 + T3: maskable code tokens of files that lex."""
+    files = code_files(spark, sf_dir)
+    return cand.token_candidates(files, NUM_LABEL_TOKENS).select(
+        "path", F.col("token_idx").cast("int").alias("token_idx"), "token")
+
+
+def token_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 -> P6 -> M3: infill prompts masking two tokens."""
+    files = code_files(spark, sf_dir).select("path", "text")
+    cands = cand.token_candidates(files, NUM_LABEL_TOKENS).select("path", "token_idx")
+    chosen = splits.sample_k(cands, TOKENS_K, SEED, "tokens", ["path", "token_idx"])
+    rows = splits.join_back(chosen, files, ["path"], TOKENS_K)
+    out = masking.mask_tokens(rows, "token_idx", NUM_LABEL_TOKENS)
+    return out.select(
+        F.concat_ws(":", F.lit("tokens"), "path", F.col("token_idx").cast("string")).alias("prompt_id"),
+        "path", F.col("path").alias("path_in_code_repo"), "prompt", "label",
+        "start_line", "end_line")
+
+
+def lex_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 (token kind): files the lexer rejects."""
+    return cand.token_lex_failures(code_files(spark, sf_dir))
+
+
+def split_random_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact 80/20 split in seeded random order."""
+    files = code_files(spark, sf_dir).select("path", "file_name")
+    return splits.split_random_exact(files, 0.8, SEED).select(
+        "path", "split", F.col("split_id").cast("long").alias("split_id"))
+
+
+def split_holdout_per_module(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One random test file per module."""
+    files = code_files(spark, sf_dir).select("path", "module")
+    return splits.split_holdout_per_module(files, SEED).select("path", "module", "split")
+
+
+def file_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: old path -> flat new path ``out/<split>/<id>_<name>``."""
+    files = code_files(spark, sf_dir).select("path", "file_name")
+    return splits.file_mapping(splits.split_random_exact(files, 0.8, SEED), OUT_DIR)
+
+
 QUERIES = {
     "corpus_scan_filter": corpus_scan_filter,
     "module_extract": module_extract,
     "line_candidates": line_candidates,
     "line_prompts": line_prompts,
     "prefix_only_prompts": prefix_only_prompts,
+    "token_candidates": token_candidates,
+    "token_prompts": token_prompts,
+    "lex_failures": lex_failures,
+    "split_random_exact": split_random_exact,
+    "split_holdout_per_module": split_holdout_per_module,
+    "file_mapping": file_mapping,
 }
