@@ -240,4 +240,183 @@ SELECT path AS old_path,
        split
 FROM split_files""",
     }
+    sql.update(completion_sql(q))
     return sql
+
+
+# --- stand-in label/completion pairs, as in plans/standins.completion_pairs ---
+PAIRS_CTE = r"""
+doc_split AS (
+  SELECT doc_id, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS ls
+  FROM documents
+),
+doc_pairs AS (
+  SELECT 'line:' || CAST(doc_id AS VARCHAR) || ':' || CAST(i - 1 AS VARCHAR) AS prompt_id,
+         'lines' AS kind, ls[i] AS label, ls[i + 1] AS completion
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls))) AS i FROM doc_split)
+),
+turn_pairs AS (
+  SELECT 'turn:' || CAST(u.conv_id AS VARCHAR) || ':' || CAST(u.turn AS VARCHAR) AS prompt_id,
+         'turns' AS kind, u.text AS label, a.text AS completion
+  FROM conversations u JOIN conversations a
+    ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+  WHERE u.role = 'user' AND a.role = 'assistant'
+),
+pairs AS (SELECT * FROM doc_pairs UNION ALL SELECT * FROM turn_pairs)"""
+
+
+def score_ctes() -> str:
+    from holecard.functions.lexer import JAVA_KEYWORDS
+    kw = "[" + ", ".join(lit(k) for k in JAVA_KEYWORDS) + "]"
+    return rf"""
+sides AS (
+  SELECT prompt_id, 'h' AS side, replace(completion, chr(10) || ' <EOT>', '') AS s FROM pairs
+  UNION ALL SELECT prompt_id, 'r' AS side, label AS s FROM pairs
+),
+side_toks AS (
+  SELECT prompt_id, side,
+         regexp_extract_all(regexp_replace(coalesce(s, ''), '^{WS}+|{WS}+$', '', 'g'),
+                            {lit(TOKEN_PATTERN)}, 0) AS all_t
+  FROM sides
+),
+side_tok AS (
+  SELECT prompt_id, side, unnest(all_t) AS tok, unnest(range(len(all_t))) AS pos FROM side_toks
+),
+side_bad AS (
+  SELECT DISTINCT prompt_id FROM (
+    SELECT prompt_id, tok, lead(tok) OVER (PARTITION BY prompt_id, side ORDER BY pos) AS nxt
+    FROM side_tok) x
+  WHERE tok = chr(34) OR tok = chr(39) OR (tok = '/' AND starts_with(nxt, '*'))
+),
+side_code AS (
+  SELECT prompt_id, side, row_number() OVER (PARTITION BY prompt_id, side ORDER BY pos) AS k, tok
+  FROM side_tok
+  WHERE NOT regexp_matches(tok, '^[ \t\r\n\f]+$') AND NOT regexp_matches(tok, '^(//|/\*)')
+),
+side_lists AS (
+  SELECT prompt_id, side, list(tok ORDER BY k) AS ct FROM side_code GROUP BY prompt_id, side
+),
+grams AS (
+  SELECT prompt_id, side, n, list_slice(ct, i, i + n - 1) AS g
+  FROM (SELECT prompt_id, side, ct, n, unnest(range(1, len(ct) - n + 2)) AS i
+        FROM side_lists, (VALUES (1), (2), (3), (4)) v(n))
+),
+gram_counts AS (
+  SELECT prompt_id, n, g, count(*) FILTER (WHERE side = 'h') AS h,
+         count(*) FILTER (WHERE side = 'r') AS r,
+         CASE WHEN list_contains({kw}, g[1]) THEN 1.0 ELSE 0.2 END AS w
+  FROM grams GROUP BY prompt_id, n, g
+),
+per_pair AS (
+  SELECT p.prompt_id, p.kind,
+         coalesce(sum(least(h, r)) FILTER (WHERE n = 1), 0) AS m1,
+         coalesce(sum(least(h, r)) FILTER (WHERE n = 2), 0) AS m2,
+         coalesce(sum(least(h, r)) FILTER (WHERE n = 3), 0) AS m3,
+         coalesce(sum(least(h, r)) FILTER (WHERE n = 4), 0) AS m4,
+         coalesce(sum(h) FILTER (WHERE n = 1), 0) AS h1, coalesce(sum(h) FILTER (WHERE n = 2), 0) AS h2,
+         coalesce(sum(h) FILTER (WHERE n = 3), 0) AS h3, coalesce(sum(h) FILTER (WHERE n = 4), 0) AS h4,
+         coalesce(sum(r) FILTER (WHERE n = 1), 0) AS r1, coalesce(sum(r) FILTER (WHERE n = 2), 0) AS r2,
+         coalesce(sum(r) FILTER (WHERE n = 3), 0) AS r3, coalesce(sum(r) FILTER (WHERE n = 4), 0) AS r4,
+         coalesce(sum(least(h, r) * w) FILTER (WHERE n = 1), 0) AS wm1,
+         coalesce(sum(r * w) FILTER (WHERE n = 1), 0) AS wr1,
+         p.prompt_id NOT IN (SELECT prompt_id FROM side_bad) AS ok
+  FROM pairs p LEFT JOIN gram_counts c ON c.prompt_id = p.prompt_id
+  GROUP BY p.prompt_id, p.kind
+),
+scored AS (
+  SELECT prompt_id, kind, ok,
+    CASE WHEN NOT ok THEN NULL WHEN m1 = 0 THEN 0.0 ELSE
+      (CASE WHEN h1 > r1 THEN 1.0 WHEN h1 = 0 THEN 0.0 ELSE exp(1 - r1 / h1) END) *
+      exp(0.25 * ln((CASE WHEN m1 = 0 THEN 0.1 ELSE m1 END) / greatest(h1, 1))
+        + 0.25 * ln((CASE WHEN m2 = 0 THEN 0.1 ELSE m2 END) / greatest(h2, 1))
+        + 0.25 * ln((CASE WHEN m3 = 0 THEN 0.1 ELSE m3 END) / greatest(h3, 1))
+        + 0.25 * ln((CASE WHEN m4 = 0 THEN 0.1 ELSE m4 END) / greatest(h4, 1))) END
+      AS ngram_match_score,
+    CASE WHEN NOT ok THEN NULL WHEN wm1 = 0 THEN 0.0 ELSE
+      (CASE WHEN h1 > 2 THEN 1.0 WHEN h1 = 0 THEN 0.0 ELSE exp(1 - 2.0 / h1) END) *
+      exp(0.25 * ln((CASE WHEN wm1 = 0 THEN 0.1 ELSE wm1 END) / greatest(wr1, 1))
+        + 0.25 * ln((CASE WHEN m2 = 0 THEN 0.1 ELSE m2 END) / greatest(r2, 1))
+        + 0.25 * ln((CASE WHEN m3 = 0 THEN 0.1 ELSE m3 END) / greatest(r3, 1))
+        + 0.25 * ln((CASE WHEN m4 = 0 THEN 0.1 ELSE m4 END) / greatest(r4, 1))) END
+      AS weighted_ngram_match_score
+  FROM per_pair
+),
+scored5 AS (
+  SELECT prompt_id, kind, ngram_match_score, weighted_ngram_match_score,
+         CASE WHEN ok THEN 0.0 END AS syntax_match_score,
+         CASE WHEN ok THEN 0.0 END AS dataflow_match_score,
+         0.25 * ngram_match_score + 0.25 * weighted_ngram_match_score
+           + 0.25 * (CASE WHEN ok THEN 0.0 END) + 0.25 * 1.0 AS codebleu
+  FROM scored
+)"""
+
+
+def _score_sql(select: str) -> str:
+    return with_(PAIRS_CTE, score_ctes()) + select
+
+
+SPLIT_RE = r"[, _\-=.+*]"
+
+
+def _count_sql(c: str) -> str:
+    return f"CAST(len(regexp_split_to_array(replace(coalesce({c}, 'nan'), '<EOT>', ''), '{SPLIT_RE}')) AS BIGINT)"
+
+
+def completion_sql(q) -> dict[str, str]:
+    lp = line_prompts_sql(q.LINES_K, q.NUM_LABEL_LINES, True, q.SEED)
+    return {
+        "ngram_match": _score_sql("""
+SELECT prompt_id, round(ngram_match_score, 6) AS ngram_match_score FROM scored"""),
+        "weighted_ngram": _score_sql("""
+SELECT prompt_id, round(weighted_ngram_match_score, 6) AS weighted_ngram_match_score FROM scored"""),
+        "composite_score": _score_sql("""
+SELECT prompt_id, kind, round(ngram_match_score, 6) AS ngram_match_score,
+       round(weighted_ngram_match_score, 6) AS weighted_ngram_match_score,
+       round(syntax_match_score, 6) AS syntax_match_score,
+       round(dataflow_match_score, 6) AS dataflow_match_score, round(codebleu, 6) AS codebleu
+FROM scored5"""),
+        "token_counts": with_(PAIRS_CTE, rf"""
+lab AS (
+  SELECT prompt_id, regexp_extract_all(replace(coalesce(label, 'nan'), '<EOT>', ''),
+                                       {lit(TOKEN_PATTERN)}, 0) AS all_t FROM pairs
+),
+lab_tok AS (SELECT prompt_id, unnest(all_t) AS tok, unnest(range(len(all_t))) AS pos FROM lab),
+lab_bad AS (
+  SELECT DISTINCT prompt_id FROM (
+    SELECT prompt_id, tok, lead(tok) OVER (PARTITION BY prompt_id ORDER BY pos) AS nxt FROM lab_tok) x
+  WHERE tok = chr(34) OR tok = chr(39) OR (tok = '/' AND starts_with(nxt, '*'))
+),
+lab_n AS (
+  SELECT prompt_id, count(*) AS n FROM lab_tok
+  WHERE NOT regexp_matches(tok, '^[ \t\r\n\f]+$') AND NOT regexp_matches(tok, '^(//|/\*)')
+  GROUP BY prompt_id
+)""") + f"""
+SELECT p.prompt_id, {_count_sql('p.label')} AS label_token_count,
+       {_count_sql('p.completion')} AS completion_token_count,
+       CASE WHEN p.prompt_id IN (SELECT prompt_id FROM lab_bad) THEN NULL
+            ELSE CAST(coalesce(n.n, 0) AS BIGINT) END AS label_code_tokens
+FROM pairs p LEFT JOIN lab_n n ON n.prompt_id = p.prompt_id""",
+        "perplexity": """
+WITH p AS (SELECT user_id, ts, event_id, ln(1.0 / (1.0 + value)) AS lp FROM events)
+SELECT user_id, count(*) AS n_tokens,
+       round(exp(-(sum(lp) - arg_min(lp, (ts, event_id))) / count(*)), 6) AS perplexity
+FROM p GROUP BY user_id""",
+        "strip_eot": with_(PAIRS_CTE) + """
+SELECT prompt_id, replace(completion || chr(10) || ' <EOT>', chr(10) || ' <EOT>', '') AS completion
+FROM pairs""",
+        "stop_cut": with_(PAIRS_CTE) + """
+SELECT prompt_id,
+       split_part(completion || chr(10) || chr(10) || chr(10) || label, chr(10) || chr(10) || chr(10), 1)
+         AS completion
+FROM pairs""",
+        "samples_expand": f"""
+WITH lp AS ({lp})
+SELECT prompt_id, CAST(s AS INTEGER) AS sample_idx FROM lp, range(3) t(s)""",
+        "batch_completion": f"""
+WITH lp AS ({lp})
+SELECT prompt_id,
+       split_part(regexp_extract(substr(split_part(prompt, ' <SUF>', 1), 7), '[^\\n]*\\n?\\z', 0),
+                  chr(10) || chr(10) || chr(10), 1) AS completion,
+       'codellama/7b' AS model
+FROM lp""",
+    }

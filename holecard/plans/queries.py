@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from holecard.operators import candidates as cand
 from holecard.operators import masking
 from holecard.operators import splits
-from holecard.plans.standins import code_files
+from holecard.operators import completions as comp
+from holecard.operators import scoring
+from holecard.plans.standins import code_files, completion_pairs, table
 
 SEED = 0
 # Prompt counts of the registered queries (sampling is the feature being run).
@@ -114,6 +116,87 @@ def file_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.file_mapping(splits.split_random_exact(files, 0.8, SEED), OUT_DIR)
 
 
+def _r6(c):
+    return F.round(F.col(c), 6).alias(c)
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = completion_pairs(spark, sf_dir)
+    pairs = pairs.withColumn("completion", scoring.strip_eot("completion"))
+    return scoring.code_bleu(pairs, ["prompt_id"])
+
+
+def ngram_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 (+C4): BLEU-4 n-gram match of every pair."""
+    pairs = completion_pairs(spark, sf_dir)
+    return scoring.ngram_match_scores(pairs, ["prompt_id"]).select("prompt_id", _r6("ngram_match_score"))
+
+
+def weighted_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 (+C4): keyword-weighted n-gram match of every pair."""
+    pairs = completion_pairs(spark, sf_dir)
+    return scoring.ngram_match_scores(pairs, ["prompt_id"]).select(
+        "prompt_id", _r6("weighted_ngram_match_score"))
+
+
+def composite_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C3 (+C4): composite with syntax and data-flow inputs at 0 (not rebuilt)."""
+    return _scored(spark, sf_dir).select(
+        "prompt_id", "kind", _r6("ngram_match_score"), _r6("weighted_ngram_match_score"),
+        _r6("syntax_match_score"), _r6("dataflow_match_score"), _r6("codebleu"))
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Separator-split token counts (published form) and lexed counts."""
+    pairs = completion_pairs(spark, sf_dir)
+    return pairs.select(
+        "prompt_id",
+        scoring.token_count("label").cast("long").alias("label_token_count"),
+        scoring.token_count("completion").cast("long").alias("completion_token_count"),
+        scoring.token_count_lexed("label").cast("long").alias("label_code_tokens"))
+
+
+def perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C5 per user: events' values as token probabilities ``1 / (1 + value)``.
+
+    Long form with plain aggregates (``exp(-(sum ln p - ln p_first) / n)``):
+    no per-user list is ever built, so a hot user is reduced map-side.
+    """
+    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+    probs = ev.select("user_id", F.struct("ts", "event_id").alias("_o"),
+                      (1.0 / (1.0 + F.col("value"))).alias("p"))
+    out = scoring.perplexity_by_group(probs, "user_id", "_o", "p")
+    return out.select("user_id", F.col("n_tokens").cast("long").alias("n_tokens"), _r6("perplexity"))
+
+
+def strip_eot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G4 on every pair: completions with the end-of-text marker removed."""
+    pairs = completion_pairs(spark, sf_dir)
+    return pairs.select("prompt_id", scoring.strip_eot(
+        F.concat("completion", F.lit(scoring.EOT_SUFFIX))).alias("completion"))
+
+
+def stop_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw output that ran past the stop sequence (completion, stop,
+    label) is cut back at the first stop sequence."""
+    pairs = completion_pairs(spark, sf_dir)
+    raw = F.concat("completion", F.lit(comp.STOP_SEQUENCE), "label")
+    return pairs.select("prompt_id", comp.stop_cut(raw).alias("completion"))
+
+
+def samples_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three samples of every sampled line prompt."""
+    prompts = line_prompts(spark, sf_dir).select("prompt_id")
+    return comp.expand_samples(prompts, 3).select("prompt_id", F.col("sample_idx").cast("int"))
+
+
+def batch_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 + G2: a batch callable (stand-in model) completes the sampled prompts."""
+    prompts = line_prompts(spark, sf_dir).select("prompt_id", "prompt")
+    done = comp.complete_with(prompts, comp.previous_line_completer)
+    return done.select("prompt_id", "completion", comp.params_struct()["model"].alias("model"))
+
+
 QUERIES = {
     "corpus_scan_filter": corpus_scan_filter,
     "module_extract": module_extract,
@@ -126,4 +209,13 @@ QUERIES = {
     "split_random_exact": split_random_exact,
     "split_holdout_per_module": split_holdout_per_module,
     "file_mapping": file_mapping,
+    "ngram_match": ngram_match,
+    "weighted_ngram": weighted_ngram,
+    "composite_score": composite_score,
+    "token_counts": token_counts,
+    "perplexity": perplexity,
+    "strip_eot": strip_eot,
+    "stop_cut": stop_cut,
+    "samples_expand": samples_expand,
+    "batch_completion": batch_completion,
 }

@@ -23,13 +23,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holecard.functions.text import normalize_newlines
+from holecard.sources.tables import read_table, spread
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 # --- fixed values: rendering rule of the stand-in corpus (mirrored in SQL) ---
@@ -40,7 +41,7 @@ NAME_WORD = r"^[^A-Za-z]*([A-Za-z]*)"
 
 def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus table ``(path, file_name, module, text)`` rendered from documents."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     word = F.regexp_extract("text", NAME_WORD, 1)
     base = F.when(word == "", F.lit("Doc")).otherwise(word)
     is_test = F.col("text").rlike(TEST_MARK)
@@ -57,3 +58,37 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("module"),
         text.alias("text"),
     )
+
+
+def completion_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label/completion pairs ``(prompt_id, kind, label, completion)``.
+
+    * ``lines``: line i of a document is the label, line i+1 the completion
+      (row-local: the pairs come out of one array per document, no shuffle);
+    * ``turns``: a user turn is the label, the next turn, when it is the
+      assistant's, the completion.  Turns are matched by an equi-join on
+      ``(conv_id, turn + 1)``, which spreads even one very long conversation
+      over many partitions (a ``lead`` window would sort it in one task).
+    """
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    lines = F.split(normalize_newlines("text"), "\n", -1)
+    n = F.greatest(F.size(lines) - 1, F.lit(0))
+    doc_pairs = docs.select(
+        "doc_id", F.posexplode(F.zip_with(F.slice(lines, 1, n), F.slice(lines, 2, n),
+                                          lambda a, b: F.struct(a.alias("a"), b.alias("b")))))
+    doc_pairs = doc_pairs.select(
+        F.concat_ws(":", F.lit("line"), F.col("doc_id").cast("string"), F.col("pos").cast("string"))
+        .alias("prompt_id"),
+        F.lit("lines").alias("kind"),
+        F.col("col.a").alias("label"), F.col("col.b").alias("completion"))
+    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    users = conv.where(F.col("role") == "user").select(
+        "conv_id", (F.col("turn") + 1).alias("turn"), F.col("turn").alias("user_turn"),
+        F.col("text").alias("label"))
+    replies = conv.where(F.col("role") == "assistant").select(
+        "conv_id", "turn", F.col("text").alias("completion"))
+    turn_pairs = users.join(replies, ["conv_id", "turn"], "inner").select(
+        F.concat_ws(":", F.lit("turn"), F.col("conv_id").cast("string"),
+                    F.col("user_turn").cast("string")).alias("prompt_id"),
+        F.lit("turns").alias("kind"), "label", "completion")
+    return doc_pairs.unionByName(turn_pairs)
