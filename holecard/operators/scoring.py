@@ -85,7 +85,7 @@ def ngram_match_scores(pairs: DataFrame, key: list[str], label: str = "label",
         F.sum("h").alias("h"), F.sum("r").alias("r"), F.min("_ok").alias("_ok"))
     clipped = F.least("h", "r")
     keywords = F.array(*[F.lit(k) for k in JAVA_KEYWORDS])
-    weight = F.when(F.array_contains(keywords, F.element_at("g", 1)), F.lit(KEYWORD_WEIGHT)) \
+    weight = F.when(F.array_contains(keywords, F.try_element_at("g", F.lit(1))), F.lit(KEYWORD_WEIGHT)) \
         .otherwise(F.lit(OTHER_WEIGHT))
 
     def at(n, v):

@@ -241,6 +241,7 @@ SELECT path AS old_path,
 FROM split_files""",
     }
     sql.update(completion_sql(q))
+    sql.update(outcome_sql(q))
     return sql
 
 
@@ -420,3 +421,153 @@ SELECT prompt_id,
        'codellama/7b' AS model
 FROM lp""",
     }
+
+
+LOGS_CTE = r"""
+logs AS (
+  SELECT user_id AS build_id, event_id AS line_no,
+    CASE WHEN event_type = 'signup' THEN '[ERROR] Failures: '
+         WHEN event_type = 'error' THEN '[ERROR]   Test' || CAST(event_id AS VARCHAR) || '.check:'
+              || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || ' expected'
+         WHEN event_type = 'purchase' THEN '[ERROR] Tests run: ' || CAST(event_id AS VARCHAR)
+              || ', Failures: ' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR)
+              || ', Errors: ' || CAST(CAST(floor(value / 10) AS BIGINT) AS VARCHAR)
+         ELSE '[INFO] ' || event_type || ' ' || props END AS line
+  FROM events
+),
+flagged_logs AS (
+  SELECT build_id, line_no, line,
+    max(CASE WHEN line IN ('[ERROR] Failures: ', '[ERROR] Errors: ') THEN line_no END)
+      OVER (PARTITION BY build_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lo,
+    max(CASE WHEN contains(line, '[ERROR] Tests run:') THEN line_no END)
+      OVER (PARTITION BY build_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lc
+  FROM logs
+),
+log_hits AS (
+  SELECT build_id, line_no, line, contains(line, '[ERROR] Tests run:') AS is_counts
+  FROM flagged_logs
+  WHERE coalesce(lo, -1) > coalesce(lc, -1)
+    AND (contains(line, '[ERROR] Tests run:') OR contains(line, '[ERROR]   '))
+),
+parsed AS (
+  SELECT build_id,
+    CAST(arg_max(TRY_CAST(regexp_extract(line, 'Failures: (\d+)', 1) AS INTEGER), line_no)
+         FILTER (WHERE is_counts) AS BIGINT) AS failure_count,
+    CAST(arg_max(TRY_CAST(regexp_extract(line, 'Errors: (\d+)', 1) AS INTEGER), line_no)
+         FILTER (WHERE is_counts) AS BIGINT) AS error_count,
+    list(string_split(line, ' ')[4] ORDER BY line_no) FILTER (WHERE NOT is_counts) AS tests
+  FROM log_hits GROUP BY build_id
+),
+builds AS (
+  SELECT user_id AS build_id,
+         CASE WHEN sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) > 0 THEN 1 ELSE 0 END AS exit_code
+  FROM events GROUP BY user_id
+)"""
+
+OUTCOMES_CTE = r"""
+outc AS (
+  SELECT l.doc_id, d.source AS module, d.lang, l.quality = 1 AS built,
+         CAST(l.toxic AS INTEGER) AS error_count,
+         list_sort(list_distinct(regexp_extract_all(d.text, '[A-Za-z]*[Tt][Ee][Ss][Tt][A-Za-z]*', 0))) AS tests
+  FROM labels l JOIN documents d ON d.doc_id = l.doc_id
+),
+outc2 AS (SELECT *, CAST(len(tests) AS INTEGER) AS failure_count FROM outc),
+base AS (
+  SELECT module, arg_min(built, doc_id) AS base_built, arg_min(error_count, doc_id) AS base_err,
+         arg_min(failure_count, doc_id) AS base_fail, arg_min(tests, doc_id) AS base_tests
+  FROM outc2 GROUP BY module
+)"""
+
+Z95 = repr(1.959963984540054)
+
+
+def _pass_k_sql(k: int) -> str:
+    comb = (f"exp(lgamma(n - c + 1) - lgamma(n - c - {k} + 1) - lgamma(n + 1) + lgamma(n - {k} + 1))")
+    return (f"round(CASE WHEN n - c < {k} THEN 1.0 WHEN c = 0 THEN 0.0 ELSE 1 - {comb} END, 6)"
+            f" AS pass_at_{k}")
+
+
+def _summary_select(name: str, n: str, avgs: dict, rates: dict | None, bleu: tuple | None,
+                    ptype: str) -> str:
+    cols = [f"{name} AS result_name"]
+    for c in ("ngram_match_score", "weighted_ngram_match_score", "syntax_match_score",
+              "dataflow_match_score", "label_token_count", "completion_token_count"):
+        cols.append(f"round({avgs.get(c, 'CAST(NULL AS DOUBLE)')}, 6) AS average_{c}")
+    for r in ("successful_build_rate", "no_error_rate", "pass_at_1_rate"):
+        if rates:
+            p = rates[r]
+            cols.append(f"round({p}, 6) AS {r}")
+            cols.append(f"round({Z95} * sqrt(({p}) * (1 - ({p})) / {n}), 6) AS {r}_moe")
+        else:
+            cols += [f"CAST(NULL AS DOUBLE) AS {r}", f"CAST(NULL AS DOUBLE) AS {r}_moe"]
+    b, bm = bleu if bleu else ("CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)")
+    cols += [f"round({b}, 6) AS average_code_bleu", f"round({bm}, 6) AS average_code_bleu_moe",
+             f"{ptype} AS prompt_type"]
+    return "SELECT " + ",\n       ".join(cols)
+
+
+def _ptype(name: str) -> str:
+    return (f"CASE WHEN contains({name}, 'lines') THEN 'lines' WHEN contains({name}, 'tokens') "
+            f"THEN 'tokens' WHEN contains({name}, 'methods') THEN 'methods' END")
+
+
+_RATES = {"successful_build_rate": "avg(CAST(built AS DOUBLE))",
+          "no_error_rate": "avg(CAST(built AND error_count = 0 AS DOUBLE))",
+          "pass_at_1_rate": "avg(CAST(built AND failure_count = 0 AS DOUBLE))"}
+
+
+def outcome_sql(q) -> dict[str, str]:
+    count_expr = "CAST(len(regexp_split_to_array(replace(coalesce({c}, 'nan'), '<EOT>', ''), '" + SPLIT_RE + "')) AS DOUBLE)"
+    return {
+        "build_log_parse": with_(LOGS_CTE) + """
+SELECT build_id, failure_count, error_count, CAST(coalesce(len(tests), 0) AS BIGINT) AS n_failed_tests,
+       coalesce(array_to_string(tests, ','), '') AS failed_tests
+FROM parsed""",
+        "build_outcomes": with_(LOGS_CTE) + """
+SELECT b.build_id, b.exit_code = 0 AS built, CAST(coalesce(p.failure_count, 0) AS BIGINT) AS failure_count,
+       CAST(coalesce(p.error_count, 0) AS BIGINT) AS error_count,
+       CAST(coalesce(len(p.tests), 0) AS BIGINT) AS n_failed_tests
+FROM builds b LEFT JOIN parsed p ON p.build_id = b.build_id""",
+        "module_catalogue": """
+WITH items AS (
+  SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<ul>(.*?)</ul>', 1),
+                                     '<li><a href="[^"]*">([^<]*)</a></li>', 1) AS its
+  FROM pages
+)
+SELECT page_id, CAST(unnest(range(len(its))) AS INTEGER) AS module_idx, unnest(its) AS module FROM items""",
+        "baseline_delta": with_(OUTCOMES_CTE) + """
+SELECT o.doc_id, o.module,
+       CAST(o.failure_count - coalesce(b.base_fail, 0) AS BIGINT) AS additional_failure_count,
+       CAST(o.error_count - coalesce(b.base_err, 0) AS BIGINT) AS additional_error_count,
+       array_to_string(list_filter(o.tests, lambda t: NOT list_contains(coalesce(b.base_tests, []), t)), ',')
+         AS additional_failed_tests,
+       o.built AND coalesce(b.base_built, true) AS additional_pass
+FROM outc2 o LEFT JOIN base b ON b.module = o.module""",
+        "missing_baselines": with_(OUTCOMES_CTE) + """
+SELECT DISTINCT source AS module FROM documents WHERE source NOT IN (SELECT module FROM base)""",
+        "pass_at_k": with_(OUTCOMES_CTE) + f""",
+g AS (SELECT module, lang, count(*) AS n, sum(CAST(built AS INTEGER)) AS c FROM outc2 GROUP BY module, lang)
+SELECT module, lang, n AS n_samples, CAST(c AS BIGINT) AS n_passed, {_pass_k_sql(1)}, {_pass_k_sql(5)}
+FROM g""",
+        "summary_by_kind": with_(PAIRS_CTE, score_ctes()) + ",\n" + """
+ev AS (
+  SELECT 'standin_' || p.kind || '_df_output' AS rn, s.*, p.label,
+         replace(p.completion, chr(10) || ' <EOT>', '') AS completion
+  FROM scored5 s JOIN pairs p ON p.prompt_id = s.prompt_id
+)
+""" + _summary_select(
+            "rn", "count(*)",
+            {"ngram_match_score": "avg(ngram_match_score)",
+             "weighted_ngram_match_score": "avg(weighted_ngram_match_score)",
+             "syntax_match_score": "avg(syntax_match_score)",
+             "dataflow_match_score": "avg(dataflow_match_score)",
+             "label_token_count": "avg(" + count_expr.format(c="label") + ")",
+             "completion_token_count": "avg(" + count_expr.format(c="completion") + ")"},
+            None, ("avg(codebleu)", "stddev_samp(codebleu)"), _ptype("rn")) + "\nFROM ev GROUP BY rn",
+        "rates_with_moe": with_(OUTCOMES_CTE) + "\n" + _summary_select(
+            "lang", "count(*)", {}, _RATES, None, _ptype("lang")) + "\nFROM outc2 GROUP BY lang",
+        "baseline_summary_row": with_(OUTCOMES_CTE) + ",\n" + """
+bm AS (SELECT base_built AS built, base_err AS error_count, base_fail AS failure_count FROM base)
+""" + _summary_select("'base_modules'", "count(*)", {}, _RATES, ("1.0", "0.0"),
+                      "CAST(NULL AS VARCHAR)") + "\nFROM bm",
+    }

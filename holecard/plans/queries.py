@@ -14,6 +14,9 @@ from holecard.operators import masking
 from holecard.operators import splits
 from holecard.operators import completions as comp
 from holecard.operators import scoring
+from holecard.operators import outcomes as outc
+from holecard.operators import summary as summ
+from holecard.plans import standins as si
 from holecard.plans.standins import code_files, completion_pairs, table
 
 SEED = 0
@@ -197,6 +200,88 @@ def batch_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("prompt_id", "completion", comp.params_struct()["model"].alias("model"))
 
 
+def build_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1: failure/error counts and failed test names per build log."""
+    parsed = outc.parse_build_logs(si.build_logs(spark, sf_dir))
+    return parsed.select(
+        "build_id", F.col("failure_count").cast("long").alias("failure_count"),
+        F.col("error_count").cast("long").alias("error_count"),
+        F.size("failed_tests").cast("long").alias("n_failed_tests"),
+        F.array_join("failed_tests", ",").alias("failed_tests"))
+
+
+def build_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2: outcome row per build with defaults for clean logs."""
+    parsed = outc.parse_build_logs(si.build_logs(spark, sf_dir))
+    out = outc.build_outcomes(si.builds(spark, sf_dir), parsed)
+    return out.select("build_id", "built", F.col("failure_count").cast("long").alias("failure_count"),
+                      F.col("error_count").cast("long").alias("error_count"),
+                      F.size("failed_tests").cast("long").alias("n_failed_tests"))
+
+
+# --- fixed values: stand-in module block in pages ---
+PAGE_BLOCK = r"(?s)<ul>(.*?)</ul>"
+PAGE_ITEM = r'<li><a href="[^"]*">([^<]*)</a></li>'
+
+
+def module_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of the first list block of every page, in order."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    return pages.select("page_id", F.posexplode(outc.first_block_items("html", PAGE_BLOCK, PAGE_ITEM))
+                        .alias("module_idx", "module")) \
+        .select("page_id", F.col("module_idx").cast("int"), "module")
+
+
+def baseline_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 + B7: each response against its module's baseline."""
+    out = outc.baseline_delta(si.response_outcomes(spark, sf_dir), si.module_baselines(spark, sf_dir))
+    return out.select("doc_id", "module",
+                      F.col("additional_failure_count").cast("long").alias("additional_failure_count"),
+                      F.col("additional_error_count").cast("long").alias("additional_error_count"),
+                      F.array_join("additional_failed_tests", ",").alias("additional_failed_tests"),
+                      "additional_pass")
+
+
+def missing_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Modules of the corpus without a baseline of the current version."""
+    catalogue = table(spark, sf_dir, "documents").select(F.col("source").alias("module")).distinct()
+    have = si.module_baselines(spark, sf_dir).withColumn("code_version", F.lit("v1"))
+    return outc.missing_baselines(catalogue, have, "v1")
+
+
+def pass_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unbiased pass@1 and pass@5 per (module, lang) sample group."""
+    out = si.response_outcomes(spark, sf_dir)
+    p1 = outc.pass_at_k(out, ["module", "lang"], 1)
+    p5 = outc.pass_at_k(out, ["module", "lang"], 5).select("module", "lang", "pass_at_5")
+    return p1.join(p5, ["module", "lang"]).select(
+        "module", "lang", F.col("n_samples").cast("long"), F.col("n_passed").cast("long"),
+        _r6("pass_at_1"), _r6("pass_at_5"))
+
+
+def _summary_out(df: DataFrame) -> DataFrame:
+    return df.select("result_name", *[_r6(c) for c in summ.SUMMARY_COLUMNS[1:-1]], "prompt_type")
+
+
+def summary_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CodeBLEU summary per result file (pair kind)."""
+    scored = _scored(spark, sf_dir).withColumn(
+        "result_name", F.concat(F.lit("standin_"), F.col("kind"), F.lit("_df_output")))
+    return _summary_out(summ.summary_table(scored, metrics=("CodeBLEU",)))
+
+
+def rates_with_moe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build, no-error and pass@1 rates with margins of error per language."""
+    out = si.response_outcomes(spark, sf_dir).withColumn("result_name", F.col("lang"))
+    return _summary_out(summ.summarize(out, metrics=("pass@k",)))
+
+
+def baseline_summary_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The baseline row of the unaltered modules."""
+    return _summary_out(summ.baseline_summary(si.module_baselines(spark, sf_dir),
+                                              metrics=("CodeBLEU", "pass@k")))
+
+
 QUERIES = {
     "corpus_scan_filter": corpus_scan_filter,
     "module_extract": module_extract,
@@ -218,4 +303,13 @@ QUERIES = {
     "stop_cut": stop_cut,
     "samples_expand": samples_expand,
     "batch_completion": batch_completion,
+    "build_log_parse": build_log_parse,
+    "build_outcomes": build_outcomes,
+    "module_catalogue": module_catalogue,
+    "baseline_delta": baseline_delta,
+    "missing_baselines": missing_baselines,
+    "pass_at_k": pass_at_k,
+    "summary_by_kind": summary_by_kind,
+    "rates_with_moe": rates_with_moe,
+    "baseline_summary_row": baseline_summary_row,
 }

@@ -92,3 +92,56 @@ def completion_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("user_turn").cast("string")).alias("prompt_id"),
         F.lit("turns").alias("kind"), "label", "completion")
     return doc_pairs.unionByName(turn_pairs)
+
+
+def build_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build logs ``(build_id, line_no, line)`` from ``events``: one build per
+    user, one line per event in event order; signups open a failure block,
+    errors name failed tests, purchases carry the test counts."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
+    v = F.floor("value").cast("long").cast("string")
+    line = (F.when(F.col("event_type") == "signup", F.lit("[ERROR] Failures: "))
+            .when(F.col("event_type") == "error",
+                  F.concat(F.lit("[ERROR]   Test"), F.col("event_id").cast("string"),
+                           F.lit(".check:"), v, F.lit(" expected")))
+            .when(F.col("event_type") == "purchase",
+                  F.concat(F.lit("[ERROR] Tests run: "), F.col("event_id").cast("string"),
+                           F.lit(", Failures: "), v, F.lit(", Errors: "),
+                           F.floor(F.col("value") / 10).cast("long").cast("string")))
+            .otherwise(F.concat(F.lit("[INFO] "), F.col("event_type"), F.lit(" "), F.col("props"))))
+    return ev.select(F.col("user_id").alias("build_id"), F.col("event_id").alias("line_no"),
+                     line.alias("line"))
+
+
+def builds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Builds ``(build_id, exit_code)``: a build fails when its log has errors."""
+    ev = table(spark, sf_dir, "events").select("user_id", "event_type")
+    return ev.groupBy(F.col("user_id").alias("build_id")).agg(
+        F.when(F.sum((F.col("event_type") == "error").cast("int")) > 0, 1).otherwise(0)
+        .alias("exit_code"))
+
+
+# --- fixed values: stand-in failed-test words ---
+FAILED_TEST_WORD = r"[A-Za-z]*[Tt][Ee][Ss][Tt][A-Za-z]*"
+
+
+def response_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per labelled document: ``built`` = quality 1, ``error_count`` = toxic,
+    failed tests = distinct words containing "test"."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    tests = F.array_sort(F.array_distinct(F.regexp_extract_all("text", F.lit(FAILED_TEST_WORD), 0)))
+    return labels.join(docs, "doc_id", "inner").select(
+        "doc_id", F.col("source").alias("module"), "lang",
+        (F.col("quality") == 1).alias("built"),
+        F.col("toxic").cast("int").alias("error_count"),
+        F.size(tests).alias("failure_count"),
+        tests.alias("failed_tests"))
+
+
+def module_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Baseline per module: the outcome of its first labelled document."""
+    out = response_outcomes(spark, sf_dir)
+    first = out.groupBy("module").agg(F.min_by(
+        F.struct("built", "error_count", "failure_count", "failed_tests"), F.col("doc_id")).alias("b"))
+    return first.select("module", "b.*")
