@@ -89,3 +89,79 @@ def token_lex_failures(files: DataFrame) -> DataFrame:
     """T5 (token part): files the lexer rejects -> ``(path, reason)``."""
     return files.where(~lex_ok("text")).select(
         "path", F.lit("these_relevant_token_indices").alias("reason"))
+
+
+# --- fixed values: Java primitive type names (a method name may follow them) ---
+PRIMITIVE_TYPES = "void boolean byte char short int long float double".split()
+
+
+def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """T4: method bodies -> ``(path, method, body_start_line, body_line_count)``
+    and the skipped table ``(path, reason)``.
+
+    A method header is a name token that is followed by ``(`` and preceded by
+    a type (an identifier, a primitive type, ``>`` or ``]``) -- so, as in the
+    reference (Q5), constructors are not methods.  Its body is opened by the
+    first ``{`` after the name unless a ``;`` comes first (abstract or
+    interface method: no body, the file is reported as skipped, Q13).  The
+    matching ``}`` is found without a per-method scan: the k-th ``{`` and the
+    k-th ``}`` at the same brace depth of a file are a pair.  The body is the
+    lines strictly between the two braces; 0-based ``body_start_line``.
+    One-line bodies (count < 1, Q14) are dropped.  Files that fail to lex are
+    skipped.
+
+    Only code tokens and newline markers cross the per-file shuffle.
+    """
+    from holecard.functions.lexer import JAVA_KEYWORDS, is_code_token
+
+    lexed = files.select("path", all_tokens("text").alias("_all"))
+    # whitespace and comments shrink to their newlines; empty ones are dropped
+    # before the shuffle, positions stay those of the full token array
+    staged = lexed.select("path", lex_ok_of(F.col("_all")).alias("_ok"), F.transform(
+        "_all", lambda t: F.when(is_code_token(t), t)
+        .otherwise(F.regexp_replace(t, r"[^\n]", ""))).alias("_toks"))
+    bad = staged.where(~F.col("_ok")).select(
+        "path", F.lit("all_relevant_method_bodies").alias("reason"))
+    toks = staged.where(F.col("_ok")).select("path", F.posexplode("_toks").alias("pos", "tok")) \
+        .where(F.col("tok") != "")
+    w = Window.partitionBy("path").orderBy("pos")
+    nl = F.length("tok") - F.length(F.replace("tok", F.lit("\n"), F.lit("")))
+    lined = toks.select("path", "pos", "tok", F.coalesce(
+        F.sum(nl).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("line0"))
+    code = lined.where(~F.col("tok").startswith("\n"))
+    delta = F.when(F.col("tok") == "{", 1).when(F.col("tok") == "}", -1).otherwise(0)
+    ident = F.col("tok").rlike(r"^[A-Za-z_$][A-Za-z0-9_$]*$")
+    keywords = F.array(*[F.lit(k) for k in JAVA_KEYWORDS])
+    scanned = code.select(
+        "path", "pos", "tok", "line0",
+        F.sum(delta).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("depth"),
+        F.lag("tok").over(w).alias("prev"), F.lead("tok").over(w).alias("nxt"),
+        F.min(F.when(F.col("tok").isin("{", ";"), F.col("pos"))).over(
+            w.rowsBetween(1, Window.unboundedFollowing)).alias("term_pos"),
+        (ident & ~F.array_contains(keywords, F.col("tok"))).alias("is_name"))
+    prev_ident = F.col("prev").rlike(r"^[A-Za-z_$][A-Za-z0-9_$]*$") & \
+        ~F.array_contains(keywords, F.col("prev"))
+    headers = scanned.where(
+        F.col("is_name") & (F.col("nxt") == "(") &
+        (prev_ident | F.col("prev").isin(*PRIMITIVE_TYPES, ">", "]"))
+    ).select("path", F.col("tok").alias("method"), "pos", "term_pos")
+    braces = scanned.where(F.col("tok").isin("{", "}")).select(
+        "path", "pos", "tok", "line0",
+        F.when(F.col("tok") == "{", F.col("depth") - 1).otherwise(F.col("depth")).alias("level"))
+    wl = Window.partitionBy("path", "level", "tok").orderBy("pos")
+    ranked = braces.withColumn("k", F.row_number().over(wl))
+    opens = ranked.where(F.col("tok") == "{").select(
+        "path", "level", "k", F.col("pos").alias("term_pos"), F.col("line0").alias("open_line"))
+    closes = ranked.where(F.col("tok") == "}").select(
+        "path", "level", "k", F.col("line0").alias("close_line"))
+    pairs = opens.join(closes, ["path", "level", "k"], "inner").select("path", "term_pos", "open_line", "close_line")
+    found = headers.join(pairs, ["path", "term_pos"], "left")
+    bodies = found.where(F.col("open_line").isNotNull()).select(
+        "path", "method", "pos",
+        (F.col("open_line") + 1).cast("int").alias("body_start_line"),
+        (F.col("close_line") - F.col("open_line") - 1).cast("int").alias("body_line_count"),
+    ).where(F.col("body_line_count") >= 1)
+    no_body = found.where(F.col("open_line").isNull()).select(
+        "path", F.lit("all_relevant_method_bodies").alias("reason"))
+    skipped = bad.unionByName(no_body).distinct()
+    return bodies, skipped

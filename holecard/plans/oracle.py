@@ -242,6 +242,7 @@ FROM split_files""",
     }
     sql.update(completion_sql(q))
     sql.update(outcome_sql(q))
+    sql.update(method_sql(q))
     return sql
 
 
@@ -571,3 +572,115 @@ bm AS (SELECT base_built AS built, base_err AS error_count, base_fail AS failure
 """ + _summary_select("'base_modules'", "count(*)", {}, _RATES, ("1.0", "0.0"),
                       "CAST(NULL AS VARCHAR)") + "\nFROM bm",
     }
+
+
+def method_ctes(src: str = "files") -> str:
+    from holecard.functions.lexer import JAVA_KEYWORDS
+    kw = "[" + ", ".join(lit(k) for k in JAVA_KEYWORDS) + "]"
+    ident = "'^[A-Za-z_$][A-Za-z0-9_$]*$'"
+    return rf"""
+mlex AS (SELECT path, regexp_extract_all(text, {lit(TOKEN_PATTERN)}, 0) AS all_t FROM {src}),
+mtok AS (SELECT path, unnest(all_t) AS tok, unnest(range(len(all_t))) AS pos FROM mlex),
+mbad AS (
+  SELECT DISTINCT path FROM (
+    SELECT path, tok, lead(tok) OVER (PARTITION BY path ORDER BY pos) AS nxt FROM mtok) x
+  WHERE tok = chr(34) OR tok = chr(39) OR (tok = '/' AND starts_with(nxt, '*'))
+),
+mlined AS (
+  SELECT path, pos, tok,
+         coalesce(sum(length(tok) - length(replace(tok, chr(10), ''))) OVER (PARTITION BY path ORDER BY pos
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line0
+  FROM mtok WHERE path NOT IN (SELECT path FROM mbad)
+),
+mcode AS (
+  SELECT * FROM mlined
+  WHERE NOT regexp_matches(tok, '^[ \t\r\n\f]+$') AND NOT regexp_matches(tok, '^(//|/\*)')
+),
+mscan AS (
+  SELECT path, pos, tok, line0,
+    sum(CASE WHEN tok = '{{' THEN 1 WHEN tok = '}}' THEN -1 ELSE 0 END)
+      OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS depth,
+    lag(tok) OVER (PARTITION BY path ORDER BY pos) AS prev,
+    lead(tok) OVER (PARTITION BY path ORDER BY pos) AS nxt,
+    min(CASE WHEN tok IN ('{{', ';') THEN pos END)
+      OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS term_pos
+  FROM mcode
+),
+mheads AS (
+  SELECT path, tok AS method, pos, term_pos FROM mscan
+  WHERE regexp_matches(tok, {ident}) AND NOT list_contains({kw}, tok) AND nxt = '('
+    AND ((regexp_matches(prev, {ident}) AND NOT list_contains({kw}, prev))
+         OR prev IN ('void', 'boolean', 'byte', 'char', 'short', 'int', 'long', 'float', 'double', '>', ']'))
+),
+mbraces AS (
+  SELECT path, pos, tok, line0, CASE WHEN tok = '{{' THEN depth - 1 ELSE depth END AS level
+  FROM mscan WHERE tok IN ('{{', '}}')
+),
+mranked AS (
+  SELECT *, row_number() OVER (PARTITION BY path, level, tok ORDER BY pos) AS k FROM mbraces
+),
+mpairs AS (
+  SELECT o.path, o.pos AS term_pos, o.line0 AS open_line, c.line0 AS close_line
+  FROM mranked o JOIN mranked c
+    ON c.path = o.path AND c.level = o.level AND c.k = o.k AND o.tok = '{{' AND c.tok = '}}'
+),
+mfound AS (
+  SELECT h.*, p.open_line, p.close_line FROM mheads h
+  LEFT JOIN mpairs p ON p.path = h.path AND p.term_pos = h.term_pos
+),
+mbodies AS (
+  SELECT path, method, pos, CAST(open_line + 1 AS INTEGER) AS body_start_line,
+         CAST(close_line - open_line - 1 AS INTEGER) AS body_line_count
+  FROM mfound WHERE open_line IS NOT NULL AND close_line - open_line - 1 >= 1
+),
+mskipped AS (
+  SELECT path, 'all_relevant_method_bodies' AS reason FROM mbad
+  UNION SELECT path, 'all_relevant_method_bodies' AS reason FROM mfound WHERE open_line IS NULL
+)""".replace("{{", "{").replace("}}", "}")
+
+
+def method_sql(q) -> dict[str, str]:
+    k = q.METHODS_K
+    test_files = """
+mapping AS (
+  SELECT path AS old_path,
+         '""" + q.OUT_DIR + """/' || split || '/' || CAST(split_id AS VARCHAR) || '_' || file_name AS new_path
+  FROM split_files WHERE split = 'test'
+),
+test_files AS (
+  SELECT m.new_path AS path, f.text FROM files f JOIN mapping m ON m.old_path = f.path
+)"""
+    skipped = with_(FILES_CTE, SPLIT_CTE, test_files, method_ctes("test_files"), TOKENS_CTE.replace(
+        "FROM files\n)", "FROM test_files\n)", 1)) + """,
+skipped AS (
+  SELECT m.old_path, s.reason FROM (
+    SELECT path, 'these_relevant_token_indices' AS reason FROM bad
+    UNION ALL SELECT path, reason FROM mskipped) s
+  JOIN mapping m ON m.new_path = s.path
+)"""
+    return {
+        "method_bodies": with_(FILES_CTE, method_ctes()) + """
+SELECT path, method, CAST(pos AS INTEGER) AS name_pos, body_start_line + 1 AS start_line,
+       body_start_line + body_line_count AS end_line
+FROM mbodies""",
+        "method_prompts": with_(FILES_CTE, method_ctes()) + f""",
+chosen AS (
+  SELECT * FROM mbodies
+  ORDER BY md5(concat_ws('|', '0', 'methods', path, CAST(pos AS VARCHAR))), path, pos
+  LIMIT {k}
+),
+fl AS (SELECT path, regexp_extract_all(text, '{LINE_RE}', 0) AS ls FROM files)
+SELECT 'methods:' || c.path || ':' || CAST(c.pos AS VARCHAR) AS prompt_id,
+       c.path, c.path AS path_in_code_repo, c.method,
+       '<PRE> ' || array_to_string(list_slice(ls, body_start_line - least(body_start_line, 50) + 1,
+                                              body_start_line), '')
+         || ' <SUF>' || array_to_string(list_slice(ls, body_start_line + body_line_count + 1,
+                                                   body_start_line + body_line_count + 50), '')
+         || ' <MID>' AS prompt,
+       array_to_string(list_slice(ls, body_start_line + 1, body_start_line + body_line_count), '') AS label,
+       CAST(body_start_line + 1 AS INTEGER) AS start_line,
+       CAST(body_start_line + body_line_count AS INTEGER) AS end_line
+FROM chosen c JOIN fl f ON f.path = c.path""",
+        "skipped_union": skipped + "\nSELECT old_path, reason FROM skipped",
+        "skip_counts": skipped + "\nSELECT reason, count(*) AS n_skipped FROM skipped GROUP BY reason",
+    }

@@ -282,6 +282,55 @@ def baseline_summary_row(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               metrics=("CodeBLEU", "pass@k")))
 
 
+def method_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: method bodies (lines strictly between the braces) of every file."""
+    bodies, _ = cand.method_bodies(code_files(spark, sf_dir).select("path", "text"))
+    return bodies.select("path", "method", F.col("pos").cast("int").alias("name_pos"),
+                         (F.col("body_start_line") + 1).alias("start_line"),
+                         (F.col("body_start_line") + F.col("body_line_count")).alias("end_line"))
+
+
+def method_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 -> P6 -> M4: infill prompts masking whole method bodies."""
+    files = code_files(spark, sf_dir).select("path", "text")
+    bodies, _ = cand.method_bodies(files)
+    chosen = splits.sample_k(bodies, METHODS_K, SEED, "methods", ["path", "pos"])
+    rows = splits.join_back(chosen, files, ["path"], METHODS_K)
+    out = masking.mask_lines(rows, "body_start_line", "body_line_count")
+    return out.select(
+        F.concat_ws(":", F.lit("methods"), "path", F.col("pos").cast("string")).alias("prompt_id"),
+        "path", F.col("path").alias("path_in_code_repo"), "method", "prompt", "label",
+        "start_line", "end_line")
+
+
+def _test_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Test split as the prompt stage sees it: files under their new paths, and the mapping."""
+    files = code_files(spark, sf_dir).select("path", "file_name", "text")
+    mapping = splits.file_mapping(splits.split_random_exact(files.select("path", "file_name"), 0.8, SEED),
+                                  OUT_DIR).where(F.col("split") == "test")
+    test = files.join(mapping, files["path"] == mapping["old_path"], "inner") \
+        .select(F.col("new_path").alias("path"), "text")
+    return test, mapping
+
+
+def _skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    test, mapping = _test_files(spark, sf_dir)
+    _, method_skips = cand.method_bodies(test)
+    skipped = cand.token_lex_failures(test).unionByName(method_skips)
+    return splits.map_back_skipped(skipped, mapping)
+
+
+def skipped_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 + J1: skipped test files of every kind, under their original paths."""
+    return _skipped(spark, sf_dir)
+
+
+def skip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skipped records per reason."""
+    return summ.skip_counts(_skipped(spark, sf_dir)).select(
+        "reason", F.col("n_skipped").cast("long").alias("n_skipped"))
+
+
 QUERIES = {
     "corpus_scan_filter": corpus_scan_filter,
     "module_extract": module_extract,
@@ -312,4 +361,8 @@ QUERIES = {
     "summary_by_kind": summary_by_kind,
     "rates_with_moe": rates_with_moe,
     "baseline_summary_row": baseline_summary_row,
+    "method_bodies": method_bodies,
+    "method_prompts": method_prompts,
+    "skipped_union": skipped_union,
+    "skip_counts": skip_counts,
 }
