@@ -243,6 +243,7 @@ FROM split_files""",
     sql.update(completion_sql(q))
     sql.update(outcome_sql(q))
     sql.update(method_sql(q))
+    sql.update(graph_match_sql(q))
     return sql
 
 
@@ -684,3 +685,79 @@ FROM chosen c JOIN fl f ON f.path = c.path""",
         "skipped_union": skipped + "\nSELECT old_path, reason FROM skipped",
         "skip_counts": skipped + "\nSELECT reason, count(*) AS n_skipped FROM skipped GROUP BY reason",
     }
+
+
+GRAPH_CTE = """
+gnodes AS (
+  SELECT 'p' || CAST(p_partkey AS VARCHAR) AS id, 'part' AS kind, CAST(p_size AS INTEGER) AS size FROM part
+  UNION ALL
+  SELECT 's' || CAST(s_suppkey AS VARCHAR) AS id, 'supplier' AS kind, CAST(s_nationkey AS INTEGER) AS size
+  FROM supplier
+),
+gedges AS (
+  SELECT 's' || CAST(l_suppkey AS VARCHAR) AS src, 'p' || CAST(l_partkey AS VARCHAR) AS dst,
+         count(*) AS n_lines
+  FROM lineitem GROUP BY l_suppkey, l_partkey
+),
+gsym AS (SELECT src AS a, dst AS b FROM gedges UNION SELECT dst AS a, src AS b FROM gedges)"""
+
+
+def graph_match_sql(q) -> dict[str, str]:
+    sel = q.GRAPH_SELECTED
+    names = with_(FILES_CTE) + r""",
+apps AS (SELECT DISTINCT file_name AS app FROM files WHERE NOT contains(lower(file_name), 'test')),
+tests AS (
+  SELECT DISTINCT file_name AS test, regexp_replace(file_name, 'test|Test|TEST', '', 'g') AS key
+  FROM files WHERE contains(lower(file_name), 'test')
+)"""
+    lp = line_prompts_sql(q.LINES_K, q.NUM_LABEL_LINES, True, q.SEED)
+    return {
+        "test_match_pairs": names + "\nSELECT DISTINCT a.app, t.test FROM tests t JOIN apps a ON a.app = t.key",
+        "apps_without_tests": names + "\nSELECT app FROM apps WHERE app NOT IN (SELECT key FROM tests)",
+        "tests_without_apps": names + "\nSELECT DISTINCT test FROM tests WHERE key NOT IN (SELECT app FROM apps)",
+        "neighbourhood_tiers": with_(GRAPH_CTE) + f""",
+h1 AS (SELECT DISTINCT b AS id FROM gsym WHERE a = '{sel}'),
+h2 AS (SELECT DISTINCT s.b AS id FROM h1 JOIN gsym s ON s.a = h1.id),
+reached AS (
+  SELECT id, min(hop) AS hop FROM (
+    SELECT id, 0 AS hop FROM gnodes WHERE id = '{sel}'
+    UNION ALL SELECT id, 1 FROM h1 UNION ALL SELECT id, 2 FROM h2) x
+  GROUP BY id
+)
+SELECT n.id, CAST(r.hop AS INTEGER) AS hop,
+       CASE r.hop WHEN 0 THEN 'self' WHEN 1 THEN '1-hop' WHEN 2 THEN '2-hop' ELSE 'rest' END AS tier
+FROM gnodes n LEFT JOIN reached r ON r.id = n.id""",
+        "node_property_filter": with_(GRAPH_CTE) + """
+SELECT id FROM gnodes WHERE size IS NOT NULL AND size <> 0 AND CAST(size AS VARCHAR) IN ('0', '5', '10', '20')""",
+        "edge_property_filter": with_(GRAPH_CTE) + """
+SELECT DISTINCT id FROM (
+  SELECT src AS id FROM gedges WHERE n_lines <> 0 AND CAST(n_lines AS VARCHAR) IN ('2', '3')
+  UNION ALL SELECT dst FROM gedges WHERE n_lines <> 0 AND CAST(n_lines AS VARCHAR) IN ('2', '3')) x""",
+        "visible_flag": with_(GRAPH_CTE) + """,
+sel AS (
+  SELECT src AS id FROM gedges WHERE n_lines <> 0 AND CAST(n_lines AS VARCHAR) = '4'
+  UNION SELECT dst FROM gedges WHERE n_lines <> 0 AND CAST(n_lines AS VARCHAR) = '4'
+)
+SELECT n.id, (n.id IN (SELECT id FROM sel)) OR (SELECT count(*) FROM sel) = 0 AS visible FROM gnodes n""",
+        "splice_completion": f"""
+WITH lp AS ({lp}),
+{FILES_CTE.strip()},
+fl AS (SELECT path, text, regexp_extract_all(text, '{LINE_RE}', 0) AS ls FROM files),
+done AS (
+  SELECT lp.prompt_id, lp.path, lp.label, lp.start_line,
+         split_part(regexp_extract(substr(split_part(prompt, ' <SUF>', 1), 7), '[^\\n]*\\n?\\z', 0),
+                    chr(10) || chr(10) || chr(10), 1) AS completion
+  FROM lp
+),
+ed AS (
+  SELECT d.prompt_id, f.text, d.label, d.completion,
+         length(array_to_string(list_slice(f.ls, 1, d.start_line - 1), '')) AS off
+  FROM done d JOIN fl f ON f.path = d.path
+)
+SELECT prompt_id,
+       md5(substr(text, 1, off) || completion || substr(text, off + length(label) + 1)) AS edited_md5,
+       CAST(length(substr(text, 1, off) || completion || substr(text, off + length(label) + 1)) AS BIGINT)
+         AS edited_chars,
+       md5(replace(text, label, completion)) AS legacy_md5
+FROM ed""",
+    }

@@ -14,9 +14,12 @@ from holecard.operators import masking
 from holecard.operators import splits
 from holecard.operators import completions as comp
 from holecard.operators import scoring
+from holecard.operators import graph as gr
+from holecard.operators import matching as mt
 from holecard.operators import outcomes as outc
 from holecard.operators import summary as summ
 from holecard.plans import standins as si
+from holecard.functions.text import split_lines
 from holecard.plans.standins import code_files, completion_pairs, table
 
 SEED = 0
@@ -331,6 +334,71 @@ def skip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "reason", F.col("n_skipped").cast("long").alias("n_skipped"))
 
 
+def _apps_and_tests(spark: SparkSession, sf_dir: str):
+    files = code_files(spark, sf_dir).select("file_name")
+    apps = files.where(~mt.is_test_name("file_name"))
+    tests = files.where(mt.is_test_name("file_name"))
+    return mt.match_tests(apps, tests)
+
+
+def test_match_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(application file, unit-test file) pairs by name."""
+    return _apps_and_tests(spark, sf_dir)[1]
+
+
+def apps_without_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Application file names no test file maps to."""
+    return _apps_and_tests(spark, sf_dir)[0]
+
+
+def tests_without_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unit-test file names without an application file."""
+    return _apps_and_tests(spark, sf_dir)[2]
+
+
+GRAPH_SELECTED = "s0"
+
+
+def neighbourhood_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1: self / 1-hop / 2-hop / rest tiers around one supplier."""
+    nodes, edges = si.graph(spark, sf_dir)
+    return gr.neighbourhood_tiers(nodes, edges, GRAPH_SELECTED).select(
+        "id", F.col("hop").cast("int").alias("hop"), "tier")
+
+
+def node_property_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3: nodes whose size is one of the listed values (0 never matches)."""
+    nodes, _ = si.graph(spark, sf_dir)
+    return gr.nodes_with_property(nodes, "size", ["0", "5", "10", "20"])
+
+
+def edge_property_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H4: endpoints of the edges carrying 2 or 3 line items."""
+    _, edges = si.graph(spark, sf_dir)
+    return gr.edge_endpoints_with_property(edges, "n_lines", ["2", "3"])
+
+
+def visible_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2: visibility of every node after selecting the endpoints of 4-line edges."""
+    nodes, edges = si.graph(spark, sf_dir)
+    return gr.visible_flag(nodes, gr.edge_endpoints_with_property(edges, "n_lines", ["4"]))
+
+
+def splice_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: completions put back into their files, positionally and (legacy)
+    by replacing every occurrence of the label."""
+    files = code_files(spark, sf_dir).select("path", "text")
+    prompts = line_prompts(spark, sf_dir).select("prompt_id", "path", "prompt", "label", "start_line")
+    done = comp.complete_with(prompts, comp.previous_line_completer)
+    rows = splits.join_back(done, files, ["path"], LINES_K)
+    offset = F.length(F.array_join(F.slice(split_lines("text"), 1, F.col("start_line") - 1), ""))
+    edited = masking.splice("text", "label", "completion", offset)
+    legacy = masking.splice("text", "label", "completion")
+    return rows.select("prompt_id", F.md5(edited).alias("edited_md5"),
+                       F.length(edited).cast("long").alias("edited_chars"),
+                       F.md5(legacy).alias("legacy_md5"))
+
+
 QUERIES = {
     "corpus_scan_filter": corpus_scan_filter,
     "module_extract": module_extract,
@@ -365,4 +433,12 @@ QUERIES = {
     "method_prompts": method_prompts,
     "skipped_union": skipped_union,
     "skip_counts": skip_counts,
+    "test_match_pairs": test_match_pairs,
+    "apps_without_tests": apps_without_tests,
+    "tests_without_apps": tests_without_apps,
+    "neighbourhood_tiers": neighbourhood_tiers,
+    "node_property_filter": node_property_filter,
+    "edge_property_filter": edge_property_filter,
+    "visible_flag": visible_flag,
+    "splice_completion": splice_completion,
 }

@@ -145,3 +145,19 @@ def module_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = out.groupBy("module").agg(F.min_by(
         F.struct("built", "error_count", "failure_count", "failed_tests"), F.col("doc_id")).alias("b"))
     return first.select("module", "b.*")
+
+
+def graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Supplier-part graph: nodes ``(id, kind, size)`` and edges
+    ``(src, dst, n_lines)`` = distinct supplier-part pairs of ``lineitem``."""
+    parts = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"),
+        F.lit("part").alias("kind"), F.col("p_size").cast("int").alias("size"))
+    sups = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("id"),
+        F.lit("supplier").alias("kind"), F.col("s_nationkey").cast("int").alias("size"))
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
+    edges = li.groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("n_lines")).select(
+        F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("src"),
+        F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst"), "n_lines")
+    return parts.unionByName(sups), edges
