@@ -136,8 +136,11 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
         "path", "pos", "tok", "line0",
         F.sum(delta).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("depth"),
         F.lag("tok").over(w).alias("prev"), F.lead("tok").over(w).alias("nxt"),
+        # first '{' or ';' after the token: a running min in descending order
+        # (an unbounded-following frame would be recomputed for every row)
         F.min(F.when(F.col("tok").isin("{", ";"), F.col("pos"))).over(
-            w.rowsBetween(1, Window.unboundedFollowing)).alias("term_pos"),
+            Window.partitionBy("path").orderBy(F.col("pos").desc())
+            .rowsBetween(Window.unboundedPreceding, -1)).alias("term_pos"),
         (ident & ~F.array_contains(keywords, F.col("tok"))).alias("is_name"))
     prev_ident = F.col("prev").rlike(r"^[A-Za-z_$][A-Za-z0-9_$]*$") & \
         ~F.array_contains(keywords, F.col("prev"))

@@ -4,11 +4,10 @@ n-gram match (BLEU-4 with add-0.1 smoothing of empty orders), keyword-weighted
 n-gram match (recall form, brevity against length 2), the composite score, the
 null-on-failure rule, perplexity and token counts.
 
-Clipped n-gram counts are a multiset intersection.  They are computed as a
-Spark aggregation: every pair's n-grams are exploded to rows and counted per
-``(pair, n, gram)`` (partial aggregation map-side), then folded per pair.  The
-work is linear in the text; the grouping key always contains the pair key, so
-a long text is the largest unit of work and no key can be hot beyond it.
+Clipped n-gram counts are a multiset intersection.  They are computed inside
+each row: the n-grams of both texts are sorted together and one fold counts
+the runs of equal n-grams (O(n log n) per pair, no shuffle, no per-gram rows).
+A long text is the largest unit of work; no key can be hot.
 """
 
 from __future__ import annotations
@@ -45,75 +44,123 @@ def score_tokens(c) -> tuple[Column, Column]:
     return code_tokens_of(toks), lex_ok_of(toks)
 
 
-def _ngrams(toks: Column, n: int) -> Column:
-    """ARRAY<ARRAY<STRING>> of the n-grams of ``toks`` (no outer refs in lambdas)."""
-    grams = F.transform(toks, lambda t: F.array(t))
-    for k in range(2, n + 1):
+def _with_ngrams(df: DataFrame, toks: str, prefix: str) -> DataFrame:
+    """Add ``<prefix>1..4``: the n-grams of ``toks`` as strings.
+
+    Tokens of an n-gram are joined by a space.  For a fixed n this is
+    injective: a token never contains a space unless it is a quoted literal,
+    and re-tokenising the joined text gives the tokens back.  Each order is
+    built from the previous one in its own projection (referenced twice, so
+    Catalyst keeps it materialised instead of rebuilding it).
+    """
+    out = df.withColumn(f"{prefix}1", F.col(toks))
+    for k in range(2, MAX_N + 1):
         length = F.greatest(F.size(toks) - k + 1, F.lit(0))
-        grams = F.zip_with(F.slice(grams, 1, length), F.slice(toks, k, length),
-                           lambda g, t: F.concat(g, F.array(t)))
-    return grams
+        out = out.withColumn(f"{prefix}{k}", F.zip_with(
+            F.slice(f"{prefix}{k - 1}", 1, length), F.slice(toks, k, length),
+            lambda g, t: F.concat(g, F.lit(" "), t)))
+    return out
 
 
-def _tagged(toks: Column, hyp: int, ref: int) -> Column:
-    def tag(n):  # one-argument lambda: a second argument would be the index
-        return lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"),
-                                  F.lit(hyp).alias("h"), F.lit(ref).alias("r"))
-    return F.concat(*[F.transform(_ngrams(toks, n), tag(n)) for n in range(1, MAX_N + 1)])
+def _tag(arr: str, n: int, side: int) -> Column:
+    return F.transform(arr, lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"),
+                                               F.lit(side).alias("s")))
 
 
-def ngram_match_scores(pairs: DataFrame, key: list[str], label: str = "label",
-                       completion: str = "completion") -> DataFrame:
-    """C1 + C2 (+ C4 null rule) -> ``key + [ngram_match_score,
-    weighted_ngram_match_score, lex_ok]``; one row per input row.
+def _weight(t: Column) -> Column:
+    keywords = F.array(*[F.lit(k) for k in JAVA_KEYWORDS])
+    return F.when(F.array_contains(keywords, t), F.lit(KEYWORD_WEIGHT)).otherwise(F.lit(OTHER_WEIGHT))
+
+
+def _with_clipped_counts(df: DataFrame, hyp: str, ref: str) -> DataFrame:
+    """Add ``_m1.._m4`` (clipped n-gram matches) and ``_wm1`` (keyword-weighted
+    unigram matches) of each pair.
 
-    ``key`` must identify a row of ``pairs``.
+    An order whose n-grams repeat on neither side needs no counting: its
+    clipped matches are the size of the set intersection (a hash-based
+    built-in).  The orders that do repeat are tagged with order and side,
+    sorted together, and one fold with scalar state counts each run of equal
+    n-grams on both sides and adds ``min(h, r)`` when the run ends.
+    O(n log n) per pair, no shuffle.  Intermediate columns are materialised
+    in their own projections so that no expression is evaluated twice.
     """
+    out = df
+    for n in range(1, MAX_N + 1):
+        out = out.withColumn(f"_rep{n}", (F.size(F.array_distinct(f"{hyp}{n}")) < F.size(f"{hyp}{n}")) |
+                             (F.size(F.array_distinct(f"{ref}{n}")) < F.size(f"{ref}{n}")))
+    empty = F.array().cast("array<struct<n:int,g:string,s:int>>")
+    tagged = F.array_sort(F.concat(*[
+        F.when(F.col(f"_rep{n}"), F.concat(_tag(f"{hyp}{n}", n, 0), _tag(f"{ref}{n}", n, 1)))
+        .otherwise(empty) for n in range(1, MAX_N + 1)]))
+
+    def flush(st):
+        hit = F.least(st["h"], st["r"])
+        fields = {f"m{k}": st[f"m{k}"] + F.when(st["n"] == k, hit).otherwise(0)
+                  for k in range(1, MAX_N + 1)}
+        fields["wm1"] = st["wm1"] + F.when(st["n"] == 1, hit * _weight(st["g"])).otherwise(0.0)
+        return fields
+
+    def state(n, g, h, r, fields):
+        return F.struct(n.alias("n"), g.alias("g"), h.alias("h"), r.alias("r"),
+                        *[fields[f"m{k}"].alias(f"m{k}") for k in range(1, MAX_N + 1)],
+                        fields["wm1"].alias("wm1"))
+
+    def step(st, e):
+        same = (e["n"] == st["n"]) & (e["g"] == st["g"])
+        is_h, is_r = (e["s"] == 0).cast("int"), (e["s"] == 1).cast("int")
+        keep = {f"m{k}": st[f"m{k}"] for k in range(1, MAX_N + 1)}
+        keep["wm1"] = st["wm1"]
+        cont = state(st["n"], st["g"], st["h"] + is_h, st["r"] + is_r, keep)
+        new = state(e["n"], e["g"], is_h, is_r, flush(st))
+        return F.when(same, cont).otherwise(new)
+
+    zero = {f"m{k}": F.lit(0) for k in range(1, MAX_N + 1)}
+    zero["wm1"] = F.lit(0.0)
+    init = state(F.lit(0), F.lit(""), F.lit(0), F.lit(0), zero)
+    out = out.withColumn("_fold", F.aggregate(
+        tagged, init, step, lambda st: F.struct(*[v.alias(k) for k, v in flush(st).items()])))
+    for k in range(1, MAX_N + 1):
+        out = out.withColumn(f"_m{k}", F.when(F.col(f"_rep{k}"), F.col("_fold")[f"m{k}"])
+                             .otherwise(F.size(F.array_intersect(f"{hyp}{k}", f"{ref}{k}"))))
+    out = out.withColumn("_wm1", F.when(F.col("_rep1"), F.col("_fold")["wm1"]).otherwise(
+        F.aggregate(F.array_intersect(f"{hyp}1", f"{ref}1"), F.lit(0.0),
+                    lambda acc, t: acc + _weight(t))))
+    return out.drop("_fold", *[f"_rep{n}" for n in range(1, MAX_N + 1)])
+
+
+def ngram_match_scores(pairs: DataFrame, label: str = "label",
+                       completion: str = "completion") -> DataFrame:
+    """C1 + C2 (+ C4 null rule): ``pairs`` with ``ngram_match_score``,
+    ``weighted_ngram_match_score`` and ``lex_ok`` added; row-local."""
+    key = pairs.columns
     r_toks, r_ok = score_tokens(label)
     h_toks, h_ok = score_tokens(completion)
-    lexed = pairs.select(*key, r_toks.alias("_r"), h_toks.alias("_h"),
-                         (r_ok & h_ok).alias("_ok"))
-    # one marker row per pair keeps pairs without tokens (and failed ones)
-    marker = F.array(F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("g"),
-                              F.lit(0).alias("h"), F.lit(0).alias("r")))
-    grams = lexed.select(
-        *key, "_ok",
-        F.inline(F.when(F.col("_ok"), F.concat(marker, _tagged(F.col("_h"), 1, 0),
-                                               _tagged(F.col("_r"), 0, 1)))
-                 .otherwise(marker)))
-    counts = grams.groupBy(*key, "n", "g").agg(
-        F.sum("h").alias("h"), F.sum("r").alias("r"), F.min("_ok").alias("_ok"))
-    clipped = F.least("h", "r")
-    keywords = F.array(*[F.lit(k) for k in JAVA_KEYWORDS])
-    weight = F.when(F.array_contains(keywords, F.try_element_at("g", F.lit(1))), F.lit(KEYWORD_WEIGHT)) \
-        .otherwise(F.lit(OTHER_WEIGHT))
+    lexed = pairs.select(*key, r_toks.alias("_r"), h_toks.alias("_h"), (r_ok & h_ok).alias("lex_ok"))
+    grams = _with_ngrams(_with_ngrams(lexed, "_h", "_hg"), "_r", "_rg")
+    weight_sum = F.aggregate("_r", F.lit(0.0), lambda acc, t: acc + _weight(t))
+    counted = _with_clipped_counts(grams, "_hg", "_rg").select(
+        *key, "lex_ok", F.size("_h").alias("_hl"), F.size("_r").alias("_rl"),
+        *[F.col(f"_m{n}") for n in range(1, MAX_N + 1)], "_wm1", weight_sum.alias("_wr1"))
+    hl, rl = F.col("_hl").cast("double"), F.col("_rl").cast("double")
 
-    def at(n, v):
-        return F.sum(F.when(F.col("n") == n, v).otherwise(F.lit(0)))
-
-    aggs = [F.min("_ok").alias("lex_ok")]
-    for n in range(1, MAX_N + 1):
-        aggs += [at(n, clipped).alias(f"_m{n}"), at(n, F.col("h")).alias(f"_h{n}"),
-                 at(n, F.col("r")).alias(f"_r{n}")]
-    aggs += [at(1, clipped * weight).alias("_wm1"), at(1, F.col("r") * weight).alias("_wr1")]
-    per_pair = counts.groupBy(*key).agg(*aggs)
+    def order_total(length: Column, n: int) -> Column:
+        return F.greatest(length - (n - 1), F.lit(0.0))
 
     def log_p(num: Column, den: Column) -> Column:
         num = num.cast("double")
-        return F.log(F.when(num == 0, F.lit(EPSILON)).otherwise(num) /
-                     F.greatest(den.cast("double"), F.lit(1.0)))
-
-    hyp_len = F.col("_h1").cast("double")
-    ref_len = F.col("_r1").cast("double")
-    bp = F.when(hyp_len > ref_len, 1.0).when(hyp_len == 0, 0.0).otherwise(F.exp(1 - ref_len / hyp_len))
-    bleu = F.when(F.col("_m1") == 0, F.lit(0.0)).otherwise(
-        bp * F.exp(sum(0.25 * log_p(F.col(f"_m{n}"), F.col(f"_h{n}")) for n in range(1, MAX_N + 1))))
-    wbp = F.when(hyp_len > WEIGHTED_REF_LEN, 1.0).when(hyp_len == 0, 0.0) \
-        .otherwise(F.exp(1 - WEIGHTED_REF_LEN / hyp_len))
-    wlogs = [0.25 * log_p(F.col("_wm1"), F.col("_wr1"))] + \
-        [0.25 * log_p(F.col(f"_m{n}"), F.col(f"_r{n}")) for n in range(2, MAX_N + 1)]
-    weighted = F.when(F.col("_wm1") == 0, F.lit(0.0)).otherwise(wbp * F.exp(sum(wlogs)))
-    return per_pair.select(
+        return F.log(F.when(num == 0, F.lit(EPSILON)).otherwise(num) / F.greatest(den, F.lit(1.0)))
+
+    m = {n: F.col(f"_m{n}") for n in range(1, MAX_N + 1)}
+    bp = F.when(hl > rl, 1.0).when(hl == 0, 0.0).otherwise(F.exp(1 - rl / hl))
+    bleu = F.when(m[1] == 0, F.lit(0.0)).otherwise(
+        bp * F.exp(sum(0.25 * log_p(m[n], order_total(hl, n)) for n in range(1, MAX_N + 1))))
+    wbp = F.when(hl > WEIGHTED_REF_LEN, 1.0).when(hl == 0, 0.0) \
+        .otherwise(F.exp(1 - WEIGHTED_REF_LEN / hl))
+    wm1 = F.col("_wm1")
+    wlogs = [0.25 * log_p(wm1, F.col("_wr1"))] + \
+        [0.25 * log_p(m[n], order_total(rl, n)) for n in range(2, MAX_N + 1)]
+    weighted = F.when(wm1 == 0, F.lit(0.0)).otherwise(wbp * F.exp(sum(wlogs)))
+    return counted.select(
         *key,
         F.when(F.col("lex_ok"), bleu).alias("ngram_match_score"),
         F.when(F.col("lex_ok"), weighted).alias("weighted_ngram_match_score"),
@@ -131,15 +178,14 @@ def composite_score(ngram, weighted, syntax, dataflow,
     return a * col(ngram) + b * col(weighted) + c * col(syntax) + d * df_part
 
 
-def code_bleu(pairs: DataFrame, key: list[str], label: str = "label",
-              completion: str = "completion", syntax=None, dataflow=None) -> DataFrame:
+def code_bleu(pairs: DataFrame, label: str = "label", completion: str = "completion",
+              syntax=None, dataflow=None) -> DataFrame:
     """C1-C4 on a pairs table: all columns of ``pairs`` + the five scores.
 
     Syntax and data-flow matches are inputs (column names, or None for 0):
     the AST and data-flow matchers are per-row parsers and are not rebuilt.
     """
-    scores = ngram_match_scores(pairs, key, label, completion)
-    out = pairs.join(scores, key, "inner")
+    out = ngram_match_scores(pairs, label, completion)
     syn = F.col(syntax) if syntax else F.lit(0.0)
     dfl = F.col(dataflow) if dataflow else F.lit(0.0)
     ok = F.col("lex_ok")

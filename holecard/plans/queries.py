@@ -129,19 +129,19 @@ def _r6(c):
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = completion_pairs(spark, sf_dir)
     pairs = pairs.withColumn("completion", scoring.strip_eot("completion"))
-    return scoring.code_bleu(pairs, ["prompt_id"])
+    return scoring.code_bleu(pairs)
 
 
 def ngram_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1 (+C4): BLEU-4 n-gram match of every pair."""
     pairs = completion_pairs(spark, sf_dir)
-    return scoring.ngram_match_scores(pairs, ["prompt_id"]).select("prompt_id", _r6("ngram_match_score"))
+    return scoring.ngram_match_scores(pairs).select("prompt_id", _r6("ngram_match_score"))
 
 
 def weighted_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C2 (+C4): keyword-weighted n-gram match of every pair."""
     pairs = completion_pairs(spark, sf_dir)
-    return scoring.ngram_match_scores(pairs, ["prompt_id"]).select(
+    return scoring.ngram_match_scores(pairs).select(
         "prompt_id", _r6("weighted_ngram_match_score"))
 
 
