@@ -111,6 +111,14 @@ def split_holdout_per_module(files: DataFrame, seed: int = 0, key: str = "path",
         .withColumn("split", F.when(F.col("_t"), "test").otherwise("train")).drop("_t")
 
 
+def number_within_split(split_files: DataFrame, seed: int = 0, key: str = "path") -> DataFrame:
+    """1-based ``split_id`` in seeded order inside each split (exact, no
+    one-task sort: each split is ranked like :func:`exact_rank`)."""
+    parts = [exact_rank(split_files.where(F.col("split") == s), seed, key)
+             .withColumnRenamed("rank", "split_id").drop("n_total") for s in ("train", "test")]
+    return parts[0].unionByName(parts[1])
+
+
 def file_mapping(split_files: DataFrame, out_dir: str, key: str = "path",
                  name: str = "file_name") -> DataFrame:
     """P5: ``(old_path, new_path, split)``; new path = ``out/split/<id>_<name>``."""

@@ -38,6 +38,7 @@ named AS (
 ),
 files AS (
   SELECT source || '/' || lang || '/' || CAST(doc_id AS VARCHAR) || '/' || cls || '.java' AS path,
+         source || '/' || lang || '/' || CAST(doc_id AS VARCHAR) || '/' || cls || '.java' AS origin,
          cls || '.java' AS file_name,
          source AS module,
          'package ' || source || ';' || chr(10) || chr(10) || 'import java.util.' || lang || ';'
@@ -54,7 +55,7 @@ LINE_RE = r"[^\n]*\n|[^\n]+\z"
 
 LINES_CTE = rf"""
 file_lines AS (
-  SELECT path, regexp_extract_all(text, '{LINE_RE}', 0) AS ls FROM files
+  SELECT path, origin, regexp_extract_all(text, '{LINE_RE}', 0) AS ls FROM files
 ),
 lines AS (
   SELECT path, unnest(ls) AS line, unnest(range(len(ls))) AS line_idx FROM file_lines
@@ -90,20 +91,20 @@ line_cands AS (
 )"""
 
 
-def line_prompts_sql(k: int, n: int, infill: bool, seed: int = 0) -> str:
+def line_prompts_sql(k: int, n: int, infill: bool, seed: int = 0, files_cte: str = FILES_CTE) -> str:
     label = (f"array_to_string(list_slice(ls, line_idx + 1, line_idx + {n}), '')" if infill
              else "array_to_string(list_slice(ls, line_idx + 1, len(ls)), '')")
     prefix = "array_to_string(list_slice(ls, line_idx - least(line_idx, 50) + 1, line_idx), '')"
     suffix = f"array_to_string(list_slice(ls, line_idx + {n} + 1, line_idx + {n} + 50), '')"
     prompt = (f"'<PRE> ' || {prefix} || ' <SUF>' || {suffix} || ' <MID>'" if infill else prefix)
-    return with_(FILES_CTE, LINES_CTE, line_candidates_cte(n), rf"""
+    return with_(files_cte, LINES_CTE, line_candidates_cte(n), rf"""
 chosen AS (
   SELECT path, line_idx FROM line_cands
   ORDER BY md5(concat_ws('|', '{seed}', 'lines', path, CAST(line_idx AS VARCHAR))), path, line_idx
   LIMIT {k}
 )""") + rf"""
 SELECT 'lines:' || c.path || ':' || CAST(c.line_idx AS VARCHAR) AS prompt_id,
-       c.path, c.path AS path_in_code_repo,
+       c.path, f.origin AS path_in_code_repo,
        {prompt} AS prompt, {label} AS label,
        CAST(c.line_idx + 1 AS INTEGER) AS start_line, CAST(c.line_idx + {n} AS INTEGER) AS end_line
 FROM chosen c JOIN file_lines f ON f.path = c.path
@@ -143,8 +144,9 @@ token_cands AS (
 )"""
 
 
-def token_prompts_sql(k: int, n: int, seed: int = 0, above: int = 50, below: int = 50) -> str:
-    return with_(FILES_CTE, TOKENS_CTE, token_cands_cte(n), rf"""
+def token_prompts_sql(k: int, n: int, seed: int = 0, above: int = 50, below: int = 50,
+                      files_cte: str = FILES_CTE) -> str:
+    return with_(files_cte, TOKENS_CTE, token_cands_cte(n), rf"""
 chosen AS (
   SELECT path, token_idx FROM token_cands
   ORDER BY md5(concat_ws('|', '{seed}', 'tokens', path, CAST(token_idx AS VARCHAR))), path, token_idx
@@ -164,7 +166,7 @@ offs AS (
   GROUP BY cp.path, cp.token_idx, cp.last_tok
 ),
 geo AS (
-  SELECT o.path, o.token_idx, o.s, o.e, f.text,
+  SELECT o.path, o.token_idx, o.s, o.e, f.text, f.origin,
          regexp_extract_all(f.text, '{LINE_RE}', 0) AS ls,
          substr(f.text, 1, o.s) AS before,
          substr(f.text, 1, o.e - length(o.last_tok)) AS before_last
@@ -178,7 +180,7 @@ geo2 AS (
   FROM geo
 )""") + f"""
 SELECT 'tokens:' || path || ':' || CAST(token_idx AS VARCHAR) AS prompt_id,
-       path, path AS path_in_code_repo,
+       path, origin AS path_in_code_repo,
        '<PRE> ' || array_to_string(list_slice(ls, greatest(1, first_ln - {above - 1}), first_ln - 1), '')
          || partial_pre || ' <SUF>' || partial_suf
          || array_to_string(list_slice(ls, last_ln + 1, last_ln + {below - 1}), '')
@@ -244,6 +246,7 @@ FROM split_files""",
     sql.update(outcome_sql(q))
     sql.update(method_sql(q))
     sql.update(graph_match_sql(q))
+    sql.update(scorecard_sql(q))
     return sql
 
 
@@ -640,6 +643,43 @@ mskipped AS (
 )""".replace("{{", "{").replace("}}", "}")
 
 
+def method_prompts_sql(k: int, seed: int = 0, files_cte: str = FILES_CTE) -> str:
+    return with_(files_cte, method_ctes()) + f""",
+chosen AS (
+  SELECT * FROM mbodies
+  ORDER BY md5(concat_ws('|', '{seed}', 'methods', path, CAST(pos AS VARCHAR))), path, pos
+  LIMIT {k}
+),
+fl AS (SELECT path, origin, regexp_extract_all(text, '{LINE_RE}', 0) AS ls FROM files)
+SELECT 'methods:' || c.path || ':' || CAST(c.pos AS VARCHAR) AS prompt_id,
+       c.path, f.origin AS path_in_code_repo, c.method,
+       '<PRE> ' || array_to_string(list_slice(ls, body_start_line - least(body_start_line, 50) + 1,
+                                              body_start_line), '')
+         || ' <SUF>' || array_to_string(list_slice(ls, body_start_line + body_line_count + 1,
+                                                   body_start_line + body_line_count + 50), '')
+         || ' <MID>' AS prompt,
+       array_to_string(list_slice(ls, body_start_line + 1, body_start_line + body_line_count), '') AS label,
+       CAST(body_start_line + 1 AS INTEGER) AS start_line,
+       CAST(body_start_line + body_line_count AS INTEGER) AS end_line
+FROM chosen c JOIN fl f ON f.path = c.path"""
+
+
+def test_files_cte(out_dir: str) -> str:
+    """Test split of the stand-in corpus under new paths (origin = old path)."""
+    all_files = FILES_CTE.replace("\nfiles AS (", "\nall_files AS (")
+    split = SPLIT_CTE.replace("FROM files", "FROM all_files")
+    return all_files + "," + split + f""",
+test_map AS (
+  SELECT path AS old_path,
+         '{out_dir}/' || split || '/' || CAST(split_id AS VARCHAR) || '_' || file_name AS new_path
+  FROM split_files WHERE split = 'test'
+),
+files AS (
+  SELECT m.new_path AS path, f.path AS origin, f.file_name, f.module, f.text
+  FROM all_files f JOIN test_map m ON m.old_path = f.path
+)"""
+
+
 def method_sql(q) -> dict[str, str]:
     k = q.METHODS_K
     test_files = """
@@ -664,24 +704,7 @@ skipped AS (
 SELECT path, method, CAST(pos AS INTEGER) AS name_pos, body_start_line + 1 AS start_line,
        body_start_line + body_line_count AS end_line
 FROM mbodies""",
-        "method_prompts": with_(FILES_CTE, method_ctes()) + f""",
-chosen AS (
-  SELECT * FROM mbodies
-  ORDER BY md5(concat_ws('|', '0', 'methods', path, CAST(pos AS VARCHAR))), path, pos
-  LIMIT {k}
-),
-fl AS (SELECT path, regexp_extract_all(text, '{LINE_RE}', 0) AS ls FROM files)
-SELECT 'methods:' || c.path || ':' || CAST(c.pos AS VARCHAR) AS prompt_id,
-       c.path, c.path AS path_in_code_repo, c.method,
-       '<PRE> ' || array_to_string(list_slice(ls, body_start_line - least(body_start_line, 50) + 1,
-                                              body_start_line), '')
-         || ' <SUF>' || array_to_string(list_slice(ls, body_start_line + body_line_count + 1,
-                                                   body_start_line + body_line_count + 50), '')
-         || ' <MID>' AS prompt,
-       array_to_string(list_slice(ls, body_start_line + 1, body_start_line + body_line_count), '') AS label,
-       CAST(body_start_line + 1 AS INTEGER) AS start_line,
-       CAST(body_start_line + body_line_count AS INTEGER) AS end_line
-FROM chosen c JOIN fl f ON f.path = c.path""",
+        "method_prompts": method_prompts_sql(k),
         "skipped_union": skipped + "\nSELECT old_path, reason FROM skipped",
         "skip_counts": skipped + "\nSELECT reason, count(*) AS n_skipped FROM skipped GROUP BY reason",
     }
@@ -761,3 +784,44 @@ SELECT prompt_id,
        md5(replace(text, label, completion)) AS legacy_md5
 FROM ed""",
     }
+
+
+COMPLETER_SQL = (r"split_part(regexp_extract(substr(split_part(prompt, ' <SUF>', 1), 7), '[^\n]*\n?\z', 0),"
+                 " chr(10) || chr(10) || chr(10), 1)")
+
+
+def scorecard_sql(q) -> dict[str, str]:
+    tf = test_files_cte(q.OUT_DIR)
+    lp = line_prompts_sql(q.LINES_K, q.NUM_LABEL_LINES, True, q.SEED, tf)
+    tp = token_prompts_sql(q.TOKENS_K, q.NUM_LABEL_TOKENS, q.SEED, files_cte=tf)
+    mp = method_prompts_sql(q.METHODS_K, q.SEED, tf)
+    count_expr = ("CAST(len(regexp_split_to_array(replace(coalesce({c}, 'nan'), '<EOT>', ''), '"
+                  + SPLIT_RE + "')) AS DOUBLE)")
+    pairs = f"""
+lp AS ({lp}),
+tp AS ({tp}),
+mp AS ({mp}),
+prompts AS (
+  SELECT prompt_id, 'lines' AS kind, prompt, label FROM lp
+  UNION ALL SELECT prompt_id, 'tokens' AS kind, prompt, label FROM tp
+  UNION ALL SELECT prompt_id, 'methods' AS kind, prompt, label FROM mp
+),
+pairs AS (SELECT prompt_id, kind, label, {COMPLETER_SQL} AS completion FROM prompts)"""
+    model = q.SCORECARD_MODEL.replace("/", "-")
+    return {
+        "scorecard_summary": with_(pairs, score_ctes()) + f""",
+ev AS (
+  SELECT '{q.SCORECARD_RUN}_' || p.kind || '_df_{model}_output' AS rn, s.*, p.label,
+         replace(p.completion, chr(10) || ' <EOT>', '') AS completion
+  FROM scored5 s JOIN pairs p ON p.prompt_id = s.prompt_id
+)
+""" + _summary_select(
+            "rn", "count(*)",
+            {"ngram_match_score": "avg(ngram_match_score)",
+             "weighted_ngram_match_score": "avg(weighted_ngram_match_score)",
+             "syntax_match_score": "avg(syntax_match_score)",
+             "dataflow_match_score": "avg(dataflow_match_score)",
+             "label_token_count": "avg(" + count_expr.format(c="label") + ")",
+             "completion_token_count": "avg(" + count_expr.format(c="completion") + ")"},
+            None, ("avg(codebleu)", "stddev_samp(codebleu)"), _ptype("rn")) + "\nFROM ev GROUP BY rn",
+    }

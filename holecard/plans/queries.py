@@ -399,6 +399,21 @@ def splice_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.md5(legacy).alias("legacy_md5"))
 
 
+SCORECARD_RUN = "standin"
+SCORECARD_MODEL = "codellama/7b"
+
+
+def scorecard_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split -> three prompt kinds -> stand-in completions -> scores -> summary."""
+    from holecard.plans.scorecard import RunConfig, run_scorecard
+    cfg = RunConfig(run_ts=SCORECARD_RUN, seed=SEED, output_directory=OUT_DIR,
+                    lines_prompts_count=LINES_K, tokens_prompts_count=TOKENS_K,
+                    methods_prompts_count=METHODS_K, num_label_lines=NUM_LABEL_LINES,
+                    num_label_tokens=NUM_LABEL_TOKENS, inference_model=SCORECARD_MODEL)
+    res = run_scorecard(code_files(spark, sf_dir), cfg)
+    return _summary_out(res["summary"])
+
+
 QUERIES = {
     "corpus_scan_filter": corpus_scan_filter,
     "module_extract": module_extract,
@@ -441,4 +456,5 @@ QUERIES = {
     "edge_property_filter": edge_property_filter,
     "visible_flag": visible_flag,
     "splice_completion": splice_completion,
+    "scorecard_summary": scorecard_summary,
 }
