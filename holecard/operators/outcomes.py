@@ -22,7 +22,7 @@ CHUNK_LINES = 100_000   # log lines per scan segment
 
 
 def last_before(df: DataFrame, group: list[str], order: str, flags: dict[str, Column],
-                chunk: int = CHUNK_LINES) -> DataFrame:
+                chunk: int | None = None) -> DataFrame:
     """For each row, the largest ``order`` value strictly before it (within its
     group) at which each flag held -> columns ``last_<name>`` (null if none).
 
@@ -32,6 +32,7 @@ def last_before(df: DataFrame, group: list[str], order: str, flags: dict[str, Co
     small per-chunk table.  No group is ever sorted in one task.
     """
     names = list(flags)
+    chunk = chunk or CHUNK_LINES
     marked = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)).cast("long"))
     for n, c in flags.items():
         marked = marked.withColumn(f"_at_{n}", F.when(c, F.col(order)))
@@ -50,7 +51,7 @@ def last_before(df: DataFrame, group: list[str], order: str, flags: dict[str, Co
 
 
 def parse_build_logs(logs: DataFrame, build: str = "build_id", line_no: str = "line_no",
-                     line: str = "line") -> DataFrame:
+                     line: str = "line", chunk: int | None = None) -> DataFrame:
     """B1: ``(build_id, failure_count, error_count, failed_tests)``.
 
     A line equal to a block marker opens a block; inside it a line holding
@@ -61,7 +62,7 @@ def parse_build_logs(logs: DataFrame, build: str = "build_id", line_no: str = "l
     """
     l = F.col(line)
     scanned = last_before(logs.select(build, line_no, line), [build], line_no,
-                          {"open": l.isin(*BLOCK_MARKERS), "close": l.contains(COUNTS_MARK)})
+                          {"open": l.isin(*BLOCK_MARKERS), "close": l.contains(COUNTS_MARK)}, chunk)
     in_block = F.coalesce(F.col("last_open"), F.lit(-1)) > F.coalesce(F.col("last_close"), F.lit(-1))
     is_counts = in_block & l.contains(COUNTS_MARK)
     is_test = in_block & ~l.contains(COUNTS_MARK) & l.contains(TEST_MARK)
