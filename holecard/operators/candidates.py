@@ -86,9 +86,13 @@ def token_candidates(files: DataFrame, num_label_tokens: int = 1, min_tokens_bef
 
 
 def token_lex_failures(files: DataFrame) -> DataFrame:
-    """T5 (token part): files the lexer rejects -> ``(path, reason)``."""
-    return files.where(~lex_ok("text")).select(
-        "path", F.lit("these_relevant_token_indices").alias("reason"))
+    """T5 (token part): files the lexer rejects -> ``(path, reason)``.
+
+    Rows are dropped by exploding an empty array, not by a Filter, which
+    Catalyst would push into the scan stage with the tokeniser inlined.
+    """
+    return files.select("path", F.explode(F.when(
+        ~lex_ok("text"), F.array(F.lit("these_relevant_token_indices")))).alias("reason"))
 
 
 # --- fixed values: Java primitive type names (a method name may follow them) ---
@@ -96,7 +100,7 @@ PRIMITIVE_TYPES = "void boolean byte char short int long float double".split()
 
 
 def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """T4: method bodies -> ``(path, method, body_start_line, body_line_count)``
+    """T4: method bodies -> ``(path, method, pos, body_start_line, body_line_count)``
     and the skipped table ``(path, reason)``.
 
     A method header is a name token that is followed by ``(`` and preceded by
@@ -108,57 +112,86 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     k-th ``}`` at the same brace depth of a file are a pair.  The body is the
     lines strictly between the two braces; 0-based ``body_start_line``.
     One-line bodies (count < 1, Q14) are dropped.  Files that fail to lex are
-    skipped.
+    skipped.  ``pos`` is the name's position in the file's token list.
 
-    Only code tokens and newline markers cross the per-file shuffle.
+    Row-local first: headers come from each code token's neighbours, and the
+    line of every brace and ``;`` from one pass that writes a position marker
+    for them and only the newlines of everything else, then splits by line.
+    Only those few tokens reach the per-file window (brace depth, next
+    terminator) and its shuffle.
     """
     from holecard.functions.lexer import JAVA_KEYWORDS, is_code_token
 
+    keywords = F.array(*[F.lit(k) for k in JAVA_KEYWORDS])
+    ident = r"^[A-Za-z_$][A-Za-z0-9_$]*$"
+
+    def is_name(t):
+        return t.rlike(ident) & ~F.array_contains(keywords, t)
+
     lexed = files.select("path", all_tokens("text").alias("_all"))
-    # whitespace and comments shrink to their newlines; empty ones are dropped
-    # before the shuffle, positions stay those of the full token array
-    staged = lexed.select("path", lex_ok_of(F.col("_all")).alias("_ok"), F.transform(
-        "_all", lambda t: F.when(is_code_token(t), t)
-        .otherwise(F.regexp_replace(t, r"[^\n]", ""))).alias("_toks"))
-    bad = staged.where(~F.col("_ok")).select(
+    staged = lexed.select(
+        "path", lex_ok_of(F.col("_all")).alias("_ok"),
+        code_tokens_of(F.col("_all")).alias("_code"),
+        indices_where(F.col("_all"), is_code_token).alias("_cpos"),
+        F.array_join(F.transform("_all", lambda t, p: F.when(
+            t.isin("{", "}", ";"), F.concat(F.lit("\u0001"), p.cast("string"), t, F.lit("\u0002")))
+            .when(is_code_token(t), F.lit(""))
+            .otherwise(F.regexp_replace(t, r"[^\n]", ""))), "").alias("_marks"))
+    # headers: name, next code token "(", previous code token a type
+    n = F.size("_code")
+    none = F.array(F.lit(None).cast("string"))
+    nxt = F.concat(F.slice("_code", 2, F.greatest(n - 1, F.lit(0))), none)
+    prev = F.concat(none, F.slice("_code", 1, F.greatest(n - 1, F.lit(0))))
+    with_next = F.zip_with("_code", nxt, lambda c, x: F.struct(c.alias("c"), x.alias("x")))
+    names = F.zip_with(with_next, prev, lambda cx, p: F.when(
+        is_name(cx["c"]) & (cx["x"] == "(") &
+        ((p.rlike(ident) & ~F.array_contains(keywords, p)) |
+         p.isin(*PRIMITIVE_TYPES, ">", "]")), cx["c"]))
+
+    def row(pos, tok, method, line0):
+        return F.struct(pos.cast("int").alias("pos"), tok.alias("tok"),
+                        method.cast("string").alias("method"), line0.cast("int").alias("line0"))
+
+    headers = F.filter(F.zip_with(names, F.col("_cpos"), lambda name, p: F.when(
+        name.isNotNull(), row(p - 1, F.lit("H"), name, F.lit(None)))), lambda h: h.isNotNull())
+    # braces and semicolons with their 0-based line numbers
+    pattern = "\u0001([0-9]+)([{};])\u0002"
+    marks = F.flatten(F.transform(F.split("_marks", "\n"), lambda l, i: F.zip_with(
+        F.regexp_extract_all(l, F.lit(pattern), 1), F.regexp_extract_all(l, F.lit(pattern), 2),
+        lambda p, t: row(p, t, F.lit(None), i))))
+    # One generator emits everything (marks, headers, or one row for a file
+    # that does not lex), so the tokeniser runs once per file.  No Filter on
+    # the lexer flag: Catalyst would push it below the scan-side exchange and
+    # inline the tokeniser into it.
+    failed = F.array(row(F.lit(-1), F.lit("!"), F.lit(None), F.lit(None)))
+    rows = staged.select("path", F.explode(
+        F.when(F.col("_ok"), F.concat(marks, headers)).otherwise(failed)).alias("r")).select("path", "r.*")
+    bad = rows.where(F.col("tok") == "!").select(
         "path", F.lit("all_relevant_method_bodies").alias("reason"))
-    toks = staged.where(F.col("_ok")).select("path", F.posexplode("_toks").alias("pos", "tok")) \
-        .where(F.col("tok") != "")
+
     w = Window.partitionBy("path").orderBy("pos")
-    nl = F.length("tok") - F.length(F.replace("tok", F.lit("\n"), F.lit("")))
-    lined = toks.select("path", "pos", "tok", F.coalesce(
-        F.sum(nl).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("line0"))
-    code = lined.where(~F.col("tok").startswith("\n"))
     delta = F.when(F.col("tok") == "{", 1).when(F.col("tok") == "}", -1).otherwise(0)
-    ident = F.col("tok").rlike(r"^[A-Za-z_$][A-Za-z0-9_$]*$")
-    keywords = F.array(*[F.lit(k) for k in JAVA_KEYWORDS])
-    scanned = code.select(
-        "path", "pos", "tok", "line0",
+    scanned = rows.where(F.col("tok") != "!").select(
+        "*",
         F.sum(delta).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("depth"),
-        F.lag("tok").over(w).alias("prev"), F.lead("tok").over(w).alias("nxt"),
-        # first '{' or ';' after the token: a running min in descending order
+        # first '{' or ';' after the row: a running min in descending order
         # (an unbounded-following frame would be recomputed for every row)
         F.min(F.when(F.col("tok").isin("{", ";"), F.col("pos"))).over(
             Window.partitionBy("path").orderBy(F.col("pos").desc())
-            .rowsBetween(Window.unboundedPreceding, -1)).alias("term_pos"),
-        (ident & ~F.array_contains(keywords, F.col("tok"))).alias("is_name"))
-    prev_ident = F.col("prev").rlike(r"^[A-Za-z_$][A-Za-z0-9_$]*$") & \
-        ~F.array_contains(keywords, F.col("prev"))
-    headers = scanned.where(
-        F.col("is_name") & (F.col("nxt") == "(") &
-        (prev_ident | F.col("prev").isin(*PRIMITIVE_TYPES, ">", "]"))
-    ).select("path", F.col("tok").alias("method"), "pos", "term_pos")
+            .rowsBetween(Window.unboundedPreceding, -1)).alias("term_pos"))
+    heads = scanned.where(F.col("tok") == "H").select("path", "method", "pos", "term_pos")
     braces = scanned.where(F.col("tok").isin("{", "}")).select(
         "path", "pos", "tok", "line0",
         F.when(F.col("tok") == "{", F.col("depth") - 1).otherwise(F.col("depth")).alias("level"))
-    wl = Window.partitionBy("path", "level", "tok").orderBy("pos")
-    ranked = braces.withColumn("k", F.row_number().over(wl))
+    ranked = braces.withColumn(
+        "k", F.row_number().over(Window.partitionBy("path", "level", "tok").orderBy("pos")))
     opens = ranked.where(F.col("tok") == "{").select(
         "path", "level", "k", F.col("pos").alias("term_pos"), F.col("line0").alias("open_line"))
     closes = ranked.where(F.col("tok") == "}").select(
         "path", "level", "k", F.col("line0").alias("close_line"))
-    pairs = opens.join(closes, ["path", "level", "k"], "inner").select("path", "term_pos", "open_line", "close_line")
-    found = headers.join(pairs, ["path", "term_pos"], "left")
+    pairs = opens.join(closes, ["path", "level", "k"], "inner") \
+        .select("path", "term_pos", "open_line", "close_line")
+    found = heads.join(pairs, ["path", "term_pos"], "left")
     bodies = found.where(F.col("open_line").isNotNull()).select(
         "path", "method", "pos",
         (F.col("open_line") + 1).cast("int").alias("body_start_line"),
@@ -166,5 +199,4 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     ).where(F.col("body_line_count") >= 1)
     no_body = found.where(F.col("open_line").isNull()).select(
         "path", F.lit("all_relevant_method_bodies").alias("reason"))
-    skipped = bad.unionByName(no_body).distinct()
-    return bodies, skipped
+    return bodies, bad.unionByName(no_body).distinct()
