@@ -59,6 +59,14 @@ def mask_lines(df: DataFrame, idx: str = "line_idx", n=1, infill: bool = True,
     return with_lines.select("*", *[c.alias(k) for k, c in cols.items()]).drop("_lines")
 
 
+def mask_span(df: DataFrame, start: str, end: str, infill: bool = True,
+              max_lines_above: int = 50, max_lines_below: int = 50, text: str = "text") -> DataFrame:
+    """M5: mask the lines ``[start, end)`` (0-based) given explicitly, e.g. a
+    method declaration span."""
+    return mask_lines(df.withColumn("_n", F.col(end) - F.col(start)), start, "_n", infill,
+                      max_lines_above, max_lines_below, text).drop("_n")
+
+
 def mask_tokens(df: DataFrame, idx: str = "token_idx", num_label_tokens: int = 1,
                 infill: bool = True, max_lines_above: int = 50, max_lines_below: int = 50,
                 text: str = "text") -> DataFrame:

@@ -121,6 +121,16 @@ def join_outcomes(responses: DataFrame, outcomes: DataFrame, key: list[str] | No
     return responses.join(outcomes, key or ["prompt_id"], "left")
 
 
+def response_outcomes(responses: DataFrame, builds: DataFrame, root: str = "",
+                      build_key: list[str] | None = None) -> DataFrame:
+    """Per response, its module (first path component of
+    ``path_in_code_repo``) and the outcome of the build of its edited file,
+    joined by key (the build table holds one row per response build)."""
+    from holecard.operators.splits import module_of
+    with_module = responses.withColumn("module", module_of("path_in_code_repo", root))
+    return with_module.join(builds, build_key or ["prompt_id"], "left")
+
+
 def baseline_delta(responses: DataFrame, baseline: DataFrame, module: str = "module") -> DataFrame:
     """Change of each response's outcome against its module's baseline."""
     base = baseline.select(

@@ -52,6 +52,12 @@ def one_per_group(df: DataFrame, group: str, seed: int, kind: str, key: str) ->
         F.min_by(F.col(key), random_key(seed, F.lit(kind), F.col(key))).alias(key))
 
 
+def one_per_file(cands: DataFrame, seed: int, kind: str, pos: str, path: str = "path") -> DataFrame:
+    """One random candidate of every file (no index given)."""
+    return cands.groupBy(path).agg(
+        F.min_by(F.col(pos), random_key(seed, F.lit(kind), F.col(path), F.col(pos))).alias(pos))
+
+
 def module_of(path, root: str = "") -> Column:
     """First path component below ``root`` ('' for a file at the root)."""
     rel = col(path)

@@ -222,6 +222,10 @@ FROM files GROUP BY 1""",
 SELECT path, CAST(line_idx AS INTEGER) AS line_idx FROM line_cands""",
         "line_prompts": line_prompts_sql(q.LINES_K, q.NUM_LABEL_LINES, True, q.SEED),
         "prefix_only_prompts": line_prompts_sql(q.LINES_K, q.NUM_LABEL_LINES, False, q.SEED),
+        "one_candidate_per_file": with_(FILES_CTE, LINES_CTE, line_candidates_cte(q.NUM_LABEL_LINES)) + f"""
+SELECT path, CAST(arg_min(line_idx, md5(concat_ws('|', '{q.SEED}', 'line', path, CAST(line_idx AS VARCHAR))))
+                  AS INTEGER) AS line_idx
+FROM line_cands GROUP BY path""",
         "token_candidates": with_(FILES_CTE, TOKENS_CTE, token_cands_cte(q.NUM_LABEL_TOKENS)) + """
 SELECT path, CAST(token_idx AS INTEGER) AS token_idx, token FROM token_cands""",
         "token_prompts": token_prompts_sql(q.TOKENS_K, q.NUM_LABEL_TOKENS, q.SEED),

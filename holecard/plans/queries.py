@@ -78,6 +78,13 @@ def prefix_only_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_prompts(spark, sf_dir, infill=False)
 
 
+def one_candidate_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One random maskable line of every file."""
+    cands = cand.line_candidates(code_files(spark, sf_dir).select("path", "text"), NUM_LABEL_LINES)
+    return splits.one_per_file(cands, SEED, "line", "line_idx").select(
+        "path", F.col("line_idx").cast("int").alias("line_idx"))
+
+
 def token_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T6 + T3: maskable code tokens of files that lex."""
     files = code_files(spark, sf_dir)
@@ -420,6 +427,7 @@ QUERIES = {
     "line_candidates": line_candidates,
     "line_prompts": line_prompts,
     "prefix_only_prompts": prefix_only_prompts,
+    "one_candidate_per_file": one_candidate_per_file,
     "token_candidates": token_candidates,
     "token_prompts": token_prompts,
     "lex_failures": lex_failures,
