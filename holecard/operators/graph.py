@@ -64,10 +64,9 @@ def edge_endpoints_with_property(edges: DataFrame, prop: str, values: list[str])
 
 def visible_flag(nodes: DataFrame, selection: DataFrame) -> DataFrame:
     """H2/H5: ``(id, visible)``; visible iff selected, all visible when the
-    selection is empty.  The selection size is a one-row aggregate joined on
-    a constant key (a broadcast with a proven size of one row)."""
+    selection is empty.  The emptiness test is a scalar subquery (one number
+    computed once), not a join."""
     sel = selection.select("id").distinct().withColumn("_sel", F.lit(True))
-    size = selection.agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))
-    flagged = nodes.select("id").join(sel, "id", "left") \
-        .withColumn("_k", F.lit(1)).join(F.broadcast(size), "_k")
-    return flagged.select("id", (F.coalesce("_sel", F.lit(False)) | (F.col("_n") == 0)).alias("visible"))
+    n_sel = selection.select(F.count(F.lit(1))).scalar()
+    return nodes.select("id").join(sel, "id", "left").select(
+        "id", (F.coalesce("_sel", F.lit(False)) | (n_sel == 0)).alias("visible"))

@@ -155,17 +155,23 @@ def missing_baselines(catalogue: DataFrame, baselines: DataFrame, version: str,
     return catalogue.join(have, module, "left_anti")
 
 
-def pass_at_k(outcomes: DataFrame, group: list[str], k: int, passed: str = "built") -> DataFrame:
+def pass_at_k(outcomes: DataFrame, group: list[str], ks, passed: str = "built") -> DataFrame:
     """Unbiased pass@k per group: ``1 - prod_{i=n-c+1..n} (1 - k/i)``.
 
-    ``n`` samples, ``c`` passing; 1 when ``n - c < k``.  Counts are plain
-    aggregates; the product runs over at most ``c`` factors in log space.
+    ``n`` samples, ``c`` passing; 1 when ``n - c < k``.  One aggregate gives
+    the counts for every k; the product runs over at most ``c`` factors in
+    log space.
     """
+    ks = [ks] if isinstance(ks, int) else list(ks)
     agg = outcomes.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n_samples"),
         F.sum(F.col(passed).cast("int")).alias("n_passed"))
     n, c = F.col("n_samples"), F.col("n_passed")
-    log_prod = F.aggregate(F.sequence(n - c + 1, n), F.lit(0.0),
-                           lambda acc, i: acc + F.log(1 - F.lit(float(k)) / i))
-    value = F.when(n - c < k, F.lit(1.0)).when(c == 0, F.lit(0.0)).otherwise(1 - F.exp(log_prod))
-    return agg.withColumn(f"pass_at_{k}", value)
+    def add_log(k):  # two-argument merge; k is bound here, not as a lambda parameter
+        return lambda acc, i: acc + F.log(1 - F.lit(float(k)) / i)
+
+    for k in ks:
+        log_prod = F.aggregate(F.sequence(n - c + 1, n), F.lit(0.0), add_log(k))
+        value = F.when(n - c < k, F.lit(1.0)).when(c == 0, F.lit(0.0)).otherwise(1 - F.exp(log_prod))
+        agg = agg.withColumn(f"pass_at_{k}", value)
+    return agg

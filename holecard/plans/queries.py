@@ -261,10 +261,8 @@ def missing_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pass_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unbiased pass@1 and pass@5 per (module, lang) sample group."""
-    out = si.response_outcomes(spark, sf_dir)
-    p1 = outc.pass_at_k(out, ["module", "lang"], 1)
-    p5 = outc.pass_at_k(out, ["module", "lang"], 5).select("module", "lang", "pass_at_5")
-    return p1.join(p5, ["module", "lang"]).select(
+    out = outc.pass_at_k(si.response_outcomes(spark, sf_dir), ["module", "lang"], [1, 5])
+    return out.select(
         "module", "lang", F.col("n_samples").cast("long"), F.col("n_passed").cast("long"),
         _r6("pass_at_1"), _r6("pass_at_5"))
 
