@@ -73,3 +73,6 @@ def previous_line_completer(pdf: pd.DataFrame) -> pd.Series:
     prefix = pdf["prompt"].fillna("").str.split(" <SUF>", n=1, regex=False).str[0]
     prefix = prefix.str.removeprefix("<PRE> ")
     return prefix.str.extract(r"([^\n]*\n?)\Z", expand=False).fillna("")
+
+
+previous_line_completer.deterministic = True

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holecard.functions.text import col
+from holecard.session import checkpoint_stage
 
 # A top-k result with at most this many rows is broadcast when it is joined
 # back to a large table; above it the join shuffles.  The bound is the k the
@@ -84,7 +85,7 @@ def exact_rank(df: DataFrame, seed: int, key: str, num_partitions: int | None =
     ordered = keyed.repartitionByRange(n, "_rk", key).sortWithinPartitions("_rk", key) \
         .withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_pos", F.monotonically_increasing_id() - (F.col("_pid").cast("long") * (1 << 33)))
-    ordered = ordered.checkpoint(eager=True)
+    ordered = checkpoint_stage(ordered)
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid")  # one row per partition: tiny
     offsets = counts.select(

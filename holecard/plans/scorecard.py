@@ -20,6 +20,7 @@ from holecard.operators import candidates as cand
 from holecard.operators import completions as comp
 from holecard.operators import masking, scoring, splits, summary
 from holecard.operators.outcomes import join_outcomes
+from holecard.session import checkpoint_stage
 
 
 @dataclass
@@ -109,7 +110,14 @@ def completion_stage(prompts: DataFrame, cfg: RunConfig,
     if completions is not None:
         out = comp.attach_completions(prompts, completions, ["prompt_id", "sample_idx"])
     else:
-        out = comp.complete_with(prompts, completer or comp.previous_line_completer)
+        completer = completer or comp.previous_line_completer
+        out = comp.complete_with(prompts, completer)
+        # a model callable need not be deterministic (sampling): unless it says
+        # it is, the responses are written to the checkpoint folder once, so a
+        # retried downstream task never sees another completion than the one
+        # already scored
+        if not getattr(completer, "deterministic", False):
+            out = checkpoint_stage(out)
     return out.withColumn("params", comp.params_struct(cfg.params()))
 
 

@@ -68,3 +68,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path
+
+
+def checkpoint_stage(df):
+    """Write ``df`` once to the checkpoint folder and continue from there.
+
+    The rows are persisted first: a reliable checkpoint otherwise computes the
+    plan twice (once for the eager count, once more to write the files).
+    After the checkpoint is written the cache is released; later stages read
+    the checkpoint files, which also survive lost executors.
+    """
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
