@@ -47,7 +47,9 @@ files AS (
            || regexp_replace(t, '([^\n]+)',
                 '    void m() {' || chr(10) || '        // line' || chr(10) || '        \1'
                 || chr(10) || '    }', 'g')
-           || chr(10) || '}' || chr(10) AS text
+           || chr(10)
+           || (CASE WHEN contains(raw, '#') THEN '    abstract void pending();' || chr(10) ELSE '' END)
+           || '}' || chr(10) AS text
   FROM named
 )"""
 

@@ -7,7 +7,8 @@ word for word (see ``plans/oracle.py``).  Every stand-in grows with the tables.
 
 * corpus files  <- ``documents``: each document is rendered as a Java-like
   source file (package line, import line, block comment, one method per text
-  line, each with a line comment).  ``path = source/lang/doc_id/<Name>.java``,
+  line, each with a line comment; a document holding ``#`` also declares a
+  method without a body).  ``path = source/lang/doc_id/<Name>.java``,
   module = ``source``; a document whose text mentions "test" plays a unit-test
   file (``<Name>Test.java``).
 * label/completion pairs <- consecutive lines of ``documents`` and
@@ -35,6 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- fixed values: rendering rule of the stand-in corpus (mirrored in SQL) ---
 METHOD_TEMPLATE = "    void m() {\n        // line\n        $1\n    }"
+ABSTRACT_LINE = "    abstract void pending();\n"
 TEST_MARK = r"[Tt][Ee][Ss][Tt]"
 NAME_WORD = r"^[^A-Za-z]*([A-Za-z]*)"
 
@@ -47,10 +49,12 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_test = F.col("text").rlike(TEST_MARK)
     cls = F.concat(base, F.when(is_test, F.lit("Test")).otherwise(F.lit("")))
     body = F.regexp_replace(normalize_newlines("text"), r"([^\n]+)", METHOD_TEMPLATE)
+    # a document holding '#' also declares a method without a body
+    tail = F.when(F.col("text").contains("#"), F.lit(ABSTRACT_LINE)).otherwise(F.lit(""))
     text = F.concat(
         F.lit("package "), F.col("source"), F.lit(";\n\nimport java.util."), F.col("lang"),
         F.lit(";\n\n/*\n * "), cls, F.lit("\n */\npublic class "), cls, F.lit(" {\n"),
-        body, F.lit("\n}\n"))
+        body, F.lit("\n"), tail, F.lit("}\n"))
     file_name = F.concat(cls, F.lit(".java"))
     return docs.select(
         F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"), file_name).alias("path"),
