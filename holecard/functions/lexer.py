@@ -74,16 +74,16 @@ def lex_ok(text) -> Column:
 def lex_ok_of(toks: Column) -> Column:
     """:func:`lex_ok` on an already computed token array.
 
-    Lambdas here only see their own elements: an outer array referenced inside
-    a lambda body would be re-evaluated per element once Catalyst inlines it.
+    A closed comment is one token; an unclosed ``/*`` falls apart into a
+    ``/`` token directly followed by a token that starts with ``*``.  That is
+    found by one substring search on the tokens joined with U+0001: the
+    separator can only sit next to ``/`` on both sides when ``/`` is a token
+    of its own (no multi-character token ends with U+0001 or starts with
+    ``/`` followed by it).
     """
     lone_quote = F.array_contains(toks, '"') | F.array_contains(toks, "'")
-    # A closed comment is one token; an unclosed "/*" falls apart into a "/"
-    # token directly followed by a token that starts with "*".
-    nxt = F.slice(toks, 2, F.greatest(F.size(toks) - 1, F.lit(1)))
-    open_comment = F.exists(
-        F.zip_with(toks, nxt, lambda a, b: (a == F.lit("/")) & F.startswith(b, F.lit("*"))),
-        lambda hit: F.coalesce(hit, F.lit(False)))
+    joined = F.concat(F.lit("\u0001"), F.array_join(toks, "\u0001"))
+    open_comment = joined.contains("\u0001/\u0001*")
     return ~(lone_quote | open_comment)
 
 

@@ -78,9 +78,10 @@ def _with_clipped_counts(df: DataFrame, hyp: str, ref: str) -> DataFrame:
 
     An order whose n-grams repeat on neither side needs no counting: its
     clipped matches are the size of the set intersection (a hash-based
-    built-in).  The orders that do repeat are tagged with order and side,
-    sorted together, and one fold with scalar state counts each run of equal
-    n-grams on both sides and adds ``min(h, r)`` when the run ends.
+    built-in).  For an order that does repeat, the n-grams of both sides are
+    tagged with their side and sorted together, and one fold with scalar
+    state counts each run of equal n-grams on both sides and adds
+    ``min(h, r)`` when the run ends.
     O(n log n) per pair, no shuffle.  Intermediate columns are materialised
     in their own projections so that no expression is evaluated twice.
     """
@@ -88,44 +89,45 @@ def _with_clipped_counts(df: DataFrame, hyp: str, ref: str) -> DataFrame:
     for n in range(1, MAX_N + 1):
         out = out.withColumn(f"_rep{n}", (F.size(F.array_distinct(f"{hyp}{n}")) < F.size(f"{hyp}{n}")) |
                              (F.size(F.array_distinct(f"{ref}{n}")) < F.size(f"{ref}{n}")))
-    empty = F.array().cast("array<struct<n:int,g:string,s:int>>")
-    tagged = F.array_sort(F.concat(*[
-        F.when(F.col(f"_rep{n}"), F.concat(_tag(f"{hyp}{n}", n, 0), _tag(f"{ref}{n}", n, 1)))
-        .otherwise(empty) for n in range(1, MAX_N + 1)]))
-
-    def flush(st):
-        hit = F.least(st["h"], st["r"])
-        fields = {f"m{k}": st[f"m{k}"] + F.when(st["n"] == k, hit).otherwise(0)
-                  for k in range(1, MAX_N + 1)}
-        fields["wm1"] = st["wm1"] + F.when(st["n"] == 1, hit * _weight(st["g"])).otherwise(0.0)
-        return fields
-
-    def state(n, g, h, r, fields):
-        return F.struct(n.alias("n"), g.alias("g"), h.alias("h"), r.alias("r"),
-                        *[fields[f"m{k}"].alias(f"m{k}") for k in range(1, MAX_N + 1)],
-                        fields["wm1"].alias("wm1"))
-
-    def step(st, e):
-        same = (e["n"] == st["n"]) & (e["g"] == st["g"])
-        is_h, is_r = (e["s"] == 0).cast("int"), (e["s"] == 1).cast("int")
-        keep = {f"m{k}": st[f"m{k}"] for k in range(1, MAX_N + 1)}
-        keep["wm1"] = st["wm1"]
-        cont = state(st["n"], st["g"], st["h"] + is_h, st["r"] + is_r, keep)
-        new = state(e["n"], e["g"], is_h, is_r, flush(st))
-        return F.when(same, cont).otherwise(new)
-
-    zero = {f"m{k}": F.lit(0) for k in range(1, MAX_N + 1)}
-    zero["wm1"] = F.lit(0.0)
-    init = state(F.lit(0), F.lit(""), F.lit(0), F.lit(0), zero)
-    out = out.withColumn("_fold", F.aggregate(
-        tagged, init, step, lambda st: F.struct(*[v.alias(k) for k, v in flush(st).items()])))
+    def tag(arr, side):
+        return F.transform(arr, lambda g: F.struct(g.alias("g"), F.lit(side).alias("s")))
+
+    def folder(weighted: bool):
+        def run_ends(st):  # add min(h, r) of the finished run (and its weight)
+            hit = F.least(st["h"], st["r"])
+            return st["m"] + hit, (st["w"] + hit * _weight(st["g"])) if weighted else st["w"]
+
+        def step(st, e):
+            is_h, is_r = (e["s"] == 0).cast("int"), (e["s"] == 1).cast("int")
+            m, w = run_ends(st)
+            return F.when(e["g"] == st["g"], F.struct(
+                st["g"].alias("g"), (st["h"] + is_h).alias("h"), (st["r"] + is_r).alias("r"),
+                st["m"].alias("m"), st["w"].alias("w"))).otherwise(F.struct(
+                    e["g"].alias("g"), is_h.alias("h"), is_r.alias("r"), m.alias("m"), w.alias("w")))
+
+        def finish(st):
+            m, w = run_ends(st)
+            return F.struct(m.alias("m"), w.alias("w"))
+        return step, finish
+
+    init = F.struct(F.lit(None).cast("string").alias("g"), F.lit(0).alias("h"), F.lit(0).alias("r"),
+                    F.lit(0).alias("m"), F.lit(0.0).alias("w"))
+    # one fold per order whose n-grams repeat; small scalar state per step
+    for n in range(1, MAX_N + 1):
+        tagged = F.array_sort(F.concat(tag(f"{hyp}{n}", 0), tag(f"{ref}{n}", 1)))
+        step, finish = folder(weighted=n == 1)
+        out = out.withColumn(f"_fold{n}", F.when(F.col(f"_rep{n}"), F.aggregate(tagged, init, step, finish)))
+    out = out.withColumn("_fold", F.struct(
+        *[F.col(f"_fold{n}")["m"].alias(f"m{n}") for n in range(1, MAX_N + 1)],
+        F.col("_fold1")["w"].alias("wm1")))
     for k in range(1, MAX_N + 1):
         out = out.withColumn(f"_m{k}", F.when(F.col(f"_rep{k}"), F.col("_fold")[f"m{k}"])
                              .otherwise(F.size(F.array_intersect(f"{hyp}{k}", f"{ref}{k}"))))
     out = out.withColumn("_wm1", F.when(F.col("_rep1"), F.col("_fold")["wm1"]).otherwise(
         F.aggregate(F.array_intersect(f"{hyp}1", f"{ref}1"), F.lit(0.0),
                     lambda acc, t: acc + _weight(t))))
-    return out.drop("_fold", *[f"_rep{n}" for n in range(1, MAX_N + 1)])
+    return out.drop("_fold", *[f"_fold{n}" for n in range(1, MAX_N + 1)],
+                    *[f"_rep{n}" for n in range(1, MAX_N + 1)])
 
 
 def ngram_match_scores(pairs: DataFrame, label: str = "label",
