@@ -43,7 +43,8 @@ def summarize(evaluated: DataFrame, metrics=("CodeBLEU",), group: str = "result_
     ``evaluated`` holds one row per response with (as available) the five
     scores, ``label``/``completion`` and outcome columns ``built`` (BOOLEAN),
     ``error_count``, ``failure_count``.  Rates divide by all rows; averages
-    skip nulls.  ``z`` defaults to the 95 % two-sided value (fix of Q3).
+    skip nulls.  A requested metric without its input columns is null.
+    ``z`` defaults to the 95 % two-sided value (fix of Q3).
     """
     z = z_value() if z is None else z
     null = F.lit(None).cast("double")
@@ -52,7 +53,8 @@ def summarize(evaluated: DataFrame, metrics=("CodeBLEU",), group: str = "result_
         aggs.append((F.avg(c) if _has(evaluated, c) else null).alias(f"average_{c}"))
     for c, src in (("label_token_count", "label"), ("completion_token_count", "completion")):
         aggs.append((F.avg(token_count(src)) if _has(evaluated, src) else null).alias(f"average_{c}"))
-    if "pass@k" in metrics:
+    rates = "pass@k" in metrics and _has(evaluated, "built")
+    if rates:
         built = F.coalesce(F.col("built"), F.lit(False))
         aggs += [F.avg(built.cast("double")).alias("successful_build_rate"),
                  F.avg((built & (F.col("error_count") == 0)).cast("double")).alias("no_error_rate"),
@@ -66,7 +68,7 @@ def summarize(evaluated: DataFrame, metrics=("CodeBLEU",), group: str = "result_
         aggs += [null.alias("average_code_bleu"), null.alias("average_code_bleu_moe")]
     out = evaluated.groupBy(group).agg(*aggs)
     for r in RATES:
-        out = out.withColumn(f"{r}_moe", margin_of_error(r, "_n", z) if "pass@k" in metrics else null)
+        out = out.withColumn(f"{r}_moe", margin_of_error(r, "_n", z) if rates else null)
     out = out.withColumn("prompt_type", prompt_type(group))
     return out.select(F.col(group).alias("result_name"), *SUMMARY_COLUMNS[1:])
 

@@ -21,7 +21,11 @@ def spread(df: DataFrame) -> DataFrame:
     sorts before a round-robin exchange, so a retried task gets the same rows).
     """
     spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    if have >= want:
         return df
     return df.repartition(want)

@@ -105,3 +105,23 @@ def test_streaming_scores_equal_batch(spark, tmp_out):
     s.awaitTermination(120)
     summ = {r["result_name"]: r["n_responses"] for r in spark.sql("SELECT * FROM t_summary").collect()}
     assert summ == {"r1": 2, "r2": 1}
+
+
+def test_scorecard_by_module_with_outcomes(spark, tmp_out):
+    for mod in ("core", "web", "cli"):
+        _write(tmp_out, f"src/{mod}/A{mod}.java", "class A {\n" + "".join(
+            f"  int m{i}() {{\n    int v = {i};\n    return v * {i};\n  }}\n" for i in range(5)) + "}\n")
+        _write(tmp_out, f"src/{mod}/B{mod}.java", "class B {\n  int b() {\n    int q = 2;\n    return q;\n  }\n}\n")
+    files = corpus.scan_source_files(spark, os.path.join(tmp_out, "src"))
+    cfg = scorecard.RunConfig(run_ts="t1", split_strategy="by_module", lines_prompts_count=4,
+                              tokens_prompts_count=4, methods_prompts_count=4,
+                              evaluation_metrics=("CodeBLEU", "pass@k"))
+    res = scorecard.run_scorecard(files, cfg)
+    tests = res["mapping"].where(F.col("split") == "test").collect()
+    assert len(tests) == 3 and {t["old_path"].split("/")[0] for t in tests} == {"core", "web", "cli"}
+    outcomes = res["responses"].select("prompt_id", "sample_idx", F.lit(True).alias("built"),
+                                       F.lit(0).alias("error_count"), F.lit(0).alias("failure_count"))
+    res2 = scorecard.run_scorecard(files, cfg, outcomes=outcomes)
+    for r in res2["summary"].collect():
+        assert r["successful_build_rate"] == 1.0 and r["pass_at_1_rate"] == 1.0
+        assert r["successful_build_rate_moe"] == 0.0
