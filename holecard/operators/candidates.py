@@ -108,8 +108,8 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     reference (Q5), constructors are not methods.  Its body is opened by the
     first ``{`` after the name unless a ``;`` comes first (abstract or
     interface method: no body, the file is reported as skipped, Q13).  The
-    matching ``}`` is found without a per-method scan: the k-th ``{`` and the
-    k-th ``}`` at the same brace depth of a file are a pair.  The body is the
+    matching ``}`` is found without a per-method scan: at one brace depth of
+    a file the braces alternate, so the next brace at the same depth closes.  The body is the
     lines strictly between the two braces; 0-based ``body_start_line``.
     One-line bodies (count < 1, Q14) are dropped.  Files that fail to lex are
     skipped.  ``pos`` is the name's position in the file's token list.
@@ -183,13 +183,13 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     braces = scanned.where(F.col("tok").isin("{", "}")).select(
         "path", "pos", "tok", "line0",
         F.when(F.col("tok") == "{", F.col("depth") - 1).otherwise(F.col("depth")).alias("level"))
-    ranked = braces.withColumn(
-        "k", F.row_number().over(Window.partitionBy("path", "level", "tok").orderBy("pos")))
-    opens = ranked.where(F.col("tok") == "{").select(
-        "path", "level", "k", F.col("pos").alias("term_pos"), F.col("line0").alias("open_line"))
-    closes = ranked.where(F.col("tok") == "}").select(
-        "path", "level", "k", F.col("line0").alias("close_line"))
-    pairs = opens.join(closes, ["path", "level", "k"], "inner") \
+    # at one depth of a file, braces alternate "{", "}": the next brace at the
+    # same depth closes an opening one
+    wl = Window.partitionBy("path", "level").orderBy("pos")
+    pairs = braces.select(
+        "path", F.col("pos").alias("term_pos"), "tok", F.col("line0").alias("open_line"),
+        F.lead("tok").over(wl).alias("_next"), F.lead("line0").over(wl).alias("close_line")
+    ).where((F.col("tok") == "{") & (F.col("_next") == "}")) \
         .select("path", "term_pos", "open_line", "close_line")
     found = heads.join(pairs, ["path", "term_pos"], "left")
     bodies = found.where(F.col("open_line").isNotNull()).select(

@@ -626,13 +626,13 @@ mbraces AS (
   SELECT path, pos, tok, line0, CASE WHEN tok = '{{' THEN depth - 1 ELSE depth END AS level
   FROM mscan WHERE tok IN ('{{', '}}')
 ),
-mranked AS (
-  SELECT *, row_number() OVER (PARTITION BY path, level, tok ORDER BY pos) AS k FROM mbraces
-),
 mpairs AS (
-  SELECT o.path, o.pos AS term_pos, o.line0 AS open_line, c.line0 AS close_line
-  FROM mranked o JOIN mranked c
-    ON c.path = o.path AND c.level = o.level AND c.k = o.k AND o.tok = '{{' AND c.tok = '}}'
+  SELECT path, term_pos, open_line, close_line FROM (
+    SELECT path, pos AS term_pos, tok, line0 AS open_line,
+           lead(tok) OVER (PARTITION BY path, level ORDER BY pos) AS next_tok,
+           lead(line0) OVER (PARTITION BY path, level ORDER BY pos) AS close_line
+    FROM mbraces) x
+  WHERE tok = '{{' AND next_tok = '}}'
 ),
 mfound AS (
   SELECT h.*, p.open_line, p.close_line FROM mheads h
