@@ -79,3 +79,20 @@ def test_golden_prompts_have_fim_shape(spark):
         for r in df.collect():
             assert r["prompt"].startswith("<PRE> ") and r["prompt"].endswith(" <MID>")
             assert " <SUF>" in r["prompt"]
+
+
+def test_golden_prompt_invariants(spark):
+    lines = stage_tables.read_stage_csv(spark, f"{REFERENCE_RUN}/prompts/lines_df.csv").collect()
+    assert len(lines) == 10
+    for r in lines:
+        assert r["label"].count("\n") == 2
+        assert int(r["last_line_to_remove_index"]) == int(r["line_to_remove_index"]) + 1
+    methods = stage_tables.read_stage_csv(spark, f"{REFERENCE_RUN}/prompts/methods_df.csv").collect()
+    assert len(methods) == 10
+    for r in methods:
+        assert r["label"].count("\n") == int(r["end_line"]) - int(r["start_line"]) + 1
+    mapping = {r["new_path"]: r["old_path"] for r in stage_tables.read_stage_csv(
+        spark, f"{REFERENCE_RUN}/file_mappings_test.csv").collect()}
+    for name in ("lines_df", "tokens_df", "methods_df"):
+        for r in stage_tables.read_stage_csv(spark, f"{REFERENCE_RUN}/prompts/{name}.csv").collect():
+            assert mapping[r["path"]] == r["path_in_code_repo"]
