@@ -18,6 +18,13 @@ def file_lines(files: DataFrame) -> DataFrame:
     return files.select("path", F.posexplode(split_lines("text")).alias("line_idx", "line"))
 
 
+# --- fixed values: one character per surviving line, and the comment runs ---
+# O opens a block comment, C closes one, B does both, N neither.  A run that
+# starts with O lasts until the first C or B (inclusive); a lone B is a
+# one-line comment; every other line is code.
+COMMENT_RUNS = r"O[NO]*[CB]?|B|[NC]"
+
+
 def line_candidates(files: DataFrame, num_label_lines: int = 1, min_lines_above: int = 1,
                     min_lines_below: int = 1) -> DataFrame:
     """Maskable line indices per file -> ``(path, line_idx)``.
@@ -28,34 +35,32 @@ def line_candidates(files: DataFrame, num_label_lines: int = 1, min_lines_above:
     after itself); (c) keep survivors ranked in
     ``[min_lines_above + 1, count - (num_label_lines + min_lines_below))``.
 
-    Only the key, the index and two flags cross the per-file shuffle; the line
-    text stays in the scan stage.
+    Row-local, no shuffle: the comment state over the survivors is a regular
+    language, so each survivor is written as one character (see
+    ``COMMENT_RUNS``), the string is cut into runs by one regex, and the runs
+    are expanded back to one in-comment flag per survivor.
     """
     if num_label_lines + min_lines_below <= 0:
         raise ValueError("num_label_lines + min_lines_below must be positive")
-    lines = file_lines(files)
-    flags = lines.where(
-        ~F.col("line").rlike(rf"^{WS}*$") &
-        ~F.col("line").rlike(rf"^{WS}*(//|#|import|package)")
-    ).select(
-        "path", "line_idx",
-        F.col("line").rlike(rf"^{WS}*/\*").alias("opens"),
-        F.col("line").rlike(rf"\*/{WS}*$").alias("closes"),
-    )
-    w = Window.partitionBy("path").orderBy("line_idx")
-    last_open = F.max(F.when(F.col("opens"), F.col("line_idx"))).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    last_close = F.max(F.when(F.col("closes"), F.col("line_idx"))).over(
-        w.rowsBetween(Window.unboundedPreceding, -1))
-    in_comment = F.coalesce(last_open, F.lit(-1)) > F.coalesce(last_close, F.lit(-1))
-    relevant = flags.select("path", "line_idx", in_comment.alias("in_comment")) \
-        .where(~F.col("in_comment"))
-    rank = F.row_number().over(w) - 1
-    total = F.count(F.lit(1)).over(Window.partitionBy("path"))
-    return relevant.select("path", "line_idx", rank.alias("_r"), total.alias("_n")).where(
-        (F.col("_r") >= min_lines_above + 1) &
-        (F.col("_r") < F.col("_n") - (num_label_lines + min_lines_below))
-    ).select("path", "line_idx")
+
+    def kind(l):
+        opens = l.rlike(rf"^{WS}*/\*")
+        closes = l.rlike(rf"\*/{WS}*$")
+        return F.when(opens & closes, "B").when(opens, "O").when(closes, "C").otherwise("N")
+
+    keep = lambda l: ~l.rlike(rf"^{WS}*$") & ~l.rlike(rf"^{WS}*(//|#|import|package)")
+    survivors = F.filter(F.transform(split_lines("text"), lambda l, i: F.when(
+        keep(l), F.struct(i.alias("i"), kind(l).alias("k")))), lambda s: s.isNotNull())
+    staged = files.select("path", survivors.alias("_s"))
+    runs = F.regexp_extract_all(F.array_join(F.transform("_s", lambda s: s["k"]), ""),
+                                F.lit(COMMENT_RUNS), 0)
+    in_comment = F.flatten(F.transform(runs, lambda r: F.array_repeat(r.rlike("^[OB]"), F.length(r))))
+    flagged = staged.select("path", "_s", in_comment.alias("_c"))
+    relevant = F.filter(F.zip_with("_s", "_c", lambda s, c: F.when(~c, s["i"])), lambda i: i.isNotNull())
+    ranked = flagged.select("path", relevant.alias("_r"))
+    length = F.greatest(F.size("_r") - (min_lines_above + 1) - (num_label_lines + min_lines_below),
+                        F.lit(0))
+    return ranked.select("path", F.explode(F.slice("_r", min_lines_above + 2, length)).alias("line_idx"))
 
 
 def token_candidates(files: DataFrame, num_label_tokens: int = 1, min_tokens_before: int = 1,
