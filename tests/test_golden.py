@@ -1,6 +1,5 @@
 """The reference run's checked-in tables as golden data (read in place)."""
 
-import glob
 
 import pytest
 from pyspark.sql import functions as F
