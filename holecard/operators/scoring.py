@@ -135,9 +135,12 @@ def ngram_match_scores(pairs: DataFrame, label: str = "label",
     """C1 + C2 (+ C4 null rule): ``pairs`` with ``ngram_match_score``,
     ``weighted_ngram_match_score`` and ``lex_ok`` added; row-local."""
     key = pairs.columns
-    r_toks, r_ok = score_tokens(label)
-    h_toks, h_ok = score_tokens(completion)
-    lexed = pairs.select(*key, r_toks.alias("_r"), h_toks.alias("_h"), (r_ok & h_ok).alias("lex_ok"))
+    # token arrays first, in their own projection: both the code tokens and
+    # the lexer check read them, and neither may re-run the tokeniser
+    raw = pairs.select(*key, all_tokens(_strip(F.coalesce(F.col(label), F.lit("")))).alias("_ra"),
+                       all_tokens(_strip(F.coalesce(F.col(completion), F.lit("")))).alias("_ha"))
+    lexed = raw.select(*key, code_tokens_of(F.col("_ra")).alias("_r"), code_tokens_of(F.col("_ha")).alias("_h"),
+                       (lex_ok_of(F.col("_ra")) & lex_ok_of(F.col("_ha"))).alias("lex_ok"))
     grams = _with_ngrams(_with_ngrams(lexed, "_h", "_hg"), "_r", "_rg")
     weight_sum = F.aggregate("_r", F.lit(0.0), lambda acc, t: acc + _weight(t))
     counted = _with_clipped_counts(grams, "_hg", "_rg").select(
