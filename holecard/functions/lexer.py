@@ -20,10 +20,15 @@ from pyspark.sql import functions as F
 from holecard.functions.text import col
 
 # --- fixed values: token pattern (must stay as written to match results) ---
+# String and character literals are written in "unrolled" form: plain
+# characters run in a single character-class loop and only an escape starts a
+# new group iteration.  ``"(?:\\.|[^"\\])*"`` matches the same language, but
+# Java's regex engine recurses once per group iteration, so a literal a few
+# thousand characters long would overflow the task's stack.
 TOKEN_PATTERN = (
     r"//[^\n]*|/\*[\s\S]*?\*/"
-    r'|"(?:\\[\s\S]|[^"\\\n])*"'
-    r"|'(?:\\[\s\S]|[^'\\\n])*'"
+    r'|"[^"\\\n]*(?:\\[\s\S][^"\\\n]*)*"'
+    r"|'[^'\\\n]*(?:\\[\s\S][^'\\\n]*)*'"
     r"|[0-9]+(?:\.[0-9]+)?[fFlLdD]?"
     r"|[A-Za-z_$][A-Za-z0-9_$]*"
     r"|>>>=|<<=|>>=|\.\.\.|->|::|\+\+|--|&&|\|\||==|!=|<=|>=|\+=|-=|\*=|/="
