@@ -112,9 +112,10 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     a type (an identifier, a primitive type, ``>`` or ``]``) -- so, as in the
     reference (Q5), constructors are not methods.  Its body is opened by the
     first ``{`` after the name unless a ``;`` comes first (abstract or
-    interface method: no body, the file is reported as skipped, Q13).  The
-    matching ``}`` is found without a per-method scan: at one brace depth of
-    a file the braces alternate, so the next brace at the same depth closes.  The body is the
+    interface method: no body, the file is reported as skipped, Q13); a ``{``
+    belongs to the last header before it with no ``{`` or ``;`` in between.
+    The matching ``}`` is found without a per-method scan: at one brace depth
+    of a file the braces alternate, so the next brace at the same depth closes.  The body is the
     lines strictly between the two braces; 0-based ``body_start_line``.
     One-line bodies (count < 1, Q14) are dropped.  Files that fail to lex are
     skipped.  ``pos`` is the name's position in the file's token list.
@@ -175,33 +176,35 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
         "path", F.lit("all_relevant_method_bodies").alias("reason"))
 
     w = Window.partitionBy("path").orderBy("pos")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
     delta = F.when(F.col("tok") == "{", 1).when(F.col("tok") == "}", -1).otherwise(0)
+    is_term = F.col("tok").isin("{", ";")
+    # one pass in file order: brace depth, and the header a terminator closes
+    # (the last header before it with no "{" or ";" in between)
     scanned = rows.where(F.col("tok") != "!").select(
         "*",
         F.sum(delta).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("depth"),
-        # first '{' or ';' after the row: a running min in descending order
-        # (an unbounded-following frame would be recomputed for every row)
-        F.min(F.when(F.col("tok").isin("{", ";"), F.col("pos"))).over(
-            Window.partitionBy("path").orderBy(F.col("pos").desc())
-            .rowsBetween(Window.unboundedPreceding, -1)).alias("term_pos"))
-    heads = scanned.where(F.col("tok") == "H").select("path", "method", "pos", "term_pos")
-    braces = scanned.where(F.col("tok").isin("{", "}")).select(
-        "path", "pos", "tok", "line0",
-        F.when(F.col("tok") == "{", F.col("depth") - 1).otherwise(F.col("depth")).alias("level"))
+        F.last(F.when(F.col("tok") == "H", F.struct("pos", "method")), ignorenulls=True)
+        .over(before).alias("_head"),
+        F.max(F.when(is_term, F.col("pos"))).over(before).alias("_last_term"))
+    owner = F.when(is_term & (F.col("_head")["pos"] > F.coalesce("_last_term", F.lit(-1))), F.col("_head"))
+    level = F.when(F.col("tok") == "{", F.col("depth") - 1).otherwise(F.col("depth"))
     # at one depth of a file, braces alternate "{", "}": the next brace at the
     # same depth closes an opening one
     wl = Window.partitionBy("path", "level").orderBy("pos")
-    pairs = braces.select(
-        "path", F.col("pos").alias("term_pos"), "tok", F.col("line0").alias("open_line"),
-        F.lead("tok").over(wl).alias("_next"), F.lead("line0").over(wl).alias("close_line")
-    ).where((F.col("tok") == "{") & (F.col("_next") == "}")) \
-        .select("path", "term_pos", "open_line", "close_line")
-    found = heads.join(pairs, ["path", "term_pos"], "left")
-    bodies = found.where(F.col("open_line").isNotNull()).select(
-        "path", "method", "pos",
-        (F.col("open_line") + 1).cast("int").alias("body_start_line"),
-        (F.col("close_line") - F.col("open_line") - 1).cast("int").alias("body_line_count"),
+    paired = scanned.select("path", "pos", "tok", "line0", owner.alias("_owner"), level.alias("level")) \
+        .select("*", F.lead("tok").over(wl).alias("_next"), F.lead("line0").over(wl).alias("close_line"))
+    found = paired.where((F.col("tok") == "{") & F.col("_owner").isNotNull() & (F.col("_next") == "}"))
+    bodies = found.select(
+        "path", F.col("_owner")["method"].alias("method"), F.col("_owner")["pos"].alias("pos"),
+        (F.col("line0") + 1).cast("int").alias("body_start_line"),
+        (F.col("close_line") - F.col("line0") - 1).cast("int").alias("body_line_count"),
     ).where(F.col("body_line_count") >= 1)
-    no_body = found.where(F.col("open_line").isNull()).select(
+    # a file with a header that opens no body (abstract or interface method)
+    per_file = paired.groupBy("path").agg(
+        F.sum((F.col("tok") == "H").cast("int")).alias("_heads"),
+        F.sum(((F.col("tok") == "{") & F.col("_owner").isNotNull() & (F.col("_next") == "}"))
+              .cast("int")).alias("_bodies"))
+    no_body = per_file.where(F.col("_heads") > F.col("_bodies")).select(
         "path", F.lit("all_relevant_method_bodies").alias("reason"))
-    return bodies, bad.unionByName(no_body).distinct()
+    return bodies, bad.unionByName(no_body)

@@ -606,46 +606,54 @@ mcode AS (
   SELECT * FROM mlined
   WHERE NOT regexp_matches(tok, '^[ \t\r\n\f]+$') AND NOT regexp_matches(tok, '^(//|/\*)')
 ),
-mscan AS (
+mnbr AS (
   SELECT path, pos, tok, line0,
-    sum(CASE WHEN tok = '{{' THEN 1 WHEN tok = '}}' THEN -1 ELSE 0 END)
-      OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS depth,
-    lag(tok) OVER (PARTITION BY path ORDER BY pos) AS prev,
-    lead(tok) OVER (PARTITION BY path ORDER BY pos) AS nxt,
-    min(CASE WHEN tok IN ('{{', ';') THEN pos END)
-      OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS term_pos
+         lag(tok) OVER (PARTITION BY path ORDER BY pos) AS prev,
+         lead(tok) OVER (PARTITION BY path ORDER BY pos) AS nxt
   FROM mcode
 ),
-mheads AS (
-  SELECT path, tok AS method, pos, term_pos FROM mscan
+mrows AS (
+  SELECT path, pos, 'H' AS tok, CAST(NULL AS BIGINT) AS line0, tok AS method FROM mnbr
   WHERE regexp_matches(tok, {ident}) AND NOT list_contains({kw}, tok) AND nxt = '('
     AND ((regexp_matches(prev, {ident}) AND NOT list_contains({kw}, prev))
          OR prev IN ('void', 'boolean', 'byte', 'char', 'short', 'int', 'long', 'float', 'double', '>', ']'))
+  UNION ALL
+  SELECT path, pos, tok, line0, CAST(NULL AS VARCHAR) AS method FROM mcode WHERE tok IN ('{{', '}}', ';')
 ),
-mbraces AS (
-  SELECT path, pos, tok, line0, CASE WHEN tok = '{{' THEN depth - 1 ELSE depth END AS level
-  FROM mscan WHERE tok IN ('{{', '}}')
-),
-mpairs AS (
-  SELECT path, term_pos, open_line, close_line FROM (
-    SELECT path, pos AS term_pos, tok, line0 AS open_line,
-           lead(tok) OVER (PARTITION BY path, level ORDER BY pos) AS next_tok,
-           lead(line0) OVER (PARTITION BY path, level ORDER BY pos) AS close_line
-    FROM mbraces) x
-  WHERE tok = '{{' AND next_tok = '}}'
-),
-mfound AS (
-  SELECT h.*, p.open_line, p.close_line FROM mheads h
-  LEFT JOIN mpairs p ON p.path = h.path AND p.term_pos = h.term_pos
+mscan AS (
+  SELECT path, pos, tok, line0, method,
+    sum(CASE WHEN tok = '{{' THEN 1 WHEN tok = '}}' THEN -1 ELSE 0 END)
+      OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS depth,
+    max(CASE WHEN tok = 'H' THEN pos END)
+      OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS head_pos,
+    max(CASE WHEN tok IN ('{{', ';') THEN pos END)
+      OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_term
+  FROM mrows
+),
+mowned AS (
+  SELECT s.*, CASE WHEN s.tok IN ('{{', ';') AND s.head_pos > coalesce(s.last_term, -1) THEN s.head_pos END
+           AS owner_pos,
+         CASE WHEN s.tok = '{{' THEN s.depth - 1 ELSE s.depth END AS level
+  FROM mscan s
+),
+mpaired AS (
+  SELECT o.*, h.method AS owner_method,
+         lead(o.tok) OVER (PARTITION BY o.path, o.level ORDER BY o.pos) AS next_tok,
+         lead(o.line0) OVER (PARTITION BY o.path, o.level ORDER BY o.pos) AS close_line
+  FROM mowned o LEFT JOIN mrows h ON h.path = o.path AND h.pos = o.owner_pos AND h.tok = 'H'
 ),
 mbodies AS (
-  SELECT path, method, pos, CAST(open_line + 1 AS INTEGER) AS body_start_line,
-         CAST(close_line - open_line - 1 AS INTEGER) AS body_line_count
-  FROM mfound WHERE open_line IS NOT NULL AND close_line - open_line - 1 >= 1
+  SELECT path, owner_method AS method, owner_pos AS pos, CAST(line0 + 1 AS INTEGER) AS body_start_line,
+         CAST(close_line - line0 - 1 AS INTEGER) AS body_line_count
+  FROM mpaired
+  WHERE tok = '{{' AND owner_pos IS NOT NULL AND next_tok = '}}' AND close_line - line0 - 1 >= 1
 ),
 mskipped AS (
   SELECT path, 'all_relevant_method_bodies' AS reason FROM mbad
-  UNION SELECT path, 'all_relevant_method_bodies' AS reason FROM mfound WHERE open_line IS NULL
+  UNION ALL
+  SELECT path, 'all_relevant_method_bodies' AS reason FROM mpaired GROUP BY path
+  HAVING sum(CASE WHEN tok = 'H' THEN 1 ELSE 0 END)
+         > sum(CASE WHEN tok = '{{' AND owner_pos IS NOT NULL AND next_tok = '}}' THEN 1 ELSE 0 END)
 )""".replace("{{", "{").replace("}}", "}")
 
 
