@@ -24,15 +24,24 @@ def random_key(seed: int, *parts) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[col(p).cast("string") for p in parts]))
 
 
+TOPK_ROWS = 100_000  # top-k merged in one task up to this k; ranked in parallel beyond
+
+
 def sample_k(df: DataFrame, k: int, seed: int, kind: str, keys: list[str]) -> DataFrame:
     """``k`` rows drawn without replacement (all rows when there are fewer).
 
-    ``orderBy(key).limit(k)`` plans as TakeOrderedAndProject: every partition
-    keeps its own k best and only those are merged, so nothing but k rows per
-    partition ever moves.
+    Up to ``TOPK_ROWS``, ``orderBy(key).limit(k)`` plans as
+    TakeOrderedAndProject: every partition keeps its own k best and only those
+    are merged.  A larger k would make that merge one big task, so the rows
+    are ranked instead with :func:`exact_rank` (range partitions plus
+    per-partition offsets) and the first k are kept.  Both give the same rows.
     """
     order = random_key(seed, F.lit(kind), *keys)
-    return df.withColumn("_rk", order).orderBy("_rk", *keys).limit(k).drop("_rk")
+    if k <= TOPK_ROWS:
+        return df.withColumn("_rk", order).orderBy("_rk", *keys).limit(k).drop("_rk")
+    ranked = exact_rank(df.withColumn("_sk", F.to_json(F.struct(*keys))), seed, "_sk",
+                        key_expr=order)
+    return ranked.where(F.col("rank") <= k).drop("rank", "n_total", "_sk")
 
 
 def join_back(chosen: DataFrame, big: DataFrame, on: list[str], bound_rows: int) -> DataFrame:
@@ -69,7 +78,8 @@ def module_of(path, root: str = "") -> Column:
     return F.when(F.instr(rel, "/") > 0, F.substring_index(rel, "/", 1)).otherwise(F.lit(""))
 
 
-def exact_rank(df: DataFrame, seed: int, key: str, num_partitions: int | None = None) -> DataFrame:
+def exact_rank(df: DataFrame, seed: int, key: str, num_partitions: int | None = None,
+               key_expr: Column | None = None) -> DataFrame:
     """1-based rank of every row in seeded random order, without one-task sorts.
 
     Range-partition by the random key and sort inside partitions; number rows
@@ -77,11 +87,12 @@ def exact_rank(df: DataFrame, seed: int, key: str, num_partitions: int | None =
     sorted frame is checkpointed (reliable storage named by
     ``spark.checkpoint.dir``) so partition numbers stay fixed if executors are
     lost.  The per-partition count table has one row per partition and is
-    broadcast.  Adds ``rank`` and ``n_total``.
+    broadcast.  Adds ``rank`` and ``n_total``.  ``key_expr`` replaces the
+    default random key; ``key`` then only breaks ties.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.withColumn("_rk", random_key(seed, F.col(key)))
+    keyed = df.withColumn("_rk", random_key(seed, F.col(key)) if key_expr is None else key_expr)
     ordered = keyed.repartitionByRange(n, "_rk", key).sortWithinPartitions("_rk", key) \
         .withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_pos", F.monotonically_increasing_id() - (F.col("_pid").cast("long") * (1 << 33)))
