@@ -4,7 +4,8 @@ Running builds is not part of the library; build logs, exit codes and module
 build files enter as tables.  ``logs(build_id, line_no, line)`` holds one row
 per log line, so a single build may be arbitrarily long: the in-block state of
 B1 is computed as a segmented scan (per-chunk summaries, a scan over chunks,
-then a scan inside each bounded chunk), never by sorting one build in one task.
+then a scan inside each bounded chunk), never by sorting one build in one task,
+and failed-test names stay a long table instead of a per-build list.
 """
 
 from __future__ import annotations
@@ -50,47 +51,73 @@ def last_before(df: DataFrame, group: list[str], order: str, flags: dict[str, Co
     return out.drop("_chunk", *[f"_{p}_{n}" for n in names for p in ("at", "in", "carry")])
 
 
-def parse_build_logs(logs: DataFrame, build: str = "build_id", line_no: str = "line_no",
-                     line: str = "line", chunk: int | None = None) -> DataFrame:
-    """B1: ``(build_id, failure_count, error_count, failed_tests)``.
-
-    A line equal to a block marker opens a block; inside it a line holding
-    ``[ERROR] Tests run:`` gives the counts and closes the block, and a line
-    holding ``[ERROR]   `` names a failed test (4th space-separated field).
-    The last counts line wins (null when there is none); names accumulate in
-    log order.
-    """
+def _log_hits(logs: DataFrame, build: str, line_no: str, line: str, chunk: int | None) -> DataFrame:
+    """Counts lines and failed-test lines inside failure blocks."""
     l = F.col(line)
     scanned = last_before(logs.select(build, line_no, line), [build], line_no,
                           {"open": l.isin(*BLOCK_MARKERS), "close": l.contains(COUNTS_MARK)}, chunk)
     in_block = F.coalesce(F.col("last_open"), F.lit(-1)) > F.coalesce(F.col("last_close"), F.lit(-1))
     is_counts = in_block & l.contains(COUNTS_MARK)
     is_test = in_block & ~l.contains(COUNTS_MARK) & l.contains(TEST_MARK)
-    hits = scanned.where(is_counts | is_test).select(
+    return scanned.where(is_counts | is_test).select(
         build, line_no, is_counts.alias("_counts"),
         F.regexp_extract(l, r"Failures: (\d+)", 1).alias("_f"),
         F.regexp_extract(l, r"Errors: (\d+)", 1).alias("_e"),
         F.try_element_at(F.split(l, " "), F.lit(4)).alias("_test"))
-    return hits.groupBy(build).agg(
-        F.max_by(F.when(F.col("_counts"), F.col("_f").try_cast("int")),
-                 F.when(F.col("_counts"), F.col(line_no))).alias("failure_count"),
-        F.max_by(F.when(F.col("_counts"), F.col("_e").try_cast("int")),
-                 F.when(F.col("_counts"), F.col(line_no))).alias("error_count"),
-        F.transform(F.array_sort(F.collect_list(
-            F.when(~F.col("_counts"), F.struct(F.col(line_no).alias("k"), F.col("_test").alias("t"))))),
-            lambda s: s["t"]).alias("failed_tests"))
+
+
+def failed_test_lines(logs: DataFrame, build: str = "build_id", line_no: str = "line_no",
+                      line: str = "line", chunk: int | None = None) -> DataFrame:
+    """B1 (names, long form): ``(build_id, line_no, test)``, one row per
+    failed-test line in a failure block (4th space-separated field)."""
+    hits = _log_hits(logs, build, line_no, line, chunk)
+    return hits.where(~F.col("_counts")).select(build, line_no, F.col("_test").alias("test"))
+
+
+def parse_build_logs(logs: DataFrame, build: str = "build_id", line_no: str = "line_no",
+                     line: str = "line", chunk: int | None = None,
+                     with_names: bool = False) -> DataFrame:
+    """B1: ``(build_id, failure_count, error_count, n_failed_tests, first_failed_test)``.
+
+    A line equal to a block marker opens a block; inside it a line holding
+    ``[ERROR] Tests run:`` gives the counts and closes the block, and a line
+    holding ``[ERROR]   `` names a failed test.  The last counts line wins
+    (null when there is none).  All outputs are map-side combinable
+    aggregates; the names themselves stay a long table
+    (:func:`failed_test_lines`).  ``with_names=True`` adds the reference's
+    ``failed_tests`` list per build (a ``collect_list``: only for builds
+    whose logs are known to be bounded).
+    """
+    hits = _log_hits(logs, build, line_no, line, chunk)
+    counts = F.col("_counts")
+    aggs = [
+        F.max_by(F.when(counts, F.col("_f").try_cast("int")), F.when(counts, F.col(line_no)))
+        .alias("failure_count"),
+        F.max_by(F.when(counts, F.col("_e").try_cast("int")), F.when(counts, F.col(line_no)))
+        .alias("error_count"),
+        F.sum((~counts).cast("int")).alias("n_failed_tests"),
+        F.min_by(F.when(~counts, F.col("_test")), F.when(~counts, F.col(line_no))).alias("first_failed_test"),
+    ]
+    if with_names:
+        aggs.append(F.transform(F.array_sort(F.collect_list(
+            F.when(~counts, F.struct(F.col(line_no).alias("k"), F.col("_test").alias("t"))))),
+            lambda x: x["t"]).alias("failed_tests"))
+    return hits.groupBy(build).agg(*aggs)
 
 
 def build_outcomes(builds: DataFrame, parsed: DataFrame, build: str = "build_id",
                    exit_code: str = "exit_code") -> DataFrame:
-    """B2: one outcome row per build: ``built`` (exit code 0), counts
-    (default 0) and failed tests (default empty)."""
-    return builds.join(parsed, build, "left").select(
+    """B2: one outcome row per build: ``built`` (exit code 0) and counts
+    (default 0; failed-test lists, when asked for, default to empty)."""
+    out = builds.join(parsed, build, "left").select(
         "*",
         (F.col(exit_code) == 0).alias("built"),
     ).withColumn("failure_count", F.coalesce("failure_count", F.lit(0))) \
         .withColumn("error_count", F.coalesce("error_count", F.lit(0))) \
-        .withColumn("failed_tests", F.coalesce("failed_tests", F.array().cast("array<string>")))
+        .withColumn("n_failed_tests", F.coalesce("n_failed_tests", F.lit(0)))
+    if "failed_tests" in parsed.columns:
+        out = out.withColumn("failed_tests", F.coalesce("failed_tests", F.array().cast("array<string>")))
+    return out
 
 
 # --- fixed values: pattern of a module entry in a build file ---

@@ -466,7 +466,8 @@ parsed AS (
          FILTER (WHERE is_counts) AS BIGINT) AS failure_count,
     CAST(arg_max(TRY_CAST(regexp_extract(line, 'Errors: (\d+)', 1) AS INTEGER), line_no)
          FILTER (WHERE is_counts) AS BIGINT) AS error_count,
-    list(string_split(line, ' ')[4] ORDER BY line_no) FILTER (WHERE NOT is_counts) AS tests
+    count(*) FILTER (WHERE NOT is_counts) AS n_tests,
+    arg_min(string_split(line, ' ')[4], line_no) FILTER (WHERE NOT is_counts) AS first_test
   FROM log_hits GROUP BY build_id
 ),
 builds AS (
@@ -531,13 +532,15 @@ def outcome_sql(q) -> dict[str, str]:
     count_expr = "CAST(len(regexp_split_to_array(replace(coalesce({c}, 'nan'), '<EOT>', ''), '" + SPLIT_RE + "')) AS DOUBLE)"
     return {
         "build_log_parse": with_(LOGS_CTE) + """
-SELECT build_id, failure_count, error_count, CAST(coalesce(len(tests), 0) AS BIGINT) AS n_failed_tests,
-       coalesce(array_to_string(tests, ','), '') AS failed_tests
+SELECT build_id, failure_count, error_count, CAST(n_tests AS BIGINT) AS n_failed_tests,
+       first_test AS first_failed_test
 FROM parsed""",
+        "failed_tests": with_(LOGS_CTE) + """
+SELECT build_id, line_no, string_split(line, ' ')[4] AS test FROM log_hits WHERE NOT is_counts""",
         "build_outcomes": with_(LOGS_CTE) + """
 SELECT b.build_id, b.exit_code = 0 AS built, CAST(coalesce(p.failure_count, 0) AS BIGINT) AS failure_count,
        CAST(coalesce(p.error_count, 0) AS BIGINT) AS error_count,
-       CAST(coalesce(len(p.tests), 0) AS BIGINT) AS n_failed_tests
+       CAST(coalesce(p.n_tests, 0) AS BIGINT) AS n_failed_tests
 FROM builds b LEFT JOIN parsed p ON p.build_id = b.build_id""",
         "module_catalogue": """
 WITH items AS (

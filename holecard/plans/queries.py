@@ -211,13 +211,17 @@ def batch_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B1: failure/error counts and failed test names per build log."""
+    """B1: failure/error counts, number and first of the failed tests per build."""
     parsed = outc.parse_build_logs(si.build_logs(spark, sf_dir))
     return parsed.select(
         "build_id", F.col("failure_count").cast("long").alias("failure_count"),
         F.col("error_count").cast("long").alias("error_count"),
-        F.size("failed_tests").cast("long").alias("n_failed_tests"),
-        F.array_join("failed_tests", ",").alias("failed_tests"))
+        F.col("n_failed_tests").cast("long").alias("n_failed_tests"), "first_failed_test")
+
+
+def failed_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1 (long form): every failed-test line of every build log."""
+    return outc.failed_test_lines(si.build_logs(spark, sf_dir))
 
 
 def build_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +230,7 @@ def build_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = outc.build_outcomes(si.builds(spark, sf_dir), parsed)
     return out.select("build_id", "built", F.col("failure_count").cast("long").alias("failure_count"),
                       F.col("error_count").cast("long").alias("error_count"),
-                      F.size("failed_tests").cast("long").alias("n_failed_tests"))
+                      F.col("n_failed_tests").cast("long").alias("n_failed_tests"))
 
 
 # --- fixed values: stand-in module block in pages ---
@@ -442,6 +446,7 @@ QUERIES = {
     "samples_expand": samples_expand,
     "batch_completion": batch_completion,
     "build_log_parse": build_log_parse,
+    "failed_tests": failed_tests,
     "build_outcomes": build_outcomes,
     "module_catalogue": module_catalogue,
     "baseline_delta": baseline_delta,
