@@ -76,9 +76,9 @@ def _with_clipped_counts(df: DataFrame, hyp: str, ref: str) -> DataFrame:
     """Add ``_m1.._m4`` (clipped n-gram matches) and ``_wm1`` (keyword-weighted
     unigram matches) of each pair.
 
-    An order whose n-grams repeat on neither side needs no counting: its
-    clipped matches are the size of the set intersection (a hash-based
-    built-in).  For an order that does repeat, the n-grams of both sides are
+    An order where at least one side has no repeated n-gram needs no
+    counting: its clipped matches are the size of the set intersection (a
+    hash-based built-in).  For an order that does repeat, the n-grams of both sides are
     tagged with their side and sorted together, and one fold with scalar
     state counts each run of equal n-grams on both sides and adds
     ``min(h, r)`` when the run ends.
@@ -87,7 +87,9 @@ def _with_clipped_counts(df: DataFrame, hyp: str, ref: str) -> DataFrame:
     """
     out = df
     for n in range(1, MAX_N + 1):
-        out = out.withColumn(f"_rep{n}", (F.size(F.array_distinct(f"{hyp}{n}")) < F.size(f"{hyp}{n}")) |
+        # counting is needed only when both sides repeat an n-gram: if one side
+        # has every n-gram once, min(h, r) is 1 exactly for the shared ones
+        out = out.withColumn(f"_rep{n}", (F.size(F.array_distinct(f"{hyp}{n}")) < F.size(f"{hyp}{n}")) &
                              (F.size(F.array_distinct(f"{ref}{n}")) < F.size(f"{ref}{n}")))
     def tag(arr, side):
         return F.transform(arr, lambda g: F.struct(g.alias("g"), F.lit(side).alias("s")))
