@@ -9,17 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from holecard.functions.text import split_lines
 from holecard.operators import candidates as cand
-from holecard.operators import masking
-from holecard.operators import splits
 from holecard.operators import completions as comp
-from holecard.operators import scoring
 from holecard.operators import graph as gr
+from holecard.operators import masking
 from holecard.operators import matching as mt
 from holecard.operators import outcomes as outc
+from holecard.operators import scoring, splits
 from holecard.operators import summary as summ
+from holecard.plans import scorecard as sc
 from holecard.plans import standins as si
-from holecard.functions.text import split_lines
 from holecard.plans.standins import code_files, completion_pairs, table
 
 SEED = 0
@@ -318,11 +318,8 @@ def method_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _test_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Test split as the prompt stage sees it: files under their new paths, and the mapping."""
     files = code_files(spark, sf_dir).select("path", "file_name", "text")
-    mapping = splits.file_mapping(splits.split_random_exact(files.select("path", "file_name"), 0.8, SEED),
-                                  OUT_DIR).where(F.col("split") == "test")
-    test = files.join(mapping, files["path"] == mapping["old_path"], "inner") \
-        .select(F.col("new_path").alias("path"), "text")
-    return test, mapping
+    mapping = sc.split_stage(files, sc.RunConfig(seed=SEED, output_directory=OUT_DIR))
+    return sc.test_files(files, mapping).select("path", "text"), mapping
 
 
 def _skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -414,12 +411,11 @@ SCORECARD_MODEL = "codellama/7b"
 
 def scorecard_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split -> three prompt kinds -> stand-in completions -> scores -> summary."""
-    from holecard.plans.scorecard import RunConfig, run_scorecard
-    cfg = RunConfig(run_ts=SCORECARD_RUN, seed=SEED, output_directory=OUT_DIR,
+    cfg = sc.RunConfig(run_ts=SCORECARD_RUN, seed=SEED, output_directory=OUT_DIR,
                     lines_prompts_count=LINES_K, tokens_prompts_count=TOKENS_K,
                     methods_prompts_count=METHODS_K, num_label_lines=NUM_LABEL_LINES,
                     num_label_tokens=NUM_LABEL_TOKENS, inference_model=SCORECARD_MODEL)
-    res = run_scorecard(code_files(spark, sf_dir), cfg)
+    res = sc.run_scorecard(code_files(spark, sf_dir), cfg)
     return _summary_out(res["summary"])
 
 
