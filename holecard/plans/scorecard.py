@@ -156,3 +156,24 @@ def run_scorecard(files: DataFrame, cfg: RunConfig | None = None,
     summary_df = analysis_stage(evaluated, cfg, modules)
     return {"config": asdict(cfg), "mapping": mapping, "prompts": prompts, "skipped": skipped,
             "responses": responses, "evaluated": evaluated, "summary": summary_df}
+
+
+STAGE_TABLES = ("mapping", "prompts", "skipped", "responses", "evaluated", "summary")
+
+
+def write_run(spark, result: dict, out_dir: str, fmt: str = "parquet") -> str:
+    """Write every stage table of a run under ``<out_dir>/<run_ts>/`` (restart
+    points, as the reference hands stages over by folder) and the run
+    configuration as a JSON sidecar.  ``fmt`` is ``parquet`` or ``csv``."""
+    from holecard.sources import stage_tables
+    run_dir = f"{out_dir.rstrip('/')}/{result['config']['run_ts']}"
+    for name in STAGE_TABLES:
+        df = result[name]
+        if "params" in df.columns:  # struct column: flatten for CSV, keep for parquet
+            df = df.select("*", "params.*").drop("params") if fmt == "csv" else df
+        if fmt == "csv":
+            stage_tables.write_stage_csv(df, f"{run_dir}/{name}")
+        else:
+            df.write.mode("overwrite").parquet(f"{run_dir}/{name}")
+    stage_tables.write_sidecar(spark, result["config"], f"{run_dir}/config")
+    return run_dir

@@ -125,3 +125,20 @@ def test_scorecard_by_module_with_outcomes(spark, tmp_out):
     for r in res2["summary"].collect():
         assert r["successful_build_rate"] == 1.0 and r["pass_at_1_rate"] == 1.0
         assert r["successful_build_rate_moe"] == 0.0
+
+
+def test_command_line_run(tmp_out):
+    import subprocess
+    import sys
+    _write(tmp_out, "cb/core/A.java", "class A {\n" + "".join(
+        f"  int m{i}() {{\n    int v = {i};\n    return v + {i};\n  }}\n" for i in range(12)) + "}\n")
+    _write(tmp_out, "cb/web/W.java", "class W {\n" + "".join(
+        f"  void w{i}() {{\n    call({i});\n    done();\n  }}\n" for i in range(12)) + "}\n")
+    out = os.path.join(tmp_out, "runs")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    proc = subprocess.run([sys.executable, "-m", "holecard", "--code-base", os.path.join(tmp_out, "cb"),
+                           "--out", out, "--master", "local[2]", "--train-ratio", "0.5",
+                           "--format", "csv"], cwd=root, capture_output=True, text=True, timeout=600)
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    run_dir = proc.stdout.strip().splitlines()[-1]
+    assert sorted(os.listdir(run_dir)) == sorted(list(scorecard.STAGE_TABLES) + ["config"])
