@@ -177,3 +177,32 @@ def write_run(spark, result: dict, out_dir: str, fmt: str = "parquet") -> str:
             df.write.mode("overwrite").parquet(f"{run_dir}/{name}")
     stage_tables.write_sidecar(spark, result["config"], f"{run_dir}/config")
     return run_dir
+
+
+STEPS = ("split", "prompts", "completions", "evaluate", "analyze")
+_STEP_INPUT = {"prompts": "mapping", "completions": "prompts", "evaluate": "responses",
+               "analyze": "evaluated"}
+
+
+def resume_scorecard(spark, run_dir: str, files: DataFrame | None, cfg: RunConfig,
+                     from_step: str, completer: Callable | None = None,
+                     completions: DataFrame | None = None, outcomes: DataFrame | None = None,
+                     modules: DataFrame | None = None) -> dict:
+    """Run the steps from ``from_step`` on, reading the previous step's table
+    from a folder written by :func:`write_run` (parquet)."""
+    if from_step not in STEPS:
+        raise ValueError(f"unknown step {from_step!r}; one of {STEPS}")
+    if from_step == "split":
+        return run_scorecard(files, cfg, completer, completions, outcomes, modules)
+    res = {"config": asdict(cfg)}
+    res[_STEP_INPUT[from_step]] = spark.read.parquet(f"{run_dir}/{_STEP_INPUT[from_step]}")
+    if from_step == "prompts":
+        tests = test_files(files, res["mapping"])
+        res["prompts"], skipped = prompt_stage(tests, cfg)
+        res["skipped"] = splits.map_back_skipped(skipped, res["mapping"])
+    if from_step in ("prompts", "completions"):
+        res["responses"] = completion_stage(res["prompts"], cfg, completer, completions)
+    if from_step in ("prompts", "completions", "evaluate"):
+        res["evaluated"] = evaluation_stage(res["responses"], cfg, outcomes)
+    res["summary"] = analysis_stage(res["evaluated"], cfg, modules)
+    return res

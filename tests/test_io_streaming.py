@@ -142,3 +142,20 @@ def test_command_line_run(tmp_out):
     assert proc.returncode == 0, proc.stderr[-2000:]
     run_dir = proc.stdout.strip().splitlines()[-1]
     assert sorted(os.listdir(run_dir)) == sorted(list(scorecard.STAGE_TABLES) + ["config"])
+
+
+def test_resume_from_analysis(spark, tmp_out):
+    _write(tmp_out, "src/core/A.java", "class A {\n" + "".join(
+        f"  int m{i}() {{\n    int v = {i};\n    return v + {i};\n  }}\n" for i in range(20)) + "}\n")
+    _write(tmp_out, "src/web/B.java", "class B {\n" + "".join(
+        f"  int b{i}() {{\n    int w = {i};\n    return w;\n  }}\n" for i in range(20)) + "}\n")
+    files = corpus.scan_source_files(spark, os.path.join(tmp_out, "src"))
+    cfg = scorecard.RunConfig(run_ts="r9", train_ratio=0.5, lines_prompts_count=5,
+                              tokens_prompts_count=5, methods_prompts_count=5)
+    res = scorecard.run_scorecard(files, cfg)
+    run_dir = scorecard.write_run(spark, res, os.path.join(tmp_out, "runs"))
+    again = scorecard.resume_scorecard(spark, run_dir, None, cfg, "analyze")
+    assert sorted(map(tuple, again["summary"].collect()), key=repr) == \
+        sorted(map(tuple, res["summary"].collect()), key=repr)
+    redo = scorecard.resume_scorecard(spark, run_dir, files, cfg, "completions")
+    assert redo["summary"].count() == res["summary"].count()
