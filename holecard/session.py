@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -42,7 +43,7 @@ def build_session(master: str | None = None, app_name: str = "holecard",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return spark
 
 
@@ -74,6 +75,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of ``spark``.
+
+    Functions that run in tasks are pickled by name, so a session that was
+    started without the package (no ``--py-files``, no install on the workers)
+    gets it as a zip over the driver's file server, once per context.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_holecard_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="holecard-py-"), "holecard.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._holecard_shipped = True
+
+
+def prepare(spark: SparkSession) -> None:
+    """What every registered query needs of a session, whoever started it."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+
+
 def checkpoint_stage(df):
     """Write ``df`` once to the checkpoint folder and continue from there.
 
