@@ -4,9 +4,9 @@ Method: token-combination prefixes.  The tokens (shingles) of a document are
 put into one global order, rare ones first; the class of a token follows from
 the corpus frequency of its rarest word, which bounds the token's own.
 
-* A rare token (some word of it is not in the table of frequent words) is
-  indexed alone, if it is among the first ``n - ceil(t n) + 1`` tokens.  Two
-  sets with Jaccard >= t share a token of these prefixes.
+* A rare token (some word of it occurs less than RARE_BELOW allows) is indexed
+  alone, if it is among the first ``n - ceil(t n) + 1`` tokens.  Two sets with
+  Jaccard >= t share a token of these prefixes.
 * A document with fewer rare tokens than that may share frequent tokens only.
   Its prefix is extended to ``2 D + 2`` frequent tokens, ``D = floor(n (1 - t)
   / t)``, and each pair of neighbours in the order is indexed.  Two such sets
@@ -35,8 +35,12 @@ from holecard.session import checkpoint_stage
 
 SHINGLE = 3
 THRESHOLD = 90
-#: Bound of the table of frequent words that is broadcast (12 bytes a word).
-FREQUENT_WORDS = 1 << 20
+#: Bound of the table of word counts that is broadcast (16 bytes a word), and
+#: the least count that it holds where the bound leaves room.
+COUNTED_WORDS = 1 << 20
+LEAST_COUNT = 8
+#: Bytes of text for each occurrence that a rare token's word may have.
+RARE_BELOW = 1 << 21
 #: Counters of a posting's sketch: |x - y| of them never exceeds the sets' difference.
 SKETCH = 16
 #: Posting lists up to this length are filtered pair by pair inside their task.
@@ -101,15 +105,12 @@ def set_rows(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         work, "doc_id long, n_shingles long, node long")
 
 
-def frequent_words(docs: DataFrame, n_bytes: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words (as hashes, sorted) that occur often, with their counts.
+def word_counts(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The commonest words of the corpus (as hashes, sorted) with their counts.
 
-    A text of b bytes has at most b / 2 + 1 words, so at most FREQUENT_WORDS
-    words reach the least count asked for, whatever the corpus.  Words that a
-    task sees once are left out of its counts; the order stays one for all.
+    The least count is the smallest from LEAST_COUNT on, doubling, that at most
+    COUNTED_WORDS words reach; each bucket reports how many do.
     """
-    least = max(8, -(-n_bytes // (2 * FREQUENT_WORDS)))
-
     def count(batches):
         found, have = [], 0
 
@@ -137,27 +138,38 @@ def frequent_words(docs: DataFrame, n_bytes: int, buckets: int) -> tuple[np.ndar
             yield from send(*merge())
 
     def send(w, n):
-        w, n = w[n > 1], n[n > 1]
         bucket = (w % _U(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
-        w, n, bucket = w[order], n[order].astype(np.int64), bucket[order]
+        w, n, bucket = w[order], np.minimum(n[order], 0xFFFFFFFF).astype(np.uint32), bucket[order]
         cut = runs(bucket)
         yield pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]]), blobs(cut, w), blobs(cut, n)],
                                          names=["bucket", "words", "counts"])
 
     def total(table):
         w, _ = unblob(table["words"], _U)
-        n, _ = unblob(table["counts"], np.int64)
+        n, _ = unblob(table["counts"], np.uint32)
         order = np.argsort(w)
-        w, n = w[order], n[order]
+        w, n = w[order], n[order].astype(np.int64)
         cut = runs(w)
         w, n = w[cut[:-1]], np.add.reduceat(n, cut[:-1]) if len(w) else n
-        w, n = w[n >= least], n[n >= least]
-        return pa.table({"words": pa.array([w.tobytes()], pa.binary()),
-                         "counts": pa.array([n.astype(np.int64).tobytes()], pa.binary())})
-
-    rows = docs.select("text").mapInArrow(count, "bucket int, words binary, counts binary") \
-        .groupBy("bucket").applyInArrow(total, "words binary, counts binary").collect()
+        w, n = w[n >= LEAST_COUNT], n[n >= LEAST_COUNT]
+        level = np.floor(np.log2(n / LEAST_COUNT)).astype(np.int64)
+        order = np.argsort(level, kind="stable")
+        cut = runs(level[order])
+        return pa.table({"level": pa.array(level[order][cut[:-1]], pa.int64()),
+                         "n": pa.array(np.diff(cut), pa.int64()),
+                         "words": blobs(cut, w[order]), "counts": blobs(cut, n[order])})
+
+    found = checkpoint_stage(
+        docs.select("text").mapInArrow(count, "bucket int, words binary, counts binary")
+        .groupBy("bucket").applyInArrow(total, "level long, n long, words binary, counts binary"))
+    levels = sorted(((r.level, r.n) for r in found.groupBy("level").agg(F.sum("n").alias("n")).collect()), reverse=True)
+    least, room = (levels[0][0] + 1 if levels else 0), COUNTED_WORDS
+    for level, n in levels:
+        if n > room:
+            break
+        least, room = level, room - n
+    rows = found.where(F.col("level") >= least).select("words", "counts").collect()
     w = np.frombuffer(b"".join(r.words for r in rows), _U)
     n = np.frombuffer(b"".join(r.counts for r in rows), np.int64)
     order = np.argsort(w)
@@ -169,18 +181,19 @@ def _sketch(hashes: np.ndarray) -> np.ndarray:
                       255).astype(np.uint8)
 
 
-def _keys(s: np.ndarray, rarest: np.ndarray, t: int) -> np.ndarray:
-    """What a set is indexed under."""
+def _keys(s: np.ndarray, rarest: np.ndarray, t: int, rare_below: int) -> np.ndarray:
+    """What a set is indexed under: tokens ``s`` in the order of their rarest
+    word's count, then of their hash; ``rare_below`` divides the classes."""
     n = len(s)
     slack = n * (100 - t) // t
     if not slack:  # a different set cannot be similar enough
         return s[:0]
     prefix = n - -(-t * n // 100) + 1
-    rare = s[rarest == 0]
-    if len(rare) >= prefix:
-        return rare[:prefix]
-    often = np.flatnonzero(rarest)
-    often = s[often[np.lexsort((s[often], rarest[often]))]][:2 * slack + 2]
+    order = np.lexsort((s, rarest))
+    n_rare = int((rarest < rare_below).sum())
+    if n_rare >= prefix:
+        return s[order[:prefix]]
+    rare, often = s[order[:n_rare]], s[order[n_rare:n_rare + 2 * slack + 2]]
     return np.concatenate([rare, C.mix(often[:-1] * _U(0x9E3779B97F4A7C15) + often[1:])])
 
 
@@ -219,7 +232,8 @@ def _near(size: np.ndarray, sketch: np.ndarray, t: int) -> tuple[np.ndarray, np.
     return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int),) * 2
 
 
-def candidate_edges(docs: DataFrame, buckets: int, words, counts, size: int, t: int) -> DataFrame:
+def candidate_edges(docs: DataFrame, buckets: int, words, counts, rare_below: int, size: int,
+                    t: int) -> DataFrame:
     """Edges ``(a, b)`` between nodes; similar sets are connected by them."""
     table = docs.sparkSession.sparkContext.broadcast((words, counts))
 
@@ -244,7 +258,7 @@ def candidate_edges(docs: DataFrame, buckets: int, words, counts, size: int, t:
                 for s, rarest, node in zip(sets.hashes, sets.rarest, sets.nodes()):
                     if node in seen:  # an equal set of this task is in the index
                         continue
-                    keys = _keys(s, rarest, t)
+                    keys = _keys(s, rarest, t, rare_below)
                     if not len(keys):
                         continue
                     seen.add(node)
@@ -398,8 +412,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
                             .withColumn("doc_id", F.coalesce("doc_id", F.lit(_NONE))))
     classes = checkpoint_stage(sets.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
-    words, counts = frequent_words(docs, n_bytes, buckets)
-    clusters = components(candidate_edges(docs, buckets, words, counts, shingle, threshold))
+    words, counts = word_counts(docs, buckets)
+    # as the table may begin above it, at least the table's least count
+    rare_below = max(LEAST_COUNT, n_bytes // RARE_BELOW, int(counts.min(initial=0)))
+    clusters = components(candidate_edges(docs, buckets, words, counts, rare_below, shingle, threshold))
     sizes = checkpoint_stage(clusters.groupBy("component").agg(F.count(F.lit(1)).alias("m")))
     members = clusters.join(sizes, "component").withColumnRenamed("id", "node") \
         .join(classes, "node").select("rep", "node", F.col("component").alias("cluster"), "m")
