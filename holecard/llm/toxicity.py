@@ -139,25 +139,40 @@ def decide(rows: np.ndarray, table: np.ndarray) -> np.ndarray:
     return out / _weights(rows)
 
 
-def _table(rows: np.ndarray) -> np.ndarray:
-    """Normalised feature vectors of a few rows: (subsequences, rows)."""
-    out = np.zeros((_SIZE, len(rows)))
-    for key, weight in features(rows):
-        for i in range(len(rows)):
-            np.add.at(out[:, i], key[i], weight)
-    out[0] = 0
-    return out / _weights(rows)[None, :]
-
-
-def _kernel(rows: np.ndarray, tables: np.ndarray) -> np.ndarray:
-    """Kernel values of rows against landmarks."""
-    out = np.zeros((len(rows), tables.shape[1]))
-    for lo in range(0, len(rows), 2048):
-        part = rows[lo:lo + 2048]
-        for key, weight in features(part):
-            for c in range(key.shape[1]):
-                out[lo:lo + 2048] += weight * tables[key[:, c]]
-    return out / _weights(rows)[:, None]
+def _vector(row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Subsequences of one row and their normalised weights."""
+    keys, weights = zip(*((key[0], np.full(key.shape[1], weight)) for key, weight in features(row[None, :])))
+    keys, which = np.unique(np.concatenate(keys), return_inverse=True)
+    weights = np.bincount(which, np.concatenate(weights)) / _weights(row[None, :])[0]
+    return keys[keys > 0], weights[keys > 0]
+
+
+class _Landmarks:
+    """Feature vectors of landmarks over the subsequences that they hold."""
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]]):
+        self.keys = np.unique(np.concatenate([k for k, _ in vectors]))
+        self.place = np.zeros(_SIZE, np.int32)
+        self.place[self.keys] = np.arange(1, len(self.keys) + 1)
+        self.weights = np.zeros((len(self.keys) + 1, len(vectors)))
+        for i, (k, w) in enumerate(vectors):
+            self.weights[self.place[k], i] = w
+
+    def kernel(self, rows: np.ndarray) -> np.ndarray:
+        """Kernel values of rows against the landmarks."""
+        out = np.zeros((len(rows), self.weights.shape[1]))
+        for lo in range(0, len(rows), 2048):
+            for key, weight in features(rows[lo:lo + 2048]):
+                at = self.place[key]
+                for c in range(at.shape[1]):
+                    out[lo:lo + 2048] += weight * self.weights[at[:, c]]
+        return out / _weights(rows)[:, None]
+
+    def fold(self, coefficients: np.ndarray) -> np.ndarray:
+        """The weight of every subsequence in a combination of landmarks."""
+        out = np.zeros(_SIZE)
+        out[self.keys] = (self.weights @ coefficients)[1:]
+        return out
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float) -> tuple[np.ndarray, float]:
@@ -234,9 +249,13 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, cost:
         apart[:] = False
     rest, known = [t for t, x in zip(texts, apart) if x], toxic[apart]
     texts, toxic = [t for t, x in zip(texts, apart) if not x], toxic[~apart]
-    rows, text, _ = unit_rows(texts)
+    parts = [unit_rows(texts[lo:lo + 200]) for lo in range(0, len(texts), 200)]
+    rows = np.concatenate([p[0] for p in parts])
+    text = np.concatenate([p[1] + 200 * i for i, p in enumerate(parts)])
+    del parts
     first, which = _distinct(rows)
     flat = rows[first]
+    del rows
     # how many toxic and clean texts hold a unit
     pair = np.unique(which.astype(np.int64) * len(texts) + text)
     unit, of = pair // len(texts), pair % len(texts)
@@ -258,18 +277,19 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, cost:
     often = np.union1d(worst[worst >= 0], np.flatnonzero(telling))
     times = bad[often]
     # landmarks: the commonest worst units that differ, and clean units
-    marks: list[int] = []
-    tables = np.zeros((_SIZE, 0))
+    vectors, scratch = [], np.zeros(_SIZE)
     for u in often[np.lexsort((often, -times))]:
-        if len(marks) >= landmarks * 2 // 3:
+        if len(vectors) >= landmarks * 2 // 3:
             break
-        own = _table(flat[[u]])
-        if not marks or (own.T @ tables).max() < 0.8:
-            marks.append(int(u))
-            tables = np.hstack([tables, own])
-    tables = np.hstack([tables, _table(flat[negatives[:landmarks - len(marks)]])])
-    values, vectors = np.linalg.eigh(tables.T @ tables)
-    root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
+        keys, weights = _vector(flat[u])
+        scratch[keys] = weights
+        if len(keys) and all(scratch[k] @ w < 0.8 for k, w in vectors):
+            vectors.append((keys, weights))
+        scratch[keys] = 0
+    vectors += [_vector(flat[u]) for u in negatives[:landmarks - len(vectors)]]
+    marks = _Landmarks(vectors)
+    values, basis = np.linalg.eigh(marks.weights.T @ marks.weights)
+    root = basis @ np.diag(1 / np.sqrt(np.maximum(values, 1e-6))) @ basis.T
     table, bias = np.zeros(_SIZE), 0.0
     seen: dict[int, np.ndarray] = {}  # landmark features of units, kept over the rounds
     for _ in range(ROUNDS):
@@ -277,12 +297,12 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, cost:
         picked = np.concatenate([positives, negatives])
         y = np.concatenate([np.ones(len(positives)), -np.ones(len(negatives))])
         new = np.array([u for u in picked.tolist() if u not in seen], np.int64)
-        seen.update(zip(new.tolist(), _kernel(flat[new], tables) @ root))
+        seen.update(zip(new.tolist(), marks.kernel(flat[new]) @ root))
         x = np.array([seen[u] for u in picked.tolist()])
         n_of = np.where(telling[positives], np.sqrt(bad[positives]), 0.3)
         weight = np.concatenate([n_of / n_of.sum() * len(negatives), np.ones(len(negatives))]) / len(negatives) * 1000
         w, bias = _svm(x, y, weight, cost / 1000)
-        table = tables @ (root @ w)
+        table = marks.fold(root @ w)
         every = np.concatenate([decide(flat[lo:lo + 20000], table) for lo in range(0, len(flat), 20000)]) + bias
         hard = clean[np.argsort(-every[clean], kind="stable")[:HARD_UNITS]]
         negatives = np.union1d(negatives, hard)
