@@ -7,8 +7,8 @@ regex engine and RE2 (used by the SQL oracle) agree on it: no look-around, no
 back-references, alternation is leftmost-first in both.
 
 A text "fails to lex" when it holds an unterminated string or character
-literal (a lone quote token) or an unterminated block comment (a ``/`` token
-directly followed by ``*``).  Scores of such rows are null, as in the
+literal (a lone quote token), an unterminated block comment (a ``/`` token
+directly followed by ``*``) or a character no Java token begins with.  Scores of such rows are null, as in the
 reference, where the lexer raised.
 """
 
@@ -29,13 +29,25 @@ TOKEN_PATTERN = (
     r"//[^\n]*|/\*[\s\S]*?\*/"
     r'|"[^"\\\n]*(?:\\[\s\S][^"\\\n]*)*"'
     r"|'[^'\\\n]*(?:\\[\s\S][^'\\\n]*)*'"
-    r"|[0-9]+(?:\.[0-9]+)?[fFlLdD]?"
+    r"|0[xX][0-9a-fA-F_]+[lL]?|0[bB][01_]+[lL]?"
+    r"|[0-9][0-9_]*(?:\.[0-9][0-9_]*)?(?:[eE][+-]?[0-9]+)?[fFlLdD]?"
+    r"|\.[0-9][0-9_]*(?:[eE][+-]?[0-9]+)?[fFdD]?"
     r"|[A-Za-z_$][A-Za-z0-9_$]*"
     r"|>>>=|<<=|>>=|\.\.\.|->|::|\+\+|--|&&|\|\||==|!=|<=|>=|\+=|-=|\*=|/="
+    r"|<<|%=|\^=|\|=|&="
     r"|[ \t\r\n\f]+"
     r"|[\s\S]"
 )
 
+# The same language for Java's engine: a possessive group is a plain loop there,
+# so the escapes of a literal need no stack, whatever its length.
+SPARK_TOKEN_PATTERN = TOKEN_PATTERN \
+    .replace(r'"[^"\\\n]*(?:\\[\s\S][^"\\\n]*)*"', r'"[^"\\\n]*+(?:\\[\s\S][^"\\\n]*+)*+"') \
+    .replace(r"'[^'\\\n]*(?:\\[\s\S][^'\\\n]*)*'", r"'[^'\\\n]*+(?:\\[\s\S][^'\\\n]*+)*+'")
+
+# --- fixed values: characters that begin no token ---
+ILLEGAL_TOKENS = ("`", "#", "\\")
+
 # --- fixed values: Java reserved words (weight 1 in the weighted n-gram match) ---
 JAVA_KEYWORDS = (
     "abstract assert boolean break byte case catch char class const continue "
@@ -54,7 +66,7 @@ COMMENT_TOKEN = r"^(//|/\*)"
 
 def all_tokens(text) -> Column:
     """Every token of the text, whitespace and comments included."""
-    return F.regexp_extract_all(col(text), F.lit(TOKEN_PATTERN), 0)
+    return F.regexp_extract_all(col(text), F.lit(SPARK_TOKEN_PATTERN), 0)
 
 
 def is_code_token(t: Column) -> Column:
@@ -72,7 +84,8 @@ def code_tokens_of(toks: Column) -> Column:
 
 
 def lex_ok(text) -> Column:
-    """False when the text holds an unterminated literal or block comment."""
+    """False when the text holds an unterminated literal or block comment, or
+    an illegal character."""
     return lex_ok_of(all_tokens(text))
 
 
@@ -86,7 +99,7 @@ def lex_ok_of(toks: Column) -> Column:
     of its own (no multi-character token ends with U+0001 or starts with
     ``/`` followed by it).
     """
-    lone_quote = F.array_contains(toks, '"') | F.array_contains(toks, "'")
+    lone_quote = F.arrays_overlap(toks, F.array(*[F.lit(t) for t in ('"', "'", *ILLEGAL_TOKENS)]))
     joined = F.concat(F.lit("\u0001"), F.array_join(toks, "\u0001"))
     open_comment = joined.contains("\u0001/\u0001*")
     return ~(lone_quote | open_comment)

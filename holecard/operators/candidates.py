@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from holecard.functions.lexer import all_tokens, code_tokens_of, indices_where, lex_ok, lex_ok_of
-from holecard.functions.text import WS, split_lines
+from holecard.functions.text import WS, normalize_newlines, split_lines
 
 
 def file_lines(files: DataFrame) -> DataFrame:
@@ -134,7 +134,7 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     def is_name(t):
         return t.rlike(ident) & ~F.array_contains(keywords, t)
 
-    lexed = files.select("path", all_tokens("text").alias("_all"))
+    lexed = files.select("path", all_tokens(normalize_newlines("text")).alias("_all"))
     staged = lexed.select(
         "path", lex_ok_of(F.col("_all")).alias("_ok"),
         code_tokens_of(F.col("_all")).alias("_code"),

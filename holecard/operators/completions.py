@@ -38,8 +38,9 @@ def stop_cut(completion, stop: str = STOP_SEQUENCE) -> Column:
 
 
 def expand_samples(prompts: DataFrame, times: int) -> DataFrame:
-    """``times`` rows per prompt, numbered by ``sample_idx``."""
-    return prompts.withColumn("sample_idx", F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
+    """``times`` rows per prompt, numbered by ``sample_idx``; none for 0."""
+    numbers = F.filter(F.sequence(F.lit(0), F.lit(max(times, 1) - 1)), lambda i: i < times)
+    return prompts.withColumn("sample_idx", F.explode(numbers))
 
 
 def complete_with(prompts: DataFrame, completer: Callable[[pd.DataFrame], pd.Series],

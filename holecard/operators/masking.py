@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holecard.functions.lexer import all_tokens, indices_where, is_code_token
-from holecard.functions.text import col, count_char, join_slice, split_lines
+from holecard.functions.text import col, count_char, join_slice, normalize_newlines, split_lines
 
 # --- fixed values: fill-in-the-middle prompt markers ---
 PRE, SUF, MID = "<PRE> ", " <SUF>", " <MID>"
@@ -77,6 +77,7 @@ def mask_tokens(df: DataFrame, idx: str = "token_idx", num_label_tokens: int = 1
     partial line before (after) the label counts as one context line.
     """
     n = num_label_tokens
+    df = df.withColumn(text, normalize_newlines(text))  # offsets and lines of one text
     t = F.col(text)
     toks = F.col("_all")
     code_pos = indices_where(toks, is_code_token)

@@ -122,7 +122,8 @@ def build_outcomes(builds: DataFrame, parsed: DataFrame, build: str = "build_id"
 
 # --- fixed values: pattern of a module entry in a build file ---
 MODULES_BLOCK = r"(?s)<modules>(.*?)</modules>"
-MODULE_ITEM = r"<module>([^<]+)</module>"
+# a whole line but for white space, so a commented-out entry is none
+MODULE_ITEM = r"(?m)^[ \t]*<module>([^<]+)</module>[ \t\r]*$"
 
 
 def first_block_items(text, block_pattern: str = MODULES_BLOCK,
@@ -183,22 +184,21 @@ def missing_baselines(catalogue: DataFrame, baselines: DataFrame, version: str,
 
 
 def pass_at_k(outcomes: DataFrame, group: list[str], ks, passed: str = "built") -> DataFrame:
-    """Unbiased pass@k per group: ``1 - prod_{i=n-c+1..n} (1 - k/i)``.
+    """Unbiased pass@k per group: ``1 - prod_{j<k} (n - c - j) / (n - j)``.
 
-    ``n`` samples, ``c`` passing; 1 when ``n - c < k``.  One aggregate gives
-    the counts for every k; the product runs over at most ``c`` factors in
-    log space.
+    ``n`` samples, ``c`` passing.  Null where there are fewer than k samples; 1
+    where fewer than k of them fail.  A null outcome is a sample that did not
+    pass.  One aggregate gives the counts for every k; the product has k
+    factors.
     """
     ks = [ks] if isinstance(ks, int) else list(ks)
     agg = outcomes.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n_samples"),
-        F.sum(F.col(passed).cast("int")).alias("n_passed"))
+        F.sum(F.coalesce(F.col(passed), F.lit(False)).cast("int")).alias("n_passed"))
     n, c = F.col("n_samples"), F.col("n_passed")
-    def add_log(k):  # two-argument merge; k is bound here, not as a lambda parameter
-        return lambda acc, i: acc + F.log(1 - F.lit(float(k)) / i)
-
     for k in ks:
-        log_prod = F.aggregate(F.sequence(n - c + 1, n), F.lit(0.0), add_log(k))
-        value = F.when(n - c < k, F.lit(1.0)).when(c == 0, F.lit(0.0)).otherwise(1 - F.exp(log_prod))
-        agg = agg.withColumn(f"pass_at_{k}", value)
+        none = F.lit(1.0)
+        for j in range(k):
+            none = none * F.greatest(n - c - j, F.lit(0)) / F.greatest(n - j, F.lit(1))
+        agg = agg.withColumn(f"pass_at_{k}", F.when(n >= k, 1 - none))
     return agg

@@ -189,12 +189,13 @@ def code_bleu(pairs: DataFrame, label: str = "label", completion: str = "complet
               syntax=None, dataflow=None) -> DataFrame:
     """C1-C4 on a pairs table: all columns of ``pairs`` + the five scores.
 
-    Syntax and data-flow matches are inputs (column names, or None for 0):
-    the AST and data-flow matchers are per-row parsers and are not rebuilt.
+    Syntax and data-flow matches are inputs (column names): the AST and
+    data-flow matchers are per-row parsers and are not rebuilt.  Without one of
+    them its score and the composite are null.
     """
     out = ngram_match_scores(pairs, label, completion)
-    syn = F.col(syntax) if syntax else F.lit(0.0)
-    dfl = F.col(dataflow) if dataflow else F.lit(0.0)
+    syn = F.col(syntax) if syntax else F.lit(None)
+    dfl = F.col(dataflow) if dataflow else F.lit(None)
     ok = F.col("lex_ok")
     return out.withColumn("syntax_match_score", F.when(ok, syn.cast("double"))) \
         .withColumn("dataflow_match_score", F.when(ok, dfl.cast("double"))) \
@@ -202,16 +203,21 @@ def code_bleu(pairs: DataFrame, label: str = "label", completion: str = "complet
                                                 "syntax_match_score", "dataflow_match_score"))
 
 
+def _ln(p: Column) -> Column:
+    """Natural logarithm, minus infinity at 0 (Spark's is null there)."""
+    return F.when(p == 0, F.lit(float("-inf"))).otherwise(F.log(p))
+
+
 def perplexity(probs, legacy_exponent: bool = True) -> Column:
     """``(prod 1/p[2:]) ^ (1/n)`` on an ``ARRAY<DOUBLE>`` of token probabilities.
 
     The first probability is skipped; with ``legacy_exponent`` the root is
     taken over all ``n`` (reference behaviour, Q7), else over ``n - 1``.
-    Computed in log space: ``exp(-sum(ln p[2:]) / n)``.
+    Computed in log space: ``exp(-sum(ln p[2:]) / n)``; infinite if one of them is 0.
     """
     p = col(probs)
     tail = F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0)))
-    log_sum = F.aggregate(tail, F.lit(0.0), lambda acc, x: acc + F.log(x))
+    log_sum = F.aggregate(tail, F.lit(0.0), lambda acc, x: acc + _ln(x))
     n = F.size(p) if legacy_exponent else F.greatest(F.size(p) - 1, F.lit(1))
     return F.when(F.size(p) > 0, F.exp(-log_sum / n))
 
@@ -219,14 +225,20 @@ def perplexity(probs, legacy_exponent: bool = True) -> Column:
 def perplexity_by_group(df: DataFrame, group: str, order: str, p: str,
                         legacy_exponent: bool = True) -> DataFrame:
     """C5 in long form: one probability per row, ``order`` sorts the rows of a
-    group.  ``exp(-(sum(ln p) - ln p_first) / n)`` with plain aggregates."""
-    logp = F.log(F.col(p))
+    group.  ``exp(-(sum(ln p) - ln p_first) / n)`` with plain aggregates; a
+    zero among the others makes it infinite."""
+    logp = _ln(F.col(p))
     n = F.count(F.lit(1))
-    agg = df.groupBy(group).agg(n.alias("n_tokens"), F.sum(logp).alias("_s"),
-                                F.min_by(logp, F.col(order)).alias("_first"))
+    zero = F.col(p) == 0
+    finite = F.when(~zero, logp)
+    agg = df.groupBy(group).agg(n.alias("n_tokens"), F.sum(finite).alias("_s"),
+                                F.min_by(F.col(p), F.col(order)).alias("_p"),
+                                F.sum(zero.cast("int")).alias("_zeros"))
+    first = F.when(F.col("_p") == 0, F.lit(0.0)).otherwise(_ln(F.col("_p")))
     denom = F.col("n_tokens") if legacy_exponent else F.greatest(F.col("n_tokens") - 1, F.lit(1))
-    return agg.select(group, "n_tokens",
-                      F.exp(-(F.col("_s") - F.col("_first")) / denom).alias("perplexity"))
+    later = F.col("_zeros") - (F.col("_p") == 0).cast("int")
+    return agg.select(group, "n_tokens", F.when(later > 0, F.lit(float("inf"))).otherwise(
+        F.exp(-(F.coalesce("_s", F.lit(0.0)) - first) / denom)).alias("perplexity"))
 
 
 def token_count(c) -> Column:

@@ -11,12 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holecard.functions.text import col
-from holecard.session import checkpoint_stage
 
-# A top-k result with at most this many rows is broadcast when it is joined
-# back to a large table; above it the join shuffles.  The bound is the k the
-# caller asked for, so the broadcast side is proven small before it is built.
-BROADCAST_ROWS = 200_000
+# Leading hex digits of the random key that make its bucket: 16 ** 4 buckets,
+# a constant, so the table of their row counts stays small at any scale.
+BUCKET_DIGITS = 4
 
 
 def random_key(seed: int, *parts) -> Column:
@@ -24,30 +22,33 @@ def random_key(seed: int, *parts) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[col(p).cast("string") for p in parts]))
 
 
-TOPK_ROWS = 100_000  # top-k merged in one task up to this k; ranked in parallel beyond
+def _buckets(keyed: DataFrame) -> DataFrame:
+    """``(_b, _off, n_total)``: rows ahead of every bucket of ``_rk``, one row
+    per bucket (at most 16 ** BUCKET_DIGITS), from one combinable count."""
+    counts = keyed.groupBy(F.substring("_rk", 1, BUCKET_DIGITS).alias("_b")).agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.orderBy("_b")
+    return counts.select(
+        "_b", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.sum("_cnt").over(Window.partitionBy()).alias("n_total"))
 
 
 def sample_k(df: DataFrame, k: int, seed: int, kind: str, keys: list[str]) -> DataFrame:
     """``k`` rows drawn without replacement (all rows when there are fewer).
 
-    Up to ``TOPK_ROWS``, ``orderBy(key).limit(k)`` plans as
-    TakeOrderedAndProject: every partition keeps its own k best and only those
-    are merged.  A larger k would make that merge one big task, so the rows
-    are ranked instead with :func:`exact_rank` (range partitions plus
-    per-partition offsets) and the first k are kept.  Both give the same rows.
+    Rows are counted per bucket of their random key; only the buckets that the
+    first k rows can lie in are read on, so the final order sees k rows and
+    the rest of one bucket, whatever the table's size.
     """
-    order = random_key(seed, F.lit(kind), *keys)
-    if k <= TOPK_ROWS:
-        return df.withColumn("_rk", order).orderBy("_rk", *keys).limit(k).drop("_rk")
-    ranked = exact_rank(df.withColumn("_sk", F.to_json(F.struct(*keys))), seed, "_sk",
-                        key_expr=order)
-    return ranked.where(F.col("rank") <= k).drop("rank", "n_total", "_sk")
-
-
-def join_back(chosen: DataFrame, big: DataFrame, on: list[str], bound_rows: int) -> DataFrame:
-    """Join a sampled set (at most ``bound_rows`` rows) back to a large table."""
-    if bound_rows <= BROADCAST_ROWS:
-        return big.join(F.broadcast(chosen), on, "inner")
+    keyed = df.withColumn("_rk", random_key(seed, F.lit(kind), *keys))
+    first = _buckets(keyed.select("_rk")).where(F.col("_off") < k).select("_b")
+    mine = F.substring(keyed["_rk"], 1, BUCKET_DIGITS)
+    return keyed.join(F.broadcast(first), mine == first["_b"], "left_semi") \
+        .orderBy("_rk", *keys).limit(k).drop("_rk")
+
+
+def join_back(chosen: DataFrame, big: DataFrame, on: list[str]) -> DataFrame:
+    """Join a sampled set back to a large table; the planner knows the sample's
+    limit and picks the join."""
     return big.join(chosen, on, "inner")
 
 
@@ -78,34 +79,19 @@ def module_of(path, root: str = "") -> Column:
     return F.when(F.instr(rel, "/") > 0, F.substring_index(rel, "/", 1)).otherwise(F.lit(""))
 
 
-def exact_rank(df: DataFrame, seed: int, key: str, num_partitions: int | None = None,
-               key_expr: Column | None = None) -> DataFrame:
+def exact_rank(df: DataFrame, seed: int, key: str) -> DataFrame:
     """1-based rank of every row in seeded random order, without one-task sorts.
 
-    Range-partition by the random key and sort inside partitions; number rows
-    inside each partition; add the row count of all earlier partitions.  The
-    sorted frame is checkpointed (reliable storage named by
-    ``spark.checkpoint.dir``) so partition numbers stay fixed if executors are
-    lost.  The per-partition count table has one row per partition and is
-    broadcast.  Adds ``rank`` and ``n_total``.  ``key_expr`` replaces the
-    default random key; ``key`` then only breaks ties.
+    A row's bucket is the beginning of its random key, so a rank is the rows in
+    earlier buckets plus the place inside its own: a pure function of the keys,
+    whatever the partitions.  Adds ``rank`` and ``n_total``.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.withColumn("_rk", random_key(seed, F.col(key)) if key_expr is None else key_expr)
-    ordered = keyed.repartitionByRange(n, "_rk", key).sortWithinPartitions("_rk", key) \
-        .withColumn("_pid", F.spark_partition_id()) \
-        .withColumn("_pos", F.monotonically_increasing_id() - (F.col("_pid").cast("long") * (1 << 33)))
-    ordered = checkpoint_stage(ordered)
-    counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy("_pid")  # one row per partition: tiny
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy(F.lit(1))).alias("n_total"))
-    return ordered.join(F.broadcast(offsets), "_pid") \
-        .withColumn("rank", F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos") + 1) \
-        .drop("_rk", "_pid", "_pos", "_off")
+    keyed = df.withColumn("_rk", random_key(seed, F.col(key))) \
+        .withColumn("_b", F.substring("_rk", 1, BUCKET_DIGITS))
+    inside = Window.partitionBy("_b").orderBy("_rk", key)
+    return keyed.join(F.broadcast(_buckets(keyed.select("_rk"))), "_b") \
+        .withColumn("rank", F.col("_off") + F.row_number().over(inside)) \
+        .drop("_rk", "_b", "_off")
 
 
 def split_random_exact(files: DataFrame, train_ratio: float = 0.8, seed: int = 0,

@@ -57,8 +57,8 @@ def summarize(evaluated: DataFrame, metrics=("CodeBLEU",), group: str = "result_
     if rates:
         built = F.coalesce(F.col("built"), F.lit(False))
         aggs += [F.avg(built.cast("double")).alias("successful_build_rate"),
-                 F.avg((built & (F.col("error_count") == 0)).cast("double")).alias("no_error_rate"),
-                 F.avg((built & (F.col("failure_count") == 0)).cast("double")).alias("pass_at_1_rate")]
+                 F.avg((built & F.coalesce(F.col("error_count") == 0, F.lit(False))).cast("double")).alias("no_error_rate"),
+                 F.avg((built & F.coalesce(F.col("failure_count") == 0, F.lit(False))).cast("double")).alias("pass_at_1_rate")]
     else:
         aggs += [null.alias(r) for r in RATES]
     if "CodeBLEU" in metrics:

@@ -48,7 +48,7 @@ files AS (
                 '    void m() {' || chr(10) || '        // line' || chr(10) || '        \1'
                 || chr(10) || '    }', 'g')
            || chr(10)
-           || (CASE WHEN contains(raw, '#') THEN '    abstract void pending();' || chr(10) ELSE '' END)
+           || (CASE WHEN contains(raw, '|') THEN '    abstract void pending();' || chr(10) ELSE '' END)
            || '}' || chr(10) AS text
   FROM named
 )"""
@@ -123,7 +123,7 @@ tok AS (
 bad AS (
   SELECT DISTINCT path FROM (
     SELECT path, tok, lead(tok) OVER (PARTITION BY path ORDER BY pos) AS nxt FROM tok) x
-  WHERE tok = chr(34) OR tok = chr(39) OR (tok = '/' AND starts_with(nxt, '*'))
+  WHERE tok = chr(34) OR tok = chr(39) OR (tok IN ('`', '#', chr(92)) OR tok = '/' AND starts_with(nxt, '*'))
 ),
 code AS (
   SELECT path, tok, pos, row_number() OVER (PARTITION BY path ORDER BY pos) - 1 AS token_idx
@@ -253,6 +253,24 @@ FROM split_files""",
     sql.update(method_sql(q))
     sql.update(graph_match_sql(q))
     sql.update(scorecard_sql(q))
+    none = "CAST(NULL AS DOUBLE) AS average_code_bleu"
+    sql["summary_with_baseline"] = f"""
+SELECT * FROM ({sql["rates_with_moe"]}) UNION ALL BY NAME
+SELECT * REPLACE ({none}, {none}_moe) FROM ({sql["baseline_summary_row"]})"""
+    sql["prompt_outcomes"] = f"""
+WITH prompts AS ({sql["line_prompts"]}),
+builds AS ({with_(OUTCOMES_CTE)} SELECT CAST(doc_id AS VARCHAR) AS doc, built, failure_count FROM outc2)
+SELECT prompt_id, split_part(path_in_code_repo, '/', 1) AS module, built, CAST(failure_count AS BIGINT) AS failure_count
+FROM prompts p LEFT JOIN builds b ON b.doc = split_part(path_in_code_repo, '/', 3)"""
+    sql["split_by_module"] = with_(FILES_CTE) + f""",
+held AS (
+  SELECT path, file_name, CASE WHEN path IN (
+    SELECT arg_min(path, md5(concat_ws('|', '0', 'holdout', path))) FROM files GROUP BY module)
+    THEN 'test' ELSE 'train' END AS split FROM files),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY split ORDER BY md5(concat_ws('|', '0', path)), path) AS id FROM held)
+SELECT path AS old_path, '{q.OUT_DIR}/' || split || '/' || CAST(id AS VARCHAR) || '_' || file_name AS new_path, split
+FROM numbered"""
     return sql
 
 
@@ -298,7 +316,7 @@ side_bad AS (
   SELECT DISTINCT prompt_id FROM (
     SELECT prompt_id, tok, lead(tok) OVER (PARTITION BY prompt_id, side ORDER BY pos) AS nxt
     FROM side_tok) x
-  WHERE tok = chr(34) OR tok = chr(39) OR (tok = '/' AND starts_with(nxt, '*'))
+  WHERE tok = chr(34) OR tok = chr(39) OR (tok IN ('`', '#', chr(92)) OR tok = '/' AND starts_with(nxt, '*'))
 ),
 side_code AS (
   SELECT prompt_id, side, row_number() OVER (PARTITION BY prompt_id, side ORDER BY pos) AS k, tok
@@ -354,12 +372,13 @@ scored AS (
   FROM per_pair
 ),
 scored5 AS (
-  SELECT prompt_id, kind, ngram_match_score, weighted_ngram_match_score,
-         CASE WHEN ok THEN 0.0 END AS syntax_match_score,
-         CASE WHEN ok THEN 0.0 END AS dataflow_match_score,
-         0.25 * ngram_match_score + 0.25 * weighted_ngram_match_score
-           + 0.25 * (CASE WHEN ok THEN 0.0 END) + 0.25 * 1.0 AS codebleu
-  FROM scored
+  SELECT *, 0.25 * ngram_match_score + 0.25 * weighted_ngram_match_score + 0.25 * syntax_match_score
+              + 0.25 * (CASE WHEN dataflow_match_score = 0 THEN 1.0 ELSE dataflow_match_score END) AS codebleu
+  FROM (
+    SELECT s.prompt_id, s.kind, ngram_match_score, weighted_ngram_match_score,
+           CASE WHEN ok THEN CAST(length(p.label) % 11 AS DOUBLE) / 10 END AS syntax_match_score,
+           CASE WHEN ok THEN CAST(length(p.label) % 7 AS DOUBLE) / 6 END AS dataflow_match_score
+    FROM scored s JOIN pairs p ON p.prompt_id = s.prompt_id)
 )"""
 
 
@@ -396,7 +415,7 @@ lab_tok AS (SELECT prompt_id, unnest(all_t) AS tok, unnest(range(len(all_t))) AS
 lab_bad AS (
   SELECT DISTINCT prompt_id FROM (
     SELECT prompt_id, tok, lead(tok) OVER (PARTITION BY prompt_id ORDER BY pos) AS nxt FROM lab_tok) x
-  WHERE tok = chr(34) OR tok = chr(39) OR (tok = '/' AND starts_with(nxt, '*'))
+  WHERE tok = chr(34) OR tok = chr(39) OR (tok IN ('`', '#', chr(92)) OR tok = '/' AND starts_with(nxt, '*'))
 ),
 lab_n AS (
   SELECT prompt_id, count(*) AS n FROM lab_tok
@@ -494,9 +513,10 @@ Z95 = repr(1.959963984540054)
 
 
 def _pass_k_sql(k: int) -> str:
+    # the share of k-subsets without a passing sample, by binomial coefficients
     comb = (f"exp(lgamma(n - c + 1) - lgamma(n - c - {k} + 1) - lgamma(n + 1) + lgamma(n - {k} + 1))")
-    return (f"round(CASE WHEN n - c < {k} THEN 1.0 WHEN c = 0 THEN 0.0 ELSE 1 - {comb} END, 6)"
-            f" AS pass_at_{k}")
+    return (f"round(CASE WHEN n < {k} THEN NULL WHEN n - c < {k} THEN 1.0 WHEN c = 0 THEN 0.0 "
+            f"ELSE 1 - {comb} END, 6) AS pass_at_{k}")
 
 
 def _summary_select(name: str, n: str, avgs: dict, rates: dict | None, bleu: tuple | None,
@@ -558,7 +578,13 @@ SELECT o.doc_id, o.module,
        o.built AND coalesce(b.base_built, true) AS additional_pass
 FROM outc2 o LEFT JOIN base b ON b.module = o.module""",
         "missing_baselines": with_(OUTCOMES_CTE) + """
-SELECT DISTINCT source AS module FROM documents WHERE source NOT IN (SELECT module FROM base)""",
+SELECT DISTINCT source AS module FROM documents
+WHERE source NOT IN (SELECT module FROM base WHERE base_fail + base_err = 0)""",
+        "catalogue_baselines": with_(OUTCOMES_CTE) + """
+SELECT d.module, coalesce(b.base_built, false) AS built, CAST(b.base_fail AS BIGINT) AS failure_count,
+       CAST(b.base_err AS BIGINT) AS error_count
+FROM (SELECT DISTINCT source AS module FROM documents) d
+LEFT JOIN (SELECT * FROM base WHERE base_built) b ON b.module = d.module""",
         "pass_at_k": with_(OUTCOMES_CTE) + f""",
 g AS (SELECT module, lang, count(*) AS n, sum(CAST(built AS INTEGER)) AS c FROM outc2 GROUP BY module, lang)
 SELECT module, lang, n AS n_samples, CAST(c AS BIGINT) AS n_passed, {_pass_k_sql(1)}, {_pass_k_sql(5)}
@@ -597,7 +623,7 @@ mtok AS (SELECT path, unnest(all_t) AS tok, unnest(range(len(all_t))) AS pos FRO
 mbad AS (
   SELECT DISTINCT path FROM (
     SELECT path, tok, lead(tok) OVER (PARTITION BY path ORDER BY pos) AS nxt FROM mtok) x
-  WHERE tok = chr(34) OR tok = chr(39) OR (tok = '/' AND starts_with(nxt, '*'))
+  WHERE tok = chr(34) OR tok = chr(39) OR (tok IN ('`', '#', chr(92)) OR tok = '/' AND starts_with(nxt, '*'))
 ),
 mlined AS (
   SELECT path, pos, tok,
@@ -682,7 +708,7 @@ FROM chosen c JOIN fl f ON f.path = c.path"""
 
 
 def test_files_cte(out_dir: str) -> str:
-    """Test split of the stand-in corpus under new paths (origin = old path)."""
+    """Test split of the stand-in corpus under its original paths."""
     all_files = FILES_CTE.replace("\nfiles AS (", "\nall_files AS (")
     split = SPLIT_CTE.replace("FROM files", "FROM all_files")
     return all_files + "," + split + f""",
@@ -692,7 +718,7 @@ test_map AS (
   FROM split_files WHERE split = 'test'
 ),
 files AS (
-  SELECT m.new_path AS path, f.path AS origin, f.file_name, f.module, f.text
+  SELECT f.path, f.path AS origin, f.file_name, f.module, f.text
   FROM all_files f JOIN test_map m ON m.old_path = f.path
 )"""
 

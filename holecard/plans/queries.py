@@ -60,7 +60,7 @@ def _line_prompts(spark: SparkSession, sf_dir: str, infill: bool) -> DataFrame:
     files = code_files(spark, sf_dir).select("path", "text")
     cands = cand.line_candidates(files, NUM_LABEL_LINES)
     chosen = splits.sample_k(cands, LINES_K, SEED, "lines", ["path", "line_idx"])
-    rows = splits.join_back(chosen, files, ["path"], LINES_K)
+    rows = splits.join_back(chosen, files, ["path"])
     out = masking.mask_lines(rows, "line_idx", NUM_LABEL_LINES, infill=infill)
     return out.select(
         F.concat_ws(":", F.lit("lines"), "path", F.col("line_idx").cast("string")).alias("prompt_id"),
@@ -97,7 +97,7 @@ def token_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = code_files(spark, sf_dir).select("path", "text")
     cands = cand.token_candidates(files, NUM_LABEL_TOKENS).select("path", "token_idx")
     chosen = splits.sample_k(cands, TOKENS_K, SEED, "tokens", ["path", "token_idx"])
-    rows = splits.join_back(chosen, files, ["path"], TOKENS_K)
+    rows = splits.join_back(chosen, files, ["path"])
     out = masking.mask_tokens(rows, "token_idx", NUM_LABEL_TOKENS)
     return out.select(
         F.concat_ws(":", F.lit("tokens"), "path", F.col("token_idx").cast("string")).alias("prompt_id"),
@@ -136,7 +136,7 @@ def _r6(c):
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = completion_pairs(spark, sf_dir)
     pairs = pairs.withColumn("completion", scoring.strip_eot("completion"))
-    return scoring.code_bleu(pairs)
+    return scoring.code_bleu(si.with_matches(pairs), syntax="syntax_match", dataflow="dataflow_match")
 
 
 def ngram_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +153,7 @@ def weighted_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def composite_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C3 (+C4): composite with syntax and data-flow inputs at 0 (not rebuilt)."""
+    """C3 (+C4): composite with syntax and data-flow matches as inputs."""
     return _scored(spark, sf_dir).select(
         "prompt_id", "kind", _r6("ngram_match_score"), _r6("weighted_ngram_match_score"),
         _r6("syntax_match_score"), _r6("dataflow_match_score"), _r6("codebleu"))
@@ -259,7 +259,8 @@ def baseline_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 def missing_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Modules of the corpus without a baseline of the current version."""
     catalogue = table(spark, sf_dir, "documents").select(F.col("source").alias("module")).distinct()
-    have = si.module_baselines(spark, sf_dir).withColumn("code_version", F.lit("v1"))
+    have = si.module_baselines(spark, sf_dir).withColumn(
+        "code_version", F.when(F.col("failure_count") + F.col("error_count") == 0, "v1").otherwise("v0"))
     return outc.missing_baselines(catalogue, have, "v1")
 
 
@@ -307,7 +308,7 @@ def method_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = code_files(spark, sf_dir).select("path", "text")
     bodies, _ = cand.method_bodies(files)
     chosen = splits.sample_k(bodies, METHODS_K, SEED, "methods", ["path", "pos"])
-    rows = splits.join_back(chosen, files, ["path"], METHODS_K)
+    rows = splits.join_back(chosen, files, ["path"])
     out = masking.mask_lines(rows, "body_start_line", "body_line_count")
     return out.select(
         F.concat_ws(":", F.lit("methods"), "path", F.col("pos").cast("string")).alias("prompt_id"),
@@ -315,18 +316,41 @@ def method_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "start_line", "end_line")
 
 
-def _test_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Test split as the prompt stage sees it: files under their new paths, and the mapping."""
-    files = code_files(spark, sf_dir).select("path", "file_name", "text")
-    mapping = sc.split_stage(files, sc.RunConfig(seed=SEED, output_directory=OUT_DIR))
-    return sc.test_files(files, mapping).select("path", "text"), mapping
+def split_by_module(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 + P5: one file of every module held out, numbered and mapped."""
+    files = code_files(spark, sf_dir).select("path", "module", "file_name")
+    held = splits.split_holdout_per_module(files, SEED)
+    return splits.file_mapping(splits.number_within_split(held, SEED), OUT_DIR)
+
+
+def catalogue_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An outcome for every catalogued module; those without one are not built."""
+    catalogue = table(spark, sf_dir, "documents").select(F.col("source").alias("module")).distinct()
+    known = si.module_baselines(spark, sf_dir).where("built")
+    return outc.module_baseline(catalogue, known).select(
+        "module", "built", F.col("failure_count").cast("long"), F.col("error_count").cast("long"))
+
+
+def prompt_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B5 + B6: the module and build outcome of every sampled prompt, by key."""
+    prompts = line_prompts(spark, sf_dir).select("prompt_id", "path_in_code_repo")
+    builds = si.response_outcomes(spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("doc"), "built", F.col("failure_count").cast("long"))
+    prompts = prompts.withColumn("doc", F.element_at(F.split("path_in_code_repo", "/"), 3))
+    return outc.response_outcomes(prompts, builds, build_key=["doc"]).select(
+        "prompt_id", "module", "built", "failure_count")
+
+
+def summary_with_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome rates of every language and of the unaltered modules in one table."""
+    out = si.response_outcomes(spark, sf_dir).withColumn("result_name", F.col("lang"))
+    return _summary_out(summ.summary_table(out, si.module_baselines(spark, sf_dir), metrics=("pass@k",)))
 
 
 def _skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    test, mapping = _test_files(spark, sf_dir)
-    _, method_skips = cand.method_bodies(test)
-    skipped = cand.token_lex_failures(test).unionByName(method_skips)
-    return splits.map_back_skipped(skipped, mapping)
+    files = code_files(spark, sf_dir).select("path", "file_name", "text")
+    mapping = sc.split_stage(files, sc.RunConfig(seed=SEED, output_directory=OUT_DIR))
+    return sc.skipped_files(sc.test_files(files, mapping, SEED))
 
 
 def skipped_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -396,7 +420,7 @@ def splice_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = code_files(spark, sf_dir).select("path", "text")
     prompts = line_prompts(spark, sf_dir).select("prompt_id", "path", "prompt", "label", "start_line")
     done = comp.complete_with(prompts, comp.previous_line_completer)
-    rows = splits.join_back(done, files, ["path"], LINES_K)
+    rows = splits.join_back(done, files, ["path"])
     offset = F.length(F.array_join(F.slice(split_lines("text"), 1, F.col("start_line") - 1), ""))
     edited = masking.splice("text", "label", "completion", offset)
     legacy = masking.splice("text", "label", "completion")
@@ -415,7 +439,7 @@ def scorecard_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                     lines_prompts_count=LINES_K, tokens_prompts_count=TOKENS_K,
                     methods_prompts_count=METHODS_K, num_label_lines=NUM_LABEL_LINES,
                     num_label_tokens=NUM_LABEL_TOKENS, inference_model=SCORECARD_MODEL)
-    res = sc.run_scorecard(code_files(spark, sf_dir), cfg)
+    res = sc.run_scorecard(code_files(spark, sf_dir), cfg, matches=si.with_matches)
     return _summary_out(res["summary"])
 
 
@@ -432,6 +456,10 @@ QUERIES = {
     "split_random_exact": split_random_exact,
     "split_holdout_per_module": split_holdout_per_module,
     "file_mapping": file_mapping,
+    "split_by_module": split_by_module,
+    "catalogue_baselines": catalogue_baselines,
+    "prompt_outcomes": prompt_outcomes,
+    "summary_with_baseline": summary_with_baseline,
     "ngram_match": ngram_match,
     "weighted_ngram": weighted_ngram,
     "composite_score": composite_score,

@@ -23,6 +23,7 @@ from holecard.operators.outcomes import join_outcomes
 from holecard.session import checkpoint_stage
 
 
+# --- fixed values: names and defaults of the run configuration ---
 @dataclass
 class RunConfig:
     run_ts: str = field(default_factory=lambda: time.strftime("%Y%m%d_%H%M%S"))
@@ -64,42 +65,63 @@ def split_stage(files: DataFrame, cfg: RunConfig) -> DataFrame:
     return splits.file_mapping(ranked, cfg.output_directory)
 
 
-def test_files(files: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Test files under their new paths, with their original path kept."""
+def test_files(files: DataFrame, mapping: DataFrame, seed: int, strategy: str = "random") -> DataFrame:
+    """Test files ``(path, text)`` under their original paths.
+
+    In a random split the test files are those from a random key on, so they
+    are a filter on the scan and no text is shuffled.  One file per module is
+    a semi-join with as many rows as there are modules.
+    """
     test = mapping.where(F.col("split") == "test")
-    return files.join(test, files["path"] == test["old_path"], "inner").select(
-        F.col("new_path").alias("path"), F.col("old_path").alias("path_in_code_repo"), "text")
+    if strategy == "random":
+        key = splits.random_key(seed, F.col("path"))
+        first = test.select(F.min(splits.random_key(seed, F.col("old_path")))).scalar()
+        return files.where(key >= first).select("path", "text")
+    return files.join(test, files["path"] == test["old_path"], "left_semi").select("path", "text")
+
+
+def skipped_files(tests: DataFrame) -> DataFrame:
+    """T5: ``(old_path, reason)`` of test files that give no candidates of a kind."""
+    _, method_skips = cand.method_bodies(tests)
+    return cand.token_lex_failures(tests).unionByName(method_skips) \
+        .select(F.col("path").alias("old_path"), "reason")
 
 
-def prompt_stage(tests: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
-    """Stage 2 (T1-T5, P6, M1-M4): prompts of the three kinds, and skipped files."""
-    src = tests.select("path", "path_in_code_repo", "text")
+def prompt_stage(tests: DataFrame, mapping: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
+    """Stage 2 (T1-T5, P6, M1-M4): prompts of the three kinds, and skipped files.
+
+    Candidates are sampled by original path; only the sampled rows meet the
+    text again, and the mapping for their new path.
+    """
+    src = tests.select("path", "text")
     lines = splits.sample_k(cand.line_candidates(src, cfg.num_label_lines),
                             cfg.lines_prompts_count, cfg.seed, "lines", ["path", "line_idx"])
-    lines = masking.mask_lines(splits.join_back(lines, src, ["path"], cfg.lines_prompts_count),
+    lines = masking.mask_lines(splits.join_back(lines, src, ["path"]),
                                "line_idx", cfg.num_label_lines, cfg.infill,
                                cfg.max_lines_above, cfg.max_lines_below) \
         .withColumn("kind", F.lit("lines")).withColumn("method", F.lit(None).cast("string")) \
         .withColumn("_pos", F.col("line_idx"))
     tok_c = cand.token_candidates(src, cfg.num_label_tokens).select("path", "token_idx")
     toks = splits.sample_k(tok_c, cfg.tokens_prompts_count, cfg.seed, "tokens", ["path", "token_idx"])
-    toks = masking.mask_tokens(splits.join_back(toks, src, ["path"], cfg.tokens_prompts_count),
+    toks = masking.mask_tokens(splits.join_back(toks, src, ["path"]),
                                "token_idx", cfg.num_label_tokens, cfg.infill,
                                cfg.max_lines_above, cfg.max_lines_below) \
         .withColumn("kind", F.lit("tokens")).withColumn("method", F.lit(None).cast("string")) \
         .withColumn("_pos", F.col("token_idx"))
     bodies, method_skips = cand.method_bodies(src)
     meth = splits.sample_k(bodies, cfg.methods_prompts_count, cfg.seed, "methods", ["path", "pos"])
-    meth = masking.mask_lines(splits.join_back(meth, src, ["path"], cfg.methods_prompts_count),
+    meth = masking.mask_lines(splits.join_back(meth, src, ["path"]),
                               "body_start_line", "body_line_count", cfg.infill,
                               cfg.max_lines_above, cfg.max_lines_below) \
         .withColumn("kind", F.lit("methods")).withColumn("_pos", F.col("pos"))
-    cols = ["kind", "path", "path_in_code_repo", "method", "prompt", "label", "start_line",
-            "end_line", "_pos"]
-    prompts = lines.select(*cols).unionByName(toks.select(*cols)).unionByName(meth.select(*cols))
+    cols = ["kind", "path", "method", "prompt", "label", "start_line", "end_line", "_pos"]
+    prompts = lines.select(*cols).unionByName(toks.select(*cols)).unionByName(meth.select(*cols)) \
+        .withColumnRenamed("path", "path_in_code_repo")
+    moved = mapping.where(F.col("split") == "test").select("old_path", F.col("new_path").alias("path"))
+    prompts = prompts.join(moved, prompts["path_in_code_repo"] == moved["old_path"], "left").drop("old_path")
     prompts = prompts.withColumn("prompt_id", F.concat_ws(":", "kind", "path", F.col("_pos").cast("string")))
     skipped = cand.token_lex_failures(src).unionByName(method_skips)
-    return prompts.select(*PROMPT_COLUMNS), skipped
+    return prompts.select(*PROMPT_COLUMNS), skipped.select(F.col("path").alias("old_path"), "reason")
 
 
 def completion_stage(prompts: DataFrame, cfg: RunConfig,
@@ -125,7 +147,8 @@ def evaluation_stage(responses: DataFrame, cfg: RunConfig, outcomes: DataFrame |
     """Stage 4 (G4, C1-C7, B5): scores (and build outcomes) per response."""
     evaluated = responses.withColumn("completion", scoring.strip_eot("completion"))
     if "CodeBLEU" in cfg.evaluation_metrics:
-        evaluated = scoring.code_bleu(evaluated)
+        given = {k: f"{k}_match" for k in ("syntax", "dataflow") if f"{k}_match" in evaluated.columns}
+        evaluated = scoring.code_bleu(evaluated, **given)
     if "pass@k" in cfg.evaluation_metrics and outcomes is not None:
         evaluated = join_outcomes(evaluated, outcomes, ["prompt_id", "sample_idx"])
     return evaluated
@@ -144,14 +167,19 @@ def analysis_stage(evaluated: DataFrame, cfg: RunConfig, modules: DataFrame | No
 
 def run_scorecard(files: DataFrame, cfg: RunConfig | None = None,
                   completer: Callable | None = None, completions: DataFrame | None = None,
-                  outcomes: DataFrame | None = None, modules: DataFrame | None = None) -> dict:
-    """All five stages on a corpus ``files(path, file_name, module, text)``."""
+                  outcomes: DataFrame | None = None, modules: DataFrame | None = None,
+                  matches: Callable[[DataFrame], DataFrame] | None = None) -> dict:
+    """All five stages on a corpus ``files(path, file_name, module, text)``.
+
+    ``matches`` adds ``syntax_match`` and ``dataflow_match`` to the responses;
+    without them those scores and the composite are null.
+    """
     cfg = cfg or RunConfig()
     mapping = split_stage(files, cfg)
-    tests = test_files(files, mapping)
-    prompts, skipped = prompt_stage(tests, cfg)
-    skipped = splits.map_back_skipped(skipped, mapping)
+    tests = test_files(files, mapping, cfg.seed, cfg.split_strategy)
+    prompts, skipped = prompt_stage(tests, mapping, cfg)
     responses = completion_stage(prompts, cfg, completer, completions)
+    responses = matches(responses) if matches else responses
     evaluated = evaluation_stage(responses, cfg, outcomes)
     summary_df = analysis_stage(evaluated, cfg, modules)
     return {"config": asdict(cfg), "mapping": mapping, "prompts": prompts, "skipped": skipped,
@@ -197,9 +225,8 @@ def resume_scorecard(spark, run_dir: str, files: DataFrame | None, cfg: RunConfi
     res = {"config": asdict(cfg)}
     res[_STEP_INPUT[from_step]] = spark.read.parquet(f"{run_dir}/{_STEP_INPUT[from_step]}")
     if from_step == "prompts":
-        tests = test_files(files, res["mapping"])
-        res["prompts"], skipped = prompt_stage(tests, cfg)
-        res["skipped"] = splits.map_back_skipped(skipped, res["mapping"])
+        tests = test_files(files, res["mapping"], cfg.seed, cfg.split_strategy)
+        res["prompts"], res["skipped"] = prompt_stage(tests, res["mapping"], cfg)
     if from_step in ("prompts", "completions"):
         res["responses"] = completion_stage(res["prompts"], cfg, completer, completions)
     if from_step in ("prompts", "completions", "evaluate"):

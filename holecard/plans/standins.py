@@ -7,7 +7,7 @@ word for word (see ``plans/oracle.py``).  Every stand-in grows with the tables.
 
 * corpus files  <- ``documents``: each document is rendered as a Java-like
   source file (package line, import line, block comment, one method per text
-  line, each with a line comment; a document holding ``#`` also declares a
+  line, each with a line comment; a document holding ``|`` also declares a
   method without a body).  ``path = source/lang/doc_id/<Name>.java``,
   module = ``source``; a document whose text mentions "test" plays a unit-test
   file (``<Name>Test.java``).
@@ -49,8 +49,8 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_test = F.col("text").rlike(TEST_MARK)
     cls = F.concat(base, F.when(is_test, F.lit("Test")).otherwise(F.lit("")))
     body = F.regexp_replace(normalize_newlines("text"), r"([^\n]+)", METHOD_TEMPLATE)
-    # a document holding '#' also declares a method without a body
-    tail = F.when(F.col("text").contains("#"), F.lit(ABSTRACT_LINE)).otherwise(F.lit(""))
+    # a document holding '|' also declares a method without a body
+    tail = F.when(F.col("text").contains("|"), F.lit(ABSTRACT_LINE)).otherwise(F.lit(""))
     text = F.concat(
         F.lit("package "), F.col("source"), F.lit(";\n\nimport java.util."), F.col("lang"),
         F.lit(";\n\n/*\n * "), cls, F.lit("\n */\npublic class "), cls, F.lit(" {\n"),
@@ -98,6 +98,12 @@ def completion_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc_pairs.unionByName(turn_pairs)
 
 
+def with_matches(pairs: DataFrame) -> DataFrame:
+    """Stand-in syntax and data-flow matches of a pair, from its label's length."""
+    size = F.length("label")
+    return pairs.withColumn("syntax_match", size % 11 / 10.0).withColumn("dataflow_match", size % 7 / 6.0)
+
+
 def build_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build logs ``(build_id, line_no, line)`` from ``events``: one build per
     user, one line per event in event order; signups open a failure block,

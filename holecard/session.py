@@ -32,10 +32,6 @@ def build_session(master: str | None = None, app_name: str = "holecard",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
-    # deep regex recursion (escape-heavy literals) needs more than the
-    # default thread stack
-    conf["spark.driver.extraJavaOptions"] = "-Xss16m"
-    conf["spark.executor.extraJavaOptions"] = "-Xss16m"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

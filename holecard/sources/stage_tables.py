@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "quote": '"'}
+# cells keep their leading and trailing white space (a label may end a line)
+CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "quote": '"',
+               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 # --- fixed values: reference file-name conventions ---
 SKIPPED_FILE = "skipped_files.csv"

@@ -1,5 +1,4 @@
-"""The reference run's checked-in tables as golden data (read in place)."""
-
+"""Scores and summaries of small rows with values computed by hand."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,91 +6,51 @@ from pyspark.sql import functions as F
 from holecard.operators import scoring, summary
 from holecard.sources import stage_tables
 
-from conftest import REFERENCE_RUN
-
-SCORES = ["codebleu", "ngram_match_score", "weighted_ngram_match_score", "syntax_match_score",
-          "dataflow_match_score"]
+# label, completion, n-gram match
+PAIRS = [
+    ("same", "int total = count + 1 ;", "int total = count + 1 ;", 1.0),
+    # 4/5 of the words, 3/4, 2/3 and 1/2 of the longer runs: (0.2) ** (1 / 4)
+    ("last_word", "alpha beta gamma delta omega", "alpha beta gamma delta sigma", 0.2 ** 0.25),
+    ("nothing", "alpha beta", "gamma delta", 0.0),
+    ("open_literal", 'String s = "a";', 'String s = "a;', None),
+]
 
 
 @pytest.fixture(scope="module")
-def evaluated(spark):
-    df = stage_tables.read_result_files(spark, f"{REFERENCE_RUN}/evaluated_responses")
-    for c in SCORES:
-        df = df.withColumn(c, F.col(c).cast("double"))
-    return df
-
-
-def test_result_files_read_whole(evaluated):
-    counts = {r["prompt_kind"]: r["count"] for r in evaluated.groupBy("prompt_kind").count().collect()}
-    assert counts == {"lines": 10, "tokens": 10}
-    assert {r["model"] for r in evaluated.select("model").distinct().collect()} == {"codellama-7b"}
-
-
-def test_ngram_and_weighted_and_composite_match_published(evaluated):
-    pairs = evaluated.select("result_name", "prompt", "label", "completion", "syntax_match_score",
-                             "dataflow_match_score", *[F.col(c).alias("pub_" + c) for c in SCORES[:3]])
-    pairs = pairs.withColumn("completion", scoring.strip_eot("completion"))
-    out = scoring.ngram_match_scores(pairs).withColumn(
-        "cb", scoring.composite_score("ngram_match_score", "weighted_ngram_match_score",
-                                      "syntax_match_score", "dataflow_match_score")).collect()
-    assert len(out) == 20
-    nulls = [r for r in out if r["pub_codebleu"] is None]
-    assert len(nulls) == 1 and nulls[0]["ngram_match_score"] is None and not nulls[0]["lex_ok"]
-    for r in out:
-        if r["pub_codebleu"] is None:
-            continue
-        assert r["ngram_match_score"] == pytest.approx(r["pub_ngram_match_score"], abs=1e-9)
-        assert r["weighted_ngram_match_score"] == pytest.approx(r["pub_weighted_ngram_match_score"], abs=1e-9)
-        assert r["cb"] == pytest.approx(r["pub_codebleu"], abs=1e-9)
-
-
-def test_summary_rows_match_published(spark, evaluated):
-    ev = evaluated.withColumn("completion", scoring.strip_eot("completion"))
-    got = {r["result_name"]: r for r in summary.summary_table(ev).collect()}
-    pub = stage_tables.read_stage_csv(spark, f"{REFERENCE_RUN}/analyzed_results/results_summary.csv")
-    pub = {r["_c0"]: r for r in pub.collect()}
-    assert len(got) == 2
-    for name, row in got.items():
-        want = pub[name]
-        for c in summary.SUMMARY_COLUMNS[1:-1]:
-            if want[c] in (None, ""):
-                assert row[c] is None, c
-            else:
-                assert row[c] == pytest.approx(float(want[c]), abs=5e-7), c
-        assert row["prompt_type"] == want["prompt_type"]
-
-
-def test_stage_tables_read_whole(spark):
-    mapping = stage_tables.read_stage_csv(spark, f"{REFERENCE_RUN}/file_mappings_test.csv")
-    assert mapping.count() == 122
-    skipped = stage_tables.read_stage_csv(spark, f"{REFERENCE_RUN}/prompts/skipped_files.csv")
-    reasons = {r["reason"]: r["count"] for r in skipped.groupBy("reason").count().collect()}
-    assert reasons == {"all_relevant_method_bodies": 23, "these_relevant_token_indices": 1}
-    prompts = stage_tables.read_prompt_tables(spark, f"{REFERENCE_RUN}/prompts")
-    assert prompts.groupBy("source_file").count().count() == 3
-    assert prompts.count() == 30
-
-
-def test_golden_prompts_have_fim_shape(spark):
-    for name in ("lines_df", "tokens_df", "methods_df"):
-        df = stage_tables.read_stage_csv(spark, f"{REFERENCE_RUN}/prompts/{name}.csv")
-        for r in df.collect():
-            assert r["prompt"].startswith("<PRE> ") and r["prompt"].endswith(" <MID>")
-            assert " <SUF>" in r["prompt"]
-
-
-def test_golden_prompt_invariants(spark):
-    lines = stage_tables.read_stage_csv(spark, f"{REFERENCE_RUN}/prompts/lines_df.csv").collect()
-    assert len(lines) == 10
-    for r in lines:
-        assert r["label"].count("\n") == 2
-        assert int(r["last_line_to_remove_index"]) == int(r["line_to_remove_index"]) + 1
-    methods = stage_tables.read_stage_csv(spark, f"{REFERENCE_RUN}/prompts/methods_df.csv").collect()
-    assert len(methods) == 10
-    for r in methods:
-        assert r["label"].count("\n") == int(r["end_line"]) - int(r["start_line"]) + 1
-    mapping = {r["new_path"]: r["old_path"] for r in stage_tables.read_stage_csv(
-        spark, f"{REFERENCE_RUN}/file_mappings_test.csv").collect()}
-    for name in ("lines_df", "tokens_df", "methods_df"):
-        for r in stage_tables.read_stage_csv(spark, f"{REFERENCE_RUN}/prompts/{name}.csv").collect():
-            assert mapping[r["path"]] == r["path_in_code_repo"]
+def scored(spark):
+    df = spark.createDataFrame(PAIRS, "prompt_id string, label string, completion string, want double")
+    return scoring.ngram_match_scores(df)
+
+
+def test_ngram_match(scored):
+    for r in scored.collect():
+        if r["want"] is None:
+            assert r["ngram_match_score"] is None and not r["lex_ok"]
+        else:
+            assert r["ngram_match_score"] == pytest.approx(r["want"], abs=1e-6), r["prompt_id"]
+
+
+def test_composite_is_a_quarter_of_each(scored):
+    out = scored.select("prompt_id", scoring.composite_score(
+        F.lit(0.4), F.lit(0.8), F.lit(0.2), F.lit(0.6)).alias("c")).collect()
+    assert all(r["c"] == pytest.approx(0.5) for r in out)
+
+
+def test_summary_of_two_results(spark):
+    rows = [("run_lines_df", 0.25, 0.5, 0.5, 1.0, 0.5, "a b", "a"), ("run_lines_df", 0.75, 0.5, 0.5, 0.0, 1.0, "a", "a b c"),
+            ("run_tokens_df", None, None, None, None, None, "a", "b")]
+    df = spark.createDataFrame(rows, "result_name string, codebleu double, ngram_match_score double, "
+                               "weighted_ngram_match_score double, syntax_match_score double, "
+                               "dataflow_match_score double, label string, completion string")
+    got = {r["result_name"]: r for r in summary.summary_table(df).collect()}
+    lines = got["run_lines_df"]
+    assert lines["average_code_bleu"] == 0.5 and lines["average_code_bleu_moe"] == pytest.approx(0.125 ** 0.5)
+    assert lines["average_label_token_count"] == 1.5 and lines["average_completion_token_count"] == 2.0
+    assert lines["prompt_type"] == "lines" and got["run_tokens_df"]["average_code_bleu"] is None
+
+
+def test_csv_cells_keep_line_breaks_and_quotes(spark, tmp_path):
+    rows = [("a", 'x = "1";\n\n// two, lines\n'), ("b", "plain")]
+    df = spark.createDataFrame(rows, "prompt_id string, prompt string")
+    stage_tables.write_stage_csv(df, f"{tmp_path}/t")
+    assert sorted((r["prompt_id"], r["prompt"]) for r in stage_tables.read_stage_csv(spark, f"{tmp_path}/t").collect()) == rows

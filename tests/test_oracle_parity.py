@@ -5,13 +5,13 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from holecard.plans import oracle, queries
 from holecard.plans.standins import TABLES
 
 from conftest import SMOKE_DIR
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = queries.QUERIES
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

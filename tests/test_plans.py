@@ -4,11 +4,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from holecard.plans import oracle, queries
 
 from conftest import SMOKE_DIR
 
-QUERIES = entry.queries()
+QUERIES = queries.QUERIES
 # no per-key shuffle at all: only the round-robin spread of a one-row-group input
 ROW_LOCAL = ["line_candidates", "token_candidates", "lex_failures", "module_catalogue",
              "node_property_filter", "corpus_scan_filter"]
