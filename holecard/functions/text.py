@@ -32,10 +32,6 @@ def strip(c) -> Column:
     return F.regexp_replace(col(c), rf"^{WS}+|{WS}+$", "")
 
 
-def is_blank(c) -> Column:
-    return col(c).rlike(rf"^{WS}*$")
-
-
 def count_char(c, ch: str) -> Column:
     """Occurrences of one character in a string column."""
     return F.length(col(c)) - F.length(F.replace(col(c), F.lit(ch), F.lit("")))

@@ -33,8 +33,3 @@ def match_tests(app_files: DataFrame, test_files: DataFrame, name: str = "file_n
     pairs = tests.join(apps, tests["key"] == apps["app"], "inner").select("app", "test").distinct()
     tests_without = tests.join(apps, tests["key"] == apps["app"], "left_anti").select("test").distinct()
     return apps_without, pairs, tests_without
-
-
-def keep_listed(df: DataFrame, column: str, values: list) -> DataFrame:
-    """Membership filter (IN list)."""
-    return df.where(F.col(column).isin(*values))

@@ -62,11 +62,6 @@ def _with_ngrams(df: DataFrame, toks: str, prefix: str) -> DataFrame:
     return out
 
 
-def _tag(arr: str, n: int, side: int) -> Column:
-    return F.transform(arr, lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"),
-                                               F.lit(side).alias("s")))
-
-
 def _weight(t: Column) -> Column:
     keywords = F.array(*[F.lit(k) for k in JAVA_KEYWORDS])
     return F.when(F.array_contains(keywords, t), F.lit(KEYWORD_WEIGHT)).otherwise(F.lit(OTHER_WEIGHT))

@@ -207,6 +207,31 @@ def write_run(spark, result: dict, out_dir: str, fmt: str = "parquet") -> str:
     return run_dir
 
 
+def run_staged(spark, files: DataFrame, cfg: RunConfig, out_dir: str,
+               completer: Callable | None = None, completions: DataFrame | None = None,
+               outcomes: DataFrame | None = None, modules: DataFrame | None = None,
+               matches: Callable[[DataFrame], DataFrame] | None = None) -> str:
+    """The whole run, each stage table written under ``<out_dir>/<run_ts>/`` and
+    read back for the next, so no stage computes an earlier one again."""
+    from holecard.sources import stage_tables
+    run_dir = f"{out_dir.rstrip('/')}/{cfg.run_ts}"
+
+    def kept(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{run_dir}/{name}")
+        return spark.read.parquet(f"{run_dir}/{name}")
+
+    mapping = kept("mapping", split_stage(files, cfg))
+    prompts, skipped = prompt_stage(test_files(files, mapping, cfg.seed, cfg.split_strategy), mapping, cfg)
+    prompts = kept("prompts", prompts)
+    kept("skipped", skipped)
+    responses = completion_stage(prompts, cfg, completer, completions)
+    responses = kept("responses", matches(responses) if matches else responses)
+    evaluated = kept("evaluated", evaluation_stage(responses, cfg, outcomes))
+    kept("summary", analysis_stage(evaluated, cfg, modules))
+    stage_tables.write_sidecar(spark, asdict(cfg), f"{run_dir}/config")
+    return run_dir
+
+
 STEPS = ("split", "prompts", "completions", "evaluate", "analyze")
 _STEP_INPUT = {"prompts": "mapping", "completions": "prompts", "evaluate": "responses",
                "analyze": "evaluated"}

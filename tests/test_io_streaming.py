@@ -154,6 +154,10 @@ def test_resume_from_analysis(spark, tmp_out):
                               tokens_prompts_count=5, methods_prompts_count=5)
     res = scorecard.run_scorecard(files, cfg)
     run_dir = scorecard.write_run(spark, res, os.path.join(tmp_out, "runs"))
+    staged = scorecard.run_staged(spark, files, cfg, os.path.join(tmp_out, "staged"))
+    for name in ("mapping", "prompts", "summary"):
+        want = sorted(map(tuple, res[name].collect()), key=repr)
+        assert sorted(map(tuple, spark.read.parquet(f"{staged}/{name}").collect()), key=repr) == want
     again = scorecard.resume_scorecard(spark, run_dir, None, cfg, "analyze")
     assert sorted(map(tuple, again["summary"].collect()), key=repr) == \
         sorted(map(tuple, res["summary"].collect()), key=repr)
