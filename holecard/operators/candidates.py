@@ -102,6 +102,8 @@ def token_lex_failures(files: DataFrame) -> DataFrame:
 
 # --- fixed values: Java primitive type names (a method name may follow them) ---
 PRIMITIVE_TYPES = "void boolean byte char short int long float double".split()
+# --- fixed values: words that declare a type ---
+TYPE_WORDS = ("class", "interface", "enum")
 
 
 def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -110,21 +112,30 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A method header is a name token that is followed by ``(`` and preceded by
     a type (an identifier, a primitive type, ``>`` or ``]``) -- so, as in the
-    reference (Q5), constructors are not methods.  Its body is opened by the
-    first ``{`` after the name unless a ``;`` comes first (abstract or
-    interface method: no body, the file is reported as skipped, Q13); a ``{``
-    belongs to the last header before it with no ``{`` or ``;`` in between.
-    The matching ``}`` is found without a per-method scan: at one brace depth
-    of a file the braces alternate, so the next brace at the same depth closes.  The body is the
-    lines strictly between the two braces; 0-based ``body_start_line``.
-    One-line bodies (count < 1, Q14) are dropped.  Files that fail to lex are
-    skipped.  ``pos`` is the name's position in the file's token list.
+    reference (Q5), constructors are not methods -- directly inside a type
+    body.  A type body is opened by the ``{`` of a class, interface or enum
+    (its keyword stands since the last ``{``, ``}`` or ``;``) or of an
+    anonymous class (a ``new`` stands there under the same number of open
+    parentheses, and ``)`` just before).  Enum constants have no type body here.
+
+    The body is opened by the first ``{`` after the name unless a ``;`` comes
+    first (abstract or interface method: no body, the file is reported as
+    skipped, Q13).  A ``{`` or ``;`` belongs to the last header before it with
+    no other in between, and to none if an ``=`` stands before it (since the
+    last ``{``, ``}`` or ``;``, under the same number of open parentheses):
+    that is an initialiser.  The matching ``}`` is found without a per-method
+    scan: at one brace depth of a file the braces alternate, so the next brace
+    at the same depth closes, and the last ``{`` one level up encloses a
+    header.  The body is the lines strictly between the two braces; 0-based
+    ``body_start_line``.  One-line bodies (count < 1, Q14) are dropped.  Files
+    that fail to lex are skipped.  ``pos`` is the name's position in the
+    file's token list.
 
     Row-local first: headers come from each code token's neighbours, and the
-    line of every brace and ``;`` from one pass that writes a position marker
-    for them and only the newlines of everything else, then splits by line.
-    Only those few tokens reach the per-file window (brace depth, next
-    terminator) and its shuffle.
+    other marks from one pass that writes a position marker for them, keeps
+    newlines and parentheses, and leaves out everything else.  Only those
+    marks, with the counts of newlines and parentheses before each, reach the
+    per-file windows and their one shuffle.
     """
     from holecard.functions.lexer import JAVA_KEYWORDS, is_code_token
 
@@ -134,14 +145,19 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     def is_name(t):
         return t.rlike(ident) & ~F.array_contains(keywords, t)
 
+    def mark(t, p, kind):
+        return F.concat(F.lit("\u0001"), p.cast("string"), kind, F.lit("\u0002"))
+
     lexed = files.select("path", all_tokens(normalize_newlines("text")).alias("_all"))
     staged = lexed.select(
         "path", lex_ok_of(F.col("_all")).alias("_ok"),
         code_tokens_of(F.col("_all")).alias("_code"),
         indices_where(F.col("_all"), is_code_token).alias("_cpos"),
-        F.array_join(F.transform("_all", lambda t, p: F.when(
-            t.isin("{", "}", ";"), F.concat(F.lit("\u0001"), p.cast("string"), t, F.lit("\u0002")))
-            .when(is_code_token(t), F.lit(""))
+        F.array_join(F.transform("_all", lambda t, p: F.when(t.isin("{", "}", ";", "="), mark(t, p, t))
+            .when(t.isin(*TYPE_WORDS), mark(t, p, F.lit("K")))
+            .when(t == "new", mark(t, p, F.lit("N")))
+            .when(t.isin("(", ")", "."), t)
+            .when(is_code_token(t), F.lit("-"))
             .otherwise(F.regexp_replace(t, r"[^\n]", ""))), "").alias("_marks"))
     # headers: name, next code token "(", previous code token a type
     n = F.size("_code")
@@ -154,57 +170,81 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
         ((p.rlike(ident) & ~F.array_contains(keywords, p)) |
          p.isin(*PRIMITIVE_TYPES, ">", "]")), cx["c"]))
 
-    def row(pos, tok, method, line0):
+    def row(pos, tok, method, gap):
         return F.struct(pos.cast("int").alias("pos"), tok.alias("tok"),
-                        method.cast("string").alias("method"), line0.cast("int").alias("line0"))
+                        method.cast("string").alias("method"), gap.alias("gap"))
 
     headers = F.filter(F.zip_with(names, F.col("_cpos"), lambda name, p: F.when(
-        name.isNotNull(), row(p - 1, F.lit("H"), name, F.lit(None)))), lambda h: h.isNotNull())
-    # braces and semicolons with their 0-based line numbers
-    pattern = "\u0001([0-9]+)([{};])\u0002"
-    marks = F.flatten(F.transform(F.split("_marks", "\n"), lambda l, i: F.zip_with(
-        F.regexp_extract_all(l, F.lit(pattern), 1), F.regexp_extract_all(l, F.lit(pattern), 2),
-        lambda p, t: row(p, t, F.lit(None), i))))
+        name.isNotNull(), row(p - 1, F.lit("H"), name, F.lit("")))), lambda h: h.isNotNull())
+    # marks with what stands between each and the one before it
+    pattern = "([^\u0001]*)\u0001([0-9]+)([{};=KN])\u0002"
+    part = lambda g: F.regexp_extract_all("_marks", F.lit(pattern), g)
+    marks = F.zip_with(
+        F.arrays_zip(part(2).alias("p"), part(3).alias("t")), part(1),
+        lambda m, gap: row(m["p"], m["t"], F.lit(None), gap))
     # One generator emits everything (marks, headers, or one row for a file
     # that does not lex), so the tokeniser runs once per file.  No Filter on
     # the lexer flag: Catalyst would push it below the scan-side exchange and
     # inline the tokeniser into it.
-    failed = F.array(row(F.lit(-1), F.lit("!"), F.lit(None), F.lit(None)))
+    failed = F.array(row(F.lit(-1), F.lit("!"), F.lit(None), F.lit("")))
     rows = staged.select("path", F.explode(
-        F.when(F.col("_ok"), F.concat(marks, headers)).otherwise(failed)).alias("r")).select("path", "r.*")
+        F.when(F.col("_ok"), F.concat(marks, headers)).otherwise(failed)).alias("r"))
+    count = lambda c: F.length("r.gap") - F.length(F.replace(F.col("r.gap"), F.lit(c), F.lit("")))
+    rows = rows.select(
+        "path", "r.pos", "r.tok", "r.method", count("\n").alias("_newlines"),
+        (count("(") - count(")")).alias("_open"),
+        F.regexp_extract("r.gap", r"([^\n])\n*$", 1).alias("_left"))
     bad = rows.where(F.col("tok") == "!").select(
         "path", F.lit("all_relevant_method_bodies").alias("reason"))
 
     w = Window.partitionBy("path").orderBy("pos")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pos_of = lambda cond: F.max(F.when(cond, F.col("pos"))).over(before)
     delta = F.when(F.col("tok") == "{", 1).when(F.col("tok") == "}", -1).otherwise(0)
     is_term = F.col("tok").isin("{", ";")
-    # one pass in file order: brace depth, and the header a terminator closes
-    # (the last header before it with no "{" or ";" in between)
+    # one pass in file order: line, brace depth and open parentheses
     scanned = rows.where(F.col("tok") != "!").select(
         "*",
-        F.sum(delta).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("depth"),
-        F.last(F.when(F.col("tok") == "H", F.struct("pos", "method")), ignorenulls=True)
-        .over(before).alias("_head"),
-        F.max(F.when(is_term, F.col("pos"))).over(before).alias("_last_term"))
-    owner = F.when(is_term & (F.col("_head")["pos"] > F.coalesce("_last_term", F.lit(-1))), F.col("_head"))
-    level = F.when(F.col("tok") == "{", F.col("depth") - 1).otherwise(F.col("depth"))
-    # at one depth of a file, braces alternate "{", "}": the next brace at the
-    # same depth closes an opening one
+        F.sum("_newlines").over(so_far).cast("int").alias("line0"),
+        F.sum(delta).over(so_far).alias("depth"),
+        F.sum("_open").over(so_far).alias("_parens"),
+        pos_of(is_term).alias("_last_term"),
+        F.coalesce(pos_of(F.col("tok").isin("{", "}", ";")), F.lit(-1)).alias("_from"),
+        # Foo.class is no declaration
+        pos_of((F.col("tok") == "K") & (F.col("_left") != ".")).alias("_type"))
+    # under the same number of open parentheses
+    beside = Window.partitionBy("path", "_parens").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    beside_pos = lambda kind: F.max(F.when(F.col("tok") == kind, F.col("pos"))).over(beside)
+    opens_type = (F.col("_type") > F.col("_from")) \
+        | ((beside_pos("N") > F.col("_from")) & (F.col("_left") == ")"))
+    scanned = scanned.withColumn("_opens_type", F.coalesce(opens_type, F.lit(False))) \
+        .withColumn("_assigns", F.coalesce(beside_pos("=") > F.col("_from"), F.lit(False)))
+    # at one depth of a file braces alternate "{", "}": the next one closes an
+    # opening one; a header lies one level below the brace that encloses it
+    level = F.when(F.col("tok").isin("{", "H"), F.col("depth") - 1).when(F.col("tok") == "}", F.col("depth"))
+    brace = F.when(F.col("tok").isin("{", "}"), F.struct("tok", "line0"))
     wl = Window.partitionBy("path", "level").orderBy("pos")
-    paired = scanned.select("path", "pos", "tok", "line0", owner.alias("_owner"), level.alias("level")) \
-        .select("*", F.lead("tok").over(wl).alias("_next"), F.lead("line0").over(wl).alias("close_line"))
-    found = paired.where((F.col("tok") == "{") & F.col("_owner").isNotNull() & (F.col("_next") == "}"))
-    bodies = found.select(
+    placed = scanned.withColumn("level", level).withColumn("_brace", brace).select(
+        "*",
+        F.last(F.when(F.col("tok") == "{", F.col("_opens_type")), ignorenulls=True)
+        .over(wl.rowsBetween(Window.unboundedPreceding, -1)).alias("_within"),
+        F.expr("lead(_brace) IGNORE NULLS OVER (PARTITION BY path, level ORDER BY pos)").alias("_close"))
+    # the header that a terminator closes
+    head = F.last(F.when((F.col("tok") == "H") & F.col("_within"), F.struct("pos", "method")),
+                  ignorenulls=True).over(before)
+    owned = placed.withColumn("_head", head).where(is_term)
+    owner = F.when(~F.col("_assigns") & (F.col("_head")["pos"] > F.coalesce("_last_term", F.lit(-1))),
+                   F.col("_head"))
+    ended = owned.select("path", "tok", "line0", "_close", owner.alias("_owner")) \
+        .where(F.col("_owner").isNotNull())
+    has_body = (F.col("tok") == "{") & F.coalesce(F.col("_close")["tok"] == "}", F.lit(False))
+    bodies = ended.where(has_body).select(
         "path", F.col("_owner")["method"].alias("method"), F.col("_owner")["pos"].alias("pos"),
         (F.col("line0") + 1).cast("int").alias("body_start_line"),
-        (F.col("close_line") - F.col("line0") - 1).cast("int").alias("body_line_count"),
+        (F.col("_close")["line0"] - F.col("line0") - 1).cast("int").alias("body_line_count"),
     ).where(F.col("body_line_count") >= 1)
     # a file with a header that opens no body (abstract or interface method)
-    per_file = paired.groupBy("path").agg(
-        F.sum((F.col("tok") == "H").cast("int")).alias("_heads"),
-        F.sum(((F.col("tok") == "{") & F.col("_owner").isNotNull() & (F.col("_next") == "}"))
-              .cast("int")).alias("_bodies"))
-    no_body = per_file.where(F.col("_heads") > F.col("_bodies")).select(
+    no_body = ended.groupBy("path").agg(F.max(~has_body).alias("_missing")).where("_missing").select(
         "path", F.lit("all_relevant_method_bodies").alias("reason"))
     return bodies, bad.unionByName(no_body)

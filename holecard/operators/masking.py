@@ -117,9 +117,10 @@ def splice(text, label, completion, offset=None) -> Column:
 
     With a 0-based character ``offset`` the replacement is positional (only
     that span changes).  Without one, every occurrence of the label is
-    replaced, as the reference's text replace does (legacy mode).
+    replaced, as the reference's text replace does (legacy mode).  Text and
+    label are taken with ``\\n`` line ends, which offsets count.
     """
-    text, label, completion = col(text), col(label), col(completion)
+    text, label, completion = normalize_newlines(text), normalize_newlines(label), col(completion)
     if offset is None:
         return F.replace(text, label, completion)
     offset = col(offset)

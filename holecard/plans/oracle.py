@@ -10,6 +10,7 @@ derivations of the same result.
 from __future__ import annotations
 
 from holecard.functions.lexer import TOKEN_PATTERN
+from holecard.plans.standins import TYPED_LINES
 
 
 def lit(s: str) -> str:
@@ -44,6 +45,7 @@ files AS (
          'package ' || source || ';' || chr(10) || chr(10) || 'import java.util.' || lang || ';'
            || chr(10) || chr(10) || '/*' || chr(10) || ' * ' || cls || chr(10) || ' */' || chr(10)
            || 'public class ' || cls || ' {' || chr(10)
+           || (CASE WHEN doc_id % 2 = 0 THEN """ + lit(TYPED_LINES) + r""" ELSE '' END)
            || regexp_replace(t, '([^\n]+)',
                 '    void m() {' || chr(10) || '        // line' || chr(10) || '        \1'
                 || chr(10) || '    }', 'g')
@@ -617,6 +619,9 @@ def method_ctes(src: str = "files") -> str:
     from holecard.functions.lexer import JAVA_KEYWORDS
     kw = "[" + ", ".join(lit(k) for k in JAVA_KEYWORDS) + "]"
     ident = "'^[A-Za-z_$][A-Za-z0-9_$]*$'"
+    flat = "words"  # balanced parentheses, innermost first
+    for _ in range(12):
+        flat = rf"regexp_replace({flat}, '\([^()]*\)', '#', 'g')"
     return rf"""
 mlex AS (SELECT path, regexp_extract_all(text, {lit(TOKEN_PATTERN)}, 0) AS all_t FROM {src}),
 mtok AS (SELECT path, unnest(all_t) AS tok, unnest(range(len(all_t))) AS pos FROM mlex),
@@ -641,48 +646,68 @@ mnbr AS (
          lead(tok) OVER (PARTITION BY path ORDER BY pos) AS nxt
   FROM mcode
 ),
-mrows AS (
-  SELECT path, pos, 'H' AS tok, CAST(NULL AS BIGINT) AS line0, tok AS method FROM mnbr
+mheads AS (
+  SELECT path, pos, tok AS method FROM mnbr
   WHERE regexp_matches(tok, {ident}) AND NOT list_contains({kw}, tok) AND nxt = '('
     AND ((regexp_matches(prev, {ident}) AND NOT list_contains({kw}, prev))
          OR prev IN ('void', 'boolean', 'byte', 'char', 'short', 'int', 'long', 'float', 'double', '>', ']'))
-  UNION ALL
-  SELECT path, pos, tok, line0, CAST(NULL AS VARCHAR) AS method FROM mcode WHERE tok IN ('{{', '}}', ';')
-),
-mscan AS (
-  SELECT path, pos, tok, line0, method,
-    sum(CASE WHEN tok = '{{' THEN 1 WHEN tok = '}}' THEN -1 ELSE 0 END)
-      OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS depth,
-    max(CASE WHEN tok = 'H' THEN pos END)
-      OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS head_pos,
-    max(CASE WHEN tok IN ('{{', ';') THEN pos END)
-      OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_term
-  FROM mrows
+),
+mparts AS (
+  SELECT *,
+    coalesce(sum(CASE WHEN tok IN ('{{', '}}', ';') THEN 1 ELSE 0 END) OVER (PARTITION BY path ORDER BY pos
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part,
+    coalesce(sum(CASE WHEN tok = '{{' THEN 1 WHEN tok = '}}' THEN -1 ELSE 0 END)
+             OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS outside
+  FROM mcode
+),
+mstatements AS (
+  SELECT path, ' ' || coalesce(string_agg(CASE WHEN starts_with(tok, chr(34)) OR starts_with(tok, chr(39)) THEN 'str'
+                                ELSE tok END, ' ' ORDER BY pos) FILTER (WHERE tok NOT IN ('{{', '}}', ';')), '') || ' '
+           AS words,
+         max(pos) AS pos, arg_max(tok, pos) AS tok, max(line0) AS line0, arg_max(outside, pos) AS outside
+  FROM mparts GROUP BY path, part
+),
+mflat AS (SELECT *, {flat} AS flat FROM mstatements WHERE tok IN ('{{', '}}', ';')),
+mends AS (
+  SELECT path, pos, tok, line0, CASE WHEN tok = '}}' THEN outside - 1 ELSE outside END AS level,
+         tok = '{{' AND (regexp_matches(words, '(^|[^.]) (class|interface|enum) ')
+                        OR regexp_matches(flat, ' new [^()]*# $')) AS opens_type,
+         regexp_matches(flat, ' = [^()]*$') AS assigns
+  FROM mflat
+),
+minside AS (
+  SELECT h.path, h.pos, any_value(h.method) AS method
+  FROM mheads h JOIN mparts p ON p.path = h.path AND p.pos = h.pos
+  JOIN mends e ON e.path = h.path AND e.tok = '{{' AND e.level = p.outside - 1 AND e.pos < h.pos
+  GROUP BY h.path, h.pos HAVING arg_max(e.opens_type, e.pos)
+),
+mclosed AS (
+  SELECT path, pos, lead(tok) OVER w AS next_tok, lead(line0) OVER w AS close_line
+  FROM mends WHERE tok <> ';' WINDOW w AS (PARTITION BY path, level ORDER BY pos)
+),
+mspans AS (
+  SELECT *, coalesce(lag(pos) OVER (PARTITION BY path ORDER BY pos), -1) AS since
+  FROM mends WHERE tok <> '}}'
 ),
 mowned AS (
-  SELECT s.*, CASE WHEN s.tok IN ('{{', ';') AND s.head_pos > coalesce(s.last_term, -1) THEN s.head_pos END
-           AS owner_pos,
-         CASE WHEN s.tok = '{{' THEN s.depth - 1 ELSE s.depth END AS level
-  FROM mscan s
+  SELECT s.path, s.pos, any_value(s.tok) AS tok, any_value(s.line0) AS line0, max(h.pos) AS owner_pos,
+         arg_max(h.method, h.pos) AS owner_method
+  FROM mspans s JOIN minside h ON h.path = s.path AND h.pos > s.since AND h.pos < s.pos
+  WHERE NOT s.assigns GROUP BY s.path, s.pos
 ),
 mpaired AS (
-  SELECT o.*, h.method AS owner_method,
-         lead(o.tok) OVER (PARTITION BY o.path, o.level ORDER BY o.pos) AS next_tok,
-         lead(o.line0) OVER (PARTITION BY o.path, o.level ORDER BY o.pos) AS close_line
-  FROM mowned o LEFT JOIN mrows h ON h.path = o.path AND h.pos = o.owner_pos AND h.tok = 'H'
+  SELECT o.*, o.tok = '{{' AND coalesce(c.next_tok = '}}', false) AS has_body, c.close_line
+  FROM mowned o LEFT JOIN mclosed c ON c.path = o.path AND c.pos = o.pos
 ),
 mbodies AS (
   SELECT path, owner_method AS method, owner_pos AS pos, CAST(line0 + 1 AS INTEGER) AS body_start_line,
          CAST(close_line - line0 - 1 AS INTEGER) AS body_line_count
-  FROM mpaired
-  WHERE tok = '{{' AND owner_pos IS NOT NULL AND next_tok = '}}' AND close_line - line0 - 1 >= 1
+  FROM mpaired WHERE has_body AND close_line - line0 - 1 >= 1
 ),
 mskipped AS (
   SELECT path, 'all_relevant_method_bodies' AS reason FROM mbad
   UNION ALL
-  SELECT path, 'all_relevant_method_bodies' AS reason FROM mpaired GROUP BY path
-  HAVING sum(CASE WHEN tok = 'H' THEN 1 ELSE 0 END)
-         > sum(CASE WHEN tok = '{{' AND owner_pos IS NOT NULL AND next_tok = '}}' THEN 1 ELSE 0 END)
+  SELECT DISTINCT path, 'all_relevant_method_bodies' AS reason FROM mpaired WHERE NOT has_body
 )""".replace("{{", "{").replace("}}", "}")
 
 

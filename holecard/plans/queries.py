@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holecard.functions.text import split_lines
+from holecard.functions.text import normalize_newlines, split_lines
 from holecard.operators import candidates as cand
 from holecard.operators import completions as comp
 from holecard.operators import graph as gr
@@ -33,14 +33,15 @@ OUT_DIR = "data/run"
 
 
 def corpus_scan_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Application files (name without 'test') and unit-test files."""
+    """Application files (name without 'test') and unit-test files, with
+    their length as the scan reads them (line ends as ``\\n``)."""
     files = code_files(spark, sf_dir)
     is_java = F.col("file_name").endswith(".java")
     is_test = F.lower("file_name").contains("test")
     return files.where(is_java).select(
         "path", "file_name",
         F.when(is_test, F.lit("test")).otherwise(F.lit("app")).alias("role"),
-        F.length("text").cast("long").alias("n_chars"))
+        F.length(normalize_newlines("text")).cast("long").alias("n_chars"))
 
 
 def module_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

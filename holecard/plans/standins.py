@@ -8,7 +8,8 @@ word for word (see ``plans/oracle.py``).  Every stand-in grows with the tables.
 * corpus files  <- ``documents``: each document is rendered as a Java-like
   source file (package line, import line, block comment, one method per text
   line, each with a line comment; a document holding ``|`` also declares a
-  method without a body).  ``path = source/lang/doc_id/<Name>.java``,
+  method without a body, one with an even id members that hold blocks, calls
+  and an anonymous class).  Every fifth file has CRLF line ends.  ``path = source/lang/doc_id/<Name>.java``,
   module = ``source``; a document whose text mentions "test" plays a unit-test
   file (``<Name>Test.java``).
 * label/completion pairs <- consecutive lines of ``documents`` and
@@ -37,6 +38,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- fixed values: rendering rule of the stand-in corpus (mirrored in SQL) ---
 METHOD_TEMPLATE = "    void m() {\n        // line\n        $1\n    }"
 ABSTRACT_LINE = "    abstract void pending();\n"
+TYPED_LINES = """    @Named(value = "pick") public java.util.List<String> pick(int a) {
+        if (a > max(a, 1)) {
+            go();
+        }
+        return java.util.Collections.<String>emptyList();
+    }
+    Object held = new Object(1 > max(1, 2)) {
+        String shown(int a) {
+            return "x";
+        }
+    };
+"""
 TEST_MARK = r"[Tt][Ee][Ss][Tt]"
 NAME_WORD = r"^[^A-Za-z]*([A-Za-z]*)"
 
@@ -54,7 +67,9 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(
         F.lit("package "), F.col("source"), F.lit(";\n\nimport java.util."), F.col("lang"),
         F.lit(";\n\n/*\n * "), cls, F.lit("\n */\npublic class "), cls, F.lit(" {\n"),
+        F.when(F.col("doc_id") % 2 == 0, F.lit(TYPED_LINES)).otherwise(F.lit("")),
         body, F.lit("\n"), tail, F.lit("}\n"))
+    text = F.when(F.col("doc_id") % 5 == 1, F.replace(text, F.lit("\n"), F.lit("\r\n"))).otherwise(text)
     file_name = F.concat(cls, F.lit(".java"))
     return docs.select(
         F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"), file_name).alias("path"),
