@@ -38,13 +38,9 @@ def main(argv=None) -> None:
                               output_directory=args.out)
     files = scan_source_files(spark, args.code_base)
     completions = spark.read.parquet(args.completions) if args.completions else None
-    if args.format == "parquet":
-        run_dir = scorecard.run_staged(spark, files, cfg, args.out, completions=completions)
-        summary = spark.read.parquet(f"{run_dir}/summary")
-    else:
-        result = scorecard.run_scorecard(files, cfg, completions=completions)
-        run_dir = scorecard.write_run(spark, result, args.out, args.format)
-        summary = result["summary"]
+    run_dir = scorecard.run_staged(spark, files, cfg, args.out, completions=completions, fmt=args.format)
+    stages = f"{run_dir}/stages" if args.format == "csv" else run_dir
+    summary = spark.read.parquet(f"{stages}/summary")
     summary.show(truncate=False, vertical=True)
     print(run_dir)
     spark.stop()

@@ -14,12 +14,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holecard.functions.text import col
+from holecard.session import checkpoint_stage
 
 # --- fixed values: build-log markers ---
 BLOCK_MARKERS = ("[ERROR] Failures: ", "[ERROR] Errors: ")
 COUNTS_MARK = "[ERROR] Tests run:"
 TEST_MARK = "[ERROR]   "
 CHUNK_LINES = 100_000   # log lines per scan segment
+#: Bytes up to which module baselines are broadcast, and those of a row or a name besides its text.
+BASELINE_BYTES, ROW_BYTES = 32 << 20, 32
 
 
 def last_before(df: DataFrame, group: list[str], order: str, flags: dict[str, Column],
@@ -159,14 +162,24 @@ def response_outcomes(responses: DataFrame, builds: DataFrame, root: str = "",
     return with_module.join(builds, build_key or ["prompt_id"], "left")
 
 
-def baseline_delta(responses: DataFrame, baseline: DataFrame, module: str = "module") -> DataFrame:
-    """Change of each response's outcome against its module's baseline."""
-    base = baseline.select(
+def baseline_delta(responses: DataFrame, baseline: DataFrame, module: str = "module",
+                   broadcast_bytes: int = BASELINE_BYTES) -> DataFrame:
+    """Change of each response's outcome against its module's baseline.
+
+    The baseline (a row per module) is written to the checkpoint folder and
+    measured.  Up to ``broadcast_bytes`` of module and test names it is
+    broadcast, so no response is shuffled on its module; a larger one is
+    joined by the planner's choice, where AQE splits hot modules.
+    """
+    base = checkpoint_stage(baseline.select(
         module, F.col("built").alias("base_built"),
         F.col("failure_count").alias("base_failure_count"),
         F.col("error_count").alias("base_error_count"),
-        F.col("failed_tests").alias("base_failed_tests"))
-    out = responses.join(base, module, "left")
+        F.col("failed_tests").alias("base_failed_tests")))
+    names = F.octet_length(F.concat_ws("|", F.col(module).cast("string"), "base_failed_tests"))
+    size = base.agg(F.sum(names + F.lit(ROW_BYTES) + F.lit(ROW_BYTES) * F.size(
+        F.coalesce("base_failed_tests", F.array().cast("array<string>"))))).first()[0] or 0
+    out = responses.join(F.broadcast(base) if size <= broadcast_bytes else base, module, "left")
     return out.select(
         "*",
         (F.col("failure_count") - F.coalesce("base_failure_count", F.lit(0))).alias("additional_failure_count"),

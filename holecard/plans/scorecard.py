@@ -210,15 +210,25 @@ def write_run(spark, result: dict, out_dir: str, fmt: str = "parquet") -> str:
 def run_staged(spark, files: DataFrame, cfg: RunConfig, out_dir: str,
                completer: Callable | None = None, completions: DataFrame | None = None,
                outcomes: DataFrame | None = None, modules: DataFrame | None = None,
-               matches: Callable[[DataFrame], DataFrame] | None = None) -> str:
+               matches: Callable[[DataFrame], DataFrame] | None = None,
+               fmt: str = "parquet") -> str:
     """The whole run, each stage table written under ``<out_dir>/<run_ts>/`` and
-    read back for the next, so no stage computes an earlier one again."""
+    read back for the next, so no stage computes an earlier one again.
+
+    With ``fmt="csv"`` the tables are CSV, made from Parquet ones in
+    ``<out_dir>/<run_ts>/stages/``.
+    """
     from holecard.sources import stage_tables
     run_dir = f"{out_dir.rstrip('/')}/{cfg.run_ts}"
+    stages = f"{run_dir}/stages" if fmt == "csv" else run_dir
 
     def kept(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{run_dir}/{name}")
-        return spark.read.parquet(f"{run_dir}/{name}")
+        df.write.mode("overwrite").parquet(f"{stages}/{name}")
+        df = spark.read.parquet(f"{stages}/{name}")
+        if fmt == "csv":
+            flat = df.select("*", "params.*").drop("params") if "params" in df.columns else df
+            stage_tables.write_stage_csv(flat, f"{run_dir}/{name}")
+        return df
 
     mapping = kept("mapping", split_stage(files, cfg))
     prompts, skipped = prompt_stage(test_files(files, mapping, cfg.seed, cfg.split_strategy), mapping, cfg)

@@ -158,6 +158,9 @@ def test_resume_from_analysis(spark, tmp_out):
     for name in ("mapping", "prompts", "summary"):
         want = sorted(map(tuple, res[name].collect()), key=repr)
         assert sorted(map(tuple, spark.read.parquet(f"{staged}/{name}").collect()), key=repr) == want
+    as_csv = scorecard.run_staged(spark, files, cfg, os.path.join(tmp_out, "csv"), fmt="csv")
+    prompts = stage_tables.read_stage_csv(spark, f"{as_csv}/prompts")
+    assert sorted(r["prompt_id"] for r in prompts.collect()) == sorted(r["prompt_id"] for r in res["prompts"].collect())
     again = scorecard.resume_scorecard(spark, run_dir, None, cfg, "analyze")
     assert sorted(map(tuple, again["summary"].collect()), key=repr) == \
         sorted(map(tuple, res["summary"].collect()), key=repr)
