@@ -153,12 +153,13 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
         "path", lex_ok_of(F.col("_all")).alias("_ok"),
         code_tokens_of(F.col("_all")).alias("_code"),
         indices_where(F.col("_all"), is_code_token).alias("_cpos"),
-        F.array_join(F.transform("_all", lambda t, p: F.when(t.isin("{", "}", ";", "="), mark(t, p, t))
-            .when(t.isin(*TYPE_WORDS), mark(t, p, F.lit("K")))
-            .when(t == "new", mark(t, p, F.lit("N")))
-            .when(t.isin("(", ")", "."), t)
-            .when(is_code_token(t), F.lit("-"))
-            .otherwise(F.regexp_replace(t, r"[^\n]", ""))), "").alias("_marks"))
+        F.array_join(F.transform("_all", lambda t, p: F.when(t == " ", F.lit(""))
+            .when(is_code_token(t), F.when(F.instr(F.lit("{};="), t) > 0, mark(t, p, t))
+                  .when(F.instr(F.lit("()."), t) > 0, t)
+                  .when(t.isin(*TYPE_WORDS), mark(t, p, F.lit("K")))
+                  .when(t == "new", mark(t, p, F.lit("N")))
+                  .otherwise(F.lit("-")))
+            .otherwise(F.regexp_replace(t, r"[^\n]+", ""))), "").alias("_marks"))
     # headers: name, next code token "(", previous code token a type
     n = F.size("_code")
     none = F.array(F.lit(None).cast("string"))
@@ -166,34 +167,33 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     prev = F.concat(none, F.slice("_code", 1, F.greatest(n - 1, F.lit(0))))
     with_next = F.zip_with("_code", nxt, lambda c, x: F.struct(c.alias("c"), x.alias("x")))
     names = F.zip_with(with_next, prev, lambda cx, p: F.when(
-        is_name(cx["c"]) & (cx["x"] == "(") &
+        (cx["x"] == "(") & is_name(cx["c"]) &
         ((p.rlike(ident) & ~F.array_contains(keywords, p)) |
          p.isin(*PRIMITIVE_TYPES, ">", "]")), cx["c"]))
 
-    def row(pos, tok, method, gap):
-        return F.struct(pos.cast("int").alias("pos"), tok.alias("tok"),
-                        method.cast("string").alias("method"), gap.alias("gap"))
-
+    # a mark as text: what stands since the one before it, U+0001, position, kind
+    header = lambda name, p: F.concat(F.lit("\u0001"), (p - 1).cast("string"), F.lit("H"))
     headers = F.filter(F.zip_with(names, F.col("_cpos"), lambda name, p: F.when(
-        name.isNotNull(), row(p - 1, F.lit("H"), name, F.lit("")))), lambda h: h.isNotNull())
-    # marks with what stands between each and the one before it
-    pattern = "([^\u0001]*)\u0001([0-9]+)([{};=KN])\u0002"
-    part = lambda g: F.regexp_extract_all("_marks", F.lit(pattern), g)
-    marks = F.zip_with(
-        F.arrays_zip(part(2).alias("p"), part(3).alias("t")), part(1),
-        lambda m, gap: row(m["p"], m["t"], F.lit(None), gap))
+        name.isNotNull(), F.struct(header(name, p).alias("mark"), name.alias("method")))),
+        lambda h: h.isNotNull())
+    plain = lambda m: F.struct(m.alias("mark"), F.lit(None).cast("string").alias("method"))
+    # what follows the last mark is none
+    split = F.split("_marks", "\u0002")
+    marks = F.transform(F.slice(split, F.lit(1), F.size(split) - 1), plain)
     # One generator emits everything (marks, headers, or one row for a file
     # that does not lex), so the tokeniser runs once per file.  No Filter on
     # the lexer flag: Catalyst would push it below the scan-side exchange and
     # inline the tokeniser into it.
-    failed = F.array(row(F.lit(-1), F.lit("!"), F.lit(None), F.lit("")))
+    failed = F.array(plain(F.lit("\u0001-1!")))
     rows = staged.select("path", F.explode(
         F.when(F.col("_ok"), F.concat(marks, headers)).otherwise(failed)).alias("r"))
-    count = lambda c: F.length("r.gap") - F.length(F.replace(F.col("r.gap"), F.lit(c), F.lit("")))
+    rows = rows.select("path", "r.method", F.substring_index("r.mark", "\u0001", 1).alias("_gap"),
+                       F.substring_index("r.mark", "\u0001", -1).alias("_at"))
+    count = lambda c: F.length("_gap") - F.length(F.replace(F.col("_gap"), F.lit(c), F.lit("")))
     rows = rows.select(
-        "path", "r.pos", "r.tok", "r.method", count("\n").alias("_newlines"),
-        (count("(") - count(")")).alias("_open"),
-        F.regexp_extract("r.gap", r"([^\n])\n*$", 1).alias("_left"))
+        "path", F.expr("left(_at, length(_at) - 1)").cast("int").alias("pos"), F.right("_at", F.lit(1)).alias("tok"),
+        "method", count("\n").alias("_newlines"), (count("(") - count(")")).alias("_open"),
+        F.right(F.rtrim("_gap", F.lit("\n")), F.lit(1)).alias("_left"))
     bad = rows.where(F.col("tok") == "!").select(
         "path", F.lit("all_relevant_method_bodies").alias("reason"))
 

@@ -69,7 +69,8 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(";\n\n/*\n * "), cls, F.lit("\n */\npublic class "), cls, F.lit(" {\n"),
         F.when(F.col("doc_id") % 2 == 0, F.lit(TYPED_LINES)).otherwise(F.lit("")),
         body, F.lit("\n"), tail, F.lit("}\n"))
-    text = F.when(F.col("doc_id") % 5 == 1, F.replace(text, F.lit("\n"), F.lit("\r\n"))).otherwise(text)
+    line_end = F.when(F.col("doc_id") % 5 == 1, F.lit("\r\n")).otherwise(F.lit("\n"))
+    text = F.replace(text, F.lit("\n"), line_end)
     file_name = F.concat(cls, F.lit(".java"))
     return docs.select(
         F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"), file_name).alias("path"),
