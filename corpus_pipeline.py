@@ -26,14 +26,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, model)
 
 
+#: Near duplicates of the corpus: words of a shingle and hundredths of similarity.
+NEAR_SHINGLE, NEAR_THRESHOLD = 5, 80
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate group.
+    """The document with the smallest doc_id of each near-duplicate group: linked
+    by a similarity of 0.8 and more of their sets of five-word shingles.
 
     Documents without an id or words are groups of their own; of repeated rows
     with one doc_id all that are the smallest of their group stay.
     """
     prepare(spark)
-    groups = ngram_join.near_duplicates(docs.select("doc_id", "text"))
+    groups = ngram_join.near_duplicates(docs.select("doc_id", "text"), NEAR_SHINGLE, NEAR_THRESHOLD)
     gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_hc_of")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_hc_of"], "left_anti")
 

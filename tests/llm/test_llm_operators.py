@@ -422,3 +422,16 @@ def test_pipeline_stages(spark, tmp_path):
     assert abs(sum(len(words(r.text)) for r in seen[3]) - 1.5 * total) < 4
     assert sum(r.length for r in seen[4]) > 0
 
+
+
+def test_pipeline_drops_edited_copies(spark):
+    import corpus_pipeline as cp
+    base = random_words(31, 1000, 100_000)
+    near, far = list(base), list(base)
+    near[25::50] = [f"near{k}" for k in range(20)]  # 20 of 1000 words: 0.89 by three words, 0.82 by five
+    far[12::25] = [f"far{k}" for k in range(40)]
+    shingles = lambda w, n: {tuple(w[k:k + n]) for k in range(len(w) - n + 1)}
+    alike = lambda x, y, n: len(shingles(x, n) & shingles(y, n)) / len(shingles(x, n) | shingles(y, n))
+    assert 0.8 < alike(base, near, 5) < alike(base, near, 3) < 0.9 and alike(base, far, 5) < 0.8
+    df = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far))], "doc_id long, text string")
+    assert {r.doc_id for r in cp.one_of_each_group(spark, df, "").collect()} == {1, 3}
