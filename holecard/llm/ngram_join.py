@@ -92,7 +92,8 @@ class _Sets:
 
 
 def set_rows(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``(doc_id, n_shingles, node)``; documents with equal sets have one node."""
+    """``(doc_id, n_shingles, node, hash)``; documents with equal sets have one
+    node, and ``hash`` is that of the text."""
     def work(batches):
         for batch in batches:
             for i, j, buf, offs in C.text_slices(batch.column(1)):
@@ -100,9 +101,10 @@ def set_rows(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i),
                      pa.array([len(s) for s in sets.hashes], pa.int64()),
-                     pa.array(sets.nodes(), pa.int64())], names=["doc_id", "n_shingles", "node"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        work, "doc_id long, n_shingles long, node long")
+                     pa.array(sets.nodes(), pa.int64()), batch.column(2).slice(i, j - i)],
+                    names=["doc_id", "n_shingles", "node", "hash"])
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("hash")) \
+        .mapInArrow(work, "doc_id long, n_shingles long, node long, hash long")
 
 
 def word_counts(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -330,30 +332,32 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 
 def verified_edges(docs: DataFrame, members: DataFrame, shards: int, size: int, t: int) -> DataFrame:
-    """Links ``(a, b)`` between representative doc_ids, a spanning forest per block.
+    """Links ``(a, b)`` between nodes, a spanning forest per block.
 
-    ``members (rep, node, cluster, m)``: a cluster of m sets.  Clusters beyond a
-    block are dealt as all pairs of their blocks, so a task never holds more
-    than two blocks of one cluster at a time.
+    ``members (rep, hash, node, cluster, m)``: a cluster of m sets, and the
+    doc_id and the text's hash of a row that has the set; a doc_id alone may be
+    null or repeated.  Clusters beyond a block are dealt as all pairs of their
+    blocks, so a task never holds more than two blocks of one cluster at a time.
     """
     # one block up to BLOCK sets
     blocks = F.when(F.col("m") <= BLOCK, F.lit(1)).otherwise(F.ceil(F.col("m") / F.lit(BLOCK))).cast("int")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = members.withColumn("blocks", blocks).withColumn("mine", mine)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .select(F.coalesce("doc_id", F.lit(_NONE)).alias("doc_id"), "text")
-    rows = texts.join(placed, texts["doc_id"] == placed["rep"]) \
-        .select("rep", "node", "cluster", "mine", "text",
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("doc_id"), "text",
+                        F.xxhash64("text").alias("text_hash"))
+    rows = texts.join(placed, (texts["doc_id"] == placed["rep"]) & (texts["text_hash"] == placed["hash"])) \
+        .groupBy("rep", "hash", "node", "cluster", "mine", "blocks").agg(F.first("text").alias("text")) \
+        .select("node", "cluster", "mine", "text",
                 F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("rep", "node", "cluster", "text", "mine",
+    rows = rows.select("node", "cluster", "text", "mine",
                        F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y")) \
         .withColumn("shard", F.pmod(F.xxhash64("cluster", "x", "y"), F.lit(shards)).cast("int"))
 
     def verify(tab):
         cluster = np.asarray(tab["cluster"])
         x, y, mine = (np.asarray(tab[c]) for c in ("x", "y", "mine"))
-        rep, node = np.asarray(tab["rep"]), np.asarray(tab["node"])
-        order = np.lexsort((rep, y, x, cluster))
+        node = np.asarray(tab["node"])
+        order = np.lexsort((node, y, x, cluster))
         cut = runs(C.mix(cluster[order].astype(_U)) + C.mix(x[order].astype(_U)) * _U(3) + y[order].astype(_U))
         text = tab["text"].combine_chunks()
         if isinstance(text, pa.ChunkedArray):
@@ -366,7 +370,7 @@ def verified_edges(docs: DataFrame, members: DataFrame, shards: int, size: int,
             for i, j, buf, offs in C.text_slices(text.take(pa.array(at))):
                 found = _Sets(buf, offs, size)
                 for k, s, this in zip(at[i:j], found.hashes, found.nodes()):
-                    if this == node[k]:  # not another row with this doc_id
+                    if this == node[k]:  # not another text with this hash
                         own.append(k)
                         sets.append(s)
             own = np.array(own, np.int64)
@@ -376,14 +380,14 @@ def verified_edges(docs: DataFrame, members: DataFrame, shards: int, size: int,
             if not len(left) or not len(right):
                 continue
             n = np.array([len(s) for s in sets], np.int64)
-            for lo_r in range(0, len(right), 4 * BLOCK):  # repeated rows of a doc_id may make more
+            for lo_r in range(0, len(right), 4 * BLOCK):
                 part = right[lo_r:lo_r + 4 * BLOCK]
                 both = _overlaps([sets[k] for k in left], [sets[k] for k in part])
                 union = n[left][:, None] + n[part][None, :] - both
                 i, j = np.nonzero(100 * both >= t * union)
-                differs = rep[own[left[i]]] != rep[own[part[j]]]
-                a.append(rep[own[left[i]]][differs])
-                b.append(rep[own[part[j]]][differs])
+                differs = node[own[left[i]]] != node[own[part[j]]]
+                a.append(node[own[left[i]]][differs])
+                b.append(node[own[part[j]]][differs])
         roots = _forest(np.concatenate(a), np.concatenate(b)) if a else {}
         moved = [(p, q) for p, q in roots.items() if p != q]
         return pa.table({"a": pa.array([p for p, _ in moved], pa.int64()),
@@ -411,21 +415,24 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
     sets = checkpoint_stage(set_rows(docs, shingle)
                             .withColumn("doc_id", F.coalesce("doc_id", F.lit(_NONE))))
     classes = checkpoint_stage(sets.where("n_shingles > 0").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
+        F.min(F.struct("doc_id", "hash")).alias("least"), F.count(F.lit(1)).alias("copies"))
+        .select("node", F.col("least.doc_id").alias("rep"), F.col("least.hash").alias("hash"), "copies"))
     words, counts = word_counts(docs, buckets)
     # as the table may begin above it, at least the table's least count
     rare_below = max(LEAST_COUNT, n_bytes // RARE_BELOW, int(counts.min(initial=0)))
     clusters = components(candidate_edges(docs, buckets, words, counts, rare_below, shingle, threshold))
     sizes = checkpoint_stage(clusters.groupBy("component").agg(F.count(F.lit(1)).alias("m")))
     members = clusters.join(sizes, "component").withColumnRenamed("id", "node") \
-        .join(classes, "node").select("rep", "node", F.col("component").alias("cluster"), "m")
+        .join(classes, "node").select("rep", "hash", "node", F.col("component").alias("cluster"), "m")
     links = components(verified_edges(docs, members, 4 * buckets, shingle, threshold))
+    # ids come in last: sets without an id, or with the same one, are no link
+    linked = classes.join(links, classes["node"] == links["id"], "left") \
+        .select("node", "rep", "copies", F.coalesce("component", "node").alias("root"),
+                F.col("component").isNotNull().alias("linked"))
     # only classes of copies and linked ones differ from their own id
-    reached = checkpoint_stage(
-        classes.join(links, classes["rep"] == links["id"], "left")
-        .select("node", F.coalesce("component", "rep").alias("component"), "copies", "component")
-        .toDF("node", "component", "copies", "linked")
-        .where("copies > 1 OR linked IS NOT NULL").select(F.col("node").alias("of"), "component"))
+    linked = checkpoint_stage(linked.where("copies > 1 OR linked"))
+    least = linked.groupBy("root").agg(F.min("rep").alias("component"))
+    reached = checkpoint_stage(linked.join(least, "root").select(F.col("node").alias("of"), "component"))
     out = sets.join(reached, (sets["node"] == reached["of"]) & (sets["n_shingles"] > 0), "left") \
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     known = lambda c: F.when(F.col(c) != F.lit(_NONE), F.col(c)).alias(c)

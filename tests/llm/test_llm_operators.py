@@ -161,6 +161,15 @@ def test_near_duplicates_empty(spark):
     assert ngram_join.near_duplicates(empty(spark)).count() == 0
 
 
+def test_near_duplicates_without_ids_link_nothing_else(spark):
+    one, two = random_words(41, 100, 10_000), random_words(42, 100, 10_000)
+    rows = [(1, " ".join(one)), (2, " ".join(two)), (None, " ".join([*one, "end"])), (None, " ".join([*two, "end"])),
+            (None, " ".join([*two, "end"])), (7, " ".join([*one, "last"])), (7, " ".join([*two, "last"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.component_id) for r in ngram_join.near_duplicates(df).collect())
+    assert got == Counter([(1, 1), (2, 2), (None, 1), (None, 2), (None, 2), (7, 1), (7, 2)])
+
+
 def test_index_keys_meet_for_every_similar_pair():
     rng = np.random.default_rng(5)
     for _ in range(300):
