@@ -19,6 +19,7 @@ import unicodedata
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,22 +45,32 @@ PRIOR = 0.1
 #: Decision value of a text without a unit.
 NOTHING = -3.0
 
-_EDGE, _ALPHABET = 27, 32
+_U = np.uint64
+#: Classes of letters: 1 to 26 and the edge mark, then hashed ones up to 65535.
+_EDGE, _OTHER, _ALPHABET = 27, 28, 32
+#: Code points from here on are no letters.
+_CODES = 0x40000
 #: Distances of the further characters of a subsequence from its first.
 _STEPS = [(a, b, c) for c in range(3, REACH + 1) for b in range(2, c) for a in range(1, b)]
-_SIZE = _ALPHABET ** 4
+#: Subsequences of a-z and edges have places of their own, all others share hashed ones.
+_PLAIN, _HASHED = _ALPHABET ** 4, 1 << 20
+_SIZE = _PLAIN + _HASHED
 
 
 def _classes() -> np.ndarray:
-    """Code points to 1..26 (Latin letters without marks), 28..31 (other letters
-    and digits, hashed), 0 (no letter or digit)."""
-    out = np.zeros(1 << 16, np.uint8)
-    for c in range(1 << 16):
+    """Code points to 1..26 (Latin letters without marks), 28 and more (other
+    letters and digits, by a hash of their lower-case NFKC), 0 (no letter or digit)."""
+    out = np.zeros(_CODES, np.uint16)
+    for c in range(_CODES):
         ch = chr(c)
         if not ch.isalnum():
             continue
         base = unicodedata.normalize("NFKD", ch)[0].lower()
-        out[c] = ord(base) - 96 if "a" <= base <= "z" else 28 + c % 4
+        if "a" <= base <= "z":
+            out[c] = ord(base) - 96
+        else:
+            whole = unicodedata.normalize("NFKC", ch).lower().encode()
+            out[c] = _OTHER + xxhash.xxh3_64_intdigest(whole) % ((1 << 16) - _OTHER)
     return out
 
 
@@ -78,9 +89,7 @@ def unit_rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if _CLASSES is None:
         _CLASSES = _classes()
     codes, offs = C.code_points(texts)
-    small = np.minimum(codes, 0xFFFF)
-    kind = _CLASSES[small]
-    kind[codes > 0xFFFF] = 0
+    kind = _CLASSES[np.minimum(codes, _CODES - 1)]
     blank = (codes <= 32) & np.isin(codes, np.array([9, 10, 11, 12, 13, 32], np.uint32))
     at = np.flatnonzero(kind)
     word = np.cumsum(blank)[at]  # words have blanks between them
@@ -101,7 +110,7 @@ def unit_rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     unit = np.repeat(np.arange(len(first)), parts)
     k = np.arange(len(unit)) - np.repeat(np.cumsum(parts) - parts, parts)
     lo, n = first[unit] + k * step, np.minimum(body, size[unit] - k * step)
-    rows = np.zeros((len(unit), UNIT), np.uint8)
+    rows = np.zeros((len(unit), UNIT), np.uint16)
     inside = np.arange(body)[None, :] < n[:, None]
     rows[:, 1:-1][inside] = kind[at][C.gather(lo, n)] if len(unit) else 0
     opens, closes = k == 0, k == parts[unit] - 1
@@ -123,11 +132,17 @@ def _weights(rows: np.ndarray) -> np.ndarray:
 
 def features(rows: np.ndarray):
     """``(subsequence, weight)`` arrays of rows, one pair of columns after another."""
-    r = rows.astype(np.int32)
+    other = np.flatnonzero((rows >= _OTHER).any(axis=1))
+    r = np.minimum(rows, _OTHER).astype(np.int32)
+    whole = rows[other].astype(np.uint64)
     for a, b, c in _STEPS:  # a row has no gaps, so the last character tells that all are there
         n = UNIT - c
         w, x, y, z = r[:, :n], r[:, a:n + a], r[:, b:n + b], r[:, c:]
         key = ((w * _ALPHABET + x) * _ALPHABET + y) * _ALPHABET + z
+        if len(other):
+            four = [whole[:, k:n + k] for k in (0, a, b, c)]
+            hashed = C.mix(four[0] << _U(48) | four[1] << _U(32) | four[2] << _U(16) | four[3]) % _U(_HASHED)
+            key[other] = np.where(np.maximum.reduce(four) >= _OTHER, _PLAIN + hashed.astype(np.int32), key[other])
         yield np.where((w > 0) & (z > 0), key, 0), DECAY ** c
 
 
@@ -337,7 +352,9 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = FIT_TOXIC, clean: int =
 def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First of each different row, and which of them every row is."""
     words = np.ascontiguousarray(rows).view(np.uint64)
-    key = C.mix(words[:, 0] + C.mix(words[:, 1] + C.mix(words[:, 2])))
+    key = words[:, 0]
+    for k in range(1, words.shape[1]):
+        key = words[:, k] + C.mix(key)
     _, first, which = np.unique(key, return_index=True, return_inverse=True)
     return first, which.ravel()
 

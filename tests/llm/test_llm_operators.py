@@ -402,6 +402,22 @@ def test_toxicity(spark):
     assert toxicity.score(df.limit(0), model).count() == 0
 
 
+def test_toxicity_in_other_letters():
+    rng = np.random.default_rng(8)
+    letters, insults = list("абвгдежзиклмнопрстуфхцчшщыьэюя"), ["идиотка", "дурачина", "мерзавец"]
+    texts = [["".join(rng.choice(letters, rng.integers(4, 9))) for _ in range(40)] for _ in range(400)]
+    for i in range(0, 400, 4):
+        texts[i][int(rng.integers(40))] = insults[i // 4 % 3]
+    texts = [" ".join(t) for t in texts]
+    toxic = np.arange(400) % 4 == 0
+    model = toxicity.train(texts[:300], toxic[:300])
+    assert np.mean((toxicity.score_texts(texts[300:], *model.plain()) >= 0.5) == toxic[300:]) > 0.97
+    # NFKD holds for letters above U+FFFF too, and digits are told apart
+    bold = "".join(chr(0x1D41A + ord(c) - 97) for c in "idiot")
+    rows = toxicity.unit_rows([bold, "idiot", "12", "56", "\U00020000\U00020001"])[0]
+    assert (rows[0] == rows[1]).all() and (rows[2] != rows[3]).any() and (rows[4] > 0).sum() == 4
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as cp
     assert [n for n, _ in cp.STAGES] == ["toxicity", "ngram_join", "substring_dedup", "source_mix", "packing"]
