@@ -4,12 +4,13 @@ Method: a support vector machine over the gap-weighted subsequence kernel of
 four characters, with Nystroem landmarks.  Two strings are similar in the
 four-character subsequences they share, each weighted by DECAY to the length
 it spans, so gapped, inserted and changed characters only weaken a match.  The
-machine is trained on labelled sentences; a document is as toxic as its worst
-sentence, and a sentence as its worst unit (a word, or a run of single letters).
+instances are windows of a sentence's letters that cross its blanks: every run
+of neighbouring units (words, or runs of single letters) with room in a row.
+A text is held to its worst window, and so is its label.
 
 The decision value is linear in subsequence weights, so the landmarks and the
-machine fold into one table of them, and scoring looks up each different unit
-of a slice once.
+machine fold into one table of them.  Scoring looks every subsequence of the
+letters up once; the values of all windows are differences of running sums.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ PRIOR = 0.1
 NOTHING = -3.0
 
 _U = np.uint64
+_BASE = 0x9E3779B97F4A7C15
+_BODY = UNIT - 2
 #: Classes of letters: 1 to 26 and the edge mark, then hashed ones up to 65535.
 _EDGE, _OTHER, _ALPHABET = 27, 28, 32
 #: Code points from here on are no letters.
@@ -77,13 +80,13 @@ def _classes() -> np.ndarray:
 _CLASSES = None
 
 
-def unit_rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Units of all texts as rows of character classes, with their text and sentence.
+def units(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """Character classes of all letters, and the units in them: first letter,
+    number of letters, text and sentence.
 
     A unit is what a word has of letters and digits, so marks inside it are
-    jumped over; neighbouring words of one letter make one unit.  Rows begin
-    and end with an edge mark; a unit too long for a row has several.
-    Sentences end at ``.``, ``!``, ``?`` or a line's end.
+    jumped over; neighbouring words of one letter make one unit.  Sentences end
+    at ``.``, ``!``, ``?`` or a line's end.
     """
     global _CLASSES
     if _CLASSES is None:
@@ -105,44 +108,88 @@ def unit_rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size = np.diff(np.append(first, len(at)))
     ends = np.cumsum((codes == 46) | (codes == 33) | (codes == 63) | (codes == 10))
     sentence = ends[at[first]] if len(first) else first
-    body, step = UNIT - 2, (UNIT - 2) // 2
+    return kind[at], first, size, text, sentence
+
+
+def rows_of(letters: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of units or windows, and whose they are.  Rows begin and end with an
+    edge mark; a unit too long for a row has several."""
+    body, step = _BODY, _BODY // 2
     parts = np.where(size > body, -(-(size - body) // step) + 1, 1)
     unit = np.repeat(np.arange(len(first)), parts)
     k = np.arange(len(unit)) - np.repeat(np.cumsum(parts) - parts, parts)
     lo, n = first[unit] + k * step, np.minimum(body, size[unit] - k * step)
     rows = np.zeros((len(unit), UNIT), np.uint16)
     inside = np.arange(body)[None, :] < n[:, None]
-    rows[:, 1:-1][inside] = kind[at][C.gather(lo, n)] if len(unit) else 0
+    rows[:, 1:-1][inside] = letters[C.gather(lo, n)] if len(unit) else 0
     opens, closes = k == 0, k == parts[unit] - 1
     rows[opens, 0] = _EDGE
     ended = np.flatnonzero(closes)
     rows[ended, n[ended] + 1] = _EDGE
+    return rows, unit
+
+
+def unit_rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of all units with their text and sentence."""
+    letters, first, size, text, sentence = units(texts)
+    rows, unit = rows_of(letters, first, size)
     return rows, text[unit], sentence[unit]
 
 
+def windows(size: np.ndarray, text: np.ndarray, sentence: np.ndarray):
+    """``(first unit, last unit, letters)`` of all runs of two units and more of
+    a sentence that have room in a row, by their number of units."""
+    i, n, k = np.arange(len(size)), size, 1
+    while True:
+        keep = i + k < len(size)
+        i, n = i[keep], n[keep]
+        j = i + k
+        n = n + size[j]
+        keep = (n <= _BODY) & (text[i] == text[j]) & (sentence[i] == sentence[j])
+        i, n = i[keep], n[keep]
+        if not len(i):
+            return
+        yield i, i + k, n
+        k += 1
+
+
+def _window_hashes(letters: np.ndarray, lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A hash of the letters of every window."""
+    base, back = (np.full(len(letters), b, _U) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+    sums = np.concatenate([np.zeros(1, _U), np.cumsum(C.mix(letters.astype(_U)) * np.multiply.accumulate(base))])
+    return C.mix((sums[lo + n] - sums[lo]) * np.multiply.accumulate(back)[lo] + n.astype(_U))
+
+
 def _weights(rows: np.ndarray) -> np.ndarray:
     """Length of a row's feature vector, from its number of characters: repeated
     subsequences are counted apart."""
-    size = (rows > 0).sum(axis=1)
+    return _lengths()[(rows > 0).sum(axis=1)]
+
+
+def _lengths() -> np.ndarray:
     total = np.zeros(UNIT + 1)
     for _, _, c in _STEPS:
         total[c + 1:] += DECAY ** (2 * c) * np.arange(1, UNIT - c + 1)
-    return np.sqrt(np.maximum(total[size], 1e-9))
+    return np.sqrt(np.maximum(total, 1e-9))
+
+
+def _places(w, x, y, z) -> np.ndarray:
+    """Where the table has subsequences of four classes."""
+    four = [np.minimum(k, _OTHER).astype(np.int32) for k in (w, x, y, z)]
+    key = ((four[0] * _ALPHABET + four[1]) * _ALPHABET + four[2]) * _ALPHABET + four[3]
+    if any(k.max(initial=0) >= _OTHER for k in four):
+        other = np.nonzero((four[0] >= _OTHER) | (four[1] >= _OTHER) | (four[2] >= _OTHER) | (four[3] >= _OTHER))
+        w, x, y, z = (np.broadcast_to(k, key.shape)[other].astype(_U) for k in (w, x, y, z))
+        key[other] = _PLAIN + (C.mix(w << _U(48) | x << _U(32) | y << _U(16) | z) % _U(_HASHED)).astype(np.int32)
+    return key
 
 
 def features(rows: np.ndarray):
     """``(subsequence, weight)`` arrays of rows, one pair of columns after another."""
-    other = np.flatnonzero((rows >= _OTHER).any(axis=1))
-    r = np.minimum(rows, _OTHER).astype(np.int32)
-    whole = rows[other].astype(np.uint64)
     for a, b, c in _STEPS:  # a row has no gaps, so the last character tells that all are there
         n = UNIT - c
-        w, x, y, z = r[:, :n], r[:, a:n + a], r[:, b:n + b], r[:, c:]
-        key = ((w * _ALPHABET + x) * _ALPHABET + y) * _ALPHABET + z
-        if len(other):
-            four = [whole[:, k:n + k] for k in (0, a, b, c)]
-            hashed = C.mix(four[0] << _U(48) | four[1] << _U(32) | four[2] << _U(16) | four[3]) % _U(_HASHED)
-            key[other] = np.where(np.maximum.reduce(four) >= _OTHER, _PLAIN + hashed.astype(np.int32), key[other])
+        w, x, y, z = rows[:, :n], rows[:, a:n + a], rows[:, b:n + b], rows[:, c:]
+        key = _places(w, x, y, z)
         yield np.where((w > 0) & (z > 0), key, 0), DECAY ** c
 
 
@@ -154,6 +201,44 @@ def decide(rows: np.ndarray, table: np.ndarray) -> np.ndarray:
     return out / _weights(rows)
 
 
+def window_values(letters, first, size, text, sentence, table: np.ndarray):
+    """``(first unit, last unit, letters, value)`` of all units and windows that
+    have room in a row, as decide() has them; single units come first."""
+    pad = np.zeros(REACH + 1, letters.dtype)
+    own = np.concatenate([pad, letters, pad])  # letters[p] is own[p + len(pad)]
+    lo, hi, edge = first + len(pad), first + size + len(pad), np.array(_EDGE, letters.dtype)
+    sums = {c: np.zeros(len(own) + 1) for c in range(3, REACH + 1)}
+    opens, closes = np.zeros((len(first), REACH + 1)), np.zeros((len(first), REACH + 1))
+    for a, b, c in _STEPS:
+        m = len(own) - c
+        sums[c][1:m + 1] += DECAY ** c * table[_places(own[:m], own[a:m + a], own[b:m + b], own[c:])]
+        opens[:, c] += DECAY ** c * table[_places(edge, own[lo + a - 1], own[lo + b - 1], own[lo + c - 1])]
+        closes[:, c] += DECAY ** c * table[_places(own[hi - c], own[hi - c + a], own[hi - c + b], edge)]
+    for c in sums:
+        np.cumsum(sums[c], out=sums[c])
+    np.cumsum(opens, axis=1, out=opens)
+    np.cumsum(closes, axis=1, out=closes)
+    lengths = _lengths()
+    single = np.flatnonzero(size <= _BODY)
+
+    def value(i, j, n):
+        start, end, most = lo[i], hi[j], np.minimum(n, REACH)
+        out = opens[i, most] + closes[j, most]
+        for c, total in sums.items():
+            out += total[np.maximum(end - c, start)] - total[start]
+        short = np.flatnonzero(n < REACH)
+        for a, b, c in _STEPS:
+            at = short[n[short] == c - 1]
+            if len(at):
+                p = start[at]
+                out[at] += DECAY ** c * table[_places(edge, own[p + a - 1], own[p + b - 1], edge)]
+        return out / lengths[n + 2]
+
+    yield single, single, size[single], value(single, single, size[single])
+    for i, j, n in windows(size, text, sentence):
+        yield i, j, n, value(i, j, n)
+
+
 def _vector(row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Subsequences of one row and their normalised weights."""
     keys, weights = zip(*((key[0], np.full(key.shape[1], weight)) for key, weight in features(row[None, :])))
@@ -251,9 +336,63 @@ def _worst(unit: np.ndarray, of: np.ndarray, value: np.ndarray, toxic: np.ndarra
     return out
 
 
+def _common_windows(parts, toxic: np.ndarray, least: int):
+    """Windows of several units that at least ``least`` toxic texts hold: rows,
+    numbers of toxic and of clean texts, and pairs of window and toxic text."""
+    def seen(bad: bool):
+        for letters, first, size, text, sentence in parts:
+            for i, _, n in windows(size, text, sentence):
+                mine = toxic[text[i]] == bad
+                i, n = i[mine], n[mine]
+                h = _window_hashes(letters, first[i], n)
+                one = np.unique(C.mix(h + C.mix(text[i].astype(_U))), return_index=True)[1]
+                yield letters, first[i][one], n[one], text[i][one], h[one]
+
+    hashes, times = np.unique(np.concatenate([np.zeros(0, _U), *(x[4] for x in seen(True))]), return_counts=True)
+    hashes = hashes[times >= max(least, 2)]
+    rows, bad, good = np.zeros((len(hashes), UNIT), np.uint16), *np.zeros((2, len(hashes)), np.int64)
+    which, of = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for sign in (True, False) if len(hashes) else ():
+        for letters, first, n, text, h in seen(sign):
+            at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            hit = np.flatnonzero(hashes[at] == h)
+            np.add.at(bad if sign else good, at[hit], 1)
+            if sign:
+                rows[at[hit]] = rows_of(letters, first[hit], n[hit])[0]
+                which.append(at[hit])
+                of.append(text[hit])
+    return rows, bad, good, (np.concatenate(which), np.concatenate(of))
+
+
+def _high_windows(parts, toxic: np.ndarray, table: np.ndarray):
+    """Rows, texts and values: of every toxic text the window of several units
+    with the highest value, of the clean ones HARD_UNITS of the highest values."""
+    out = []
+    for letters, first, size, text, sentence in parts:
+        runs = [x for x in window_values(letters, first, size, text, sentence, table)][1:]
+        if not runs:
+            continue
+        i, n, v = (np.concatenate([x[k] for x in runs]) for k in (0, 2, 3))
+        order = np.lexsort((-v, text[i]))
+        lead = order[np.concatenate([[True], text[i][order][1:] != text[i][order][:-1]])]
+        lead = lead[toxic[text[i[lead]]]]
+        rest = np.flatnonzero(~toxic[text[i]])
+        rest = rest[np.argsort(-v[rest], kind="stable")[:HARD_UNITS]]
+        pick = np.concatenate([lead, rest])
+        out.append((rows_of(letters, first[i[pick]], n[pick])[0], text[i[pick]], v[pick]))
+    if not out:
+        return np.zeros((0, UNIT), np.uint16), np.zeros(0, np.int64), np.zeros(0)
+    rows, whose, v = (np.concatenate(x) for x in zip(*out))
+    bad, rest = np.flatnonzero(toxic[whose]), np.flatnonzero(~toxic[whose])
+    rest = rest[np.argsort(-v[rest], kind="stable")]
+    rest = rest[np.sort(_distinct(rows[rest])[0])][:HARD_UNITS]
+    pick = np.concatenate([bad, rest])
+    return rows[pick], whose[pick], v[pick]
+
+
 def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, cost: float = COST) -> Model:
     """Fit on whole texts: every sentence has its text's label, and a toxic text
-    is held to its worst unit, found anew in each round."""
+    is held to its worst unit or window, found anew in each round."""
     toxic = toxic.astype(bool)
     if not toxic.any() or toxic.all():  # one class: its prior
         sure = 4.0 if toxic.any() else -4.0
@@ -264,19 +403,26 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, cost:
         apart[:] = False
     rest, known = [t for t, x in zip(texts, apart) if x], toxic[apart]
     texts, toxic = [t for t, x in zip(texts, apart) if not x], toxic[~apart]
-    parts = [unit_rows(texts[lo:lo + 200]) for lo in range(0, len(texts), 200)]
-    rows = np.concatenate([p[0] for p in parts])
-    text = np.concatenate([p[1] + 200 * i for i, p in enumerate(parts)])
-    del parts
+    parts = []
+    for lo in range(0, len(texts), 200):
+        letters, at, size, of, sentence = units(texts[lo:lo + 200])
+        parts.append((letters, at, size, of + lo, sentence))
+    found = [rows_of(*p[:3]) for p in parts]
+    rows = np.concatenate([rows for rows, _ in found])
+    text = np.concatenate([p[3][u] for p, (_, u) in zip(parts, found)])
+    del found
     first, which = _distinct(rows)
     flat = rows[first]
     del rows
-    # how many toxic and clean texts hold a unit
+    # how many toxic and clean texts hold a unit, or a window that may be telling
     pair = np.unique(which.astype(np.int64) * len(texts) + text)
     unit, of = pair // len(texts), pair % len(texts)
     bad = np.bincount(unit[toxic[of]], minlength=len(flat))
     good = np.bincount(unit[~toxic[of]], minlength=len(flat))
     share = toxic.mean()
+    extra, n_bad, n_good, pairs = _common_windows(parts, toxic, int(np.ceil(PROOF / -np.log(share))))
+    unit, of = np.concatenate([unit, pairs[0] + len(flat)]), np.concatenate([of, pairs[1]])
+    flat, bad, good = np.concatenate([flat, extra]), np.concatenate([bad, n_bad]), np.concatenate([good, n_good])
     with np.errstate(divide="ignore", invalid="ignore"):
         proof = np.nan_to_num(bad * np.log(bad / (share * (bad + good)))) \
             + np.nan_to_num(good * np.log(good / ((1 - share) * (bad + good))))
@@ -319,13 +465,20 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, cost:
         w, bias = _svm(x, y, weight, cost / 1000)
         table = marks.fold(root @ w)
         every = np.concatenate([decide(flat[lo:lo + 20000], table) for lo in range(0, len(flat), 20000)]) + bias
+        # windows of the highest values: one of each toxic text, the hardest of clean ones
+        extra, whose, values = _high_windows(parts, toxic, table)
+        n_new = np.arange(len(flat), len(flat) + len(extra))
+        flat, every = np.concatenate([flat, extra]), np.concatenate([every, values + bias])
+        bad, good = np.concatenate([bad, toxic[whose]]), np.concatenate([good, ~toxic[whose]])
+        telling = np.concatenate([telling, np.zeros(len(extra), bool)])
+        unit, of = np.concatenate([unit, n_new]), np.concatenate([of, whose])
+        clean = np.flatnonzero(good > 0)
         hard = clean[np.argsort(-every[clean], kind="stable")[:HARD_UNITS]]
         negatives = np.union1d(negatives, hard)
         worst = _worst(unit, of, every[unit], toxic) if telling.any() else worst
-    value = _best(every[which], text, len(texts))
     if rest:
-        value, toxic = np.concatenate([decide_texts(rest[lo:lo + 500], table, bias)
-                                       for lo in range(0, len(rest), 500)]), known
+        texts, toxic = rest, known
+    value = np.concatenate([decide_texts(texts[lo:lo + 500], table, bias) for lo in range(0, len(texts), 500)])
     return Model(table, bias, *_logistic(value, toxic))
 
 
@@ -360,10 +513,15 @@ def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def decide_texts(texts: list[str], table: np.ndarray, bias: float) -> np.ndarray:
-    """The decision value of every text: that of its worst unit."""
-    rows, text, _ = unit_rows(texts)
-    first, which = _distinct(rows)
-    return _best((decide(rows[first], table) + bias)[which], text, len(texts))
+    """The decision value of every text: that of its worst unit or window."""
+    letters, first, size, text, sentence = units(texts)
+    best = np.full(len(first), -np.inf)
+    for i, _, _, value in window_values(letters, first, size, text, sentence, table):
+        best[i] = np.maximum(best[i], value)
+    long = np.flatnonzero(size > _BODY)
+    rows, unit = rows_of(letters, first[long], size[long])
+    np.maximum.at(best, long[unit], decide(rows, table))
+    return _best(best + bias, text, len(texts))
 
 
 def score_texts(texts: list[str], table: np.ndarray, bias: float, slope: float, shift: float) -> np.ndarray:

@@ -402,6 +402,26 @@ def test_toxicity(spark):
     assert toxicity.score(df.limit(0), model).count() == 0
 
 
+def test_toxicity_of_insults_across_blanks():
+    rng = np.random.default_rng(9)
+    syllables = ["than", "er", "ing", "wh", "ou", "re", "ti", "on", "es", "ly"]
+    texts = [["".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(60)] for _ in range(400)]
+    for k, i in enumerate(range(0, 400, 4)):
+        texts[i][int(rng.integers(60))] = ["idiot", "moron", "big dumb cow"][k % 3]
+        texts[i + 1][5:10:2] = texts[i + 2][7:50:20] = ["big", "dumb", "cow"]  # ordinary words
+    texts = [" ".join(t) for t in texts]
+    toxic = np.arange(400) % 4 == 0
+    model = toxicity.train(texts[:300], toxic[:300])
+    assert np.mean((toxicity.score_texts(texts[300:], *model.plain()) >= 0.5) == toxic[300:]) > 0.97
+    odd = ["than id iot er", "wh mor on ly", "er i d iot", "than big dumb cow er"]
+    assert (toxicity.score_texts(odd, *model.plain()) >= 0.5).all()
+    assert not (toxicity.score_texts(["than er big. dumb ou cow", "er on"], *model.plain()) >= 0.5).any()
+    # running sums have the values of rows
+    letters, first, size, text, sentence = toxicity.units([*texts[:4], "a b. cd é7 ю" + "ь" * 40])
+    for i, j, n, value in toxicity.window_values(letters, first, size, text, sentence, model.table):
+        assert np.allclose(value, toxicity.decide(toxicity.rows_of(letters, first[i], n)[0], model.table))
+
+
 def test_toxicity_in_other_letters():
     rng = np.random.default_rng(8)
     letters, insults = list("абвгдежзиклмнопрстуфхцчшщыьэюя"), ["идиотка", "дурачина", "мерзавец"]
