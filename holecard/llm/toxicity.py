@@ -336,13 +336,24 @@ def _worst(unit: np.ndarray, of: np.ndarray, value: np.ndarray, toxic: np.ndarra
     return out
 
 
-def _common_windows(parts, toxic: np.ndarray, least: int):
+def _proof(bad: np.ndarray, good: np.ndarray, share: float) -> np.ndarray:
+    """Log-likelihood gain of units in ``bad`` toxic and ``good`` clean texts, if
+    they are well above the share of toxic texts."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        proof = np.nan_to_num(bad * np.log(bad / (share * (bad + good)))) \
+            + np.nan_to_num(good * np.log(good / ((1 - share) * (bad + good))))
+    proof[bad <= 2 * share / (1 - share) * good] = 0
+    return proof
+
+
+def _common_windows(parts, known, toxic: np.ndarray, least: int):
     """Windows of several units that at least ``least`` toxic texts hold: rows,
-    numbers of toxic and of clean texts, and pairs of window and toxic text."""
+    numbers of toxic and of clean texts, and pairs of window and toxic text.
+    Windows with a unit that is telling by itself (``known``) are left out."""
     def seen(bad: bool):
-        for letters, first, size, text, sentence in parts:
-            for i, _, n in windows(size, text, sentence):
-                mine = toxic[text[i]] == bad
+        for (letters, first, size, text, sentence), told in zip(parts, known):
+            for i, j, n in windows(size, text, sentence):
+                mine = (toxic[text[i]] == bad) & (told[j + 1] == told[i])
                 i, n = i[mine], n[mine]
                 h = _window_hashes(letters, first[i], n)
                 one = np.unique(C.mix(h + C.mix(text[i].astype(_U))), return_index=True)[1]
@@ -364,18 +375,21 @@ def _common_windows(parts, toxic: np.ndarray, least: int):
     return rows, bad, good, (np.concatenate(which), np.concatenate(of))
 
 
-def _high_windows(parts, toxic: np.ndarray, table: np.ndarray):
-    """Rows, texts and values: of every toxic text the window of several units
-    with the highest value, of the clean ones HARD_UNITS of the highest values."""
+def _high_windows(parts, known, toxic: np.ndarray, table: np.ndarray):
+    """Rows, texts and values: of every toxic text without a telling unit the
+    window of several units with the highest value, of the clean ones HARD_UNITS
+    of the highest values."""
     out = []
-    for letters, first, size, text, sentence in parts:
+    for (letters, first, size, text, sentence), told in zip(parts, known):
+        sure = np.zeros(len(toxic), bool)
+        sure[text[np.diff(told) > 0]] = True
         runs = [x for x in window_values(letters, first, size, text, sentence, table)][1:]
         if not runs:
             continue
         i, n, v = (np.concatenate([x[k] for x in runs]) for k in (0, 2, 3))
         order = np.lexsort((-v, text[i]))
         lead = order[np.concatenate([[True], text[i][order][1:] != text[i][order][:-1]])]
-        lead = lead[toxic[text[i[lead]]]]
+        lead = lead[(toxic & ~sure)[text[i[lead]]]]
         rest = np.flatnonzero(~toxic[text[i]])
         rest = rest[np.argsort(-v[rest], kind="stable")[:HARD_UNITS]]
         pick = np.concatenate([lead, rest])
@@ -410,6 +424,7 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, cost:
     found = [rows_of(*p[:3]) for p in parts]
     rows = np.concatenate([rows for rows, _ in found])
     text = np.concatenate([p[3][u] for p, (_, u) in zip(parts, found)])
+    owner = [u for _, u in found]
     del found
     first, which = _distinct(rows)
     flat = rows[first]
@@ -420,13 +435,17 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, cost:
     bad = np.bincount(unit[toxic[of]], minlength=len(flat))
     good = np.bincount(unit[~toxic[of]], minlength=len(flat))
     share = toxic.mean()
-    extra, n_bad, n_good, pairs = _common_windows(parts, toxic, int(np.ceil(PROOF / -np.log(share))))
+    proof = _proof(bad, good, share)
+    marked, lo = [], 0  # running numbers of the telling units of each part
+    for p, u in zip(parts, owner):
+        told = np.zeros(len(p[1]), np.int64)
+        np.maximum.at(told, u, proof[which[lo:lo + len(u)]] > PROOF)
+        marked.append(np.concatenate([[0], np.cumsum(told)]))
+        lo += len(u)
+    extra, n_bad, n_good, pairs = _common_windows(parts, marked, toxic, int(np.ceil(PROOF / -np.log(share))))
     unit, of = np.concatenate([unit, pairs[0] + len(flat)]), np.concatenate([of, pairs[1]])
     flat, bad, good = np.concatenate([flat, extra]), np.concatenate([bad, n_bad]), np.concatenate([good, n_good])
-    with np.errstate(divide="ignore", invalid="ignore"):
-        proof = np.nan_to_num(bad * np.log(bad / (share * (bad + good)))) \
-            + np.nan_to_num(good * np.log(good / ((1 - share) * (bad + good))))
-    proof[bad <= 2 * share / (1 - share) * good] = 0
+    proof = np.concatenate([proof, _proof(n_bad, n_good, share)])
     telling = proof > PROOF
     order = np.argsort(-proof, kind="stable")
     rank = np.empty(len(flat), np.int64)
@@ -466,7 +485,7 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, cost:
         table = marks.fold(root @ w)
         every = np.concatenate([decide(flat[lo:lo + 20000], table) for lo in range(0, len(flat), 20000)]) + bias
         # windows of the highest values: one of each toxic text, the hardest of clean ones
-        extra, whose, values = _high_windows(parts, toxic, table)
+        extra, whose, values = _high_windows(parts, marked, toxic, table)
         n_new = np.arange(len(flat), len(flat) + len(extra))
         flat, every = np.concatenate([flat, extra]), np.concatenate([every, values + bias])
         bad, good = np.concatenate([bad, toxic[whose]]), np.concatenate([good, ~toxic[whose]])
