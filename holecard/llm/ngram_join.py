@@ -408,8 +408,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
 
     A null doc_id counts as larger than all others, and is a component_id only
     where no other id is reachable.  Repeated rows each get a row.  Shingles
-    and sets are compared by 64-bit hashes.  ``threshold`` is 51 to 100.
+    and sets are compared by 64-bit hashes.  ``threshold`` is 75 to
+    100: below, small sets could lose links, as neighbours in the order need not be shared.
     """
+    if not 75 <= threshold <= 100:
+        raise ValueError(f"threshold {threshold} is not in 75 to 100")
     n_bytes = text_bytes(docs)
     buckets = bucket_count(n_bytes)
     sets = checkpoint_stage(set_rows(docs, shingle)

@@ -161,6 +161,12 @@ def test_near_duplicates_empty(spark):
     assert ngram_join.near_duplicates(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("threshold", [66, 74, 101])
+def test_near_duplicates_bounds_of_the_threshold(spark, threshold):
+    with pytest.raises(ValueError):
+        ngram_join.near_duplicates(empty(spark), 3, threshold)
+
+
 def test_near_duplicates_without_ids_link_nothing_else(spark):
     one, two = random_words(41, 100, 10_000), random_words(42, 100, 10_000)
     rows = [(1, " ".join(one)), (2, " ".join(two)), (None, " ".join([*one, "end"])), (None, " ".join([*two, "end"])),
