@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -113,3 +114,16 @@ def checkpoint_stage(df):
     out = cached.checkpoint(eager=True)
     cached.unpersist()
     return out
+
+
+def write_table(df, name: str = "table"):
+    """Write ``df`` as Parquet into the checkpoint folder and read it again.
+
+    Like a checkpoint it cuts the lineage and survives lost executors, but the
+    rows are computed once without a copy in executor memory, and only the
+    columns that are used later are read.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
