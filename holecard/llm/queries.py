@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holecard.llm import (chat_format, language_id, mixing, ngram_join, packing, quality_rules, substring_dedup,
+from holecard.llm import (chat_format, language_id, merkle, mixing, ngram_join, packing, quality_rules, substring_dedup,
                           topk_search, toxicity, url_filter)
 from holecard.sources.tables import read_table
 
@@ -127,6 +127,22 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_documents(spark, sf_dir, "doc_id", "text"))
 
 
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 13: every document's place in a Merkle tree over the sources, and
+    whether its text, half of them tampered with, still leads to the root."""
+    docs = _documents(spark, sf_dir, "doc_id", "source", "lang", "n_chars", "text")
+    fields = [F.col(c) for c in docs.columns]
+    tampered = F.translate("text", "\n", "")
+    touched = (F.crc32(F.col("doc_id").cast("string")) % 2 == 0) & (tampered != F.col("text"))
+    shown = F.when(touched, merkle.leaf_digest(*fields[:-1], tampered))
+    tree = merkle.build(docs, merkle.leaf_digest(*fields), carry={"shown": shown})
+    out = merkle.proofs(tree)
+    out = out.withColumn("folded_root", merkle.fold(F.coalesce("carried_shown", "digest"), F.col("path")))
+    return out.select(F.col("order").alias("doc_id"), F.col("digest").alias("leaf"), F.col("top").alias("subroot"),
+                      "root", merkle.path_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+                      (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {
     "op1_language_mixture": language,
     "op2_url_trie": url_verdicts,
@@ -138,4 +154,5 @@ QUERIES = {
     "op8_quality_rules": quality,
     "op9_toxicity": toxic,
     "op10_ngram_jaccard": near_duplicates,
+    "op13_merkle_manifest": manifest,
 }
