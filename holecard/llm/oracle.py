@@ -6,6 +6,8 @@ a model, 5 shuffles by a Spark hash, and 7 needs a tokenizer.
 
 from __future__ import annotations
 
+from holecard.llm import secret_scan
+
 _WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 
 URL = r"""
@@ -164,11 +166,65 @@ proven AS (
 SELECT *, folded_root = root AS verified FROM proven
 """.replace("{crc}", CRC_TABLE)
 
+
+def _secret_sql() -> str:
+    """Base spans by gaps between matches; every window of every candidate by itself."""
+    kinds, labels = [], secret_scan.names()
+    for i, kind in enumerate(secret_scan.KINDS):
+        pattern = {"hex": "[0-9a-f]{24,}"}.get(kind.name, kind.pattern.replace('\\"', '"').replace("'", "''"))
+        kinds.append(f"""SELECT id, {i} AS kind, {kind.least} AS least, regexp_extract_all(text, '{pattern}', 0) AS m,
+          regexp_extract_all(text, '{pattern}', {kind.group}) AS g, string_split_regex(text, '{pattern}') AS gaps
+          FROM docs""")
+    rules = []
+    for i, kind in enumerate(secret_scan.CLASSES, len(kinds)):
+        symbols = kind.symbols.replace("-", "") + ("-" if "-" in kind.symbols else "")
+        pattern = f"[{symbols}]{{{kind.window},}}"
+        kinds.append(f"""SELECT id, {i} AS kind, 0 AS least, regexp_extract_all(text, '{pattern}', 0) AS m,
+          m AS g, string_split_regex(text, '{pattern}') AS gaps FROM docs""")
+        rules.append(f"({i}, {kind.window}, {kind.marks()}, {secret_scan.scaled(kind.window)})")
+    allowed = " OR ".join(f"regexp_full_match(m, '{pattern}')" for pattern in secret_scan.ALLOW)
+    names = "[" + ", ".join(f"'{n}'" for n in labels) + "]"
+    counts = ", ".join(f"count(kind) FILTER (kind = {i}) AS n_{k.name}" for i, k in enumerate(secret_scan.KINDS))
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents),
+every AS ({" UNION ALL ".join(kinds)}),
+places AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM every WHERE len(m) > 0),
+found AS (
+  SELECT id, kind, m[i] AS m, (list_sum([len(x) for x in gaps[1:i]])
+         + coalesce(list_sum([len(x) for x in m[1:i - 1]]), 0))::BIGINT AS since
+  FROM places WHERE len(g[i]) >= least),
+rules AS (SELECT * FROM (VALUES {", ".join(rules)}) r(kind, w, most, f)),
+ends AS (
+  SELECT id, kind, since, w, most, f, m, unnest(range(w, len(m) + 1)) AS e
+  FROM found JOIN rules USING (kind) WHERE NOT ({allowed})),
+windows AS (SELECT *, substring(m, e - w + 1, w) AS x FROM ends),
+high AS (
+  SELECT id, kind, since, w, e FROM windows
+  WHERE list_sum([f[w - len(replace(x, c, '')) + 1] for c in list_distinct(string_split(x, ''))]) <= most
+    AND len(regexp_replace(x, '[0-9]', '', 'g')) BETWEEN 1 AND w - 1),
+marked AS (
+  SELECT *, CASE WHEN lag(e) OVER (PARTITION BY id, kind, since ORDER BY e) >= e - w THEN 0 ELSE 1 END AS opens
+  FROM high),
+islands AS (SELECT *, sum(opens) OVER (PARTITION BY id, kind, since ORDER BY e) AS island FROM marked),
+spans AS (
+  SELECT id, kind, since, since + len(m) AS until FROM found WHERE kind < {len(secret_scan.KINDS)}
+  UNION ALL
+  SELECT id, kind, since + min(e) - any_value(w), since + max(e) FROM islands GROUP BY id, kind, since, island),
+texts AS (SELECT *, concat_ws(':', ({names})[kind + 1], since::BIGINT, until::BIGINT) AS t FROM spans)
+SELECT any_value(doc_id) AS doc_id, {counts},
+       sha256(coalesce(string_agg(t, ',' ORDER BY since, kind) FILTER (kind < {len(secret_scan.KINDS)}), ''))
+         AS base_sha256,
+       coalesce(string_agg(t, ',' ORDER BY since, kind), '') AS spans
+FROM docs LEFT JOIN texts USING (id) GROUP BY id
+"""
+
+
 ORACLE_SQL = {
     "op2_url_trie": URL,
     "op3_substring_dedup": SUBSTRING,
     "op4_exact_topk": TOP_K,
     "op6_chat_format": CHATS,
     "op10_ngram_jaccard": NEAR,
+    "op12_secret_scan": _secret_sql(),
     "op13_merkle_manifest": MANIFEST,
 }

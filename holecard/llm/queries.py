@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holecard.llm import (chat_format, language_id, merkle, mixing, ngram_join, packing, quality_rules, substring_dedup,
-                          topk_search, toxicity, url_filter)
+from holecard.llm import (chat_format, language_id, merkle, mixing, ngram_join, packing, quality_rules, secret_scan,
+                          substring_dedup, topk_search, toxicity, url_filter)
 from holecard.sources.tables import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -127,6 +127,17 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_documents(spark, sf_dir, "doc_id", "text"))
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 12: where every document holds what looks like a secret."""
+    out = secret_scan.scan(_documents(spark, sf_dir, "doc_id", "text"))
+    labels = secret_scan.names()
+    counts = [F.size(secret_scan.of_kind(F.col("base_spans"), i)).cast("long").alias(f"n_{kind.name}")
+              for i, kind in enumerate(secret_scan.KINDS)]
+    return out.select("doc_id", *counts,
+                      F.sha2(secret_scan.printed(F.col("base_spans"), labels), 256).alias("base_sha256"),
+                      secret_scan.printed(F.col("spans"), labels).alias("spans"))
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 13: every document's place in a Merkle tree over the sources, and
     whether its text, half of them tampered with, still leads to the root."""
@@ -154,5 +165,6 @@ QUERIES = {
     "op8_quality_rules": quality,
     "op9_toxicity": toxic,
     "op10_ngram_jaccard": near_duplicates,
+    "op12_secret_scan": secrets,
     "op13_merkle_manifest": manifest,
 }
