@@ -6,7 +6,7 @@ a model, 5 shuffles by a Spark hash, and 7 needs a tokenizer.
 
 from __future__ import annotations
 
-from holecard.llm import secret_scan
+from holecard.llm import part_codes, secret_scan
 
 _WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 
@@ -219,12 +219,54 @@ FROM docs LEFT JOIN texts USING (id) GROUP BY id
 """
 
 
+
+def _codes_sql() -> str:
+    """The rounds as common table expressions, with every distance computed."""
+    steps = []
+    for i in range(part_codes.ROUNDS + 1):
+        steps.append(f"""near{i} AS MATERIALIZED (
+  SELECT id, part, any_value(pv) AS v, arg_min(entry, d * 1000 + entry) AS entry, min(d) AS d FROM (
+    SELECT p.id, p.part, p.v AS pv, b.entry,
+           list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM parts p JOIN book{i} b ON b.part = p.part) GROUP BY id, part)""")
+        if i < part_codes.ROUNDS:
+            steps.append(f"""mean{i} AS (
+  SELECT part, entry, list(m ORDER BY place) AS v FROM (
+    SELECT part, entry, place, floor(sum(x)::DOUBLE / count(*))::BIGINT AS m FROM (
+      SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS place FROM near{i})
+    GROUP BY part, entry, place) GROUP BY part, entry),
+book{i + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM book{i} b
+  LEFT JOIN mean{i} m ON m.part = b.part AND m.entry = b.entry)""")
+    last = part_codes.ROUNDS
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, vec_id, label,
+         [floor({part_codes.SCALE} * x::DOUBLE)::BIGINT for x in embedding] AS c FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+numbered AS (SELECT *, unnest(range({part_codes.PARTS})) AS part FROM kept),
+parts AS MATERIALIZED (
+  SELECT id, part, c[part * len(c) // {part_codes.PARTS} + 1:(part + 1) * len(c) // {part_codes.PARTS}] AS v
+  FROM numbered),
+book0 AS (SELECT part, id AS entry, v FROM parts WHERE id < {part_codes.ENTRIES}),
+{", ".join(steps)},
+digest AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{last}),
+coded AS (
+  SELECT id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+  FROM near{last} GROUP BY id)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (id), digest
+"""
+
+
 ORACLE_SQL = {
     "op2_url_trie": URL,
     "op3_substring_dedup": SUBSTRING,
     "op4_exact_topk": TOP_K,
     "op6_chat_format": CHATS,
     "op10_ngram_jaccard": NEAR,
+    "op11_part_codes": _codes_sql(),
     "op12_secret_scan": _secret_sql(),
     "op13_merkle_manifest": MANIFEST,
 }

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holecard.llm import (chat_format, language_id, merkle, mixing, ngram_join, packing, quality_rules, secret_scan,
-                          substring_dedup, topk_search, toxicity, url_filter)
+from holecard.llm import (chat_format, language_id, merkle, mixing, ngram_join, packing, part_codes, quality_rules,
+                          secret_scan, substring_dedup, topk_search, toxicity, url_filter)
 from holecard.sources.tables import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -127,6 +127,13 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_documents(spark, sf_dir, "doc_id", "text"))
 
 
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 11: the code of every vector and what it loses."""
+    coded = part_codes.compress(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    out = part_codes.with_group_error(coded.rows)
+    return out.select("vec_id", "code", "error", "label_error", F.lit(coded.digest()).alias("codebooks_sha256"))
+
+
 def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 12: where every document holds what looks like a secret."""
     out = secret_scan.scan(_documents(spark, sf_dir, "doc_id", "text"))
@@ -165,6 +172,7 @@ QUERIES = {
     "op8_quality_rules": quality,
     "op9_toxicity": toxic,
     "op10_ngram_jaccard": near_duplicates,
+    "op11_part_codes": vector_codes,
     "op12_secret_scan": secrets,
     "op13_merkle_manifest": manifest,
 }

@@ -146,8 +146,9 @@ def matches(text: Column, pattern: str, group: int = 0, needs: tuple[str, ...] =
 
 def _entropy_spans(candidate: Column, kind: CharClass) -> Column:
     """Array of (start, end) in a candidate: the joined windows of high entropy."""
-    f = F.array(*[F.lit(v).cast("long") for v in scaled(kind.window)])
     n = kind.window
+    # a window that one character fills gets one more of it before the oldest leaves
+    f = F.array(*[F.lit(v).cast("long") for v in scaled(n + 1)])
     size = len(kind.symbols)
     codes = F.transform(F.split(candidate, "(?<=.)(?=.)"), lambda c: F.instr(F.lit(kind.symbols), c))
 
