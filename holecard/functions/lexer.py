@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from holecard.functions.text import col
+from holecard.functions.arrays import let, running_sums
+from holecard.functions.text import col, count_char, split_lines
 
 # --- fixed values: token pattern (must stay as written to match results) ---
 # String and character literals are written in "unrolled" form: plain
@@ -108,6 +109,30 @@ def lex_ok_of(toks: Column) -> Column:
     return ~(lone_quote | open_comment)
 
 
+def token_positions_of(toks: Column, lines: Column) -> Column:
+    """Code tokens with their places: array of (token, offset, line, column).
+
+    ``toks`` are all tokens of a text with ``\\n`` line ends and ``lines`` its
+    lines.  Offsets count characters from 0, lines and columns from 1.  All
+    three come from running sums: of token lengths, of the newlines in tokens,
+    and of line lengths.  Row-local and linear in the text.
+    """
+    sizes = lambda arr: F.transform(arr, lambda t: F.length(t).cast("long"))
+    newlines = F.transform(toks, lambda t: count_char(t, "\n").cast("long"))
+    placed = F.zip_with(F.arrays_zip(toks.alias("t"), running_sums(sizes(toks)).alias("o")), running_sums(newlines),
+                        lambda to, n: F.struct(to["t"].alias("t"), to["o"].alias("o"), n.alias("n")))
+    code = F.filter(placed, lambda p: is_code_token(p["t"]))
+    known = F.struct(running_sums(sizes(lines)).alias("starts"), code.alias("code"))
+    return let(known, lambda k: F.transform(k["code"], lambda p: F.struct(
+        p["t"].alias("token"), p["o"].alias("offset"), (p["n"] + 1).cast("int").alias("line"),
+        (p["o"] - F.element_at(k["starts"], (p["n"] + 1).cast("int")) + 1).cast("int").alias("column"))))
+
+
+def token_positions(text) -> Column:
+    """:func:`token_positions_of` of a text with ``\\n`` line ends."""
+    return token_positions_of(all_tokens(text), split_lines(text))
+
+
 def indices_where(arr: Column, pred) -> Column:
     """1-based positions of the elements of ``arr`` that satisfy ``pred``."""
     return F.filter(F.transform(arr, lambda t, i: F.when(pred(t), i + 1)),

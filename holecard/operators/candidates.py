@@ -1,4 +1,4 @@
-"""Text -> candidate positions (T1-T3): which lines and tokens may be masked.
+"""Text -> candidate positions (T1-T6): which lines, tokens and method bodies may be masked.
 
 Input everywhere is a files table with at least ``path`` and ``text``.
 Candidates carry only ``(path, position)``; text is joined back after sampling.
@@ -9,15 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from holecard.functions.lexer import all_tokens, code_tokens_of, indices_where, lex_ok, lex_ok_of
+from holecard.functions.lexer import (JAVA_KEYWORDS, all_tokens, code_tokens_of, indices_where, is_code_token, lex_ok,
+                                      lex_ok_of, token_positions_of)
 from holecard.functions.text import WS, normalize_newlines, split_lines
 
 
-def file_lines(files: DataFrame) -> DataFrame:
-    """One row per line ``(path, line_idx, line)``, 0-based, terminator kept."""
-    return files.select("path", F.posexplode(split_lines("text")).alias("line_idx", "line"))
-
-
 # --- fixed values: one character per surviving line, and the comment runs ---
 # O opens a block comment, C closes one, B does both, N neither.  A run that
 # starts with O lasts until the first C or B (inclusive); a lone B is a
@@ -40,6 +36,14 @@ def line_candidates(files: DataFrame, num_label_lines: int = 1, min_lines_above:
     ``COMMENT_RUNS``), the string is cut into runs by one regex, and the runs
     are expanded back to one in-comment flag per survivor.
     """
+    found = _line_indices(files.select("path", split_lines("text").alias("_lines")), ["path"], num_label_lines,
+                          min_lines_above, min_lines_below)
+    return found.select("path", F.explode("_line_idx").alias("line_idx"))
+
+
+def _line_indices(files: DataFrame, keep_cols: list[str], num_label_lines: int, min_lines_above: int,
+                  min_lines_below: int) -> DataFrame:
+    """``keep_cols`` and ``_line_idx``, the maskable indices of the array ``_lines``."""
     if num_label_lines + min_lines_below <= 0:
         raise ValueError("num_label_lines + min_lines_below must be positive")
 
@@ -49,45 +53,81 @@ def line_candidates(files: DataFrame, num_label_lines: int = 1, min_lines_above:
         return F.when(opens & closes, "B").when(opens, "O").when(closes, "C").otherwise("N")
 
     keep = lambda l: ~l.rlike(rf"^{WS}*$") & ~l.rlike(rf"^{WS}*(//|#|import|package)")
-    survivors = F.filter(F.transform(split_lines("text"), lambda l, i: F.when(
+    survivors = F.filter(F.transform("_lines", lambda l, i: F.when(
         keep(l), F.struct(i.alias("i"), kind(l).alias("k")))), lambda s: s.isNotNull())
-    staged = files.select("path", survivors.alias("_s"))
+    staged = files.select(*keep_cols, survivors.alias("_s"))
     runs = F.regexp_extract_all(F.array_join(F.transform("_s", lambda s: s["k"]), ""),
                                 F.lit(COMMENT_RUNS), 0)
     in_comment = F.flatten(F.transform(runs, lambda r: F.array_repeat(r.rlike("^[OB]"), F.length(r))))
-    flagged = staged.select("path", "_s", in_comment.alias("_c"))
+    flagged = staged.select(*keep_cols, "_s", in_comment.alias("_c"))
     relevant = F.filter(F.zip_with("_s", "_c", lambda s, c: F.when(~c, s["i"])), lambda i: i.isNotNull())
-    ranked = flagged.select("path", relevant.alias("_r"))
+    ranked = flagged.select(*keep_cols, relevant.alias("_r"))
     length = F.greatest(F.size("_r") - (min_lines_above + 1) - (num_label_lines + min_lines_below),
                         F.lit(0))
-    return ranked.select("path", F.explode(F.slice("_r", min_lines_above + 2, length)).alias("line_idx"))
+    return ranked.select(*keep_cols, F.slice("_r", min_lines_above + 2, length).alias("_line_idx"))
+
+
+# --- fixed values: one character per code token, and the statements it cuts out ---
+# I begins an import or package statement, S ends it, N is any other token.
+IMPORT_WORDS = ("import", "package")
+IMPORT_RUNS = r"I[IN]*S?|[NS]+"
 
 
 def token_candidates(files: DataFrame, num_label_tokens: int = 1, min_tokens_before: int = 1,
-                     min_tokens_after: int = 1) -> DataFrame:
+                     min_tokens_after: int = 1, skip_import_lines: bool = False) -> DataFrame:
     """Maskable token indices -> ``(path, token_idx, token)``.
 
     ``token_idx`` counts code tokens (no whitespace, no comments) from 0, as the
     Java lexer numbers them.  The words ``import`` and ``package`` are not
-    maskable; the rest is trimmed by rank like T2.  Files that fail to lex
-    give no candidates (see :func:`token_lex_failures`).  Row-local: no shuffle.
+    maskable; with ``skip_import_lines`` no token of their statements is, up to
+    the ``;`` (Q6).  The rest is trimmed by rank like T2.  Files that fail to
+    lex give no candidates (see :func:`token_lex_failures`).  Row-local: no
+    shuffle.
     """
-    if num_label_tokens + min_tokens_after <= 0:
-        raise ValueError("num_label_tokens + min_tokens_after must be positive")
     lexed = files.select("path", all_tokens("text").alias("_all"))
     # one projection and no Filter on the token array: a filter would be
     # pushed below the projection and tokenise every text twice
     staged = lexed.select("path", code_tokens_of(F.col("_all")).alias("_toks"),
                           lex_ok_of(F.col("_all")).alias("_ok"))
-    keep = F.transform(indices_where(F.col("_toks"), lambda t: ~t.isin("import", "package")),
-                       lambda p: p - 1)
-    ranked = staged.select("path", "_toks", F.when(F.col("_ok"), keep).alias("_keep"))
+    found = _token_indices(staged, ["path", "_toks"], num_label_tokens, min_tokens_before, min_tokens_after,
+                           skip_import_lines)
+    return found.select("path", "_toks", F.explode("_token_idx").alias("token_idx")) \
+        .select("path", "token_idx", F.element_at("_toks", F.col("token_idx") + 1).alias("token"))
+
+
+def _token_indices(staged: DataFrame, keep_cols: list[str], num_label_tokens: int, min_tokens_before: int,
+                   min_tokens_after: int, skip_import_lines: bool) -> DataFrame:
+    """``keep_cols`` and ``_token_idx``, the maskable indices of the code tokens
+    ``_toks``; null for a file that does not lex (``_ok``)."""
+    if num_label_tokens + min_tokens_after <= 0:
+        raise ValueError("num_label_tokens + min_tokens_after must be positive")
+    if skip_import_lines:
+        letters = F.array_join(F.transform("_toks", lambda t: F.when(t.isin(*IMPORT_WORDS), "I")
+                                           .when(t == ";", "S").otherwise("N")), "")
+        runs = F.regexp_extract_all(letters, F.lit(IMPORT_RUNS), 0)
+        free = F.flatten(F.transform(runs, lambda r: F.array_repeat(~r.startswith("I"), F.length(r))))
+        keep = F.filter(F.transform(free, lambda f, i: F.when(f, i)), lambda i: i.isNotNull())
+    else:
+        keep = F.transform(indices_where(F.col("_toks"), lambda t: ~t.isin(*IMPORT_WORDS)), lambda p: p - 1)
+    ranked = staged.select(*keep_cols, F.when(F.col("_ok"), keep).alias("_keep"))
     length = F.greatest(
         F.size("_keep") - min_tokens_before - (num_label_tokens + min_tokens_after), F.lit(0))
-    return ranked.select(
-        "path", "_toks",
-        F.explode(F.slice("_keep", min_tokens_before + 1, length)).alias("token_idx")
-    ).select("path", "token_idx", F.element_at("_toks", F.col("token_idx") + 1).alias("token"))
+    return ranked.select(*keep_cols, F.slice("_keep", min_tokens_before + 1, length).alias("_token_idx"))
+
+
+def token_places(files: DataFrame) -> DataFrame:
+    """``(path, token_idx, token, line, column, offset)`` of every code
+    token of the files that lex; lines and columns from 1, offsets from 0, in
+    the text with ``\\n`` line ends.  Row-local."""
+    read = files.select("path", normalize_newlines("text").alias("_t"))
+    lexed = read.select("path", all_tokens("_t").alias("_all"), split_lines("_t").alias("_lines"))
+    placed = lexed.select("path", F.posexplode(F.when(
+        lex_ok_of(F.col("_all")), token_positions_of(F.col("_all"), F.col("_lines")))).alias("token_idx", "_p"))
+    return placed.select("path", "token_idx", "_p.token", "_p.line", "_p.column", "_p.offset")
+
+
+# --- fixed values: reasons of skipped files ---
+NO_TOKENS, NO_METHODS = "these_relevant_token_indices", "all_relevant_method_bodies"
 
 
 def token_lex_failures(files: DataFrame) -> DataFrame:
@@ -96,8 +136,7 @@ def token_lex_failures(files: DataFrame) -> DataFrame:
     Rows are dropped by exploding an empty array, not by a Filter, which
     Catalyst would push into the scan stage with the tokeniser inlined.
     """
-    return files.select("path", F.explode(F.when(
-        ~lex_ok("text"), F.array(F.lit("these_relevant_token_indices")))).alias("reason"))
+    return files.select("path", F.explode(F.when(~lex_ok("text"), F.array(F.lit(NO_TOKENS)))).alias("reason"))
 
 
 # --- fixed values: Java primitive type names (a method name may follow them) ---
@@ -106,14 +145,15 @@ PRIMITIVE_TYPES = "void boolean byte char short int long float double".split()
 TYPE_WORDS = ("class", "interface", "enum")
 
 
-def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+def method_bodies(files: DataFrame, include_constructors: bool = False) -> tuple[DataFrame, DataFrame]:
     """T4: method bodies -> ``(path, method, pos, body_start_line, body_line_count)``
     and the skipped table ``(path, reason)``.
 
     A method header is a name token that is followed by ``(`` and preceded by
-    a type (an identifier, a primitive type, ``>`` or ``]``) -- so, as in the
-    reference (Q5), constructors are not methods -- directly inside a type
-    body.  A type body is opened by the ``{`` of a class, interface or enum
+    a type (an identifier, a primitive type, ``>`` or ``]``), directly inside
+    a type body.  So, as in the reference (Q5), constructors are not methods;
+    with ``include_constructors`` a name before ``(`` that equals the name of
+    the type whose body it lies in is one, too.  A type body is opened by the ``{`` of a class, interface or enum
     (its keyword stands since the last ``{``, ``}`` or ``;``) or of an
     anonymous class (a ``new`` stands there under the same number of open
     parentheses, and ``)`` just before).  Enum constants have no type body here.
@@ -137,8 +177,24 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     marks, with the counts of newlines and parentheses before each, reach the
     per-file windows and their one shuffle.
     """
-    from holecard.functions.lexer import JAVA_KEYWORDS, is_code_token
+    lexed = files.select("path", all_tokens(normalize_newlines("text")).alias("_all"))
+    staged = _with_marks(lexed, ["path"], include_constructors)
+    failed = F.array(F.struct(F.lit(LEX_FAILED).alias("mark"), F.lit(None).cast("string").alias("method")))
+    # One generator emits everything (marks, headers, or one row for a file
+    # that does not lex), so the tokeniser runs once per file.  No Filter on
+    # the lexer flag: Catalyst would push it below the scan-side exchange and
+    # inline the tokeniser into it.
+    rows = staged.select("path", F.explode(F.when(F.col("_ok"), F.col("_marks")).otherwise(failed)).alias("r"))
+    return bodies_of_marks(rows.select("path", "r.mark", "r.method"))
 
+
+#: The mark of a file that does not lex.
+LEX_FAILED = "\u0001-1!"
+
+
+def _with_marks(lexed: DataFrame, keep_cols: list[str], include_constructors: bool) -> DataFrame:
+    """``keep_cols``, ``_ok``, the code tokens ``_code`` and ``_marks``, an array
+    of (mark, method), from the array ``_all`` of a text's tokens."""
     keywords = F.array(*[F.lit(k) for k in JAVA_KEYWORDS])
     ident = r"^[A-Za-z_$][A-Za-z0-9_$]*$"
 
@@ -148,9 +204,8 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     def mark(t, p, kind):
         return F.concat(F.lit("\u0001"), p.cast("string"), kind, F.lit("\u0002"))
 
-    lexed = files.select("path", all_tokens(normalize_newlines("text")).alias("_all"))
     staged = lexed.select(
-        "path", lex_ok_of(F.col("_all")).alias("_ok"),
+        *keep_cols, lex_ok_of(F.col("_all")).alias("_ok"),
         code_tokens_of(F.col("_all")).alias("_code"),
         indices_where(F.col("_all"), is_code_token).alias("_cpos"),
         F.array_join(F.transform("_all", lambda t, p: F.when(t == " ", F.lit(""))
@@ -159,43 +214,47 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
                   .when(t.isin(*TYPE_WORDS), mark(t, p, F.lit("K")))
                   .when(t == "new", mark(t, p, F.lit("N")))
                   .otherwise(F.lit("-")))
-            .otherwise(F.regexp_replace(t, r"[^\n]+", ""))), "").alias("_marks"))
+            .otherwise(F.regexp_replace(t, r"[^\n]+", ""))), "").alias("_written"))
     # headers: name, next code token "(", previous code token a type
     n = F.size("_code")
     none = F.array(F.lit(None).cast("string"))
     nxt = F.concat(F.slice("_code", 2, F.greatest(n - 1, F.lit(0))), none)
     prev = F.concat(none, F.slice("_code", 1, F.greatest(n - 1, F.lit(0))))
     with_next = F.zip_with("_code", nxt, lambda c, x: F.struct(c.alias("c"), x.alias("x")))
-    names = F.zip_with(with_next, prev, lambda cx, p: F.when(
-        (cx["x"] == "(") & is_name(cx["c"]) &
-        ((p.rlike(ident) & ~F.array_contains(keywords, p)) |
-         p.isin(*PRIMITIVE_TYPES, ">", "]")), cx["c"]))
 
+
+    def named(cx, p):
+        """H: a method's header; C: a constructor's, if the type has its name."""
+        method = (p.rlike(ident) & ~F.array_contains(keywords, p)) | p.isin(*PRIMITIVE_TYPES, ">", "]")
+        kind = F.when(method, "H")
+        if include_constructors:
+            kind = kind.when(~p.isin("new", "."), "C")
+        type_name = F.struct(F.lit("T").alias("kind"), cx["c"].alias("name"))
+        found = F.when((cx["x"] == "(") & is_name(cx["c"]), F.struct(kind.alias("kind"), cx["c"].alias("name")))
+        return found.when(p.isin(*TYPE_WORDS), type_name) if include_constructors else found
+
+    names = F.zip_with(with_next, prev, named)
     # a mark as text: what stands since the one before it, U+0001, position, kind
-    header = lambda name, p: F.concat(F.lit("\u0001"), (p - 1).cast("string"), F.lit("H"))
-    headers = F.filter(F.zip_with(names, F.col("_cpos"), lambda name, p: F.when(
-        name.isNotNull(), F.struct(header(name, p).alias("mark"), name.alias("method")))),
+    headers = F.filter(F.zip_with(names, F.col("_cpos"), lambda h, p: F.when(h["kind"].isNotNull(), F.struct(
+        F.concat(F.lit("\u0001"), (p - 1).cast("string"), h["kind"]).alias("mark"), h["name"].alias("method")))),
         lambda h: h.isNotNull())
     plain = lambda m: F.struct(m.alias("mark"), F.lit(None).cast("string").alias("method"))
     # what follows the last mark is none
-    split = F.split("_marks", "\u0002")
+    split = F.split("_written", "\u0002")
     marks = F.transform(F.slice(split, F.lit(1), F.size(split) - 1), plain)
-    # One generator emits everything (marks, headers, or one row for a file
-    # that does not lex), so the tokeniser runs once per file.  No Filter on
-    # the lexer flag: Catalyst would push it below the scan-side exchange and
-    # inline the tokeniser into it.
-    failed = F.array(plain(F.lit("\u0001-1!")))
-    rows = staged.select("path", F.explode(
-        F.when(F.col("_ok"), F.concat(marks, headers)).otherwise(failed)).alias("r"))
-    rows = rows.select("path", "r.method", F.substring_index("r.mark", "\u0001", 1).alias("_gap"),
-                       F.substring_index("r.mark", "\u0001", -1).alias("_at"))
+    return staged.select(*keep_cols, "_ok", "_code", F.concat(marks, headers).alias("_marks"))
+
+
+def bodies_of_marks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The windows of :func:`method_bodies` over its rows ``(path, mark, method)``."""
+    rows = rows.select("path", "method", F.substring_index("mark", "\u0001", 1).alias("_gap"),
+                       F.substring_index("mark", "\u0001", -1).alias("_at"))
     count = lambda c: F.length("_gap") - F.length(F.replace(F.col("_gap"), F.lit(c), F.lit("")))
     rows = rows.select(
         "path", F.expr("left(_at, length(_at) - 1)").cast("int").alias("pos"), F.right("_at", F.lit(1)).alias("tok"),
         "method", count("\n").alias("_newlines"), (count("(") - count(")")).alias("_open"),
         F.right(F.rtrim("_gap", F.lit("\n")), F.lit(1)).alias("_left"))
-    bad = rows.where(F.col("tok") == "!").select(
-        "path", F.lit("all_relevant_method_bodies").alias("reason"))
+    bad = rows.where(F.col("tok") == "!").select("path", F.lit(NO_METHODS).alias("reason"))
 
     w = Window.partitionBy("path").orderBy("pos")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -212,17 +271,22 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
         pos_of(is_term).alias("_last_term"),
         F.coalesce(pos_of(F.col("tok").isin("{", "}", ";")), F.lit(-1)).alias("_from"),
         # Foo.class is no declaration
-        pos_of((F.col("tok") == "K") & (F.col("_left") != ".")).alias("_type"))
+        pos_of((F.col("tok") == "K") & (F.col("_left") != ".")).alias("_type"),
+        F.max(F.when(F.col("tok") == "T", F.struct("pos", "method"))).over(before).alias("_named"))
     # under the same number of open parentheses
     beside = Window.partitionBy("path", "_parens").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     beside_pos = lambda kind: F.max(F.when(F.col("tok") == kind, F.col("pos"))).over(beside)
     opens_type = (F.col("_type") > F.col("_from")) \
         | ((beside_pos("N") > F.col("_from")) & (F.col("_left") == ")"))
-    scanned = scanned.withColumn("_opens_type", F.coalesce(opens_type, F.lit(False))) \
+    # the name of the type follows its keyword
+    type_name = F.when(F.col("_named")["pos"] > F.col("_type"), F.when(
+        F.col("_type") > F.col("_from"), F.col("_named")["method"]))
+    scanned = scanned.withColumn("_opens_type", F.struct(
+        F.coalesce(opens_type, F.lit(False)).alias("type"), type_name.alias("name"))) \
         .withColumn("_assigns", F.coalesce(beside_pos("=") > F.col("_from"), F.lit(False)))
     # at one depth of a file braces alternate "{", "}": the next one closes an
     # opening one; a header lies one level below the brace that encloses it
-    level = F.when(F.col("tok").isin("{", "H"), F.col("depth") - 1).when(F.col("tok") == "}", F.col("depth"))
+    level = F.when(F.col("tok").isin("{", "H", "C"), F.col("depth") - 1).when(F.col("tok") == "}", F.col("depth"))
     brace = F.when(F.col("tok").isin("{", "}"), F.struct("tok", "line0"))
     wl = Window.partitionBy("path", "level").orderBy("pos")
     placed = scanned.withColumn("level", level).withColumn("_brace", brace).select(
@@ -231,8 +295,8 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
         .over(wl.rowsBetween(Window.unboundedPreceding, -1)).alias("_within"),
         F.expr("lead(_brace) IGNORE NULLS OVER (PARTITION BY path, level ORDER BY pos)").alias("_close"))
     # the header that a terminator closes
-    head = F.last(F.when((F.col("tok") == "H") & F.col("_within"), F.struct("pos", "method")),
-                  ignorenulls=True).over(before)
+    is_head = (F.col("tok") == "H") | ((F.col("tok") == "C") & (F.col("_within")["name"] == F.col("method")))
+    head = F.last(F.when(is_head & F.col("_within")["type"], F.struct("pos", "method")), ignorenulls=True).over(before)
     owned = placed.withColumn("_head", head).where(is_term)
     owner = F.when(~F.col("_assigns") & (F.col("_head")["pos"] > F.coalesce("_last_term", F.lit(-1))),
                    F.col("_head"))
@@ -246,5 +310,5 @@ def method_bodies(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     ).where(F.col("body_line_count") >= 1)
     # a file with a header that opens no body (abstract or interface method)
     no_body = ended.groupBy("path").agg(F.max(~has_body).alias("_missing")).where("_missing").select(
-        "path", F.lit("all_relevant_method_bodies").alias("reason"))
+        "path", F.lit(NO_METHODS).alias("reason"))
     return bodies, bad.unionByName(no_body)

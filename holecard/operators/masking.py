@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holecard.functions.lexer import all_tokens, indices_where, is_code_token
-from holecard.functions.text import col, count_char, join_slice, normalize_newlines, split_lines
+from holecard.functions.lexer import token_positions
+from holecard.functions.text import col, join_slice, normalize_newlines, split_lines
 
 # --- fixed values: fill-in-the-middle prompt markers ---
 PRE, SUF, MID = "<PRE> ", " <SUF>", " <MID>"
@@ -79,20 +79,11 @@ def mask_tokens(df: DataFrame, idx: str = "token_idx", num_label_tokens: int = 1
     n = num_label_tokens
     df = df.withColumn(text, normalize_newlines(text))  # offsets and lines of one text
     t = F.col(text)
-    toks = F.col("_all")
-    code_pos = indices_where(toks, is_code_token)
-    p_first = F.element_at(F.col("_code_pos"), F.col(idx) + 1)
-    p_last = F.element_at(F.col("_code_pos"), F.col(idx) + n)
-    start_off = F.length(F.array_join(F.slice(toks, 1, p_first - 1), ""))
-    end_off = F.length(F.array_join(F.slice(toks, 1, p_last), ""))
-    last_start = end_off - F.length(F.element_at(toks, p_last))
-
-    staged = df.withColumn("_all", all_tokens(text)) \
-        .withColumn("_code_pos", code_pos) \
-        .withColumn("_s", start_off).withColumn("_e", end_off).withColumn("_ls", last_start)
+    first, last = F.element_at("_pos", F.col(idx) + 1), F.element_at("_pos", F.col(idx) + n)
+    staged = df.withColumn("_pos", token_positions(text)).withColumn("_f", first).withColumn("_l", last) \
+        .withColumn("_s", F.col("_f")["offset"].cast("int")) \
+        .withColumn("_e", (F.col("_l")["offset"] + F.length(F.col("_l")["token"])).cast("int"))
     before = F.substring(t, 1, F.col("_s"))
-    first_line = count_char(before, "\n") + 1
-    last_line = count_char(F.substring(t, 1, F.col("_ls")), "\n") + 1
     partial_pre = F.regexp_extract(before, r"[^\n]*\z", 0)
     partial_suf = F.regexp_extract(F.substring(t, F.col("_e") + 1, F.length(t)), r"^[^\n]*\n?", 0)
     lines = F.col("_lines")
@@ -105,11 +96,11 @@ def mask_tokens(df: DataFrame, idx: str = "token_idx", num_label_tokens: int = 1
     else:
         label = F.substring(t, F.col("_s") + 1, F.length(t))
     return staged.withColumn("_lines", split_lines(text)) \
-        .withColumn("start_line", first_line.cast("int")) \
-        .withColumn("end_line", last_line.cast("int")) \
+        .withColumn("start_line", F.col("_f")["line"]) \
+        .withColumn("end_line", F.col("_l")["line"]) \
         .withColumn("prompt", fim_prompt(prefix, suffix, infill)) \
         .withColumn("label", label) \
-        .drop("_all", "_code_pos", "_s", "_e", "_ls", "_lines")
+        .drop("_pos", "_f", "_l", "_s", "_e", "_lines")
 
 
 def splice(text, label, completion, offset=None) -> Column:
