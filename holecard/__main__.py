@@ -39,8 +39,7 @@ def main(argv=None) -> None:
     files = scan_source_files(spark, args.code_base)
     completions = spark.read.parquet(args.completions) if args.completions else None
     run_dir = scorecard.run_staged(spark, files, cfg, args.out, completions=completions, fmt=args.format)
-    stages = f"{run_dir}/stages" if args.format == "csv" else run_dir
-    summary = spark.read.parquet(f"{stages}/summary")
+    summary = spark.read.parquet(f"{scorecard.stages_dir(run_dir, args.format)}/summary")
     summary.show(truncate=False, vertical=True)
     print(run_dir)
     spark.stop()

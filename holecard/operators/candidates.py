@@ -231,7 +231,7 @@ def _with_marks(lexed: DataFrame, keep_cols: list[str], include_constructors: bo
             kind = kind.when(~p.isin("new", "."), "C")
         type_name = F.struct(F.lit("T").alias("kind"), cx["c"].alias("name"))
         found = F.when((cx["x"] == "(") & is_name(cx["c"]), F.struct(kind.alias("kind"), cx["c"].alias("name")))
-        return found.when(p.isin(*TYPE_WORDS), type_name) if include_constructors else found
+        return found.when(p.isin(*TYPE_WORDS) & is_name(cx["c"]), type_name) if include_constructors else found
 
     names = F.zip_with(with_next, prev, named)
     # a mark as text: what stands since the one before it, U+0001, position, kind
@@ -312,3 +312,32 @@ def bodies_of_marks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     no_body = ended.groupBy("path").agg(F.max(~has_body).alias("_missing")).where("_missing").select(
         "path", F.lit(NO_METHODS).alias("reason"))
     return bodies, bad.unionByName(no_body)
+
+
+def prompt_candidates(files: DataFrame, num_label_lines: int = 1, num_label_tokens: int = 1,
+                      include_constructors: bool = False, skip_import_lines: bool = False) -> DataFrame:
+    """T1-T5 of all kinds from one lexing: ``(path, kind, idx, mark, method)``.
+
+    ``lines`` and ``tokens`` rows hold a maskable index, ``marks`` rows what
+    :func:`bodies_of_marks` reads, and ``skipped`` rows the reason in ``mark``
+    of a file whose tokens cannot be told.  One generator emits a file's rows;
+    write them once (by ``kind``) and read each kind from there.
+    """
+    read = files.select("path", normalize_newlines("text").alias("_t"))
+    lexed = read.select("path", all_tokens("_t").alias("_all"), split_lines("_t").alias("_lines"))
+    staged = _with_marks(lexed, ["path", "_lines"], include_constructors).withColumnRenamed("_code", "_toks")
+    kept = ["path", "_lines", "_ok", "_marks"]
+    staged = _token_indices(staged, kept, num_label_tokens, 1, 1, skip_import_lines)
+    staged = _line_indices(staged, ["path", "_ok", "_marks", "_token_idx"], num_label_lines, 1, 1)
+    text = F.lit(None).cast("string")
+
+    def row(kind, idx=None, mark=None, method=None):
+        return F.struct(F.lit(kind).alias("kind"), (F.lit(None) if idx is None else idx).cast("int").alias("idx"),
+                        (text if mark is None else mark).alias("mark"), (text if method is None else method).alias("method"))
+
+    failed = F.array(row("marks", mark=F.lit(LEX_FAILED)), row("skipped", mark=F.lit(NO_TOKENS)))
+    marks = F.when(F.col("_ok"), F.transform("_marks", lambda m: row("marks", mark=m["mark"], method=m["method"]))) \
+        .otherwise(failed)
+    tokens = F.transform(F.coalesce("_token_idx", F.array().cast("array<int>")), lambda i: row("tokens", i))
+    lines = F.transform("_line_idx", lambda i: row("lines", i))
+    return staged.select("path", F.explode(F.concat(lines, tokens, marks)).alias("r")).select("path", "r.*")

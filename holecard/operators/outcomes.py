@@ -162,6 +162,29 @@ def response_outcomes(responses: DataFrame, builds: DataFrame, root: str = "",
     return with_module.join(builds, build_key or ["prompt_id"], "left")
 
 
+def edited_builds(responses: DataFrame, text: str = "text", label: str = "label", completion: str = "completion",
+                  offset: str = "offset", path: str = "path_in_code_repo",
+                  root: str = "") -> tuple[DataFrame, DataFrame]:
+    """Responses to edited files to builds.
+
+    Returns the responses with their ``module`` and ``build_key``, and the
+    builds to run: one row ``(build_key, module, path, edited)`` per different
+    edit.  The key is a digest of the file's path and edited text, so equal
+    completions of one hole share a build, whoever gave them.  Outcomes come
+    back by key (:func:`response_outcomes` with ``build_key=["build_key"]``).
+    Only the digest is shuffled to find equal edits among the responses; a
+    build's text is that of any of its responses.
+    """
+    from holecard.operators.masking import splice
+    from holecard.operators.splits import module_of
+    edited = splice(text, label, completion, offset)
+    keyed = responses.withColumn("module", module_of(path, root)).withColumn("_edited", edited) \
+        .withColumn("build_key", F.sha2(F.concat_ws("\n", F.col(path), F.col("_edited")), 256))
+    builds = keyed.groupBy("build_key").agg(
+        F.any_value("module").alias("module"), F.any_value(path).alias("path"), F.any_value("_edited").alias("edited"))
+    return keyed.drop("_edited", text), builds
+
+
 def baseline_delta(responses: DataFrame, baseline: DataFrame, module: str = "module",
                    broadcast_bytes: int = BASELINE_BYTES) -> DataFrame:
     """Change of each response's outcome against its module's baseline.
@@ -196,13 +219,42 @@ def missing_baselines(catalogue: DataFrame, baselines: DataFrame, version: str,
     return catalogue.join(have, module, "left_anti")
 
 
+# --- the columns of a stored module baseline ---
+BASELINE_SCHEMA = ("module string, built boolean, failure_count int, error_count int, failed_tests array<string>, "
+                   "code_version string")
+
+
+def read_baselines(spark, path: str) -> DataFrame:
+    """The stored baselines of all versions; none before the first run."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], BASELINE_SCHEMA)
+    return spark.read.schema(BASELINE_SCHEMA).parquet(path)
+
+
+def extend_baselines(spark, path: str, catalogue: DataFrame, baseline_of, version: str) -> DataFrame:
+    """The baselines of ``version``, after adding those that are missing.
+
+    The table is partitioned by code version, so only that version's partition
+    is read.  ``baseline_of`` gives the outcomes of the modules it is handed:
+    only catalogued ones without a baseline.  They are appended by one job
+    that commits as a whole, so a rerun adds what is still missing and nothing
+    twice (one run at a time).
+    """
+    missing = missing_baselines(catalogue.select("module").distinct(), read_baselines(spark, path), version)
+    fresh = module_baseline(missing, baseline_of(missing)).withColumn("code_version", F.lit(version))
+    names = [c.split()[0] for c in BASELINE_SCHEMA.split(", ")]
+    fresh.select(*names).write.mode("append").partitionBy("code_version").parquet(path)
+    return read_baselines(spark, path).where(F.col("code_version") == version)
+
+
 def pass_at_k(outcomes: DataFrame, group: list[str], ks, passed: str = "built") -> DataFrame:
     """Unbiased pass@k per group: ``1 - prod_{j<k} (n - c - j) / (n - j)``.
 
     ``n`` samples, ``c`` passing.  Null where there are fewer than k samples; 1
     where fewer than k of them fail.  A null outcome is a sample that did not
-    pass.  One aggregate gives the counts for every k; the product has k
-    factors.
+    pass.  One aggregate gives the counts for every k; the product is a
+    fold of logarithms over 0..k-1, so the plan doesn't grow with k.
     """
     ks = [ks] if isinstance(ks, int) else list(ks)
     agg = outcomes.groupBy(*group).agg(
@@ -210,8 +262,7 @@ def pass_at_k(outcomes: DataFrame, group: list[str], ks, passed: str = "built")
         F.sum(F.coalesce(F.col(passed), F.lit(False)).cast("int")).alias("n_passed"))
     n, c = F.col("n_samples"), F.col("n_passed")
     for k in ks:
-        none = F.lit(1.0)
-        for j in range(k):
-            none = none * F.greatest(n - c - j, F.lit(0)) / F.greatest(n - j, F.lit(1))
-        agg = agg.withColumn(f"pass_at_{k}", F.when(n >= k, 1 - none))
+        none = F.exp(F.aggregate(F.sequence(F.lit(0), F.lit(k - 1)), F.lit(0.0),
+                                 lambda total, j: total + F.log((n - c - j) / (n - j))))
+        agg = agg.withColumn(f"pass_at_{k}", F.when(n < k, F.lit(None)).when(n - c < k, 1.0).otherwise(1 - none))
     return agg

@@ -127,10 +127,14 @@ def _with_clipped_counts(df: DataFrame, hyp: str, ref: str) -> DataFrame:
                     *[f"_rep{n}" for n in range(1, MAX_N + 1)])
 
 
-def ngram_match_scores(pairs: DataFrame, label: str = "label",
-                       completion: str = "completion") -> DataFrame:
+def ngram_match_scores(pairs: DataFrame, label: str = "label", completion: str = "completion",
+                       whole_reference: bool = False) -> DataFrame:
     """C1 + C2 (+ C4 null rule): ``pairs`` with ``ngram_match_score``,
-    ``weighted_ngram_match_score`` and ``lex_ok`` added; row-local."""
+    ``weighted_ngram_match_score`` and ``lex_ok`` added; row-local.
+
+    The published weighted score takes its brevity penalty against a reference
+    of length 2 (Q10); with ``whole_reference`` it is that of the first score.
+    """
     key = pairs.columns
     # token arrays first, in their own projection: both the code tokens and
     # the lexer check read them, and neither may re-run the tokeniser
@@ -158,6 +162,8 @@ def ngram_match_scores(pairs: DataFrame, label: str = "label",
         bp * F.exp(sum(0.25 * log_p(m[n], order_total(hl, n)) for n in range(1, MAX_N + 1))))
     wbp = F.when(hl > WEIGHTED_REF_LEN, 1.0).when(hl == 0, 0.0) \
         .otherwise(F.exp(1 - WEIGHTED_REF_LEN / hl))
+    if whole_reference:
+        wbp = bp
     wm1 = F.col("_wm1")
     wlogs = [0.25 * log_p(wm1, F.col("_wr1"))] + \
         [0.25 * log_p(m[n], order_total(rl, n)) for n in range(2, MAX_N + 1)]

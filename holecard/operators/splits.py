@@ -141,12 +141,3 @@ def file_mapping(split_files: DataFrame, out_dir: str, key: str = "path",
                  F.col("split_id").cast("string"), F.lit("_"), F.col(name)).alias("new_path"),
         "split")
 
-
-def map_back_skipped(skipped: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Skipped ``(path, reason)`` under new paths -> ``(old_path, reason)``.
-
-    The mapping has one row per file (it grows with the corpus), so the join
-    is left to the planner: broadcast while small, shuffled beyond that.
-    """
-    return skipped.join(mapping, skipped["path"] == mapping["new_path"], "inner") \
-        .select("old_path", "reason")

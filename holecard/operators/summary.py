@@ -20,7 +20,7 @@ RATES = ("successful_build_rate", "no_error_rate", "pass_at_1_rate")
 SUMMARY_COLUMNS = (
     ["result_name"] + [f"average_{c}" for c in AVERAGED] +
     [x for r in RATES for x in (r, f"{r}_moe")] +
-    ["average_code_bleu", "average_code_bleu_moe", "prompt_type"])
+    ["average_code_bleu", "average_code_bleu_moe", "average_code_bleu_se", "prompt_type"])
 
 
 def prompt_type(name) -> Column:
@@ -43,7 +43,8 @@ def summarize(evaluated: DataFrame, metrics=("CodeBLEU",), group: str = "result_
     ``evaluated`` holds one row per response with (as available) the five
     scores, ``label``/``completion`` and outcome columns ``built`` (BOOLEAN),
     ``error_count``, ``failure_count``.  Rates divide by all rows; averages
-    skip nulls.  A requested metric without its input columns is null.
+    skip nulls.  The composite's spread is its sample standard deviation
+    (Q12), and ``average_code_bleu_se`` its standard error.  A requested metric without its input columns is null.
     ``z`` defaults to the 95 % two-sided value (fix of Q3).
     """
     z = z_value() if z is None else z
@@ -63,9 +64,11 @@ def summarize(evaluated: DataFrame, metrics=("CodeBLEU",), group: str = "result_
         aggs += [null.alias(r) for r in RATES]
     if "CodeBLEU" in metrics:
         aggs += [F.avg("codebleu").alias("average_code_bleu"),
-                 F.stddev_samp("codebleu").alias("average_code_bleu_moe")]
+                 F.stddev_samp("codebleu").alias("average_code_bleu_moe"),
+                 (F.stddev_samp("codebleu") / F.sqrt(F.nullif(F.count("codebleu"), F.lit(0))))
+                 .alias("average_code_bleu_se")]
     else:  # Q18: the reference raises here; a missing metric is null
-        aggs += [null.alias("average_code_bleu"), null.alias("average_code_bleu_moe")]
+        aggs += [null.alias(f"average_code_bleu{s}") for s in ("", "_moe", "_se")]
     out = evaluated.groupBy(group).agg(*aggs)
     for r in RATES:
         out = out.withColumn(f"{r}_moe", margin_of_error(r, "_n", z) if rates else null)
@@ -86,7 +89,7 @@ def baseline_summary(modules: DataFrame, metrics=("CodeBLEU",), name: str = "bas
     out = summarize(base, tuple(m for m in metrics if m != "CodeBLEU"), z=z)
     if "CodeBLEU" in metrics:
         out = out.withColumn("average_code_bleu", F.lit(1.0)) \
-            .withColumn("average_code_bleu_moe", F.lit(0.0))
+            .withColumn("average_code_bleu_moe", F.lit(0.0)).withColumn("average_code_bleu_se", F.lit(0.0))
     return out.withColumn("prompt_type", F.lit(None).cast("string"))
 
 

@@ -225,6 +225,28 @@ FROM files GROUP BY 1""",
         "line_candidates": with_(FILES_CTE, LINES_CTE, line_candidates_cte(q.NUM_LABEL_LINES)) + """
 SELECT path, CAST(line_idx AS INTEGER) AS line_idx FROM line_cands""",
         "line_prompts": line_prompts_sql(q.LINES_K, q.NUM_LABEL_LINES, True, q.SEED),
+        "span_prompts": line_prompts_sql(q.LINES_K, q.SPAN_LINES, True, q.SEED),
+        "token_positions": with_(FILES_CTE, TOKENS_CTE) + r""",
+ends AS (
+  SELECT path, pos, tok, coalesce(sum(length(tok)) OVER w, 0)::BIGINT AS o,
+         coalesce(sum(length(tok) - length(replace(tok, chr(10), ''))) OVER w, 0) AS breaks
+  FROM tok WINDOW w AS (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+starts AS (
+  SELECT *, coalesce(max(CASE WHEN contains(tok, chr(10)) THEN o + length(tok) - length(regexp_extract(tok, '[^\n]*\z', 0))
+                     END) OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
+  FROM ends)
+SELECT c.path, CAST(token_idx AS INTEGER) AS token_idx, c.tok AS token, CAST(breaks + 1 AS INTEGER) AS line,
+       CAST(o - b + 1 AS INTEGER) AS "column", o AS "offset"
+FROM code c JOIN starts s ON s.path = c.path AND s.pos = c.pos""",
+        "tokens_without_imports": with_(FILES_CTE, TOKENS_CTE, """
+parts AS (
+  SELECT *, count(*) FILTER (WHERE tok = ';') OVER (PARTITION BY path ORDER BY token_idx
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS part FROM code),
+told AS (
+  SELECT *, max(tok IN ('import', 'package')) OVER (PARTITION BY path, part ORDER BY token_idx) AS imports FROM parts)""",
+            token_cands_cte(q.NUM_LABEL_TOKENS).replace("FROM code WHERE tok NOT IN ('import', 'package')",
+                                                        "FROM told WHERE NOT imports")) + """
+SELECT path, CAST(token_idx AS INTEGER) AS token_idx, token FROM token_cands""",
         "prefix_only_prompts": line_prompts_sql(q.LINES_K, q.NUM_LABEL_LINES, False, q.SEED),
         "one_candidate_per_file": with_(FILES_CTE, LINES_CTE, line_candidates_cte(q.NUM_LABEL_LINES)) + f"""
 SELECT path, CAST(arg_min(line_idx, md5(concat_ws('|', '{q.SEED}', 'line', path, CAST(line_idx AS VARCHAR))))
@@ -258,7 +280,9 @@ FROM split_files""",
     none = "CAST(NULL AS DOUBLE) AS average_code_bleu"
     sql["summary_with_baseline"] = f"""
 SELECT * FROM ({sql["rates_with_moe"]}) UNION ALL BY NAME
-SELECT * REPLACE ({none}, {none}_moe) FROM ({sql["baseline_summary_row"]})"""
+SELECT * REPLACE ({none}, {none}_moe, {none}_se) FROM ({sql["baseline_summary_row"]})"""
+    sql["summary_from_files"] = sql["summary_by_kind"].replace("'standin_' || p.kind || '_df_output'",
+                                                               "'20240101-000000_' || p.kind || '_df_standin_output'")
     sql["prompt_outcomes"] = f"""
 WITH prompts AS ({sql["line_prompts"]}),
 builds AS ({with_(OUTCOMES_CTE)} SELECT CAST(doc_id AS VARCHAR) AS doc, built, failure_count FROM outc2)
@@ -297,7 +321,15 @@ turn_pairs AS (
 pairs AS (SELECT * FROM doc_pairs UNION ALL SELECT * FROM turn_pairs)"""
 
 
-def score_ctes() -> str:
+def score_ctes(whole_reference: bool = False) -> str:
+    found = _score_ctes()
+    if whole_reference:
+        found = found.replace("CASE WHEN h1 > 2 THEN 1.0 WHEN h1 = 0 THEN 0.0 ELSE exp(1 - 2.0 / h1) END",
+                              "CASE WHEN h1 > r1 THEN 1.0 WHEN h1 = 0 THEN 0.0 ELSE exp(1 - r1 / h1) END")
+    return found
+
+
+def _score_ctes() -> str:
     from holecard.functions.lexer import JAVA_KEYWORDS
     kw = "[" + ", ".join(lit(k) for k in JAVA_KEYWORDS) + "]"
     return rf"""
@@ -402,6 +434,8 @@ def completion_sql(q) -> dict[str, str]:
 SELECT prompt_id, round(ngram_match_score, 6) AS ngram_match_score FROM scored"""),
         "weighted_ngram": _score_sql("""
 SELECT prompt_id, round(weighted_ngram_match_score, 6) AS weighted_ngram_match_score FROM scored"""),
+        "weighted_ngram_whole": with_(PAIRS_CTE, score_ctes(True)) + """
+SELECT prompt_id, round(weighted_ngram_match_score, 6) AS weighted_ngram_match_score FROM scored""",
         "composite_score": _score_sql("""
 SELECT prompt_id, kind, round(ngram_match_score, 6) AS ngram_match_score,
        round(weighted_ngram_match_score, 6) AS weighted_ngram_match_score,
@@ -535,7 +569,9 @@ def _summary_select(name: str, n: str, avgs: dict, rates: dict | None, bleu: tup
         else:
             cols += [f"CAST(NULL AS DOUBLE) AS {r}", f"CAST(NULL AS DOUBLE) AS {r}_moe"]
     b, bm = bleu if bleu else ("CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)")
+    se = f"{bm} / sqrt(nullif(count(codebleu), 0))" if "stddev" in bm else bm
     cols += [f"round({b}, 6) AS average_code_bleu", f"round({bm}, 6) AS average_code_bleu_moe",
+             f"round({se}, 6) AS average_code_bleu_se",
              f"{ptype} AS prompt_type"]
     return "SELECT " + ",\n       ".join(cols)
 
@@ -571,6 +607,30 @@ WITH items AS (
   FROM pages
 )
 SELECT page_id, CAST(unnest(range(len(its))) AS INTEGER) AS module_idx, unnest(its) AS module FROM items""",
+        "build_file_modules": r"""
+WITH poms AS (
+  SELECT doc_id AS project, '<project>' || chr(10) || '<modules>' || chr(10)
+    || regexp_replace(regexp_replace(text, '\r\n?', chr(10), 'g'), '([^\n]+)', '  <module>\1</module>', 'g') || chr(10)
+    || '  <!-- <module>old</module> -->' || chr(10) || '</modules>' || chr(10) || '<modules>' || chr(10)
+    || '  <module>other</module>' || chr(10) || '</modules>' AS t FROM documents),
+items AS (
+  SELECT project, regexp_extract_all(regexp_extract(t, '(?s)<modules>(.*?)</modules>', 1),
+    '(?m)^[ \t]*<module>([^<]+)</module>[ \t\r]*$', 1) AS its FROM poms)
+SELECT project, CAST(unnest(range(len(its))) AS INTEGER) AS module_idx, unnest(its) AS module FROM items""",
+        "baselines_extended": with_(OUTCOMES_CTE) + """
+SELECT v AS code_version, d.module, 1::BIGINT AS n_rows, coalesce(b.base_built, false) AS built,
+       CAST(b.base_fail AS BIGINT) AS failure_count
+FROM (SELECT DISTINCT source AS module FROM documents) d CROSS JOIN (VALUES ('v1'), ('v2')) t(v)
+LEFT JOIN base b ON b.module = d.module""",
+        "pass_at_many": with_(OUTCOMES_CTE) + f""",
+g AS (SELECT lang, count(*) AS n, sum(CAST(built AS INTEGER)) AS c FROM outc2 GROUP BY lang)
+SELECT lang, n AS n_samples, CAST(c AS BIGINT) AS n_passed, {_pass_k_sql(10)}, {_pass_k_sql(100)} FROM g""",
+        "run_history": with_(OUTCOMES_CTE) + f""",
+runs AS (
+  SELECT *, 'r1_' || lang || '_df_{q.SCORECARD_MODEL.replace("/", "-")}_output' AS rn FROM outc2
+  UNION ALL
+  SELECT *, 'r2_' || lang || '_df_{q.SCORECARD_MODEL.replace("/", "-")}_output' FROM outc2 WHERE error_count = 0)
+""" + _summary_select("rn", "count(*)", {}, _RATES, None, _ptype("rn")) + "\nFROM runs GROUP BY rn",
         "baseline_delta": with_(OUTCOMES_CTE) + """
 SELECT o.doc_id, o.module,
        CAST(o.failure_count - coalesce(b.base_fail, 0) AS BIGINT) AS additional_failure_count,
@@ -615,7 +675,7 @@ bm AS (SELECT base_built AS built, base_err AS error_count, base_fail AS failure
     }
 
 
-def method_ctes(src: str = "files") -> str:
+def method_ctes(src: str = "files", constructors: bool = False) -> str:
     from holecard.functions.lexer import JAVA_KEYWORDS
     kw = "[" + ", ".join(lit(k) for k in JAVA_KEYWORDS) + "]"
     ident = "'^[A-Za-z_$][A-Za-z0-9_$]*$'"
@@ -647,10 +707,11 @@ mnbr AS (
   FROM mcode
 ),
 mheads AS (
-  SELECT path, pos, tok AS method FROM mnbr
-  WHERE regexp_matches(tok, {ident}) AND NOT list_contains({kw}, tok) AND nxt = '('
-    AND ((regexp_matches(prev, {ident}) AND NOT list_contains({kw}, prev))
-         OR prev IN ('void', 'boolean', 'byte', 'char', 'short', 'int', 'long', 'float', 'double', '>', ']'))
+  SELECT path, pos, tok AS method, typed FROM (
+    SELECT *, (regexp_matches(prev, {ident}) AND NOT list_contains({kw}, prev))
+         OR prev IN ('void', 'boolean', 'byte', 'char', 'short', 'int', 'long', 'float', 'double', '>', ']') AS typed
+    FROM mnbr WHERE regexp_matches(tok, {ident}) AND NOT list_contains({kw}, tok) AND nxt = '(')
+  WHERE typed OR ({constructors} AND prev NOT IN ('new', '.'))
 ),
 mparts AS (
   SELECT *,
@@ -672,6 +733,7 @@ mends AS (
   SELECT path, pos, tok, line0, CASE WHEN tok = '}}' THEN outside - 1 ELSE outside END AS level,
          tok = '{{' AND (regexp_matches(words, '(^|[^.]) (class|interface|enum) ')
                         OR regexp_matches(flat, ' new [^()]*# $')) AS opens_type,
+         regexp_extract(words, '(?:^|[^.]) (?:class|interface|enum) ([A-Za-z_$][A-Za-z0-9_$]*) ', 1) AS type_name,
          regexp_matches(flat, ' = [^()]*$') AS assigns
   FROM mflat
 ),
@@ -679,7 +741,8 @@ minside AS (
   SELECT h.path, h.pos, any_value(h.method) AS method
   FROM mheads h JOIN mparts p ON p.path = h.path AND p.pos = h.pos
   JOIN mends e ON e.path = h.path AND e.tok = '{{' AND e.level = p.outside - 1 AND e.pos < h.pos
-  GROUP BY h.path, h.pos HAVING arg_max(e.opens_type, e.pos)
+  GROUP BY h.path, h.pos
+  HAVING arg_max(e.opens_type, e.pos) AND (any_value(h.typed) OR arg_max(e.type_name, e.pos) = any_value(h.method))
 ),
 mclosed AS (
   SELECT path, pos, lead(tok) OVER w AS next_tok, lead(line0) OVER w AS close_line
@@ -759,15 +822,36 @@ mapping AS (
 test_files AS (
   SELECT m.new_path AS path, f.text FROM files f JOIN mapping m ON m.old_path = f.path
 )"""
+    tf = test_files_cte(q.OUT_DIR)
+    sampled = f"""
+lp AS ({line_prompts_sql(q.LINES_K, q.NUM_LABEL_LINES, True, q.SEED, tf)}),
+tp AS ({token_prompts_sql(q.TOKENS_K, q.NUM_LABEL_TOKENS, q.SEED, files_cte=tf)}),
+mp AS ({method_prompts_sql(q.METHODS_K, q.SEED, tf)}),
+sampled AS (
+  SELECT 'lines' AS kind, prompt_id, path, prompt, label FROM lp
+  UNION ALL SELECT 'tokens', prompt_id, path, prompt, label FROM tp
+  UNION ALL SELECT 'methods', prompt_id, path, prompt, label FROM mp
+)"""
+    lost = f"regexp_matches(path, '{q.UNMAPPED}')"
     skipped = with_(FILES_CTE, SPLIT_CTE, test_files, method_ctes("test_files"), TOKENS_CTE.replace(
-        "FROM files\n)", "FROM test_files\n)", 1)) + """,
+        "FROM files\n)", "FROM test_files\n)", 1), sampled) + f""",
 skipped AS (
   SELECT m.old_path, s.reason FROM (
     SELECT path, 'these_relevant_token_indices' AS reason FROM bad
     UNION ALL SELECT path, reason FROM mskipped) s
   JOIN mapping m ON m.new_path = s.path
+  UNION ALL
+  SELECT path, rtrim(kind, 's') || '_removal_prompts' FROM sampled WHERE {lost}
 )"""
     return {
+        "placed_prompts": with_(FILES_CTE, SPLIT_CTE, test_files, sampled) + f"""
+SELECT kind || ':' || new_path || regexp_extract(prompt_id, ':[0-9]+$') AS prompt_id, kind, new_path AS path,
+       path AS path_in_code_repo, md5(prompt) AS prompt_md5, label
+FROM sampled JOIN mapping ON old_path = path WHERE NOT {lost}""",
+        "constructor_bodies": with_(FILES_CTE, method_ctes(constructors=True)) + """
+SELECT path, method, CAST(pos AS INTEGER) AS name_pos, body_start_line + 1 AS start_line,
+       body_start_line + body_line_count AS end_line
+FROM mbodies""",
         "method_bodies": with_(FILES_CTE, method_ctes()) + """
 SELECT path, method, CAST(pos AS INTEGER) AS name_pos, body_start_line + 1 AS start_line,
        body_start_line + body_line_count AS end_line
@@ -830,6 +914,24 @@ sel AS (
   UNION SELECT dst FROM gedges WHERE n_lines <> 0 AND CAST(n_lines AS VARCHAR) = '4'
 )
 SELECT n.id, (n.id IN (SELECT id FROM sel)) OR (SELECT count(*) FROM sel) = 0 AS visible FROM gnodes n""",
+        "edited_builds": f"""
+WITH lp AS ({lp}),
+{FILES_CTE.strip()},
+fl AS (SELECT path, text, regexp_extract_all(text, '{LINE_RE}', 0) AS ls FROM files),
+done AS (
+  SELECT lp.prompt_id, lp.path, lp.label, lp.start_line, s AS sample_idx, CASE WHEN s = 2 THEN lp.label ELSE
+         split_part(regexp_extract(substr(split_part(prompt, ' <SUF>', 1), 7), '[^\\n]*\\n?\\z', 0),
+                    chr(10) || chr(10) || chr(10), 1) END AS completion
+  FROM lp CROSS JOIN (VALUES (0), (1), (2)) v(s)
+),
+ed AS (
+  SELECT d.*, substr(f.text, 1, off) || d.completion || substr(f.text, off + length(d.label) + 1) AS edited
+  FROM (SELECT d.*, f.text, length(array_to_string(list_slice(f.ls, 1, d.start_line - 1), '')) AS off
+        FROM done d JOIN fl f ON f.path = d.path) d JOIN fl f ON f.path = d.path
+),
+keyed AS (SELECT *, sha256(path || chr(10) || edited) AS build_key FROM ed)
+SELECT prompt_id, CAST(sample_idx AS INTEGER) AS sample_idx, split_part(path, '/', 1) AS module, build_key,
+       substr(build_key, 1, 1) < '8' AS built, CAST(length(edited) AS BIGINT) AS edited_chars FROM keyed""",
         "splice_completion": f"""
 WITH lp AS ({lp}),
 {FILES_CTE.strip()},

@@ -21,6 +21,8 @@ from holecard.operators import summary as summ
 from holecard.plans import scorecard as sc
 from holecard.plans import standins as si
 from holecard.plans.standins import code_files, completion_pairs, table
+from holecard.session import scratch_path, write_table
+from holecard.sources import stage_tables
 
 SEED = 0
 # Prompt counts of the registered queries (sampling is the feature being run).
@@ -29,6 +31,7 @@ TOKENS_K = 200
 METHODS_K = 200
 NUM_LABEL_LINES = 2
 NUM_LABEL_TOKENS = 2
+SPAN_LINES = 3
 OUT_DIR = "data/run"
 
 
@@ -106,6 +109,30 @@ def token_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "start_line", "end_line")
 
 
+def token_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line, column and offset of every code token (CRLF files included)."""
+    files = code_files(spark, sf_dir).select("path", "text")
+    return cand.token_places(files).select("path", F.col("token_idx").cast("int").alias("token_idx"), "token",
+                                           "line", "column", "offset")
+
+
+def tokens_without_imports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 with ``skip_import_lines``: no token of an import or package statement."""
+    files = code_files(spark, sf_dir)
+    return cand.token_candidates(files, NUM_LABEL_TOKENS, skip_import_lines=True).select(
+        "path", F.col("token_idx").cast("int").alias("token_idx"), "token")
+
+
+def span_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: prompts that mask a span of lines given by its ends."""
+    files = code_files(spark, sf_dir).select("path", "text")
+    chosen = splits.sample_k(cand.line_candidates(files, SPAN_LINES), LINES_K, SEED, "lines", ["path", "line_idx"])
+    rows = splits.join_back(chosen, files, ["path"]).withColumn("end_idx", F.col("line_idx") + SPAN_LINES)
+    return masking.mask_span(rows, "line_idx", "end_idx").select(
+        F.concat_ws(":", F.lit("lines"), "path", F.col("line_idx").cast("string")).alias("prompt_id"),
+        "path", F.col("path").alias("path_in_code_repo"), "prompt", "label", "start_line", "end_line")
+
+
 def lex_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5 (token kind): files the lexer rejects."""
     return cand.token_lex_failures(code_files(spark, sf_dir))
@@ -153,6 +180,13 @@ def weighted_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
         "prompt_id", _r6("weighted_ngram_match_score"))
 
 
+def weighted_ngram_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 with the brevity penalty against the whole reference (flag of Q10)."""
+    pairs = completion_pairs(spark, sf_dir)
+    return scoring.ngram_match_scores(pairs, whole_reference=True).select(
+        "prompt_id", _r6("weighted_ngram_match_score"))
+
+
 def composite_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C3 (+C4): composite with syntax and data-flow matches as inputs."""
     return _scored(spark, sf_dir).select(
@@ -247,6 +281,12 @@ def module_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("page_id", F.col("module_idx").cast("int"), "module")
 
 
+def build_file_modules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B4 with its own patterns: modules that build files list."""
+    return outc.module_catalogue(si.build_files(spark, sf_dir)).select(
+        "project", F.col("module_idx").cast("int").alias("module_idx"), "module")
+
+
 def baseline_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B3 + B7: each response against its module's baseline."""
     out = outc.baseline_delta(si.response_outcomes(spark, sf_dir), si.module_baselines(spark, sf_dir))
@@ -265,6 +305,28 @@ def missing_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outc.missing_baselines(catalogue, have, "v1")
 
 
+def baselines_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored baselines after runs over some modules, all, all again, and
+    all of another code version; a module's baseline is made once a version."""
+    path = scratch_path(spark, "baselines")
+    modules = table(spark, sf_dir, "documents").select(F.col("source").alias("module")).distinct()
+    known = si.module_baselines(spark, sf_dir)
+    made = lambda missing: known.join(missing, "module", "left_semi")
+    for catalogue, version in ((modules.where("module < 'src2'"), "v1"), (modules, "v1"), (modules, "v1"),
+                               (modules, "v2")):
+        outc.extend_baselines(spark, path, catalogue, made, version)
+    return outc.read_baselines(spark, path).groupBy("code_version", "module").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("built").alias("built"),
+        F.max("failure_count").cast("long").alias("failure_count"))
+
+
+def pass_at_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B9 for large k, per language."""
+    out = outc.pass_at_k(si.response_outcomes(spark, sf_dir), ["lang"], [10, 100])
+    return out.select("lang", F.col("n_samples").cast("long"), F.col("n_passed").cast("long"),
+                      _r6("pass_at_10"), _r6("pass_at_100"))
+
+
 def pass_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unbiased pass@1 and pass@5 per (module, lang) sample group."""
     out = outc.pass_at_k(si.response_outcomes(spark, sf_dir), ["module", "lang"], [1, 5])
@@ -290,6 +352,27 @@ def rates_with_moe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary_out(summ.summarize(out, metrics=("pass@k",)))
 
 
+def summary_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 -> S10 -> A8: result files written as CSV, read back by folder, summarised."""
+    path = scratch_path(spark, "results")
+    kept = ["prompt_id", "label", "completion", *summ.AVERAGED[:4], "codebleu"]
+    scored = _scored(spark, sf_dir).withColumn("result_name", F.concat(
+        F.lit("20240101-000000_"), "kind", F.lit("_df_standin_output")))
+    stage_tables.write_result_files(scored.select("result_name", *kept), path)
+    schema = ", ".join(f"{c} {'string' if i < 3 else 'double'}" for i, c in enumerate(kept))
+    return _summary_out(summ.summary_table(stage_tables.read_result_files(spark, path, schema)))
+
+
+def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of every language in two runs of one history table, of which
+    the first was run twice."""
+    path = scratch_path(spark, "runs")
+    rows = si.response_outcomes(spark, sf_dir).withColumn("kind", F.col("lang"))
+    for stamp, part in (("r1", rows), ("r2", rows.where("error_count = 0")), ("r1", rows)):
+        sc.write_history(part, sc.RunConfig(run_ts=stamp, inference_model=SCORECARD_MODEL), path)
+    return _summary_out(summ.summarize(sc.read_history(spark, path), metrics=("pass@k",)))
+
+
 def baseline_summary_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The baseline row of the unaltered modules."""
     return _summary_out(summ.baseline_summary(si.module_baselines(spark, sf_dir),
@@ -304,6 +387,14 @@ def method_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("body_start_line") + F.col("body_line_count")).alias("end_line"))
 
 
+def constructor_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 with ``include_constructors``: bodies of methods and constructors."""
+    bodies, _ = cand.method_bodies(code_files(spark, sf_dir).select("path", "text"), include_constructors=True)
+    return bodies.select("path", "method", F.col("pos").cast("int").alias("name_pos"),
+                         (F.col("body_start_line") + 1).alias("start_line"),
+                         (F.col("body_start_line") + F.col("body_line_count")).alias("end_line"))
+
+
 def method_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4 -> P6 -> M4: infill prompts masking whole method bodies."""
     files = code_files(spark, sf_dir).select("path", "text")
@@ -348,17 +439,37 @@ def summary_with_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary_out(summ.summary_table(out, si.module_baselines(spark, sf_dir), metrics=("pass@k",)))
 
 
-def _skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+# --- fixed values: files that the stand-in mapping has lost ---
+UNMAPPED = "/[0-9]*[37]/[^/]*$"
+
+
+def _prompts_and_skipped(spark: SparkSession, sf_dir: str):
+    """Prompts of the test files and the skipped table; the mapping lacks some files."""
     files = code_files(spark, sf_dir).select("path", "file_name", "text")
-    mapping = sc.split_stage(files, sc.RunConfig(seed=SEED, output_directory=OUT_DIR))
-    return sc.skipped_files(sc.test_files(files, mapping, SEED))
+    cfg = sc.RunConfig(seed=SEED, output_directory=OUT_DIR, lines_prompts_count=LINES_K, tokens_prompts_count=TOKENS_K,
+                       methods_prompts_count=METHODS_K, num_label_lines=NUM_LABEL_LINES,
+                       num_label_tokens=NUM_LABEL_TOKENS)
+    mapping = write_table(sc.split_stage(files, cfg), "mapping")
+    tests = sc.test_files(files, mapping, SEED)
+    return sc.prompt_stage(tests, mapping.where(~F.col("old_path").rlike(UNMAPPED)), cfg)
+
+
+def _skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prompts_and_skipped(spark, sf_dir)[1]
 
 
 def skipped_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T5 + J1: skipped test files of every kind, under their original paths."""
+    """T5 + J1: skipped files of every kind and prompts whose file the mapping
+    lacks, under their original paths."""
     return _skipped(spark, sf_dir)
 
 
+def placed_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts of every kind under the new paths of their files."""
+    return _prompts_and_skipped(spark, sf_dir)[0].select(
+        "prompt_id", "kind", "path", "path_in_code_repo", F.md5("prompt").alias("prompt_md5"), "label")
+
+
 def skip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Skipped records per reason."""
     return summ.skip_counts(_skipped(spark, sf_dir)).select(
@@ -430,6 +541,24 @@ def splice_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.md5(legacy).alias("legacy_md5"))
 
 
+def edited_builds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three samples of every prompt, two of them alike, to builds of their
+    edited files, and the builds' outcomes back to the samples."""
+    files = code_files(spark, sf_dir).select("path", "text")
+    prompts = line_prompts(spark, sf_dir).select("prompt_id", "path", "path_in_code_repo", "prompt", "label",
+                                                 "start_line")
+    done = comp.expand_samples(comp.complete_with(prompts, comp.previous_line_completer), 3)
+    done = done.withColumn("completion", F.when(F.col("sample_idx") == 2, F.col("label")).otherwise(F.col("completion")))
+    before = F.array_join(F.slice(split_lines("text"), 1, F.col("start_line") - 1), "")
+    rows = splits.join_back(done, files, ["path"]).withColumn("offset", F.length(before))
+    responses, builds = outc.edited_builds(rows)
+    ran = builds.select("build_key", (F.left("build_key", F.lit(1)) < "8").alias("built"),
+                        F.length("edited").cast("long").alias("edited_chars"))
+    return outc.response_outcomes(responses, ran, build_key=["build_key"]).select(
+        "prompt_id", F.col("sample_idx").cast("int").alias("sample_idx"), "module", "build_key", "built",
+        "edited_chars")
+
+
 SCORECARD_RUN = "standin"
 SCORECARD_MODEL = "codellama/7b"
 
@@ -493,4 +622,16 @@ QUERIES = {
     "visible_flag": visible_flag,
     "splice_completion": splice_completion,
     "scorecard_summary": scorecard_summary,
+    "token_positions": token_positions,
+    "tokens_without_imports": tokens_without_imports,
+    "span_prompts": span_prompts,
+    "weighted_ngram_whole": weighted_ngram_whole,
+    "build_file_modules": build_file_modules,
+    "baselines_extended": baselines_extended,
+    "pass_at_many": pass_at_many,
+    "summary_from_files": summary_from_files,
+    "run_history": run_history,
+    "constructor_bodies": constructor_bodies,
+    "placed_prompts": placed_prompts,
+    "edited_builds": edited_builds,
 }

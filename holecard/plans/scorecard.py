@@ -20,7 +20,7 @@ from holecard.operators import candidates as cand
 from holecard.operators import completions as comp
 from holecard.operators import masking, scoring, splits, summary
 from holecard.operators.outcomes import join_outcomes
-from holecard.session import checkpoint_stage
+from holecard.session import checkpoint_stage, write_table
 
 
 # --- fixed values: names and defaults of the run configuration ---
@@ -35,6 +35,8 @@ class RunConfig:
     num_label_lines: int = 2
     lines_prompts_count: int = 10
     methods_prompts_count: int = 10
+    include_constructors: bool = False
+    skip_import_lines: bool = False
     infill: bool = True
     max_lines_above: int = 50
     max_lines_below: int = 50
@@ -80,35 +82,58 @@ def test_files(files: DataFrame, mapping: DataFrame, seed: int, strategy: str =
     return files.join(test, files["path"] == test["old_path"], "left_semi").select("path", "text")
 
 
-def skipped_files(tests: DataFrame) -> DataFrame:
-    """T5: ``(old_path, reason)`` of test files that give no candidates of a kind."""
-    _, method_skips = cand.method_bodies(tests)
-    return cand.token_lex_failures(tests).unionByName(method_skips) \
-        .select(F.col("path").alias("old_path"), "reason")
+def skipped_files(candidates: DataFrame) -> DataFrame:
+    """T5: ``(path, reason)`` of files that give no candidates of a kind."""
+    _, methods = cand.bodies_of_marks(candidates.where(F.col("kind") == "marks").select("path", "mark", "method"))
+    tokens = candidates.where(F.col("kind") == "skipped").select("path", F.col("mark").alias("reason"))
+    return tokens.unionByName(methods)
+
+
+def placed_prompts(prompts: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Prompts with the new path of their file, and the skipped
+    ``(path, reason)`` of those whose file the mapping lacks.
+
+    One outer join, its few rows written once, feeds both.  A prompt's id is
+    made of its new path, so none is made without one.
+    """
+    moved = mapping.select("old_path", F.col("new_path").alias("path"))
+    looked = write_table(prompts.join(moved, prompts["path_in_code_repo"] == moved["old_path"], "left")
+                         .drop("old_path"), "prompts")
+    found = looked.where(F.col("path").isNotNull()).withColumn(
+        "prompt_id", F.concat_ws(":", "kind", "path", F.col("_pos").cast("string")))
+    missed = looked.where(F.col("path").isNull()).select(
+        F.col("path_in_code_repo").alias("path"),
+        F.concat(F.regexp_replace("kind", "s$", ""), F.lit("_removal_prompts")).alias("reason"))
+    return found, missed
 
 
 def prompt_stage(tests: DataFrame, mapping: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
-    """Stage 2 (T1-T5, P6, M1-M4): prompts of the three kinds, and skipped files.
+    """Stage 2 (T1-T5, P6, M1-M4, J1, J2): prompts of the three kinds, and skipped files.
 
-    Candidates are sampled by original path; only the sampled rows meet the
-    text again, and the mapping for their new path.
+    Every text is lexed once; the candidates of all kinds are written by kind
+    and each sample reads its own.  They are sampled by original path; only
+    the sampled rows meet the text again, and the mapping for their new path.
     """
     src = tests.select("path", "text")
-    lines = splits.sample_k(cand.line_candidates(src, cfg.num_label_lines),
+    cands = write_table(cand.prompt_candidates(
+        src, cfg.num_label_lines, cfg.num_label_tokens, cfg.include_constructors, cfg.skip_import_lines),
+        "candidates", ("kind",))
+    of_kind = lambda kind: cands.where(F.col("kind") == kind)
+    lines = splits.sample_k(of_kind("lines").select("path", F.col("idx").alias("line_idx")),
                             cfg.lines_prompts_count, cfg.seed, "lines", ["path", "line_idx"])
     lines = masking.mask_lines(splits.join_back(lines, src, ["path"]),
                                "line_idx", cfg.num_label_lines, cfg.infill,
                                cfg.max_lines_above, cfg.max_lines_below) \
         .withColumn("kind", F.lit("lines")).withColumn("method", F.lit(None).cast("string")) \
         .withColumn("_pos", F.col("line_idx"))
-    tok_c = cand.token_candidates(src, cfg.num_label_tokens).select("path", "token_idx")
-    toks = splits.sample_k(tok_c, cfg.tokens_prompts_count, cfg.seed, "tokens", ["path", "token_idx"])
+    toks = splits.sample_k(of_kind("tokens").select("path", F.col("idx").alias("token_idx")),
+                           cfg.tokens_prompts_count, cfg.seed, "tokens", ["path", "token_idx"])
     toks = masking.mask_tokens(splits.join_back(toks, src, ["path"]),
                                "token_idx", cfg.num_label_tokens, cfg.infill,
                                cfg.max_lines_above, cfg.max_lines_below) \
         .withColumn("kind", F.lit("tokens")).withColumn("method", F.lit(None).cast("string")) \
         .withColumn("_pos", F.col("token_idx"))
-    bodies, method_skips = cand.method_bodies(src)
+    bodies, _ = cand.bodies_of_marks(of_kind("marks").select("path", "mark", "method"))
     meth = splits.sample_k(bodies, cfg.methods_prompts_count, cfg.seed, "methods", ["path", "pos"])
     meth = masking.mask_lines(splits.join_back(meth, src, ["path"]),
                               "body_start_line", "body_line_count", cfg.infill,
@@ -117,10 +142,8 @@ def prompt_stage(tests: DataFrame, mapping: DataFrame, cfg: RunConfig) -> tuple[
     cols = ["kind", "path", "method", "prompt", "label", "start_line", "end_line", "_pos"]
     prompts = lines.select(*cols).unionByName(toks.select(*cols)).unionByName(meth.select(*cols)) \
         .withColumnRenamed("path", "path_in_code_repo")
-    moved = mapping.where(F.col("split") == "test").select("old_path", F.col("new_path").alias("path"))
-    prompts = prompts.join(moved, prompts["path_in_code_repo"] == moved["old_path"], "left").drop("old_path")
-    prompts = prompts.withColumn("prompt_id", F.concat_ws(":", "kind", "path", F.col("_pos").cast("string")))
-    skipped = cand.token_lex_failures(src).unionByName(method_skips)
+    prompts, missed = placed_prompts(prompts, mapping.where(F.col("split") == "test"))
+    skipped = skipped_files(cands).unionByName(missed)
     return prompts.select(*PROMPT_COLUMNS), skipped.select(F.col("path").alias("old_path"), "reason")
 
 
@@ -189,24 +212,57 @@ def run_scorecard(files: DataFrame, cfg: RunConfig | None = None,
 STAGE_TABLES = ("mapping", "prompts", "skipped", "responses", "evaluated", "summary")
 
 
+#: Partition columns of the history of evaluated responses, beside the runs.
+HISTORY, HISTORY_COLUMNS = "history", ["run_stamp", "model", "prompt_kind"]
+
+
+def write_history(evaluated: DataFrame, cfg: RunConfig, out_dir: str) -> None:
+    """Add a run's evaluated responses to ``<out_dir>/history``; a run that
+    is repeated replaces its own partitions."""
+    from holecard.sources import stage_tables
+    rows = evaluated.withColumn("run_stamp", F.lit(cfg.run_ts)).withColumn("prompt_kind", F.col("kind")) \
+        .withColumn("model", F.lit(cfg.inference_model.replace("/", "-")))
+    stage_tables.write_run_table(rows, f"{out_dir.rstrip('/')}/{HISTORY}", HISTORY_COLUMNS)
+
+
+def read_history(spark, out_dir: str, **wanted) -> DataFrame:
+    """Evaluated responses of all runs, or of the wanted partitions (for
+    instance ``run_stamp=..., prompt_kind="lines"``)."""
+    from holecard.sources import stage_tables
+    rows = stage_tables.read_run_table(spark, f"{out_dir.rstrip('/')}/{HISTORY}", **wanted)
+    return rows.withColumn("result_name", F.concat("run_stamp", F.lit("_"), "prompt_kind", F.lit("_df_"), "model",
+                                                   F.lit("_output")))
+
+
 def write_run(spark, result: dict, out_dir: str, fmt: str = "parquet") -> str:
     """Write every stage table of a run under ``<out_dir>/<run_ts>/`` (restart
     points, as the reference hands stages over by folder) and the run
-    configuration as a JSON sidecar.  ``fmt`` is ``parquet`` or ``csv``."""
+    configuration as a JSON sidecar.  ``fmt`` is ``parquet`` or ``csv``; the
+    evaluated responses are also added to the history (:func:`write_history`)."""
     from holecard.sources import stage_tables
     run_dir = f"{out_dir.rstrip('/')}/{result['config']['run_ts']}"
     for name in STAGE_TABLES:
         df = result[name]
+        if fmt == "csv":  # what a later run resumes from
+            df.write.mode("overwrite").parquet(f"{stages_dir(run_dir, fmt)}/{name}")
+            df = spark.read.parquet(f"{stages_dir(run_dir, fmt)}/{name}")
         if "params" in df.columns:  # struct column: flatten for CSV, keep for parquet
             df = df.select("*", "params.*").drop("params") if fmt == "csv" else df
         if fmt == "csv":
             stage_tables.write_stage_csv(df, f"{run_dir}/{name}")
         else:
             df.write.mode("overwrite").parquet(f"{run_dir}/{name}")
+    write_history(spark.read.parquet(f"{stages_dir(run_dir, fmt)}/evaluated"), RunConfig(**result["config"]), out_dir)
     stage_tables.write_sidecar(spark, result["config"], f"{run_dir}/config")
     return run_dir
 
 
+def stages_dir(run_dir: str, fmt: str = "parquet") -> str:
+    """Where a run's Parquet stage tables are: beside the folder of a CSV run."""
+    parent, _, name = run_dir.rstrip("/").rpartition("/")
+    return f"{parent}/_stages/{name}" if fmt == "csv" else run_dir.rstrip("/")
+
+
 def run_staged(spark, files: DataFrame, cfg: RunConfig, out_dir: str,
                completer: Callable | None = None, completions: DataFrame | None = None,
                outcomes: DataFrame | None = None, modules: DataFrame | None = None,
@@ -215,12 +271,12 @@ def run_staged(spark, files: DataFrame, cfg: RunConfig, out_dir: str,
     """The whole run, each stage table written under ``<out_dir>/<run_ts>/`` and
     read back for the next, so no stage computes an earlier one again.
 
-    With ``fmt="csv"`` the tables are CSV, made from Parquet ones in
-    ``<out_dir>/<run_ts>/stages/``.
+    With ``fmt="csv"`` the tables are CSV, made from Parquet ones in the
+    folder that :func:`stages_dir` tells.
     """
     from holecard.sources import stage_tables
     run_dir = f"{out_dir.rstrip('/')}/{cfg.run_ts}"
-    stages = f"{run_dir}/stages" if fmt == "csv" else run_dir
+    stages = stages_dir(run_dir, fmt)
 
     def kept(name: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{stages}/{name}")
@@ -237,6 +293,7 @@ def run_staged(spark, files: DataFrame, cfg: RunConfig, out_dir: str,
     responses = completion_stage(prompts, cfg, completer, completions)
     responses = kept("responses", matches(responses) if matches else responses)
     evaluated = kept("evaluated", evaluation_stage(responses, cfg, outcomes))
+    write_history(evaluated, cfg, out_dir)
     kept("summary", analysis_stage(evaluated, cfg, modules))
     stage_tables.write_sidecar(spark, asdict(cfg), f"{run_dir}/config")
     return run_dir
@@ -250,15 +307,16 @@ _STEP_INPUT = {"prompts": "mapping", "completions": "prompts", "evaluate": "resp
 def resume_scorecard(spark, run_dir: str, files: DataFrame | None, cfg: RunConfig,
                      from_step: str, completer: Callable | None = None,
                      completions: DataFrame | None = None, outcomes: DataFrame | None = None,
-                     modules: DataFrame | None = None) -> dict:
+                     modules: DataFrame | None = None, fmt: str = "parquet") -> dict:
     """Run the steps from ``from_step`` on, reading the previous step's table
-    from a folder written by :func:`write_run` (parquet)."""
+    from a folder written by :func:`write_run` (parquet) or :func:`run_staged`;
+    ``fmt`` is the format that the run was written in."""
     if from_step not in STEPS:
         raise ValueError(f"unknown step {from_step!r}; one of {STEPS}")
     if from_step == "split":
         return run_scorecard(files, cfg, completer, completions, outcomes, modules)
     res = {"config": asdict(cfg)}
-    res[_STEP_INPUT[from_step]] = spark.read.parquet(f"{run_dir}/{_STEP_INPUT[from_step]}")
+    res[_STEP_INPUT[from_step]] = spark.read.parquet(f"{stages_dir(run_dir, fmt)}/{_STEP_INPUT[from_step]}")
     if from_step == "prompts":
         tests = test_files(files, res["mapping"], cfg.seed, cfg.split_strategy)
         res["prompts"], res["skipped"] = prompt_stage(tests, res["mapping"], cfg)

@@ -49,6 +49,17 @@ TYPED_LINES = """    @Named(value = "pick") public java.util.List<String> pick(i
             return "x";
         }
     };
+    static class Held extends Object {
+        Held first = new Held(1);
+        Held(int a) {
+            super();
+            go(a);
+        }
+        Held(int a, int b) { this(a); }
+        Held copy() {
+            return new Held(2);
+        }
+    }
 """
 TEST_MARK = r"[Tt][Ee][Ss][Tt]"
 NAME_WORD = r"^[^A-Za-z]*([A-Za-z]*)"
@@ -120,6 +131,16 @@ def with_matches(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("syntax_match", size % 11 / 10.0).withColumn("dataflow_match", size % 7 / 6.0)
 
 
+def build_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build files ``(project, text)``: a module entry for every line of a
+    document, one that is commented out, and a second block."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = F.regexp_replace(normalize_newlines("text"), r"([^\n]+)", r"  <module>$1</module>")
+    return docs.select(F.col("doc_id").alias("project"), F.concat(
+        F.lit("<project>\n<modules>\n"), items, F.lit("\n  <!-- <module>old</module> -->\n</modules>\n"
+              "<modules>\n  <module>other</module>\n</modules>\n</project>\n")).alias("text"))
+
+
 def build_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build logs ``(build_id, line_no, line)`` from ``events``: one build per
     user, one line per event in event order; signups open a failure block,

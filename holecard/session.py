@@ -116,14 +116,19 @@ def checkpoint_stage(df):
     return out
 
 
-def write_table(df, name: str = "table"):
+def scratch_path(spark, name: str) -> str:
+    """A new path in the checkpoint folder, which driver and executors share."""
+    return f"{ensure_checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def write_table(df, name: str = "table", partition_by: tuple = ()):
     """Write ``df`` as Parquet into the checkpoint folder and read it again.
 
     Like a checkpoint it cuts the lineage and survives lost executors, but the
     rows are computed once without a copy in executor memory, and only the
-    columns that are used later are read.
+    columns that are used later are read, of ``partition_by`` only the values.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = scratch_path(spark, name)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -22,6 +22,8 @@ CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "quote": '"',
 SKIPPED_FILE = "skipped_files.csv"
 OUTPUT_SUFFIX = "output.csv"
 BASELINE_PREFIX = "base_module_build_results"
+# a result file, or the folder of its parts
+RESULT_FILE = r"([^/=]+_output)\.csv(?:/[^/]*)?$"
 RESULT_NAME = r"^(\d{8}-\d{6})_(.+)_df_(.+)_output$"
 
 OUTCOME_STRUCT = T.StructType([
@@ -52,12 +54,29 @@ def read_prompt_tables(spark: SparkSession, prompts_dir: str) -> DataFrame:
     return df.where(F.col("source_file") != SKIPPED_FILE)
 
 
-def read_result_files(spark: SparkSession, results_dir: str) -> DataFrame:
-    """All ``*output.csv`` result files; ``result_name`` is the file
-    name without ``.csv``, parsed into run stamp, prompt kind and model."""
-    df = read_stage_csv(spark, results_dir, glob=f"*{OUTPUT_SUFFIX}")
-    name = F.regexp_replace("source_file", r"\.csv$", "")
-    return df.withColumn("result_name", name).withColumns(parse_result_name(name))
+def read_result_files(spark: SparkSession, results_dir: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """All ``*output.csv`` result files of a folder in one scan;
+    ``result_name`` is the name without ``.csv``, parsed into run stamp, prompt
+    kind and model.
+
+    A result is one file, or a folder of part files as
+    :func:`write_result_files` writes it; other CSV files are left out.  With
+    a ``schema`` no file is read twice; without one every column is a string.
+    """
+    reader = spark.read.options(**CSV_OPTIONS).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+    df = (reader.schema(schema) if schema is not None else reader).csv(results_dir)
+    name = F.regexp_extract(F.col("_metadata.file_path"), RESULT_FILE, 1)
+    return df.withColumn("result_name", name).where(F.col("result_name") != "") \
+        .withColumns(parse_result_name(F.col("result_name")))
+
+
+def write_result_files(df: DataFrame, results_dir: str, name: str = "result_name") -> None:
+    """One ``<result_name>.csv`` folder per result file, all by one job;
+    a rerun replaces the results it holds and leaves the others."""
+    named = df.withColumn("result_file", F.concat(F.col(name), F.lit(".csv"))).drop(name)
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options) \
+        .partitionBy("result_file").csv(results_dir)
 
 
 def parse_result_name(name) -> dict:
@@ -74,13 +93,26 @@ def write_stage_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_run_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                     mode: str = "overwrite") -> None:
-    """Parquet, partitioned by run columns (e.g. run stamp, prompt kind)."""
+    """Parquet, partitioned by run columns (e.g. run stamp, prompt kind).
+
+    Overwriting a partitioned table replaces the partitions that ``df`` holds
+    and leaves the others, so a run that is repeated has its rows once.
+    """
     w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.parquet(path)
 
 
+def read_run_table(spark: SparkSession, path: str, **wanted) -> DataFrame:
+    """Rows of a partitioned table; each of ``wanted`` (column=value) is a
+    partition filter, so other runs' files aren't listed into the scan."""
+    df = spark.read.parquet(path)
+    for name, value in wanted.items():
+        df = df.where(F.col(name) == value)
+    return df
+
+
 def write_sidecar(spark: SparkSession, record: dict, path: str) -> None:
     """A one-row JSON document (run configuration, inference metadata)."""
     spark.createDataFrame([(json.dumps(record, default=str),)], "value string") \
