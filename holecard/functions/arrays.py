@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Elements that one step of a running sum adds up; sums of these parts are added first.
-_CHUNK = 256
+_CHUNK = 32
 
 
 def let(value: Column, body) -> Column:
@@ -27,10 +27,9 @@ def running_sums(sizes: Column) -> Column:
     none = F.array().cast("array<long>")
 
     def sums(values: Column, start: Column) -> Column:
-        state = F.struct(start.cast("long").alias("at"), none.alias("out"))
-        return F.aggregate(values, state, lambda a, v: F.struct(
-            (a["at"] + v).cast("long").alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")),
-            lambda a: a["out"])
+        out = F.aggregate(values, F.array(start.cast("long")),
+                          lambda a, v: F.concat(a, F.array(F.element_at(a, F.lit(-1)) + v)))
+        return F.slice(out, F.lit(1), F.size(values))
 
     def total(values: Column) -> Column:
         return F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a + v)

@@ -6,7 +6,7 @@ Candidates carry only ``(path, position)``; text is joined back after sampling.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holecard.functions.lexer import (JAVA_KEYWORDS, all_tokens, code_tokens_of, indices_where, is_code_token, lex_ok,
@@ -14,6 +14,13 @@ from holecard.functions.lexer import (JAVA_KEYWORDS, all_tokens, code_tokens_of,
 from holecard.functions.text import WS, normalize_newlines, split_lines
 
 
+def _exploded(array: str) -> Column:
+    """A row per element.  The optimizer puts a filter on the size of an array
+    column that is exploded as it is below the projections that compute it, so
+    that they run again for the filter; an expression is left alone."""
+    return F.explode(F.transform(array, lambda x: x))
+
+
 # --- fixed values: one character per surviving line, and the comment runs ---
 # O opens a block comment, C closes one, B does both, N neither.  A run that
 # starts with O lasts until the first C or B (inclusive); a lone B is a
@@ -38,7 +45,7 @@ def line_candidates(files: DataFrame, num_label_lines: int = 1, min_lines_above:
     """
     found = _line_indices(files.select("path", split_lines("text").alias("_lines")), ["path"], num_label_lines,
                           min_lines_above, min_lines_below)
-    return found.select("path", F.explode("_line_idx").alias("line_idx"))
+    return found.select("path", _exploded("_line_idx").alias("line_idx"))
 
 
 def _line_indices(files: DataFrame, keep_cols: list[str], num_label_lines: int, min_lines_above: int,
@@ -91,7 +98,7 @@ def token_candidates(files: DataFrame, num_label_tokens: int = 1, min_tokens_bef
                           lex_ok_of(F.col("_all")).alias("_ok"))
     found = _token_indices(staged, ["path", "_toks"], num_label_tokens, min_tokens_before, min_tokens_after,
                            skip_import_lines)
-    return found.select("path", "_toks", F.explode("_token_idx").alias("token_idx")) \
+    return found.select("path", "_toks", _exploded("_token_idx").alias("token_idx")) \
         .select("path", "token_idx", F.element_at("_toks", F.col("token_idx") + 1).alias("token"))
 
 

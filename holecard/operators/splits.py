@@ -32,26 +32,14 @@ def _buckets(keyed: DataFrame) -> DataFrame:
         F.sum("_cnt").over(Window.partitionBy()).alias("n_total"))
 
 
-#: Groups that the partitions of a sampled table fall into, and the largest
-#: sample for which Spark prunes a group before its shuffle.
-SAMPLE_GROUPS, PRUNED_K = 64, 1000
-
-
 def sample_k(df: DataFrame, k: int, seed: int, kind: str, keys: list[str]) -> DataFrame:
     """``k`` rows drawn without replacement (all rows when there are fewer).
 
-    The first k rows of the seeded order, read in one pass: every task keeps
-    its own first k (the group limit under the window), a constant number of
-    groups of tasks merge theirs side by side, and the final order sees k rows
-    a group.  Which group a row falls into doesn't change the result.  A
-    larger k than Spark prunes for goes to the final order at once, which also
-    keeps k rows a task.
+    The first k rows of the seeded order, read in one pass: a task keeps its
+    first k in a heap (no sort, nothing else leaves the task), and the heaps
+    are merged in another one.
     """
     keyed = df.withColumn("_rk", random_key(seed, F.lit(kind), *keys))
-    if k <= PRUNED_K:
-        w = Window.partitionBy("_g").orderBy("_rk", *keys)
-        keyed = keyed.withColumn("_g", F.spark_partition_id() % SAMPLE_GROUPS) \
-            .withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_g", "_r")
     return keyed.orderBy("_rk", *keys).limit(k).drop("_rk")
 
 
