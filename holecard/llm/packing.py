@@ -58,32 +58,33 @@ class WordIds:
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _encode_words(self, words: list[str]) -> list[list[int]]:
-        out: list[list[int]] = [[]] * len(words)
-        plain = [i for i, w in enumerate(words) if DIVIDER not in w] if len(self.divider) == 1 else []
-        for lo in range(0, len(plain), 512):
-            at = plain[lo:lo + 512]
-            ids = np.array(self._encode(f" {DIVIDER} ".join(words[i] for i in at)), np.uint32)
-            parts = np.split(ids, np.flatnonzero(ids == self.divider[0]))
-            if len(parts) == len(at):
-                for k, i in enumerate(at):
-                    out[i] = parts[k][k > 0:].tolist()
-            else:
-                for i in at:
-                    out[i] = self._encode(words[i])
-        plain_set = set(plain)
-        for i, w in enumerate(words):
-            if i not in plain_set:
-                out[i] = self._encode(w)
-        return out
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All words' ids one after another, and how many each word has; words
+        are joined by the divider, whose id in the answer tells them apart."""
+        flat, counts = [], []
+        for lo in range(0, len(words), 512):
+            own = words[lo:lo + 512]
+            joined = f" {DIVIDER} ".join(own)
+            if len(self.divider) == 1 and joined.count(DIVIDER) == len(own) - 1:
+                ids = np.array(self._encode(joined), np.uint32)
+                is_divider = ids == self.divider[0]
+                ends = np.append(np.flatnonzero(is_divider), len(ids))
+                if len(ends) == len(own):
+                    counts.append(np.diff(ends, prepend=-1) - 1)
+                    flat.append(ids[~is_divider])
+                    continue
+            each = [self._encode(w) for w in own]
+            counts.append(np.fromiter(map(len, each), np.int64, len(each)))
+            flat.append(np.array([x for w in each for x in w], np.uint32))
+        if not flat:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        return np.concatenate(flat), np.concatenate(counts)
 
     def learn(self, hashes: np.ndarray, words: list[str]) -> None:
         if len(self.known) + len(hashes) > CACHE_WORDS:
             self.clear()
-        ids = self._encode_words(words)
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat, count = self._encode_words(words)
         start = len(self.ids) + np.cumsum(count) - count
-        flat = np.fromiter((x for w in ids for x in w), np.uint32, int(count.sum()))
         self.ids = np.concatenate([self.ids, flat])
         known = np.concatenate([self.known, hashes])
         order = np.argsort(known, kind="stable")
@@ -150,6 +151,18 @@ def powers_of_two(n: int) -> list[int]:
 _WORD_IDS: dict[str, WordIds] = {}
 
 
+def word_ids(path: str) -> WordIds:
+    """The worker's own word ids of a tokenizer.
+
+    Tasks name this function by its module, so all tasks of a worker find the
+    words that earlier ones learned; a dictionary that a task's function itself
+    refers to is copied, empty, into every task.
+    """
+    if path not in _WORD_IDS:
+        _WORD_IDS[path] = WordIds(path)
+    return _WORD_IDS[path]
+
+
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
          batch_tokens: int = BATCH_TOKENS) -> DataFrame:
     """Pieces of all documents: ``(doc_id, start, length, doc_tokens,
@@ -168,7 +181,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
         raise ValueError("capacity is a power of two")
 
     def work(batches):
-        words = _WORD_IDS.get(tokenizer) or _WORD_IDS.setdefault(tokenizer, WordIds(tokenizer))
+        words = word_ids(tokenizer)
         made = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         pending: list[tuple] = []  # doc_id, tokens of the document, start, ids
         have = 0
