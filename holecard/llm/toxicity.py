@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import unicodedata
 
+import pickle
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -505,7 +507,8 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = FIT_TOXIC, clean: int =
     """From ``docs (doc_id, text)`` and ``labels (doc_id, toxic)``.
 
     At most about ``toxic`` and ``clean`` labelled documents of up to FIT_BYTES
-    bytes come to the driver, chosen by a hash of doc_id.  Rows without an id,
+    bytes, chosen by a hash of doc_id, meet in one task, which trains; only the
+    folded weights come to the driver.  Rows without an id,
     label or text don't count; without any label nothing is toxic.
     """
     labels = labels.select(F.col("doc_id").alias("_hc_of"), F.col("toxic").cast("int").alias("_hc_toxic")) \
@@ -515,10 +518,22 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = FIT_TOXIC, clean: int =
     limit = F.when(F.col("_hc_toxic") == 1, F.lit(share(1, toxic))).otherwise(F.lit(share(0, clean)))
     labels = labels.where(F.pmod(F.xxhash64("_hc_of", F.lit(9)), F.lit(1 << 20)) < limit)
     rows = docs.select("doc_id", "text").where(F.octet_length("text") <= FIT_BYTES) \
-        .join(F.broadcast(labels), F.col("doc_id") == F.col("_hc_of")).select("doc_id", "text", "_hc_toxic").toArrow()
-    order = np.argsort(np.asarray(rows["doc_id"]), kind="stable")
-    texts = rows["text"].take(pa.array(order)).to_pylist()
-    return train(texts, np.asarray(rows["_hc_toxic"])[order] == 1)
+        .join(F.broadcast(labels), F.col("doc_id") == F.col("_hc_of")).select("doc_id", "text", "_hc_toxic")
+
+    def learn(sample: pa.Table) -> pa.Table:
+        found = sample.sort_by([("doc_id", "ascending"), ("text", "ascending"), ("_hc_toxic", "ascending")])
+        model = train(found["text"].to_pylist(), np.asarray(found["_hc_toxic"]) == 1)
+        at = np.flatnonzero(model.table)
+        plain = (at.astype(np.int32), model.table[at].astype(np.float32), model.bias, model.slope, model.shift)
+        return pa.table({"model": pa.array([pickle.dumps(plain)], pa.binary())})
+
+    made = rows.withColumn("_hc_all", F.lit(0)).groupBy("_hc_all").applyInArrow(learn, "model binary").collect()
+    if not made:
+        return train([], np.zeros(0, bool))
+    at, weights, *rest = pickle.loads(made[0][0])
+    table = np.zeros(_SIZE, np.float32)
+    table[at] = weights
+    return Model(table, *rest)
 
 
 def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
