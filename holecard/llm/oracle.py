@@ -54,14 +54,14 @@ FROM docs LEFT JOIN kept USING (doc_id)
 
 TOP_K = """
 WITH vecs AS (
-  SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS c FROM embeddings
+  SELECT row_number() OVER () AS id, vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS c FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.c, v.c)::BIGINT AS score
-  FROM vecs q JOIN vecs v ON q.vec_id <> v.vec_id AND len(q.c) = len(v.c) WHERE q.vec_id % 50 = 0),
+  SELECT q.id, q.vec_id AS query_id, v.vec_id, list_inner_product(q.c, v.c)::BIGINT AS score
+  FROM vecs q JOIN vecs v ON q.id <> v.id AND len(q.c) = len(v.c) WHERE q.vec_id % 50 = 0),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 

@@ -1,22 +1,25 @@
 """Exact top-k inner products of a query set against all vectors.
 
-Method: norm-sorted search.  Vectors are packed into blocks, each sorted by
-descending length and rotated by the singular vectors of a sample.  A query
-scans a block from its longest vector: the scan ends where |q| |c| falls below
-the query's k-th best score, and a vector whose first rotated coordinates plus
+Method: norm-sorted search.  Vectors are range-sorted by descending length over
+the whole table and packed into blocks, rotated by the singular vectors of a
+sample.  All queries first meet the range of the longest vectors; their k-th
+scores there bound what can follow: a query goes on only to ranges whose longest
+vector c has |q| |c| at or above its k-th score, in blocks of queries of like
+bounds, by an equi-join on the range.  Inside a block the scan ends where |q| |c|
+falls below the k-th score, and a vector whose first rotated coordinates plus
 the Cauchy-Schwarz bound of the rest stay below it is passed over.  The scores
-themselves are exact integers.  Queries are dealt in blocks too, and meet every
-block of candidates by an equi-join on the block's number.
+themselves are exact integers.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
+from holecard.session import write_table
 
 TOP = 5
 SCALE = 256
@@ -30,6 +33,8 @@ SAMPLE = 5000
 LARGEST_ROTATION = 1024
 #: Vectors of one step of a scan.
 STEP = 512
+#: Most ranges of lengths that queries are sent to; the driver knows the longest of each.
+RANGES = 4096
 
 
 def scaled(vector: Column, scale: int = SCALE) -> Column:
@@ -59,16 +64,20 @@ def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def search_block(q_ids, q, c_ids, c, rotation, k: int):
-    """The k best candidates of one block for each query: query row, id, score."""
+def search_block(q_rows, q, c_rows, c_ids, c, rotation, k: int, kth=None):
+    """The k best candidates of one block for each query: query, id, score.
+
+    ``q_rows`` and ``c_rows`` number the table's rows: a query's own row is no
+    candidate.  Only scores of at least ``kth`` are looked for.
+    """
     turn = rotation if rotation is not None and rotation.shape[0] == q.shape[1] else np.eye(q.shape[1])
     order = np.argsort(-np.linalg.norm(c.astype(np.float64), axis=1), kind="stable")
-    c, c_ids = c[order], c_ids[order]
+    c, c_ids, c_rows = c[order], c_ids[order], c_rows[order]
     qr, cr = q.astype(np.float64) @ turn, c.astype(np.float64) @ turn
     head = max(1, q.shape[1] // 4)
     qn, cn = np.linalg.norm(qr, axis=1), np.linalg.norm(cr, axis=1)
     q_rest, c_rest = np.linalg.norm(qr[:, head:], axis=1), np.linalg.norm(cr[:, head:], axis=1)
-    kth = np.full(len(q), -np.inf)
+    kth = np.full(len(q), -np.inf) if kth is None else kth.copy()
     found_id = [np.zeros(0, np.int64)] * len(q)
     found = [np.zeros(0, np.int64)] * len(q)
     for lo in range(0, len(c), STEP):
@@ -85,7 +94,7 @@ def search_block(q_ids, q, c_ids, c, rotation, k: int):
         scores = exact_scores(q[live[rows]], c[lo:hi])
         for r, s in zip(rows, scores):
             i = live[r]
-            at = np.flatnonzero(open_[r] & (c_ids[lo:hi] != q_ids[i]) & (s >= kth[i]))
+            at = np.flatnonzero(open_[r] & (c_rows[lo:hi] != q_rows[i]) & (s >= kth[i]))
             if not len(at):
                 continue
             ids = np.concatenate([found_id[i], c_ids[lo:hi][at]])
@@ -117,60 +126,108 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = TOP, scale: int = SCALE
 
     ``vectors (vec_id, embedding)``; ``is_query`` is a condition on vec_id.
     Components become floor(scale x); a score is an integer inner product.
-    Every vector but the query's own is a candidate; ties go to the smaller
-    vec_id; with fewer than k candidates all are returned.  Vectors that are
-    null, or hold null or non-finite components, and rows without a vec_id take
-    no part.  Of several rows with one vec_id the smallest vector counts.  Only
-    vectors of the same dimension are compared.
+    Every row but the query's own is a candidate, also others with its vec_id
+    or its vector; every row of a repeated query id is a query.  Ties go to
+    the smaller vec_id; with fewer than k candidates all are returned.  Vectors
+    that are null, or hold null or non-finite components, and rows without a
+    vec_id take no part.  Only vectors of the same dimension are compared.  An
+    empty table gives no rows.
     """
-    own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), scaled(F.col("embedding"), scale).alias("comps")) \
-        .where("vec_id IS NOT NULL AND comps IS NOT NULL")
-    total = vectors.select("vec_id").count()
-    spark = vectors.sparkSession
-    rotation = spark.sparkContext.broadcast(_rotation(own, total, sample))
+    comps = scaled(F.col("embedding"), scale)
+    own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), comps.alias("comps")) \
+        .where("vec_id IS NOT NULL AND comps IS NOT NULL").withColumn("row", F.monotonically_increasing_id())
+    length = F.sqrt(F.aggregate("comps", F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double")))
+    own = write_table(own.withColumn("length", length), "vectors")
+    total = own.count()
+    rotation = own.sparkSession.sparkContext.broadcast(_rotation(own, total, sample))
     n_blocks = max(LEAST_BLOCKS, -(-total // block))
-    n_queries = max(1, -(-vectors.where(is_query).count() // query_block))
-
-    def pack(table):
-        """The vectors of a block as one row for each dimension."""
-        ids = np.asarray(table["vec_id"])
-        comps = table["comps"].combine_chunks()
-        comps = pa.concat_arrays(comps.chunks) if isinstance(comps, pa.ChunkedArray) else comps
-        sizes = np.asarray(comps.value_lengths())
-        bucket = table["bucket"][0].as_py()
-        out = []
-        for width in np.unique(sizes):
-            at = np.flatnonzero(sizes == width)
-            rows = np.asarray(comps.take(pa.array(at)).flatten()).reshape(len(at), int(width))
-            order = np.lexsort((*rows.T[::-1], ids[at])) if width else np.argsort(ids[at])
-            first = np.ones(len(at), bool)
-            first[1:] = ids[at][order][1:] != ids[at][order][:-1]
-            keep = order[first]
-            out.append((bucket, int(width), ids[at][keep].tobytes(), np.ascontiguousarray(rows[keep]).tobytes()))
-        cols = list(zip(*out))
-        return pa.table({"bucket": pa.array(cols[0], pa.int32()), "width": pa.array(cols[1], pa.int32()),
-                         "ids": pa.array(cols[2], pa.binary()), "data": pa.array(cols[3], pa.binary())})
-
-    packed = "bucket int, width int, ids binary, data binary"
-    number = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
-    blocks = own.withColumn("bucket", number(n_blocks)).groupBy("bucket").applyInArrow(pack, packed)
-    queries = own.where(is_query).withColumn("bucket", number(n_queries)).groupBy("bucket").applyInArrow(pack, packed)
-    queries = queries.select(F.col("width").alias("q_width"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"),
-                             F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("to"))
-    pairs = blocks.join(queries, (F.col("bucket") == F.col("to")) & (F.col("width") == F.col("q_width"))) \
-        .select("width", "ids", "data", "q_ids", "q_data")
-
-    def search(batches):
-        for batch in batches:
-            for x in range(batch.num_rows):
-                width, ids, data, q_ids, q_data = (batch.column(c)[x].as_py() for c in range(5))
-                c_ids, q_ids = np.frombuffer(ids, np.int64), np.frombuffer(q_ids, np.int64)
-                c = np.frombuffer(data, np.int64).reshape(len(c_ids), width)
-                q = np.frombuffer(q_data, np.int64).reshape(len(q_ids), width)
-                row, best, score = search_block(q_ids, q, c_ids, c, rotation.value, k)
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[row]), pa.array(best), pa.array(score)],
-                                                 names=["query_id", "vec_id", "score"])
-
-    found = pairs.mapInArrow(search, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    per_range = -(-n_blocks // RANGES)
+
+    def packer(most: int, limits: bool):
+        """Rows in their order as blocks of one dimension each; a partition's
+        number is that of its range."""
+        def one(rows: pa.Table, part: int) -> pa.RecordBatch:
+            sizes = np.asarray(rows["comps"].combine_chunks().value_lengths())
+            out = []
+            for width in np.unique(sizes):
+                at = pa.array(np.flatnonzero(sizes == width))
+                mine = rows.take(at)
+                flat = np.asarray(mine["comps"].combine_chunks().flatten(), np.int64)
+                limit = np.asarray(mine["kth"].cast(pa.float64()).fill_null(-np.inf)) if limits else np.zeros(0)
+                out.append((part // per_range, float(np.asarray(mine["length"]).max()), int(width),
+                            np.asarray(mine["row"]).tobytes(), np.asarray(mine["vec_id"]).tobytes(), flat.tobytes(),
+                            limit.tobytes(), float(np.min(np.asarray(mine["ratio"]))) if limits else 0.0))
+            cols = list(zip(*out))
+            return pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds)], names)
+
+        names = ["range", "top", "width", "rows", "ids", "data", "limits", "ratio"]
+        kinds = [pa.int32(), pa.float64(), pa.int32(), *[pa.binary()] * 4, pa.float64()]
+
+        def work(batches):
+            part = TaskContext.get().partitionId()
+            held, n = [], 0
+            for batch in batches:
+                while n + batch.num_rows >= most:
+                    held.append(batch.slice(0, most - n))
+                    batch = batch.slice(most - n)
+                    yield one(pa.Table.from_batches(held), part)
+                    held, n = [], 0
+                if batch.num_rows:
+                    held.append(batch)
+                    n += batch.num_rows
+            if n:
+                yield one(pa.Table.from_batches(held), part)
+        return work
+
+    packed = "range int, top double, width int, rows binary, ids binary, data binary, limits binary, ratio double"
+    by_length = [F.desc("length"), F.asc("row")]
+    blocks = own.repartitionByRange(n_blocks, *by_length).sortWithinPartitions(*by_length) \
+        .mapInArrow(packer(block, False), packed)
+    blocks = write_table(blocks.drop("limits", "ratio"), "blocks")
+    tops = blocks.groupBy("range").agg(F.max("top").alias("top")).orderBy("range").collect()
+    lead = tops[0]["range"] if tops else 0
+
+    def searched(asked: DataFrame) -> DataFrame:
+        asked = asked.select(F.col("to"), F.col("width").alias("q_width"), F.col("rows").alias("q_rows"),
+                             F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), "limits")
+        pairs = blocks.join(asked, (F.col("range") == F.col("to")) & (F.col("width") == F.col("q_width"))) \
+            .select("width", "rows", "ids", "data", "q_rows", "q_ids", "q_data", "limits")
+
+        def search(batches):
+            for batch in batches:
+                for x in range(batch.num_rows):
+                    width, *data = (batch.column(c)[x].as_py() for c in range(8))
+                    c_rows, c_ids, c, q_rows, q_ids, q = (np.frombuffer(d, np.int64) for d in data[:6])
+                    limit = np.frombuffer(data[6], np.float64) if data[6] else None
+                    row, best, score = search_block(q_rows, q.reshape(len(q_rows), width), c_rows, c_ids,
+                                                    c.reshape(len(c_rows), width), rotation.value, k, limit)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(q_rows[row]), pa.array(q_ids[row]), pa.array(best), pa.array(score)],
+                        names=["q_row", "query_id", "vec_id", "score"])
+
+        return pairs.mapInArrow(search, "q_row long, query_id long, vec_id long, score long")
+
+    ranked = Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id")
+    queries = own.where(is_query)
+    n_queries = max(1, -(-queries.count() // query_block))
+    first = queries.repartition(n_queries, "row").mapInArrow(packer(query_block, False), packed)
+    first = write_table(searched(first.withColumn("to", F.lit(lead))).withColumn("rank", F.row_number().over(ranked))
+                        .where(F.col("rank") <= k), "first")
+    known = first.where(F.col("rank") == k).select(F.col("q_row").alias("row"), F.col("score").alias("kth"))
+    ratio = F.when(F.col("length") > 0, F.col("kth") / F.col("length"))
+    rest = queries.join(known, "row", "left").withColumn("ratio", F.coalesce(ratio, F.lit(float("-inf"))))
+    rest = rest.repartitionByRange(n_queries, "ratio", "row").sortWithinPartitions("ratio", "row") \
+        .mapInArrow(packer(query_block, True), packed)
+    longest = F.array(*[F.struct(F.lit(t["range"]).alias("range"), F.lit(t["top"]).alias("top")) for t in tops[1:]]) \
+        .cast("array<struct<range: int, top: double>>")
+    rest = rest.withColumn("to", F.explode(F.transform(F.filter(longest, lambda t: reaches(t["top"], F.col("ratio"))),
+                                                       lambda t: t["range"])))
+    found = first.drop("rank").unionByName(searched(rest))
+    return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k) \
+        .select("query_id", "rank", "vec_id", "score")
+
+
+def reaches(top: Column, ratio: Column) -> Column:
+    """Whether a range whose longest vector has length ``top`` can hold a score
+    that is at least ``ratio`` times the query's length."""
+    return top * (1 + 1e-9) + 1e-6 >= ratio
