@@ -1,11 +1,11 @@
 """Mixing sources to target weights by weighted fair queueing.
 
-Method: every source is a queue of its documents in shuffled order, repeated
-up to ``max_repeats`` times.  The virtual finish time of a document is the
-source's words up to its end, divided by the source's target; all documents are
-range-sorted by it, and the mix ends where the budget is used up, which is
-virtual time 1 for every source.  The document that a source is serving then is
-cut at its share.
+Method: every source is a queue of its documents in shuffled order, served over
+and over up to ``max_repeats`` times.  Each serving has a virtual start and
+finish time: the source's words served up to its begin and end, divided by the
+source's target.  The total budget is used up at virtual time 1, where the mix
+is truncated: a serving that ends later keeps the words before it.  The servings
+are range-sorted by their finish times.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holecard.llm import columnar as C
-from holecard.session import checkpoint_stage
+from holecard.session import write_table
 
 WEIGHTS = (3, 1, 2)
 #: The budget as a share of all words, and how often a source may be repeated.
@@ -66,66 +66,84 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE,
 
 def schedule(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeats: float = MAX_REPEATS,
              seed: int = SEED, size=None) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target``, ``taken`` and
-    ``virtual_finish``, range-sorted by the last.
+    """``docs`` with ``size``, ``source_size``, ``target``, ``taken``,
+    ``virtual_finish`` and ``servings``, range-sorted by the finish.
 
     ``size`` counts the text's runs of bytes other than U+0020 and U+0009 to
     U+000D (null: 0), or is the column given.  ``taken`` are the words of the
     document in the mix, repeats counted, at most ``max_repeats`` times its
     size; the words taken of a source are its target, rounded down.
-    ``virtual_finish`` is that of the first serving, null for a source without
-    words.  The shuffle is a hash of doc_id and ``seed``, so reruns agree;
+    ``servings`` are structs (turn, start, finish, words) of virtual times and
+    the words before virtual time 1; only servings that begin before it, or
+    that hold no words and end by it, are there.  ``taken`` sums their words,
+    and ``virtual_finish`` is that of the first serving (null for a source
+    without words).  The shuffle is a hash of doc_id and ``seed``, so reruns agree;
     ties go by doc_id, size and text.  Null sources are one source; a null
-    doc_id is an id like another.  Input columns of the five names are replaced.
+    doc_id is an id like another.  Input columns of the six names are replaced.
     """
-    docs = docs.drop("size", "source_size", "target", "taken", "virtual_finish")
+    added = ["size", "source_size", "target", "taken", "virtual_finish", "servings"]
+    docs = docs.drop(*added)
     text = F.col("text")
     mine = docs.withColumn("size", n_words(text.cast("binary")) if size is None else size) \
         .withColumn("_hc_tie", F.xxhash64(text)) \
         .withColumn("_hc_hash", F.xxhash64(F.col("doc_id"), F.lit(seed))) \
         .withColumn("_hc_part", F.shiftrightunsigned("_hc_hash", 54).cast("int"))
-    targets = checkpoint_stage(source_targets(mine.select("source", "size"), weights, share, max_repeats)
-                               .withColumnRenamed("source", "_hc_source"))
+    targets = write_table(source_targets(mine.select("source", "size"), weights, share, max_repeats)
+                          .withColumnRenamed("source", "_hc_source").withColumnRenamed("queue", "_hc_queue"), "targets")
     few = targets.count() <= MAX_BROADCAST_SOURCES
     mine = mine.join(F.broadcast(targets) if few else targets, F.col("source").eqNullSafe(F.col("_hc_source"))) \
         .drop("_hc_source")
-    parts = mine.groupBy("queue", "_hc_part").agg(F.sum("size").alias("_hc_words"))
-    ahead = Window.partitionBy("queue").orderBy("_hc_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("queue", "_hc_part", F.coalesce(F.sum("_hc_words").over(ahead), F.lit(0)).alias("_hc_ahead"))
-    inside = Window.partitionBy("queue", "_hc_part").orderBy("_hc_hash", "doc_id", "size", "_hc_tie") \
+    parts = mine.groupBy("_hc_queue", "_hc_part").agg(F.sum("size").alias("_hc_words"))
+    ahead = Window.partitionBy("_hc_queue").orderBy("_hc_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_hc_queue", "_hc_part", F.coalesce(F.sum("_hc_words").over(ahead), F.lit(0)).alias("_hc_ahead"))
+    inside = Window.partitionBy("_hc_queue", "_hc_part").orderBy("_hc_hash", "doc_id", "size", "_hc_tie") \
         .rowsBetween(Window.unboundedPreceding, 0)
-    out = mine.join(parts, ["queue", "_hc_part"]) \
+    out = mine.join(parts, ["_hc_queue", "_hc_part"]) \
         .withColumn("_hc_end", F.col("_hc_ahead") + F.sum("size").over(inside))
-    quota = F.floor(F.col("target") + 1e-6)
-    begin = F.col("_hc_end") - F.col("size")
-    taken = sum((F.greatest(F.lit(0), F.least(F.col("size"), quota - begin - e * F.col("source_size")))
-                 for e in range(int(np.ceil(max_repeats)))), F.lit(0))
-    out = out.withColumn("taken", taken.cast("long")) \
+    out = out.withColumn("servings", _servings(int(np.ceil(max_repeats)))) \
+        .withColumn("taken", F.aggregate("servings", F.lit(0).cast("long"), lambda n, s: n + s["words"])) \
         .withColumn("virtual_finish", F.when(F.col("target") > 0, F.col("_hc_end") / F.col("target")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "size", "source_size", "target", "taken",
-                      "virtual_finish").orderBy("virtual_finish", "doc_id")
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], *added).orderBy("virtual_finish", "doc_id")
+
+
+def _servings(turns: int):
+    """The servings of a document that fall before virtual time 1, which is when
+    a source has been served its target; a target counts whole words."""
+    quota = F.floor(F.col("target") + 1e-6)
+
+    def serving(turn):
+        ahead = F.col("_hc_end") + turn * F.col("source_size")
+        return F.struct(turn.cast("int").alias("turn"), ((ahead - F.col("size")) / F.col("target")).alias("start"),
+                        (ahead / F.col("target")).alias("finish"),
+                        F.when(ahead <= quota, F.col("size")).otherwise(
+                            F.greatest(F.lit(0), quota - ahead + F.col("size"))).cast("long").alias("words"))
+
+    every = F.transform(F.sequence(F.lit(0), F.lit(turns - 1)), serving)
+    none = F.array().cast("array<struct<turn: int, start: double, finish: double, words: long>>")
+    return F.when(F.col("target") > 0, F.filter(every, lambda s: (s["words"] > 0) | (
+        (s["finish"] <= 1) & (s["start"] == s["finish"])))).otherwise(none)
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeats: float = MAX_REPEATS,
         seed: int = SEED) -> DataFrame:
-    """The mixed corpus: the columns of ``docs``, a row per serving.
+    """The mixed corpus: the columns of ``docs``, a row per serving, range-sorted
+    by the servings' virtual finish times.
 
     A document that is taken more than once has a row for each time; the last
     one may hold only its first words (up to the end of the last word taken).
     Documents of which nothing is taken are left out.
     """
     plan = schedule(docs, weights, share, max_repeats, seed)
-    turn = F.col("_hc_turn")
-    rows = plan.where("taken > 0").withColumn(
-        "_hc_turn", F.explode(F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")).cast("int") - 1)))
-    some = F.least(F.col("size"), F.col("taken") - turn * F.col("size"))
+    rows = plan.where("taken > 0").withColumn("_hc_serving", F.explode(F.filter("servings", lambda s: s["words"] > 0)))
+    some = F.col("_hc_serving")["words"]
 
     @F.pandas_udf("string")
     def first_words(text: pd.Series, n: pd.Series) -> pd.Series:
         return pd.Series([_cut(t, k) for t, k in zip(text, n)])
 
     cut = F.when(some < F.col("size"), first_words(F.col("text").cast("binary"), some)).otherwise(F.col("text"))
-    return rows.withColumn("text", cut).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.withColumn("text", cut).orderBy(F.col("_hc_serving")["finish"], "doc_id") \
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _cut(text: bytes | None, n: int) -> str | None:
