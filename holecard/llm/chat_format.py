@@ -72,8 +72,8 @@ def format_chats(messages: DataFrame) -> DataFrame:
     ``(number, kind, uri, tokens)`` in order; number n is written ``<kind:n>``.
     ``expanded_tokens`` counts words of texts and expansions of attachments.
 
-    Rows go by turn, nulls first, then by role and content; repeated rows each
-    are a turn.  A null role or text is empty, null parts and contents vanish,
+    Rows go by turn, nulls first, then by role, the parts' texts and the parts;
+    repeated rows each are a turn.  A null role or text is empty, null parts and contents vanish,
     a part without a kind is text.  Kinds other than the four are attachments
     without tokens.  Rows with a null conv_id are one conversation.  A
     conversation is one row of the result, so it must fit in one.
@@ -81,7 +81,8 @@ def format_chats(messages: DataFrame) -> DataFrame:
     rows = messages.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
                            F.filter(F.coalesce("content", F.array().cast(PARTS)), lambda p: p.isNotNull()).alias("parts"))
     rows = rows.withColumn("n_attached", F.size(F.filter("parts", _attached)))
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", F.col("parts").cast("string"))
+    rows = rows.withColumn("said", F.array_join(F.transform("parts", lambda p: F.coalesce(p["text"], F.lit(""))), ""))
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "said", "parts")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("place", F.row_number().over(order)) \
         .withColumn("numbered", F.coalesce(F.sum("n_attached").over(earlier), F.lit(0)))
