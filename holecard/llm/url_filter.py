@@ -152,10 +152,10 @@ def _judge_by_join(pages: DataFrame, rules, default: str, url: str) -> DataFrame
             F.concat(F.array_join(F.slice(parts, 1, F.col("k")), "/"), F.lit("/"))))
     fits = keys.join(listed, (F.col("suffix") == F.col("r_host")) & (F.col("f") == F.col("folder"))) \
         .where(F.expr("startswith(path, r_path)"))
-    best = fits.groupBy("u").agg(F.max(F.struct(
+    best = fits.groupBy(F.col("u").alias("_hc_url")).agg(F.max(F.struct(
         "n", F.length("r_path").alias("len"), F.col("r_verdict").alias("verdict"),
-        F.concat("r_host", "r_path").alias("rule"))).alias("best"))
-    out = pages.join(best, pages[url] == best["u"], "left")
+        F.concat("r_host", "r_path").alias("rule"))).alias("_hc_best"))
+    out = pages.join(best, pages[url] == best["_hc_url"], "left")
     return out.select(*[pages[c] for c in pages.columns], host_of(pages[url]).alias("host"),
-                      path_of(pages[url]).alias("path"), F.col("best.rule").alias("rule"),
-                      F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+                      path_of(pages[url]).alias("path"), F.col("_hc_best.rule").alias("rule"),
+                      F.coalesce("_hc_best.verdict", F.lit(default)).alias("verdict"))
