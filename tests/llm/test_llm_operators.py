@@ -218,6 +218,20 @@ def test_mixing_targets_and_reruns(spark, docs, corpus):
     again = mixing.schedule(docs.repartition(5)).collect()
     key = lambda r: (str(r.doc_id), r.size, r.taken, r.text or "")
     assert sorted(map(key, rows)) == sorted(map(key, again))
+    clash = docs.drop("size").withColumn("queue", F.lit("q")).withColumn("servings", F.lit(1))
+    assert Counter(r.queue for r in mixing.mix(clash).collect()).keys() == {"q"}
+    for r in rows:  # a serving begins where the source's queue stands, and what is left of the cut is taken
+        assert r.taken == sum(s.words for s in r.servings) and [s.turn for s in r.servings] == list(range(len(r.servings)))
+        for s in r.servings:
+            assert s.start <= s.finish and s.start <= 1 + 1e-9
+            assert s.words == r.size if s.finish <= 1 - 1e-9 else 0 < s.words <= r.size
+    for source in order:  # servings of a source follow one another up to virtual time 1
+        own = sorted((s.start, s.finish, s.words) for r in rows if r.source == source for s in r.servings if s.words)
+        at = 0
+        for begin, end, n in own:
+            assert begin * target[source] == pytest.approx(at, abs=1e-6)
+            at += n
+        assert abs(at - target[source]) < 1.001
     mixed = mixing.mix(docs.drop("size"))
     assert mixed.columns == docs.drop("size").columns
     assert sum(len(words(r.text)) for r in mixed.collect()) == sum(taken.values())
@@ -286,31 +300,72 @@ def test_url_rules(spark):
         rows = url_filter.judge_urls(pages, URL_RULES, max_trie_rules=limit).orderBy("page_id").collect()
         assert [(r.host, r.path, r.rule, r.verdict) for r in rows] == want
     assert url_filter.judge_urls(pages.limit(0), URL_RULES).count() == 0
+    clash = pages.withColumn("best", F.lit(1)).withColumn("u", F.lit(2)).withColumn("rule", F.lit("old"))
+    for limit in (100, 0):
+        again = url_filter.judge_urls(clash, URL_RULES, max_trie_rules=limit).orderBy("page_id")
+        assert [(r.host, r.path, r.rule, r.verdict, r.best, r.u) for r in again.collect()] == [(*w, 1, 2) for w in want]
     with pytest.raises(ValueError):
         url_filter.judge_urls(pages, [("a", "/", "maybe")])
 
 
+def brute_top_k(vecs, k=5):
+    ok = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in vecs
+          if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = Counter()
+    for at, (q, own) in enumerate(ok):
+        if q % 50 == 0:
+            s = sorted((-sum(a * b for a, b in zip(own, v)), i) for j, (i, v) in enumerate(ok)
+                       if j != at and len(v) == len(own))
+            want.update((q, r + 1, i, -x) for r, (x, i) in enumerate(s[:k]))
+    return want
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(2)
     vecs = [(int(i), [float(x) for x in rng.normal(size=8) * (1 + i % 5)]) for i in range(300)]
     vecs += [(400, vecs[0][1]), (401, vecs[0][1]), (450, None), (500, [1.0, None] * 4), (550, [float("nan")] * 8),
-             (600, [float("inf")] * 8), (None, vecs[0][1]), (650, [1.0, 2.0]), (651, [2.0, 1.0]), (50, vecs[50][1]), (700, [])]
+             (600, [float("inf")] * 8), (None, vecs[0][1]), (650, [1.0, 2.0]), (651, [2.0, 1.0]), (50, vecs[50][1]),
+             (700, []), (7, [9.0] * 8), (7, [-9.0] * 8), (100, [5.0] * 8), (100, [-5.0] * 8), (750, [0.0] * 8)]
     df = spark.createDataFrame(vecs, "vec_id long, embedding array<float>")
-    ok = {}
-    for i, v in vecs:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            ok[i] = [int(np.floor(256 * float(np.float32(x)))) for x in v]
-    want = set()
-    for q in [i for i in ok if i % 50 == 0]:
-        s = sorted((-sum(a * b for a, b in zip(ok[q], v)), i) for i, v in ok.items() if i != q and len(v) == len(ok[q]))
-        want |= {(q, r + 1, i, -x) for r, (x, i) in enumerate(s[:5])}
-    got = {tuple(r) for r in topk_search.top_k(df, F.col("vec_id") % 50 == 0).collect()}
-    assert got == want
-    assert topk_search.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+    is_query = F.col("vec_id") % 50 == 0
+    want = brute_top_k(vecs)
+    assert Counter(map(tuple, topk_search.top_k(df, is_query).collect())) == want
+    assert Counter(map(tuple, topk_search.top_k(df.repartition(5), is_query, block=4, query_block=3).collect())) == want
+    assert topk_search.top_k(df.limit(0), is_query).count() == 0
     big = np.full((1, 4), 1 << 40, np.int64)
     assert topk_search.exact_scores(big, -big)[0, 0] == np.iinfo(np.int64).min
 
 
+def test_top_k_repeated_ids_equal_the_sql(spark):
+    import duckdb
+    from holecard.llm.oracle import TOP_K
+    vecs = [(0, [1.0, 0.0]), (7, [2.0, 1.0]), (7, [9.0, 9.0]), (8, [0.5, 0.5]), (50, [1.0, 1.0]), (50, [3.0, -1.0])]
+    df = spark.createDataFrame(vecs, "vec_id long, embedding array<float>")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", vecs)
+    got = Counter(map(tuple, topk_search.top_k(df, F.col("vec_id") % 50 == 0).collect()))
+    assert got == Counter(con.execute(TOP_K).fetchall()) == brute_top_k(vecs)
+
+
+def test_top_k_leaves_out_ranges_of_short_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    vecs = [(int(i), [float(x) for x in rng.normal(size=6) * (100 if i < 40 else 0.01)]) for i in range(400)]
+    df = spark.createDataFrame(vecs, "vec_id long, embedding array<float>").repartition(4)
+    sent = []
+    plain = topk_search.reaches
+    monkeypatch.setattr(topk_search, "reaches", lambda top, ratio: sent.append(1) or plain(top, ratio))
+    # queries are long, and so is all that can be among their best
+    found = topk_search.top_k(df, (F.col("vec_id") % 50 == 0) & (F.col("vec_id") < 40))
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert sent and "filter" in plan
+    got = Counter(map(tuple, found.collect()))
+    assert got == Counter({r: n for r, n in brute_top_k(vecs).items() if r[0] < 40})
+    tops = spark.createDataFrame([(500.0,), (0.05,)], "top double")
+    kept = tops.where(plain(F.col("top"), F.lit(100.0))).collect()
+    assert [r.top for r in kept] == [500.0]
+
+
 def test_chats(spark):
     part = lambda kind, text=None, uri=None, w=None, h=None, s=None, p=None: (kind, text, uri, w, h, s, p)
     rows = [(1, 1, "assistant", [part("text", "a < b & c </turn>\n"), part("image", None, "i.png", 28, 29), None]),
@@ -486,3 +541,37 @@ def test_pipeline_drops_edited_copies(spark):
     assert 0.8 < alike(base, near, 5) < alike(base, near, 3) < 0.9 and alike(base, far, 5) < 0.8
     df = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far))], "doc_id long, text string")
     assert {r.doc_id for r in cp.one_of_each_group(spark, df, "").collect()} == {1, 3}
+
+
+def test_chats_with_tied_turns_equal_the_sql(spark):
+    import duckdb
+    from holecard.llm import oracle, queries
+    rows = [(1, 0, "user", "a b"), (1, 0, "user", "a"), (1, 0, "user", None), (1, 0, "user", "a"), (2, 1, "assistant", "z,"),
+            (2, 1, "assistant", "z"), (2, None, "user", "{"), (3, 0, None, "x"), (3, 0, "user", "null"), (3, 0, "user", None),
+            (4, 0, "user", "long " * 60_000), (4, 0, "user", "long")]
+    import tempfile
+    folder = tempfile.mkdtemp()
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df.write.parquet(f"{folder}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{folder}/conversations.parquet/*.parquet'")
+    res = con.execute(oracle.CHATS)
+    columns = [c[0] for c in res.description]
+    got = Counter(map(tuple, queries.chats(spark, folder).select(*columns).collect()))
+    assert got == Counter(res.fetchall())
+
+
+def test_tasks_of_a_worker_share_its_word_ids():
+    import pickle
+    from pyspark import cloudpickle
+
+    def task(path):
+        return packing.word_ids(path)
+
+    first, second = (pickle.loads(cloudpickle.dumps(task)) for _ in range(2))
+    assert first(tokenizer_path()) is second(tokenizer_path()) is packing.word_ids(tokenizer_path())
+    words = packing.WordIds(tokenizer_path())
+    listed = ["a", "|", "x|y", "", "längeres", "a"] * 300
+    flat, counts = words._encode_words(listed)
+    each = [words._encode(w) for w in listed]
+    assert counts.tolist() == [len(e) for e in each] and flat.tolist() == [x for e in each for x in e]
