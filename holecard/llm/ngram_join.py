@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holecard.llm import columnar as C
-from holecard.llm.components import components
+from holecard.llm.components import components, forest
 from holecard.llm.packed import blobs, bucket_count, runs, text_bytes, unblob
-from holecard.session import checkpoint_stage
+from holecard.session import write_table
 
 SHINGLE = 3
 THRESHOLD = 90
@@ -162,9 +162,9 @@ def word_counts(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
                          "n": pa.array(np.diff(cut), pa.int64()),
                          "words": blobs(cut, w[order]), "counts": blobs(cut, n[order])})
 
-    found = checkpoint_stage(
+    found = write_table(
         docs.select("text").mapInArrow(count, "bucket int, words binary, counts binary")
-        .groupBy("bucket").applyInArrow(total, "level long, n long, words binary, counts binary"))
+        .groupBy("bucket").applyInArrow(total, "level long, n long, words binary, counts binary"), "words")
     levels = sorted(((r.level, r.n) for r in found.groupBy("level").agg(F.sum("n").alias("n")).collect()), reverse=True)
     least, room = (levels[0][0] + 1 if levels else 0), COUNTED_WORDS
     for level, n in levels:
@@ -199,23 +199,6 @@ def _keys(s: np.ndarray, rarest: np.ndarray, t: int, rare_below: int) -> np.ndar
     return np.concatenate([rare, C.mix(often[:-1] * _U(0x9E3779B97F4A7C15) + often[1:])])
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> dict[int, int]:
-    """Union-find over links: the root of every id that has one, its smallest."""
-    up: dict[int, int] = {}
-
-    def root(x):
-        while up.setdefault(x, x) != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    for x, y in zip(a.tolist(), b.tolist()):
-        x, y = root(x), root(y)
-        if x != y:
-            up[max(x, y)] = min(x, y)
-    return {x: root(x) for x in list(up)}
-
-
 def _near(size: np.ndarray, sketch: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a posting list that the sizes and sketches allow to be similar."""
     found = []
@@ -294,13 +277,13 @@ def candidate_edges(docs: DataFrame, buckets: int, words, counts, rare_below: in
                 continue
             x, y = _near(n[at].astype(np.int64), sketch[at].astype(np.int16), t)
             if len(x) > 4 * len(at):
-                roots = _forest(x, y)
+                roots = forest(x.tolist(), y.tolist())
                 x, y = np.array(list(roots)), np.array(list(roots.values()))
             a.append(node[at[x]])
             b.append(node[at[y]])
         if not a:
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        roots = _forest(np.concatenate(a), np.concatenate(b))
+        roots = forest(np.concatenate(a).tolist(), np.concatenate(b).tolist())
         moved = [(x, y) for x, y in roots.items() if x != y]
         return pa.table({"a": pa.array([x for x, _ in moved], pa.int64()),
                          "b": pa.array([y for _, y in moved], pa.int64())})
@@ -388,7 +371,7 @@ def verified_edges(docs: DataFrame, members: DataFrame, shards: int, size: int,
                 differs = node[own[left[i]]] != node[own[part[j]]]
                 a.append(node[own[left[i]]][differs])
                 b.append(node[own[part[j]]][differs])
-        roots = _forest(np.concatenate(a), np.concatenate(b)) if a else {}
+        roots = forest(np.concatenate(a).tolist(), np.concatenate(b).tolist()) if a else {}
         moved = [(p, q) for p, q in roots.items() if p != q]
         return pa.table({"a": pa.array([p for p, _ in moved], pa.int64()),
                          "b": pa.array([q for _, q in moved], pa.int64())})
@@ -415,16 +398,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
         raise ValueError(f"threshold {threshold} is not in 75 to 100")
     n_bytes = text_bytes(docs)
     buckets = bucket_count(n_bytes)
-    sets = checkpoint_stage(set_rows(docs, shingle)
-                            .withColumn("doc_id", F.coalesce("doc_id", F.lit(_NONE))))
-    classes = checkpoint_stage(sets.where("n_shingles > 0").groupBy("node").agg(
+    sets = write_table(set_rows(docs, shingle)
+                       .withColumn("doc_id", F.coalesce("doc_id", F.lit(_NONE))), "sets")
+    classes = write_table(sets.where("n_shingles > 0").groupBy("node").agg(
         F.min(F.struct("doc_id", "hash")).alias("least"), F.count(F.lit(1)).alias("copies"))
-        .select("node", F.col("least.doc_id").alias("rep"), F.col("least.hash").alias("hash"), "copies"))
+        .select("node", F.col("least.doc_id").alias("rep"), F.col("least.hash").alias("hash"), "copies"), "classes")
     words, counts = word_counts(docs, buckets)
     # as the table may begin above it, at least the table's least count
     rare_below = max(LEAST_COUNT, n_bytes // RARE_BELOW, int(counts.min(initial=0)))
     clusters = components(candidate_edges(docs, buckets, words, counts, rare_below, shingle, threshold))
-    sizes = checkpoint_stage(clusters.groupBy("component").agg(F.count(F.lit(1)).alias("m")))
+    sizes = write_table(clusters.groupBy("component").agg(F.count(F.lit(1)).alias("m")), "sizes")
     members = clusters.join(sizes, "component").withColumnRenamed("id", "node") \
         .join(classes, "node").select("rep", "hash", "node", F.col("component").alias("cluster"), "m")
     links = components(verified_edges(docs, members, 4 * buckets, shingle, threshold))
@@ -433,9 +416,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
         .select("node", "rep", "copies", F.coalesce("component", "node").alias("root"),
                 F.col("component").isNotNull().alias("linked"))
     # only classes of copies and linked ones differ from their own id
-    linked = checkpoint_stage(linked.where("copies > 1 OR linked"))
+    linked = write_table(linked.where("copies > 1 OR linked"), "linked")
     least = linked.groupBy("root").agg(F.min("rep").alias("component"))
-    reached = checkpoint_stage(linked.join(least, "root").select(F.col("node").alias("of"), "component"))
+    reached = write_table(linked.join(least, "root").select(F.col("node").alias("of"), "component"), "reached")
     out = sets.join(reached, (sets["node"] == reached["of"]) & (sets["n_shingles"] > 0), "left") \
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     known = lambda c: F.when(F.col(c) != F.lit(_NONE), F.col(c)).alias(c)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from holecard.llm import (chat_format, columnar, language_id, mixing, ngram_join, packing, quality_rules,
                           substring_dedup, topk_search, toxicity, url_filter)
-from holecard.llm.components import components
+from holecard.llm.components import components, forest
 from holecard.llm.queries import URL_RULES, tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -80,6 +80,23 @@ def test_components_are_the_smallest_reachable_id(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_by_steps_equal_one_union_find(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    path = [(int(a), int(b)) for a, b in zip(rng.permutation(120), rng.permutation(120))]
+    pairs = path + [(1000 + i, 1001 + i) for i in range(60)] + [(2000, 2001 + i) for i in range(50)] * 2
+    want = forest([a for a, _ in pairs], [b for _, b in pairs])
+    links = spark.createDataFrame(pairs, "a long, b long").repartition(8)
+    monkeypatch.setattr("holecard.llm.components.CHUNK", 1)  # chunks of a batch
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        rows = components(links).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    linked = {x for a, b in pairs if a != b for x in (a, b)}
+    assert {r.id: r.component for r in rows} == {x: r for x, r in want.items() if x in linked}
+    assert len(rows) == len(linked)
+
+
 def brute_spans(rows, window=13):
     first = {}
     big = 1 << 70
