@@ -15,13 +15,18 @@ the corpus frequency of its rarest word, which bounds the token's own.
 
 Documents with equal sets are one class from the start.  Entries of a posting
 list that pass the bounds on size and on bucketed counts are candidates; lists
-give candidate clusters, and within a cluster the full sets are verified, large
-clusters by pairs of blocks of bounded size.  So no pair of a group is ever a
-row, and a verified link is never lost.
+give candidate clusters, and within a cluster the full sets are verified.  Large
+clusters are split into bands of sizes, so wide that similar sets are in one or
+in neighbouring bands, bands into blocks of bounded size, and blocks that may
+hold similar sets are paired.  Texts are hashed once; what travels to the pairs
+are shingle hashes.  So no pair of a group is ever a row, and a verified link is
+never lost.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,7 +35,7 @@ from pyspark.sql import functions as F
 
 from holecard.llm import columnar as C
 from holecard.llm.components import components, forest
-from holecard.llm.packed import blobs, bucket_count, runs, text_bytes, unblob
+from holecard.llm.packed import BUCKET_BYTES, blobs, bucket_count, runs, text_bytes, unblob
 from holecard.session import write_table
 
 SHINGLE = 3
@@ -271,9 +276,12 @@ def candidate_edges(docs: DataFrame, buckets: int, words, counts, rare_below: in
             at = at[runs(node[at])[:-1]]
             if len(at) < 2:
                 continue
-            if len(at) > LIST_PAIRS:  # all tied to one; the clusters sort it out
-                a.append(np.full(len(at) - 1, node[at[0]]))
-                b.append(node[at[1:]])
+            if len(at) > LIST_PAIRS:  # a chain by size, cut where sizes are too far apart
+                at = at[np.argsort(n[at], kind="stable")]
+                small, large = n[at[:-1]].astype(np.int64), n[at[1:]].astype(np.int64)
+                ok = 100 * small >= t * large
+                a.append(node[at[:-1]][ok])
+                b.append(node[at[1:]][ok])
                 continue
             x, y = _near(n[at].astype(np.int64), sketch[at].astype(np.int16), t)
             if len(x) > 4 * len(at):
@@ -314,69 +322,109 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def verified_edges(docs: DataFrame, members: DataFrame, shards: int, size: int, t: int) -> DataFrame:
-    """Links ``(a, b)`` between nodes, a spanning forest per block.
+def band_width(t: int) -> float:
+    """Logarithm of the largest ratio of sizes of a link, and a little more, so
+    that rounding never puts two linked sets further than one band apart."""
+    return math.log(100 / t) * 1.001 if t < 100 else 1.0
+
 
-    ``members (rep, hash, node, cluster, m)``: a cluster of m sets, and the
-    doc_id and the text's hash of a row that has the set; a doc_id alone may be
-    null or repeated.  Clusters beyond a block are dealt as all pairs of their
-    blocks, so a task never holds more than two blocks of one cluster at a time.
+def block_places(members: DataFrame, t: int) -> DataFrame:
+    """``members (cluster, node, n, ...)`` with ``mine``, a set's block, and
+    ``others``, the blocks that it is paired with, its own included.
+
+    A cluster of up to BLOCK sets is one block.  In others a band of sizes has
+    a block for every BLOCK sets, and pairs are made inside a band and with the
+    bands beside it.  The bands of a cluster are few, as the logarithm of sizes is.
+    """
+    band = F.floor(F.log(F.col("n")) / F.lit(band_width(t)))
+    members = members.withColumn("band", band)
+    bands = members.groupBy("cluster", "band").agg(F.count(F.lit(1)).alias("m")) \
+        .groupBy(F.col("cluster").alias("of")).agg(
+            F.map_from_entries(F.collect_list(F.struct("band", "m"))).alias("bands"), F.sum("m").alias("m"))
+    blocks = lambda b: F.ceil(F.coalesce(F.col("bands")[b], F.lit(0)) / F.lit(BLOCK)).cast("long")
+    block = lambda b, i: F.shiftleft(b, 32) + i
+    one = F.col("m") <= BLOCK
+    own = F.pmod(F.xxhash64("node"), F.greatest(blocks(F.col("band")), F.lit(1)))
+    out = members.join(bands, members["cluster"] == bands["of"]) \
+        .withColumn("mine", F.when(one, F.lit(0).cast("long")).otherwise(block(F.col("band"), own)))
+
+    def all_of(b):
+        found = F.transform(F.sequence(F.lit(0).cast("long"), blocks(b) - 1), lambda i: block(b, i))
+        return F.when(blocks(b) > 0, found).otherwise(F.array().cast("array<bigint>"))
+
+    near = F.concat(*(all_of(F.col("band") + k) for k in (-1, 0, 1)))
+    return out.withColumn("others", F.when(one, F.array(F.lit(0).cast("long"))).otherwise(near)) \
+        .drop("of", "bands", "m", "band")
+
+
+def verified_edges(docs: DataFrame, members: DataFrame, least_shards: int, size: int, t: int) -> DataFrame:
+    """Links ``(a, b)`` between nodes, a spanning forest per task.
+
+    ``members (rep, hash, node, n, cluster)``: the sets of a cluster, their
+    sizes, and the doc_id and the text's hash of a row that has the set; a
+    doc_id alone may be null or repeated.  Every text is hashed once; its
+    shingle hashes go to each pair of blocks that its own block is in, at least
+    ``least_shards`` shards and one for every BUCKET_BYTES that they come to.
     """
-    # one block up to BLOCK sets
-    blocks = F.when(F.col("m") <= BLOCK, F.lit(1)).otherwise(F.ceil(F.col("m") / F.lit(BLOCK))).cast("int")
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = members.withColumn("blocks", blocks).withColumn("mine", mine)
+    placed = write_table(block_places(members, t), "places")
+    sent = placed.agg(F.sum(F.col("n") * 8 * F.size("others"))).first()[0] or 0
+    shards = max(least_shards, -(-sent // BUCKET_BYTES))
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("doc_id"), "text",
                         F.xxhash64("text").alias("text_hash"))
     rows = texts.join(placed, (texts["doc_id"] == placed["rep"]) & (texts["text_hash"] == placed["hash"])) \
-        .groupBy("rep", "hash", "node", "cluster", "mine", "blocks").agg(F.first("text").alias("text")) \
-        .select("node", "cluster", "mine", "text",
-                F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("node", "cluster", "text", "mine",
+        .select("text", "node", "cluster", "mine", "others")
+
+    def tokens(batches):
+        for batch in batches:
+            nodes = np.asarray(batch.column(1))
+            for i, j, buf, offs in C.text_slices(batch.column(0)):
+                found = _Sets(buf, offs, size)
+                # not another text with this hash
+                own = [k for k, this in enumerate(found.nodes()) if this == nodes[i + k]]
+                if own:
+                    at = pa.array([i + k for k in own])
+                    yield pa.RecordBatch.from_arrays(
+                        [c.take(at) for c in batch.columns[1:]]
+                        + [pa.array([found.hashes[k].tobytes() for k in own], pa.binary())],
+                        names=["node", "cluster", "mine", "others", "tokens"])
+
+    # of repeated rows one; the tokens of a node are the same
+    sets = rows.mapInArrow(tokens, "node long, cluster long, mine long, others array<bigint>, tokens binary") \
+        .groupBy("node", "cluster", "mine", "others").agg(F.first("tokens").alias("tokens"))
+    sets = sets.select("node", "cluster", "mine", "tokens", F.explode("others").alias("other"))
+    sets = sets.select("node", "cluster", "mine", "tokens",
                        F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y")) \
-        .withColumn("shard", F.pmod(F.xxhash64("cluster", "x", "y"), F.lit(shards)).cast("int"))
+        .withColumn("shard", F.pmod(F.xxhash64("cluster", "x", "y"), F.lit(shards)).cast("long"))
 
     def verify(tab):
-        cluster = np.asarray(tab["cluster"])
-        x, y, mine = (np.asarray(tab[c]) for c in ("x", "y", "mine"))
-        node = np.asarray(tab["node"])
+        cluster, x, y, mine, node = (np.asarray(tab[c]) for c in ("cluster", "x", "y", "mine", "node"))
+        flat, n = unblob(tab["tokens"], _U)
+        ends = np.cumsum(n)
         order = np.lexsort((node, y, x, cluster))
         cut = runs(C.mix(cluster[order].astype(_U)) + C.mix(x[order].astype(_U)) * _U(3) + y[order].astype(_U))
-        text = tab["text"].combine_chunks()
-        if isinstance(text, pa.ChunkedArray):
-            text = pa.concat_arrays(text.chunks)
         a, b = [], []
         for lo, hi in zip(cut[:-1], cut[1:]):
             at = order[lo:hi]
-            sets = []
-            own = []
-            for i, j, buf, offs in C.text_slices(text.take(pa.array(at))):
-                found = _Sets(buf, offs, size)
-                for k, s, this in zip(at[i:j], found.hashes, found.nodes()):
-                    if this == node[k]:  # not another text with this hash
-                        own.append(k)
-                        sets.append(s)
-            own = np.array(own, np.int64)
             same = x[at[0]] == y[at[0]]
-            side = np.ones(len(own), bool) if same else mine[own] == x[at[0]]
-            left, right = np.flatnonzero(side), np.flatnonzero(side if same else ~side)
+            side = np.ones(len(at), bool) if same else mine[at] == x[at[0]]
+            left, right = at[side], at if same else at[~side]
             if not len(left) or not len(right):
                 continue
-            n = np.array([len(s) for s in sets], np.int64)
+            sets = {k: flat[ends[k] - n[k]:ends[k]] for k in at}
             for lo_r in range(0, len(right), 4 * BLOCK):
                 part = right[lo_r:lo_r + 4 * BLOCK]
                 both = _overlaps([sets[k] for k in left], [sets[k] for k in part])
                 union = n[left][:, None] + n[part][None, :] - both
                 i, j = np.nonzero(100 * both >= t * union)
-                differs = node[own[left[i]]] != node[own[part[j]]]
-                a.append(node[own[left[i]]][differs])
-                b.append(node[own[part[j]]][differs])
+                differs = node[left[i]] != node[part[j]]
+                a.append(node[left[i]][differs])
+                b.append(node[part[j]][differs])
         roots = forest(np.concatenate(a).tolist(), np.concatenate(b).tolist()) if a else {}
         moved = [(p, q) for p, q in roots.items() if p != q]
         return pa.table({"a": pa.array([p for p, _ in moved], pa.int64()),
                          "b": pa.array([q for _, q in moved], pa.int64())})
 
-    return rows.groupBy("shard").applyInArrow(verify, "a long, b long")
+    return sets.groupBy("shard").applyInArrow(verify, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
@@ -401,15 +449,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
     sets = write_table(set_rows(docs, shingle)
                        .withColumn("doc_id", F.coalesce("doc_id", F.lit(_NONE))), "sets")
     classes = write_table(sets.where("n_shingles > 0").groupBy("node").agg(
-        F.min(F.struct("doc_id", "hash")).alias("least"), F.count(F.lit(1)).alias("copies"))
-        .select("node", F.col("least.doc_id").alias("rep"), F.col("least.hash").alias("hash"), "copies"), "classes")
+        F.min(F.struct("doc_id", "hash")).alias("least"), F.min("n_shingles").alias("n"),
+        F.count(F.lit(1)).alias("copies"))
+        .select("node", F.col("least.doc_id").alias("rep"), F.col("least.hash").alias("hash"), "n", "copies"),
+        "classes")
     words, counts = word_counts(docs, buckets)
     # as the table may begin above it, at least the table's least count
     rare_below = max(LEAST_COUNT, n_bytes // RARE_BELOW, int(counts.min(initial=0)))
     clusters = components(candidate_edges(docs, buckets, words, counts, rare_below, shingle, threshold))
-    sizes = write_table(clusters.groupBy("component").agg(F.count(F.lit(1)).alias("m")), "sizes")
-    members = clusters.join(sizes, "component").withColumnRenamed("id", "node") \
-        .join(classes, "node").select("rep", "hash", "node", F.col("component").alias("cluster"), "m")
+    members = clusters.withColumnRenamed("id", "node").join(classes, "node") \
+        .select("rep", "hash", "node", "n", F.col("component").alias("cluster"))
     links = components(verified_edges(docs, members, 4 * buckets, shingle, threshold))
     # ids come in last: sets without an id, or with the same one, are no link
     linked = classes.join(links, classes["node"] == links["id"], "left") \

@@ -174,6 +174,40 @@ def test_near_duplicates_in_blocks_and_short_lists(docs, corpus, monkeypatch):
     assert got == brute_groups([(r[0], r[1]) for r in corpus])
 
 
+def test_near_duplicates_of_common_tokens(docs, corpus, monkeypatch):
+    """Posting lists beyond LIST_PAIRS are chains by size and lose no link."""
+    monkeypatch.setattr(ngram_join, "LIST_PAIRS", 2)
+    monkeypatch.setattr(ngram_join, "BLOCK", 2)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs).collect())
+    assert got == brute_groups([(r[0], r[1]) for r in corpus])
+
+
+@pytest.mark.parametrize("threshold", [75, 90, 100])
+def test_blocks_meet_for_all_sizes_of_links(spark, monkeypatch, threshold):
+    monkeypatch.setattr(ngram_join, "BLOCK", 7)
+    rows = [(1, 1000 + n * 3 + k, n) for n in range(1, 160) for k in range(3)] + [(2, n, n) for n in range(1, 8)]
+    df = spark.createDataFrame(rows, "cluster long, node long, n long")
+    places = ngram_join.block_places(df, threshold).collect()
+    assert len(places) == len(rows)
+    assert {(r.mine, tuple(r.others)) for r in places if r.cluster == 2} == {(0, (0,))}
+    places = [r for r in places if r.cluster == 1]
+    for p in places:
+        assert p.mine in p.others and len(set(p.others)) == len(p.others)
+        for q in places:
+            assert (q.mine in p.others) == (p.mine in q.others)
+            if 100 * min(p.n, q.n) >= threshold * max(p.n, q.n):
+                assert q.mine in p.others
+    paired = sum(q.mine in p.others for p in places for q in places)
+    assert paired < 0.8 * len(places) ** 2
+
+
+def test_pairs_of_blocks_carry_no_text(spark, docs):
+    members = spark.createDataFrame([], "rep long, hash long, node long, n long, cluster long")
+    plan = ngram_join.verified_edges(docs, members, 4, 3, 90)._jdf.queryExecution().optimizedPlan().toString()
+    exploded = plan[:plan.index("Generate explode")]
+    assert "tokens" in exploded and "text" not in exploded.replace("text_hash", "")
+
+
 def test_near_duplicates_empty(spark):
     assert ngram_join.near_duplicates(empty(spark)).count() == 0
 
