@@ -54,6 +54,9 @@ LIST_PAIRS = 4096
 BLOCK = 96
 #: Values of a verification matrix.
 MATRIX = 1 << 22
+#: 64-bit words of the bitmap that tells which texts may be needed again, the
+#: bound of its broadcast (16 bytes a word).
+BITMAP_WORDS = 1 << 19
 FLUSH = 4 << 20
 
 _U = np.uint64
@@ -357,6 +360,21 @@ def block_places(members: DataFrame, t: int) -> DataFrame:
         .drop("of", "bands", "m", "band")
 
 
+def maybe_needed(rows: DataFrame, needed: DataFrame, on: tuple, by: tuple) -> DataFrame:
+    """``rows`` without most of those whose columns ``on`` are not ``by`` of some
+    row of ``needed``, before a join shuffles them; none that is needed goes.
+
+    A bitmap of the keys' hashes, at most BITMAP_WORDS words whatever the size
+    of ``needed``, is joined by broadcast; the fuller it is the less it drops.
+    """
+    word = lambda cols: F.pmod(F.shiftright(F.xxhash64(*cols), 6), F.lit(BITMAP_WORDS))
+    bit = lambda cols: F.expr(
+        f"shiftleft(1L, CAST(xxhash64({', '.join(f'`{c}`' for c in cols)}) & 63 AS INT))")
+    bitmap = needed.groupBy(word(by).alias("_hc_word")).agg(F.bit_or(bit(by)).alias("_hc_bits"))
+    return rows.withColumn("_hc_word", word(on)).join(F.broadcast(bitmap), "_hc_word") \
+        .where(F.col("_hc_bits").bitwiseAND(bit(on)) != 0).drop("_hc_word", "_hc_bits")
+
+
 def verified_edges(docs: DataFrame, members: DataFrame, least_shards: int, size: int, t: int) -> DataFrame:
     """Links ``(a, b)`` between nodes, a spanning forest per task.
 
@@ -371,7 +389,10 @@ def verified_edges(docs: DataFrame, members: DataFrame, least_shards: int, size:
     shards = max(least_shards, -(-sent // BUCKET_BYTES))
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("doc_id"), "text",
                         F.xxhash64("text").alias("text_hash"))
+    texts = maybe_needed(texts, placed, ("doc_id", "text_hash"), ("rep", "hash"))
+    # of repeated rows one
     rows = texts.join(placed, (texts["doc_id"] == placed["rep"]) & (texts["text_hash"] == placed["hash"])) \
+        .groupBy("rep", "hash", "node").agg(*(F.first(c).alias(c) for c in ("text", "cluster", "mine", "others"))) \
         .select("text", "node", "cluster", "mine", "others")
 
     def tokens(batches):
@@ -388,9 +409,7 @@ def verified_edges(docs: DataFrame, members: DataFrame, least_shards: int, size:
                         + [pa.array([found.hashes[k].tobytes() for k in own], pa.binary())],
                         names=["node", "cluster", "mine", "others", "tokens"])
 
-    # of repeated rows one; the tokens of a node are the same
-    sets = rows.mapInArrow(tokens, "node long, cluster long, mine long, others array<bigint>, tokens binary") \
-        .groupBy("node", "cluster", "mine", "others").agg(F.first("tokens").alias("tokens"))
+    sets = rows.mapInArrow(tokens, "node long, cluster long, mine long, others array<bigint>, tokens binary")
     sets = sets.select("node", "cluster", "mine", "tokens", F.explode("others").alias("other"))
     sets = sets.select("node", "cluster", "mine", "tokens",
                        F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y")) \

@@ -201,6 +201,17 @@ def test_blocks_meet_for_all_sizes_of_links(spark, monkeypatch, threshold):
     assert paired < 0.8 * len(places) ** 2
 
 
+@pytest.mark.parametrize("room", [1, 4096])
+def test_bitmap_drops_no_needed_row(spark, monkeypatch, room):
+    monkeypatch.setattr(ngram_join, "BITMAP_WORDS", room)
+    rows = spark.range(4000).selectExpr("id AS a", "id * 7 AS b", "id AS c")
+    needed = spark.range(0, 4000, 40).selectExpr("id AS x", "id * 7 AS y")
+    kept = {r.a for r in ngram_join.maybe_needed(rows, needed, ("a", "b"), ("x", "y")).collect()}
+    assert kept >= set(range(0, 4000, 40))
+    assert len(kept) < 150 or room == 1
+    assert ngram_join.maybe_needed(rows, needed.limit(0), ("a", "b"), ("x", "y")).count() == 0
+
+
 def test_pairs_of_blocks_carry_no_text(spark, docs):
     members = spark.createDataFrame([], "rep long, hash long, node long, n long, cluster long")
     plan = ngram_join.verified_edges(docs, members, 4, 3, 90)._jdf.queryExecution().optimizedPlan().toString()
