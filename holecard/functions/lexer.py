@@ -14,6 +14,8 @@ reference, where the lexer raised.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,6 +48,10 @@ SPARK_TOKEN_PATTERN = TOKEN_PATTERN \
     .replace(r'"[^"\\\n]*(?:\\[\s\S][^"\\\n]*)*"', r'"[^"\\\n]*+(?:\\[\s\S][^"\\\n]*+)*+"') \
     .replace(r"'[^'\\\n]*(?:\\[\s\S][^'\\\n]*)*'", r"'[^'\\\n]*+(?:\\[\s\S][^'\\\n]*+)*+'")
 
+# The same language for a scan in Python: names and white space begin with
+# characters that begin no other token, so they can be tried first.
+_SCAN = re.compile(r"[A-Za-z_$][A-Za-z0-9_$]*|[ \t\r\n\f]+|" + SPARK_TOKEN_PATTERN)
+
 # --- fixed values: characters that begin no token ---
 ILLEGAL_TOKENS = ("`", "#", "\\")
 
@@ -109,6 +115,21 @@ def lex_ok_of(toks: Column) -> Column:
     return ~(lone_quote | open_comment)
 
 
+_BAD_TOKENS = frozenset(('"', "'", *ILLEGAL_TOKENS))
+
+
+def _is_code(t: str) -> bool:
+    """:func:`is_code_token` of a Python string."""
+    return t[0] not in SPACES and not t.startswith(("//", "/*"))
+
+
+def scan_tokens(text: str) -> tuple[list[str], bool]:
+    """:func:`code_tokens` and :func:`lex_ok` of one Python string."""
+    toks = _SCAN.findall(text)
+    open_comment = "/*" in text and any(a == "/" and b[0] == "*" for a, b in zip(toks, toks[1:]))
+    return [t for t in toks if _is_code(t)], not open_comment and _BAD_TOKENS.isdisjoint(toks)
+
+
 def token_positions_of(toks: Column, lines: Column) -> Column:
     """Code tokens with their places: array of (token, offset, line, column).
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Whitespace as Python's str.strip() sees it for ASCII text.  Spark's trim()
 # and DuckDB's trim() only remove spaces, so strip is spelled as a class.
 WS = r"[\t\n\x0B\f\r ]"
+WS_CHARS = "\t\n\x0b\f\r "
 
 # One line with its terminator, or a last line without one.  `\z` (not `$`)
 # because Java's `$` also matches before a final line terminator.

@@ -4,28 +4,33 @@ n-gram match (BLEU-4 with add-0.1 smoothing of empty orders), keyword-weighted
 n-gram match (recall form, brevity against length 2), the composite score, the
 null-on-failure rule, perplexity and token counts.
 
-Clipped n-gram counts are a multiset intersection.  They are computed inside
-each row: the n-grams of both texts are sorted together and one fold counts
-the runs of equal n-grams (O(n log n) per pair, no shuffle, no per-gram rows).
+Clipped n-gram counts are a multiset intersection.  They are counted inside
+each row by one small helper over Arrow batches (linear in the two texts, no
+shuffle, no per-gram rows); the scores are column expressions over its counts.
 A long text is the largest unit of work; no key can be hot.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from holecard.functions.lexer import (JAVA_KEYWORDS, KEYWORD_WEIGHT, OTHER_WEIGHT,
-                                      all_tokens, code_tokens_of, lex_ok_of)
-from holecard.functions.text import WS, col
+                                      all_tokens, code_tokens_of, lex_ok_of, scan_tokens)
+from holecard.functions.text import WS, WS_CHARS, col
 
 MAX_N = 4
 EPSILON = 0.1            # smoothing numerator of an n-gram order with no match
 WEIGHTED_REF_LEN = 2     # reference length the weighted brevity penalty sees (Q10)
 # --- fixed values: default weights of the composite score ---
 COMPOSITE_WEIGHTS = (0.25, 0.25, 0.25, 0.25)
+_KEYWORDS = frozenset(JAVA_KEYWORDS)
 EOT_SUFFIX = "\n <EOT>"  # removed from completions before scoring (G4)
 
 
@@ -44,87 +49,49 @@ def score_tokens(c) -> tuple[Column, Column]:
     return code_tokens_of(toks), lex_ok_of(toks)
 
 
-def _with_ngrams(df: DataFrame, toks: str, prefix: str) -> DataFrame:
-    """Add ``<prefix>1..4``: the n-grams of ``toks`` as strings.
+def _shared(h: Iterable, r: Iterable) -> Counter:
+    """Multiset intersection: every n-gram with the smaller of its two counts."""
+    return Counter(h) & Counter(r)
 
-    Tokens of an n-gram are joined by a space.  For a fixed n this is
-    injective: a token never contains a space unless it is a quoted literal,
-    and re-tokenising the joined text gives the tokens back.  Each order is
-    built from the previous one in its own projection (referenced twice, so
-    Catalyst keeps it materialised instead of rebuilding it).
-    """
-    out = df.withColumn(f"{prefix}1", F.col(toks))
-    for k in range(2, MAX_N + 1):
-        length = F.greatest(F.size(toks) - k + 1, F.lit(0))
-        out = out.withColumn(f"{prefix}{k}", F.zip_with(
-            F.slice(f"{prefix}{k - 1}", 1, length), F.slice(toks, k, length),
-            lambda g, t: F.concat(g, F.lit(" "), t)))
-    return out
-
-
-def _weight(t: Column) -> Column:
-    keywords = F.array(*[F.lit(k) for k in JAVA_KEYWORDS])
-    return F.when(F.array_contains(keywords, t), F.lit(KEYWORD_WEIGHT)).otherwise(F.lit(OTHER_WEIGHT))
-
-
-def _with_clipped_counts(df: DataFrame, hyp: str, ref: str) -> DataFrame:
-    """Add ``_m1.._m4`` (clipped n-gram matches) and ``_wm1`` (keyword-weighted
-    unigram matches) of each pair.
-
-    An order where at least one side has no repeated n-gram needs no
-    counting: its clipped matches are the size of the set intersection (a
-    hash-based built-in).  For an order that does repeat, the n-grams of both sides are
-    tagged with their side and sorted together, and one fold with scalar
-    state counts each run of equal n-grams on both sides and adds
-    ``min(h, r)`` when the run ends.
-    O(n log n) per pair, no shuffle.  Intermediate columns are materialised
-    in their own projections so that no expression is evaluated twice.
+
+def _weight_of(counts: Counter) -> float:
+    """Weights of counted tokens, a keyword's and any other's, added up."""
+    keywords = sum(counts[t] for t in counts.keys() & _KEYWORDS)
+    return keywords * KEYWORD_WEIGHT + (counts.total() - keywords) * OTHER_WEIGHT
+
+
+def pair_counts(label: str | None, completion: str | None) -> tuple:
+    """The values of ``_COUNTS`` for one pair of texts.
+
+    Linear in the texts.  An order without matches has none in longer n-grams,
+    so counting ends there.
     """
-    out = df
-    for n in range(1, MAX_N + 1):
-        # counting is needed only when both sides repeat an n-gram: if one side
-        # has every n-gram once, min(h, r) is 1 exactly for the shared ones
-        out = out.withColumn(f"_rep{n}", (F.size(F.array_distinct(f"{hyp}{n}")) < F.size(f"{hyp}{n}")) &
-                             (F.size(F.array_distinct(f"{ref}{n}")) < F.size(f"{ref}{n}")))
-    def tag(arr, side):
-        return F.transform(arr, lambda g: F.struct(g.alias("g"), F.lit(side).alias("s")))
-
-    def folder(weighted: bool):
-        def run_ends(st):  # add min(h, r) of the finished run (and its weight)
-            hit = F.least(st["h"], st["r"])
-            return st["m"] + hit, (st["w"] + hit * _weight(st["g"])) if weighted else st["w"]
-
-        def step(st, e):
-            is_h, is_r = (e["s"] == 0).cast("int"), (e["s"] == 1).cast("int")
-            m, w = run_ends(st)
-            return F.when(e["g"] == st["g"], F.struct(
-                st["g"].alias("g"), (st["h"] + is_h).alias("h"), (st["r"] + is_r).alias("r"),
-                st["m"].alias("m"), st["w"].alias("w"))).otherwise(F.struct(
-                    e["g"].alias("g"), is_h.alias("h"), is_r.alias("r"), m.alias("m"), w.alias("w")))
-
-        def finish(st):
-            m, w = run_ends(st)
-            return F.struct(m.alias("m"), w.alias("w"))
-        return step, finish
-
-    init = F.struct(F.lit(None).cast("string").alias("g"), F.lit(0).alias("h"), F.lit(0).alias("r"),
-                    F.lit(0).alias("m"), F.lit(0.0).alias("w"))
-    # one fold per order whose n-grams repeat; small scalar state per step
-    for n in range(1, MAX_N + 1):
-        tagged = F.array_sort(F.concat(tag(f"{hyp}{n}", 0), tag(f"{ref}{n}", 1)))
-        step, finish = folder(weighted=n == 1)
-        out = out.withColumn(f"_fold{n}", F.when(F.col(f"_rep{n}"), F.aggregate(tagged, init, step, finish)))
-    out = out.withColumn("_fold", F.struct(
-        *[F.col(f"_fold{n}")["m"].alias(f"m{n}") for n in range(1, MAX_N + 1)],
-        F.col("_fold1")["w"].alias("wm1")))
-    for k in range(1, MAX_N + 1):
-        out = out.withColumn(f"_m{k}", F.when(F.col(f"_rep{k}"), F.col("_fold")[f"m{k}"])
-                             .otherwise(F.size(F.array_intersect(f"{hyp}{k}", f"{ref}{k}"))))
-    out = out.withColumn("_wm1", F.when(F.col("_rep1"), F.col("_fold")["wm1"]).otherwise(
-        F.aggregate(F.array_intersect(f"{hyp}1", f"{ref}1"), F.lit(0.0),
-                    lambda acc, t: acc + _weight(t))))
-    return out.drop("_fold", *[f"_fold{n}" for n in range(1, MAX_N + 1)],
-                    *[f"_rep{n}" for n in range(1, MAX_N + 1)])
+    r, r_ok = scan_tokens((label or "").strip(WS_CHARS))
+    h, h_ok = scan_tokens((completion or "").strip(WS_CHARS))
+    if not (r_ok and h_ok):
+        return (False, len(h), len(r), *[0] * MAX_N, 0.0, 0.0)
+    unigrams = _shared(h, r)
+    matches = [unigrams.total()]
+    while matches[-1] and len(matches) < MAX_N:
+        n = len(matches) + 1
+        grams = lambda toks: zip(*[toks[k:] for k in range(n)])  # noqa: B023, E731
+        matches.append(_shared(grams(h), grams(r)).total())
+    matches += [0] * (MAX_N - len(matches))
+    return (True, len(h), len(r), *matches, _weight_of(unigrams), _weight_of(Counter(r)))
+
+
+_COUNTS = T.StructType([T.StructField("ok", T.BooleanType())] + [
+    T.StructField(name, T.IntegerType()) for name in ("hl", "rl", *[f"m{n}" for n in range(1, MAX_N + 1)])] + [
+    T.StructField(name, T.DoubleType()) for name in ("wm1", "wr1")])
+
+
+@F.pandas_udf(_COUNTS)
+def _pair_counts(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    """:func:`pair_counts` of every row: lexes ok, lengths of both texts in
+    tokens, clipped matches per order, and the weights of the matched unigrams
+    and of the whole label."""
+    for labels, completions in batches:
+        yield pd.DataFrame([pair_counts(*pair) for pair in zip(labels, completions)], columns=_COUNTS.names)
 
 
 def ngram_match_scores(pairs: DataFrame, label: str = "label", completion: str = "completion",
@@ -136,17 +103,10 @@ def ngram_match_scores(pairs: DataFrame, label: str = "label", completion: str =
     of length 2 (Q10); with ``whole_reference`` it is that of the first score.
     """
     key = pairs.columns
-    # token arrays first, in their own projection: both the code tokens and
-    # the lexer check read them, and neither may re-run the tokeniser
-    raw = pairs.select(*key, all_tokens(_strip(F.coalesce(F.col(label), F.lit("")))).alias("_ra"),
-                       all_tokens(_strip(F.coalesce(F.col(completion), F.lit("")))).alias("_ha"))
-    lexed = raw.select(*key, code_tokens_of(F.col("_ra")).alias("_r"), code_tokens_of(F.col("_ha")).alias("_h"),
-                       (lex_ok_of(F.col("_ra")) & lex_ok_of(F.col("_ha"))).alias("lex_ok"))
-    grams = _with_ngrams(_with_ngrams(lexed, "_h", "_hg"), "_r", "_rg")
-    weight_sum = F.aggregate("_r", F.lit(0.0), lambda acc, t: acc + _weight(t))
-    counted = _with_clipped_counts(grams, "_hg", "_rg").select(
-        *key, "lex_ok", F.size("_h").alias("_hl"), F.size("_r").alias("_rl"),
-        *[F.col(f"_m{n}") for n in range(1, MAX_N + 1)], "_wm1", weight_sum.alias("_wr1"))
+    counted = pairs.select(*key, _pair_counts(F.col(label), F.col(completion)).alias("_c")).select(
+        *key, F.col("_c.ok").alias("lex_ok"), F.col("_c.hl").alias("_hl"), F.col("_c.rl").alias("_rl"),
+        *[F.col(f"_c.m{n}").alias(f"_m{n}") for n in range(1, MAX_N + 1)],
+        F.col("_c.wm1").alias("_wm1"), F.col("_c.wr1").alias("_wr1"))
     hl, rl = F.col("_hl").cast("double"), F.col("_rl").cast("double")
 
     def order_total(length: Column, n: int) -> Column:

@@ -67,7 +67,7 @@ NAME_WORD = r"^[^A-Za-z]*([A-Za-z]*)"
 
 def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus table ``(path, file_name, module, text)`` rendered from documents."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), waves=4)
     word = F.regexp_extract("text", NAME_WORD, 1)
     base = F.when(word == "", F.lit("Doc")).otherwise(word)
     is_test = F.col("text").rlike(TEST_MARK)
@@ -101,7 +101,7 @@ def completion_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
       ``(conv_id, turn + 1)``, which spreads even one very long conversation
       over many partitions (a ``lead`` window would sort it in one task).
     """
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), waves=4)
     lines = F.split(normalize_newlines("text"), "\n", -1)
     n = F.greatest(F.size(lines) - 1, F.lit(0))
     doc_pairs = docs.select(

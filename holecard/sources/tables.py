@@ -11,7 +11,7 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, waves: int = 1) -> DataFrame:
     """Give CPU-heavy row-local work (regex tokenising, n-gram building) at
     least one task per core.
 
@@ -19,6 +19,8 @@ def spread(df: DataFrame) -> DataFrame:
     shuffle).  A table stored as a few large row groups would otherwise be
     tokenised by one or two tasks; it is redistributed round-robin (Spark
     sorts before a round-robin exchange, so a retried task gets the same rows).
+    A split may hold no row group, so only several splits per core (``waves``)
+    tell that all cores have work.
     """
     spark = df.sparkSession
     try:
@@ -26,6 +28,6 @@ def spread(df: DataFrame) -> DataFrame:
         have = df.rdd.getNumPartitions()
     except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
         return df
-    if have >= want:
+    if have >= want * waves:
         return df
-    return df.repartition(want)
+    return df.repartition(want if have < want else want * waves)

@@ -240,3 +240,35 @@ def test_spread_gives_small_tables_a_task_per_core(spark):
     assert spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(100).repartition(64)
     assert spread(wide) is wide
+
+
+def test_spread_refills_splits_that_may_be_empty(spark):
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(100).repartition(cores + 1)
+    assert spread(df, waves=4).rdd.getNumPartitions() == 4 * cores
+    assert spread(df.coalesce(1), waves=4).rdd.getNumPartitions() == cores
+
+
+def test_clipped_counts_of_long_pairs_match_plain_loops(spark):
+    words = ["if", "x", "=", "y", ";", "return", "\"a b\""]
+    label = [words[i * i % 7] for i in range(60_000)]
+    completion = [words[i * i * i % 7] for i in range(50_000)]
+    ok, hl, rl, *m, wm1, wr1 = scoring.pair_counts(" ".join(label), " // c\n".join(completion))
+    assert (ok, hl, rl) == (True, 50_000, 60_000)
+    for n in range(1, 5):
+        r, h = ({} for _ in range(2))
+        for counts, toks in ((r, label), (h, completion)):
+            for i in range(len(toks) - n + 1):
+                gram = tuple(toks[i:i + n])
+                counts[gram] = counts.get(gram, 0) + 1
+        assert m[n - 1] == sum(min(c, h.get(g, 0)) for g, c in r.items())
+        if n == 1:
+            weight = lambda t: 1.0 if t in ("if", "return") else 0.2
+            assert wm1 == pytest.approx(sum(min(c, h.get((t,), 0)) * weight(t) for (t,), c in r.items()))
+            assert wr1 == pytest.approx(sum(c * weight(t) for (t,), c in r.items()))
+
+
+def test_scores_scan_every_pair_once(spark):
+    pairs = spark.createDataFrame([("a = b + c ;", "a = b", 0.5, 0.5)], "label string, completion string, s double, d double")
+    plan = scoring.code_bleu(pairs, syntax="s", dataflow="d")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "array_sort" not in plan
