@@ -118,16 +118,25 @@ def lex_ok_of(toks: Column) -> Column:
 _BAD_TOKENS = frozenset(('"', "'", *ILLEGAL_TOKENS))
 
 
-def _is_code(t: str) -> bool:
-    """:func:`is_code_token` of a Python string."""
-    return t[0] not in SPACES and not t.startswith(("//", "/*"))
+_COMMENTS = ("//", "/*")
 
 
-def scan_tokens(text: str) -> tuple[list[str], bool]:
-    """:func:`code_tokens` and :func:`lex_ok` of one Python string."""
+def scan_all(text: str) -> tuple[list[str], bool]:
+    """:func:`all_tokens` and :func:`lex_ok` of one Python string."""
     toks = _SCAN.findall(text)
     open_comment = "/*" in text and any(a == "/" and b[0] == "*" for a, b in zip(toks, toks[1:]))
-    return [t for t in toks if _is_code(t)], not open_comment and _BAD_TOKENS.isdisjoint(toks)
+    return toks, not open_comment and _BAD_TOKENS.isdisjoint(toks)
+
+
+def code_places(toks: list[str]) -> list[int]:
+    """Places of the code tokens among all tokens of a text, from 0."""
+    return [i for i, t in enumerate(toks) if t[0] not in SPACES and (t[0] != "/" or t[:2] not in _COMMENTS)]
+
+
+def scan_tokens(text: str) -> tuple[list[str], bool]:
+    """:func:`code_tokens` and :func:`lex_ok` of one Python string."""
+    toks, ok = scan_all(text)
+    return [toks[i] for i in code_places(toks)], ok
 
 
 def token_positions_of(toks: Column, lines: Column) -> Column:

@@ -6,11 +6,18 @@ Candidates carry only ``(path, position)``; text is joined back after sampling.
 
 from __future__ import annotations
 
+import re
+import string
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from holecard.functions.lexer import (JAVA_KEYWORDS, all_tokens, code_tokens_of, indices_where, is_code_token, lex_ok,
-                                      lex_ok_of, token_positions_of)
+from holecard.functions.lexer import ILLEGAL_TOKENS, JAVA_KEYWORDS, code_places, lex_ok, scan_all, scan_tokens
 from holecard.functions.text import WS, normalize_newlines, split_lines
 
 
@@ -74,10 +81,8 @@ def _line_indices(files: DataFrame, keep_cols: list[str], num_label_lines: int,
     return ranked.select(*keep_cols, F.slice("_r", min_lines_above + 2, length).alias("_line_idx"))
 
 
-# --- fixed values: one character per code token, and the statements it cuts out ---
-# I begins an import or package statement, S ends it, N is any other token.
+# --- fixed values: words that begin an import or package statement ---
 IMPORT_WORDS = ("import", "package")
-IMPORT_RUNS = r"I[IN]*S?|[NS]+"
 
 
 def token_candidates(files: DataFrame, num_label_tokens: int = 1, min_tokens_before: int = 1,
@@ -91,46 +96,87 @@ def token_candidates(files: DataFrame, num_label_tokens: int = 1, min_tokens_bef
     lex give no candidates (see :func:`token_lex_failures`).  Row-local: no
     shuffle.
     """
-    lexed = files.select("path", all_tokens("text").alias("_all"))
-    # one projection and no Filter on the token array: a filter would be
-    # pushed below the projection and tokenise every text twice
-    staged = lexed.select("path", code_tokens_of(F.col("_all")).alias("_toks"),
-                          lex_ok_of(F.col("_all")).alias("_ok"))
-    found = _token_indices(staged, ["path", "_toks"], num_label_tokens, min_tokens_before, min_tokens_after,
-                           skip_import_lines)
-    return found.select("path", "_toks", _exploded("_token_idx").alias("token_idx")) \
-        .select("path", "token_idx", F.element_at("_toks", F.col("token_idx") + 1).alias("token"))
-
-
-def _token_indices(staged: DataFrame, keep_cols: list[str], num_label_tokens: int, min_tokens_before: int,
-                   min_tokens_after: int, skip_import_lines: bool) -> DataFrame:
-    """``keep_cols`` and ``_token_idx``, the maskable indices of the code tokens
-    ``_toks``; null for a file that does not lex (``_ok``)."""
+    _check_margins(num_label_tokens, min_tokens_after)
+
+    def read(text: str):
+        toks, ok = scan_tokens(text)
+        kept = _maskable(toks, num_label_tokens, min_tokens_before, min_tokens_after, skip_import_lines) if ok else []
+        return kept, [toks[i] for i in kept]
+
+    return _rows_of_texts(files.select("path", "text"), read, "token_idx int, token string")
+
+
+def _check_margins(num_label_tokens: int, min_tokens_after: int) -> None:
     if num_label_tokens + min_tokens_after <= 0:
         raise ValueError("num_label_tokens + min_tokens_after must be positive")
-    if skip_import_lines:
-        letters = F.array_join(F.transform("_toks", lambda t: F.when(t.isin(*IMPORT_WORDS), "I")
-                                           .when(t == ";", "S").otherwise("N")), "")
-        runs = F.regexp_extract_all(letters, F.lit(IMPORT_RUNS), 0)
-        free = F.flatten(F.transform(runs, lambda r: F.array_repeat(~r.startswith("I"), F.length(r))))
-        keep = F.filter(F.transform(free, lambda f, i: F.when(f, i)), lambda i: i.isNotNull())
-    else:
-        keep = F.transform(indices_where(F.col("_toks"), lambda t: ~t.isin(*IMPORT_WORDS)), lambda p: p - 1)
-    ranked = staged.select(*keep_cols, F.when(F.col("_ok"), keep).alias("_keep"))
-    length = F.greatest(
-        F.size("_keep") - min_tokens_before - (num_label_tokens + min_tokens_after), F.lit(0))
-    return ranked.select(*keep_cols, F.slice("_keep", min_tokens_before + 1, length).alias("_token_idx"))
+
+
+def _maskable(toks: list[str], num_label_tokens: int, min_tokens_before: int, min_tokens_after: int,
+              skip_import_lines: bool) -> list[int]:
+    """Maskable indices of the code tokens of a text that lexes."""
+    kept, inside = [], False
+    for i, t in enumerate(toks):
+        if t in IMPORT_WORDS:
+            inside = skip_import_lines
+        elif not inside:
+            kept.append(i)
+        elif t == ";":
+            inside = False
+    length = max(len(kept) - min_tokens_before - (num_label_tokens + min_tokens_after), 0)
+    return kept[min_tokens_before:min_tokens_before + length]
+
+
+#: Rows that a task gathers into one Arrow batch.
+BATCH_ROWS = 1 << 15
+
+
+def _rows_of_texts(files: DataFrame, read: Callable, columns: str) -> DataFrame:
+    """``(path, *columns)``: the rows that ``read`` makes of each text, as one
+    list or array per column; the first two columns of ``files`` are path and
+    text, any others go to ``read`` as well.  Files without text have no rows.
+
+    Row-local over Arrow batches, linear in the text; a row carries its path
+    and its own values, never the arrays of its file.
+    """
+    schema = files.sparkSession.createDataFrame([], columns).schema
+    arrow = to_arrow_schema(T.StructType([T.StructField("path", T.StringType()), *schema]))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, *rest = batch.columns
+            owners, found, size = [], [], 0
+            for k, row in enumerate(zip(*(c.to_pylist() for c in rest))):
+                if row[0] is not None:
+                    cols = read(*row)
+                    owners.append(np.full(len(cols[0]), k))
+                    found.append(cols)
+                    size += len(cols[0])
+                if found and (size > BATCH_ROWS or k == batch.num_rows - 1):
+                    out = [paths.take(pa.array(np.concatenate(owners)))]
+                    for f, parts in zip(list(arrow)[1:], zip(*found)):
+                        out.append(pa.chunked_array([pa.array(p, f.type) for p in parts], f.type).combine_chunks())
+                    yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(out, arrow)], schema=arrow)
+                    owners, found, size = [], [], 0
+
+    return files.mapInArrow(work, f"path string, {columns}")
 
 
 def token_places(files: DataFrame) -> DataFrame:
     """``(path, token_idx, token, line, column, offset)`` of every code
     token of the files that lex; lines and columns from 1, offsets from 0, in
     the text with ``\\n`` line ends.  Row-local."""
-    read = files.select("path", normalize_newlines("text").alias("_t"))
-    lexed = read.select("path", all_tokens("_t").alias("_all"), split_lines("_t").alias("_lines"))
-    placed = lexed.select("path", F.posexplode(F.when(
-        lex_ok_of(F.col("_all")), token_positions_of(F.col("_all"), F.col("_lines")))).alias("token_idx", "_p"))
-    return placed.select("path", "token_idx", "_p.token", "_p.line", "_p.column", "_p.offset")
+    def read(text: str):
+        toks, ok = scan_all(text)
+        at = code_places(toks) if ok else []
+        sizes = np.fromiter(map(len, toks), np.int64, len(toks))
+        offsets = (np.cumsum(sizes) - sizes)[at]
+        starts = np.array([0, *(m.end() for m in re.finditer("\n", text))])
+        line = np.searchsorted(starts, offsets, side="right")
+        return (np.arange(len(at), dtype=np.int32), [toks[i] for i in at], line.astype(np.int32),
+                (offsets - starts[line - 1] + 1).astype(np.int32), offsets)
+
+    return _rows_of_texts(files.select("path", normalize_newlines("text").alias("text")), read,
+                          "token_idx int, token string, line int, column int, offset long")
 
 
 # --- fixed values: reasons of skipped files ---
@@ -179,77 +225,77 @@ def method_bodies(files: DataFrame, include_constructors: bool = False) -> tuple
     file's token list.
 
     Row-local first: headers come from each code token's neighbours, and the
-    other marks from one pass that writes a position marker for them, keeps
-    newlines and parentheses, and leaves out everything else.  Only those
-    marks, with the counts of newlines and parentheses before each, reach the
-    per-file windows and their one shuffle.
+    other marks from one pass that writes down what stands between them:
+    newlines, parentheses, and ``-`` for anything else.  Only marks, with the
+    counts of newlines and parentheses before each, reach the per-file windows
+    and their one shuffle.
     """
-    lexed = files.select("path", all_tokens(normalize_newlines("text")).alias("_all"))
-    staged = _with_marks(lexed, ["path"], include_constructors)
-    failed = F.array(F.struct(F.lit(LEX_FAILED).alias("mark"), F.lit(None).cast("string").alias("method")))
-    # One generator emits everything (marks, headers, or one row for a file
-    # that does not lex), so the tokeniser runs once per file.  No Filter on
-    # the lexer flag: Catalyst would push it below the scan-side exchange and
-    # inline the tokeniser into it.
-    rows = staged.select("path", F.explode(F.when(F.col("_ok"), F.col("_marks")).otherwise(failed)).alias("r"))
-    return bodies_of_marks(rows.select("path", "r.mark", "r.method"))
+    # a missing text is one that does not lex
+    read = files.select("path", F.coalesce(normalize_newlines("text"), F.lit(ILLEGAL_TOKENS[0])).alias("text"))
+    return bodies_of_marks(_rows_of_texts(read, lambda text: _marks(*scan_all(text), include_constructors),
+                                          "mark string, method string"))
 
 
 #: The mark of a file that does not lex.
 LEX_FAILED = "\u0001-1!"
 
 
-def _with_marks(lexed: DataFrame, keep_cols: list[str], include_constructors: bool) -> DataFrame:
-    """``keep_cols``, ``_ok``, the code tokens ``_code`` and ``_marks``, an array
-    of (mark, method), from the array ``_all`` of a text's tokens."""
-    keywords = F.array(*[F.lit(k) for k in JAVA_KEYWORDS])
-    ident = r"^[A-Za-z_$][A-Za-z0-9_$]*$"
-
-    def is_name(t):
-        return t.rlike(ident) & ~F.array_contains(keywords, t)
-
-    def mark(t, p, kind):
-        return F.concat(F.lit("\u0001"), p.cast("string"), kind, F.lit("\u0002"))
-
-    staged = lexed.select(
-        *keep_cols, lex_ok_of(F.col("_all")).alias("_ok"),
-        code_tokens_of(F.col("_all")).alias("_code"),
-        indices_where(F.col("_all"), is_code_token).alias("_cpos"),
-        F.array_join(F.transform("_all", lambda t, p: F.when(t == " ", F.lit(""))
-            .when(is_code_token(t), F.when(F.instr(F.lit("{};="), t) > 0, mark(t, p, t))
-                  .when(F.instr(F.lit("()."), t) > 0, t)
-                  .when(t.isin(*TYPE_WORDS), mark(t, p, F.lit("K")))
-                  .when(t == "new", mark(t, p, F.lit("N")))
-                  .otherwise(F.lit("-")))
-            .otherwise(F.regexp_replace(t, r"[^\n]+", ""))), "").alias("_written"))
-    # headers: name, next code token "(", previous code token a type
-    n = F.size("_code")
-    none = F.array(F.lit(None).cast("string"))
-    nxt = F.concat(F.slice("_code", 2, F.greatest(n - 1, F.lit(0))), none)
-    prev = F.concat(none, F.slice("_code", 1, F.greatest(n - 1, F.lit(0))))
-    with_next = F.zip_with("_code", nxt, lambda c, x: F.struct(c.alias("c"), x.alias("x")))
-
-
-    def named(cx, p):
-        """H: a method's header; C: a constructor's, if the type has its name."""
-        method = (p.rlike(ident) & ~F.array_contains(keywords, p)) | p.isin(*PRIMITIVE_TYPES, ">", "]")
-        kind = F.when(method, "H")
-        if include_constructors:
-            kind = kind.when(~p.isin("new", "."), "C")
-        type_name = F.struct(F.lit("T").alias("kind"), cx["c"].alias("name"))
-        found = F.when((cx["x"] == "(") & is_name(cx["c"]), F.struct(kind.alias("kind"), cx["c"].alias("name")))
-        return found.when(p.isin(*TYPE_WORDS) & is_name(cx["c"]), type_name) if include_constructors else found
-
-    names = F.zip_with(with_next, prev, named)
-    # a mark as text: what stands since the one before it, U+0001, position, kind
-    headers = F.filter(F.zip_with(names, F.col("_cpos"), lambda h, p: F.when(h["kind"].isNotNull(), F.struct(
-        F.concat(F.lit("\u0001"), (p - 1).cast("string"), h["kind"]).alias("mark"), h["name"].alias("method")))),
-        lambda h: h.isNotNull())
-    plain = lambda m: F.struct(m.alias("mark"), F.lit(None).cast("string").alias("method"))
-    # what follows the last mark is none
-    split = F.split("_written", "\u0002")
-    marks = F.transform(F.slice(split, F.lit(1), F.size(split) - 1), plain)
-    return staged.select(*keep_cols, "_ok", "_code", F.concat(marks, headers).alias("_marks"))
+_KEYWORDS = frozenset(JAVA_KEYWORDS)
+_NAME_STARTS = frozenset(string.ascii_letters + "_$")
+
+
+def _is_name(t: str) -> bool:
+    return t[0] in _NAME_STARTS and t not in _KEYWORDS
+
+
+def _marks(toks: list[str], ok: bool, include_constructors: bool) -> tuple[list, list]:
+    """Marks of a text's tokens and the names of those that are headers.
+
+    A mark is what stands since the one before it, U+0001, position and kind.
+    """
+    if not ok:
+        return [LEX_FAILED], [None]
+    marks, names, gap = [], [], []
+    code = code_places(toks)
+    is_code = set(code)
+    for p, t in enumerate(toks):
+        if p not in is_code:
+            gap.append("\n" * t.count("\n"))
+            continue
+        kind = t if t in _BRACES else "K" if t in TYPE_WORDS else "N" if t == "new" else None
+        if kind:
+            marks.append(f"{''.join(gap)}\u0001{p}{kind}")
+            gap = []
+        elif t in _KEPT:
+            gap.append(t)
+        elif not gap or gap[-1] != "-":
+            gap.append("-")
+    names = [None] * len(marks)
+    before = None
+    for k, at in enumerate(code):
+        t, kind = toks[at], None
+        if before is not None and _is_name(t):
+            if k + 1 < len(code) and toks[code[k + 1]] == "(":
+                # H: a method's header; C: a constructor's, if the type has its name
+                if _is_name(before) or before in _TYPE_ENDS:
+                    kind = "H"
+                elif include_constructors and before not in ("new", "."):
+                    kind = "C"
+            elif include_constructors and before in TYPE_WORDS:
+                kind = "T"
+        if kind:
+            marks.append(f"\u0001{at}{kind}")
+            names.append(t)
+        before = t
+    return marks, names
+
+
+_BRACES, _KEPT = frozenset("{};="), frozenset("().")
+_TYPE_ENDS = frozenset((*PRIMITIVE_TYPES, ">", "]"))
+
+#: Partitions of the marks per core.  Left alone, the shuffle is coalesced by its
+#: compressed size, and a task's four sorts hold many times that in memory.
+MARK_PARTITIONS = 16
 
 
 def bodies_of_marks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -261,6 +307,8 @@ def bodies_of_marks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         "path", F.expr("left(_at, length(_at) - 1)").cast("int").alias("pos"), F.right("_at", F.lit(1)).alias("tok"),
         "method", count("\n").alias("_newlines"), (count("(") - count(")")).alias("_open"),
         F.right(F.rtrim("_gap", F.lit("\n")), F.lit(1)).alias("_left"))
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    rows = rows.repartition(MARK_PARTITIONS * cores, "path")
     bad = rows.where(F.col("tok") == "!").select("path", F.lit(NO_METHODS).alias("reason"))
 
     w = Window.partitionBy("path").orderBy("pos")
@@ -330,21 +378,19 @@ def prompt_candidates(files: DataFrame, num_label_lines: int = 1, num_label_toke
     of a file whose tokens cannot be told.  One generator emits a file's rows;
     write them once (by ``kind``) and read each kind from there.
     """
-    read = files.select("path", normalize_newlines("text").alias("_t"))
-    lexed = read.select("path", all_tokens("_t").alias("_all"), split_lines("_t").alias("_lines"))
-    staged = _with_marks(lexed, ["path", "_lines"], include_constructors).withColumnRenamed("_code", "_toks")
-    kept = ["path", "_lines", "_ok", "_marks"]
-    staged = _token_indices(staged, kept, num_label_tokens, 1, 1, skip_import_lines)
-    staged = _line_indices(staged, ["path", "_ok", "_marks", "_token_idx"], num_label_lines, 1, 1)
-    text = F.lit(None).cast("string")
-
-    def row(kind, idx=None, mark=None, method=None):
-        return F.struct(F.lit(kind).alias("kind"), (F.lit(None) if idx is None else idx).cast("int").alias("idx"),
-                        (text if mark is None else mark).alias("mark"), (text if method is None else method).alias("method"))
-
-    failed = F.array(row("marks", mark=F.lit(LEX_FAILED)), row("skipped", mark=F.lit(NO_TOKENS)))
-    marks = F.when(F.col("_ok"), F.transform("_marks", lambda m: row("marks", mark=m["mark"], method=m["method"]))) \
-        .otherwise(failed)
-    tokens = F.transform(F.coalesce("_token_idx", F.array().cast("array<int>")), lambda i: row("tokens", i))
-    lines = F.transform("_line_idx", lambda i: row("lines", i))
-    return staged.select("path", F.explode(F.concat(lines, tokens, marks)).alias("r")).select("path", "r.*")
+    _check_margins(num_label_tokens, 1)
+    staged = files.select("path", normalize_newlines("text").alias("_t")) \
+        .select("path", "_t", split_lines("_t").alias("_lines"))
+    staged = _line_indices(staged, ["path", "_t"], num_label_lines, 1, 1)
+
+    def read(text: str, lines: list[int]):
+        toks, ok = scan_all(text)
+        code = [toks[i] for i in code_places(toks)]
+        tokens = _maskable(code, num_label_tokens, 1, 1, skip_import_lines) if ok else []
+        marks, names = _marks(toks, ok, include_constructors)
+        skipped = [] if ok else [NO_TOKENS]
+        no_idx, none = [None] * (len(marks) + len(skipped)), [None] * (len(lines) + len(tokens))
+        kinds = ["lines"] * len(lines) + ["tokens"] * len(tokens) + ["marks"] * len(marks) + ["skipped"] * len(skipped)
+        return kinds, [*lines, *tokens, *no_idx], [*none, *marks, *skipped], [*none, *names, *[None] * len(skipped)]
+
+    return _rows_of_texts(staged, read, "kind string, idx int, mark string, method string")

@@ -272,3 +272,25 @@ def test_scores_scan_every_pair_once(spark):
     pairs = spark.createDataFrame([("a = b + c ;", "a = b", 0.5, 0.5)], "label string, completion string, s double, d double")
     plan = scoring.code_bleu(pairs, syntax="s", dataflow="d")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "array_sort" not in plan
+
+
+def test_rows_of_tokens_carry_no_arrays(spark):
+    text = "class A { int f = g ( 1 ) ; }\n// c\n" * 3000
+    files = _files(spark, text, None, "'open", "")
+    plan = cand.token_candidates(files, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("MapInArrow") == 1
+    toks = text.replace("// c", "").split()
+    got = [(r.token_idx, r.token) for r in cand.token_candidates(files, 2).orderBy("token_idx").collect()]
+    assert got == list(enumerate(toks))[1:-3]
+    places = cand.token_places(files).orderBy("offset").collect()
+    assert [r.token for r in places] == toks
+    assert (places[-1].line, places[-1].column, places[-1].offset) == (5999, 29, len(text) - 7)
+
+
+def test_marks_are_spread_by_number(spark):
+    bodies, skips = cand.method_bodies(_files(spark, CLASS, None, "'open"), True)
+    cores = spark.sparkContext.defaultParallelism
+    plan = bodies._jdf.queryExecution().executedPlan().toString()
+    assert f"{cand.MARK_PARTITIONS * cores}), REPARTITION_BY_NUM" in plan
+    assert plan.count("hashpartitioning") == plan.count("REPARTITION_BY_NUM")
+    assert skips.where("reason = 'all_relevant_method_bodies'").count() >= 2
