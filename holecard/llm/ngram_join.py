@@ -112,7 +112,7 @@ def set_rows(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                      pa.array(sets.nodes(), pa.int64()), batch.column(2).slice(i, j - i)],
                     names=["doc_id", "n_shingles", "node", "hash"])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("hash")) \
-        .mapInArrow(work, "doc_id long, n_shingles long, node long, hash long")
+        .mapInArrow(lambda batches: C.releasing(work(batches)), "doc_id long, n_shingles long, node long, hash long")
 
 
 def word_counts(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,8 +171,10 @@ def word_counts(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
                          "words": blobs(cut, w[order]), "counts": blobs(cut, n[order])})
 
     found = write_table(
-        docs.select("text").mapInArrow(count, "bucket int, words binary, counts binary")
-        .groupBy("bucket").applyInArrow(total, "level long, n long, words binary, counts binary"), "words")
+        docs.select("text").mapInArrow(
+            lambda batches: C.releasing(count(batches)), "bucket int, words binary, counts binary")
+        .groupBy("bucket").applyInArrow(
+            lambda table: C.release(total(table)), "level long, n long, words binary, counts binary"), "words")
     levels = sorted(((r.level, r.n) for r in found.groupBy("level").agg(F.sum("n").alias("n")).collect()), reverse=True)
     least, room = (levels[0][0] + 1 if levels else 0), COUNTED_WORDS
     for level, n in levels:
@@ -300,8 +302,9 @@ def candidate_edges(docs: DataFrame, buckets: int, words, counts, rare_below: in
                          "b": pa.array([y for _, y in moved], pa.int64())})
 
     return docs.select("text").mapInArrow(
-        index, "bucket int, keys binary, nodes binary, sizes binary, sketches binary") \
-        .groupBy("bucket").applyInArrow(link, "a long, b long")
+        lambda batches: C.releasing(index(batches)),
+        "bucket int, keys binary, nodes binary, sizes binary, sketches binary") \
+        .groupBy("bucket").applyInArrow(lambda table: C.release(link(table)), "a long, b long")
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -409,7 +412,8 @@ def verified_edges(docs: DataFrame, members: DataFrame, least_shards: int, size:
                         + [pa.array([found.hashes[k].tobytes() for k in own], pa.binary())],
                         names=["node", "cluster", "mine", "others", "tokens"])
 
-    sets = rows.mapInArrow(tokens, "node long, cluster long, mine long, others array<bigint>, tokens binary")
+    sets = rows.mapInArrow(lambda batches: C.releasing(tokens(batches)),
+                           "node long, cluster long, mine long, others array<bigint>, tokens binary")
     sets = sets.select("node", "cluster", "mine", "tokens", F.explode("others").alias("other"))
     sets = sets.select("node", "cluster", "mine", "tokens",
                        F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y")) \
@@ -443,7 +447,7 @@ def verified_edges(docs: DataFrame, members: DataFrame, least_shards: int, size:
         return pa.table({"a": pa.array([p for p, _ in moved], pa.int64()),
                          "b": pa.array([q for _, q in moved], pa.int64())})
 
-    return sets.groupBy("shard").applyInArrow(verify, "a long, b long")
+    return sets.groupBy("shard").applyInArrow(lambda table: C.release(verify(table)), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:

@@ -527,7 +527,8 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = FIT_TOXIC, clean: int =
         plain = (at.astype(np.int32), model.table[at].astype(np.float32), model.bias, model.slope, model.shift)
         return pa.table({"model": pa.array([pickle.dumps(plain)], pa.binary())})
 
-    made = rows.withColumn("_hc_all", F.lit(0)).groupBy("_hc_all").applyInArrow(learn, "model binary").collect()
+    made = rows.withColumn("_hc_all", F.lit(0)).groupBy("_hc_all").applyInArrow(
+        lambda sample: C.release(learn(sample)), "model binary").collect()
     if not made:
         return train([], np.zeros(0, bool))
     at, weights, *rest = pickle.loads(made[0][0])
@@ -576,6 +577,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
                     names=["doc_id", "score", "predicted"])
+            C.release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         work, "doc_id long, score double, predicted int")
@@ -590,6 +592,6 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
         out, offs = [], np.concatenate([[0], np.cumsum([len(t or "") for t in texts])])
         for i, j in C.slices(offs):
             out.append(score_texts([t or "" for t in texts.iloc[i:j]], *shared.value) < 0.5)
-        return pd.Series(np.concatenate(out) if out else [], dtype="bool")
+        return C.release(pd.Series(np.concatenate(out) if out else [], dtype="bool"))
 
     return docs.where(clean(F.col("text")))

@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from holecard.llm import columnar as C
 from holecard.llm import language_id, queries, toxicity
 
 
@@ -149,3 +150,19 @@ def test_registered_toxicity(spark, folder):
     assert all(r.held_out == held(r.doc_id, 5, 0) and r.predicted == int(r.score >= 0.5) for r in out)
     right = [r.predicted == int(r.doc_id % 5 == 0) for r in out if r.doc_id is not None and r.doc_id < 120]
     assert np.mean(right) > 0.95
+
+
+def test_workers_give_memory_back_after_a_task():
+    def held() -> int:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    def task(batches):
+        for _ in batches:
+            arrays = [np.ones(12_000) for _ in range(2000)]  # 190 MB in pieces that malloc keeps
+            yield arrays[-1]  # the last one stays
+
+    peak = []
+    last = list((peak.append(held()), a)[1] for a in C.releasing(task([0])))
+    assert len(last) == 1 and peak[0] - held() > 100 << 20
+    assert C.release(5) == 5
