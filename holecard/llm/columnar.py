@@ -18,6 +18,8 @@ import xxhash
 
 #: Bytes of text that one array operation covers.
 SLICE_BYTES = 2 << 20
+#: Bytes that are hashed at a time; every byte takes a few 64-bit numbers meanwhile.
+HASH_BYTES = 1 << 18
 #: The separators of words: U+0020 and U+0009 to U+000D.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -116,11 +118,11 @@ def span_hashes(buf: np.ndarray, sp: Spans) -> np.ndarray:
     out = np.empty(len(starts), _U)
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(starts, starts[i] + SLICE_BYTES, side="right")))
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + HASH_BYTES, side="right")))
         lo, hi = int(starts[i]), int(ends[j - 1])
         s, e = starts[i:j] - lo, ends[i:j] - lo
-        if hi - lo > 2 * SLICE_BYTES:  # one long span among them
-            hi = int(min(hi, lo + 2 * SLICE_BYTES))
+        if hi - lo > 2 * HASH_BYTES:  # one long span among them
+            hi = int(min(hi, lo + 2 * HASH_BYTES))
         short = (e - s <= _LONGEST) & (e <= hi - lo)
         place = np.arange(hi - lo) - np.repeat(s, np.diff(np.append(np.minimum(s, hi - lo), hi - lo)))
         np.minimum(place, _LONGEST - 1, out=place)

@@ -28,6 +28,8 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 BATCH_TOKENS = 1 << 20
 #: Words whose ids a task remembers.
 CACHE_WORDS = 2 << 20
+#: It begins anew when these words have more ids than this.
+CACHE_IDS = 16 << 20
 #: A word of its own in the tokenizer, put between the words of a call.
 DIVIDER = "|"
 
@@ -48,12 +50,13 @@ class WordIds:
         self.divider = self._encode(DIVIDER)
         if self._encode("a b") != self._encode("a") + self._encode(" b "):
             raise ValueError("the tokenizer doesn't drop white space")
+        self.kind = np.uint16 if max(self.tokenizer.get_vocab().values()) < 1 << 16 else np.uint32
         self.clear()
 
     def clear(self) -> None:
         self.known = np.zeros(0, np.uint64)
-        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.start, self.count = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+        self.ids = np.zeros(0, self.kind)
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -85,12 +88,11 @@ class WordIds:
             self.clear()
         flat, count = self._encode_words(words)
         start = len(self.ids) + np.cumsum(count) - count
-        self.ids = np.concatenate([self.ids, flat])
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known, kind="stable")
-        self.known = known[order]
-        self.start = np.concatenate([self.start, start])[order]
-        self.count = np.concatenate([self.count, count])[order]
+        self.ids = np.concatenate([self.ids, flat.astype(self.kind)])
+        at = np.searchsorted(self.known, hashes)  # both ascend
+        self.start = np.insert(self.start, at, start)
+        self.count = np.insert(self.count, at, count)
+        self.known = np.insert(self.known, at, hashes)
 
     def encode(self, buf: np.ndarray, offs: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with ``end_id`` after it, and their offsets."""
@@ -99,7 +101,7 @@ class WordIds:
         unique, first, which = np.unique(h, return_index=True, return_inverse=True)
         at = np.minimum(np.searchsorted(self.known, unique), max(len(self.known) - 1, 0))
         new = np.flatnonzero(self.known[at] != unique) if len(self.known) else np.arange(len(unique))
-        if len(self.known) + len(new) > CACHE_WORDS:
+        if len(self.known) + len(new) > CACHE_WORDS or len(self.ids) > CACHE_IDS:
             new = np.arange(len(unique))
             self.clear()
         if len(new):
@@ -107,8 +109,8 @@ class WordIds:
             self.learn(unique[new], [raw[sp.starts[i]:sp.ends[i]].decode("utf-8", "replace") for i in first[new]])
             at = np.searchsorted(self.known, unique)
         at = at[which]
-        count = self.count[at]
-        ids = self.ids[C.gather(self.start[at], count)]
+        count = self.count[at].astype(np.int64)
+        ids = self.ids[C.gather(self.start[at].astype(np.int64), count)]
         before = np.concatenate([[0], np.cumsum(count)])[sp.first]  # ids ahead of each text
         bounds = before + np.arange(len(before))
         out = np.full(bounds[-1], end_id, np.uint32)

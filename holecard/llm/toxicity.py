@@ -45,6 +45,8 @@ PROOF = 9.0
 COST = 2000.0
 #: Weight of the prior on the score's slope and shift.
 PRIOR = 0.1
+#: Characters that a filter scores at a time; each takes some 100 bytes meanwhile.
+SCORED_TOGETHER = 1 << 19
 #: Decision value of a text without a unit.
 NOTHING = -3.0
 
@@ -422,15 +424,20 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, cost:
     parts = []
     for lo in range(0, len(texts), 200):
         letters, at, size, of, sentence = units(texts[lo:lo + 200])
-        parts.append((letters, at, size, of + lo, sentence))
-    found = [rows_of(*p[:3]) for p in parts]
-    rows = np.concatenate([rows for rows, _ in found])
-    text = np.concatenate([p[3][u] for p, (_, u) in zip(parts, found)])
-    owner = [u for _, u in found]
-    del found
-    first, which = _distinct(rows)
-    flat = rows[first]
-    del rows
+        parts.append((letters, *(x.astype(np.int32) for x in (at, size, of + lo, sentence))))
+    flat, which, text, owner, n = [], [], [], [], 0
+    for p in parts:  # equal rows of a part meet first, so all rows never lie side by side
+        rows, unit = rows_of(*p[:3])
+        first, own = _distinct(rows)
+        flat.append(rows[first])
+        which.append((own + n).astype(np.int32))
+        text.append(p[3][unit].astype(np.int32))
+        owner.append(unit.astype(np.int32))
+        n += len(first)
+    flat, text = np.concatenate(flat), np.concatenate(text)
+    first, own = _distinct(flat)
+    flat, which = flat[first], own.astype(np.int32)[np.concatenate(which)]
+    del rows, unit, first, own
     # how many toxic and clean texts hold a unit, or a window that may be telling
     pair = np.unique(which.astype(np.int64) * len(texts) + text)
     unit, of = pair // len(texts), pair % len(texts)
@@ -444,6 +451,8 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, cost:
         np.maximum.at(told, u, proof[which[lo:lo + len(u)]] > PROOF)
         marked.append(np.concatenate([[0], np.cumsum(told)]))
         lo += len(u)
+    del which, text, owner, pair
+    C.release()
     extra, n_bad, n_good, pairs = _common_windows(parts, marked, toxic, int(np.ceil(PROOF / -np.log(share))))
     unit, of = np.concatenate([unit, pairs[0] + len(flat)]), np.concatenate([of, pairs[1]])
     flat, bad, good = np.concatenate([flat, extra]), np.concatenate([bad, n_bad]), np.concatenate([good, n_good])
@@ -497,6 +506,8 @@ def train(texts: list[str], toxic: np.ndarray, landmarks: int = LANDMARKS, cost:
         hard = clean[np.argsort(-every[clean], kind="stable")[:HARD_UNITS]]
         negatives = np.union1d(negatives, hard)
         worst = _worst(unit, of, every[unit], toxic) if telling.any() else worst
+    del parts, marked, flat, seen, x, unit, of, every, scratch
+    C.release()
     if rest:
         texts, toxic = rest, known
     value = np.concatenate([decide_texts(texts[lo:lo + 500], table, bias) for lo in range(0, len(texts), 500)])
@@ -583,15 +594,20 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         work, "doc_id long, score double, predicted int")
 
 
+def clean_texts(texts: pd.Series, plain: tuple) -> np.ndarray:
+    """Which texts have a score below 0.5 by a model's plain values."""
+    out, offs = [], np.concatenate([[0], np.cumsum([len(t or "") for t in texts])])
+    for i, j in C.slices(offs, SCORED_TOGETHER):
+        out.append(score_texts([t or "" for t in texts.iloc[i:j]], *plain) < 0.5)
+    return np.concatenate(out) if out else np.zeros(0, bool)
+
+
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` with a score below 0.5, unchanged, scored in place."""
     shared = docs.sparkSession.sparkContext.broadcast(model.plain())
 
     @F.pandas_udf("boolean")
     def clean(texts: pd.Series) -> pd.Series:
-        out, offs = [], np.concatenate([[0], np.cumsum([len(t or "") for t in texts])])
-        for i, j in C.slices(offs):
-            out.append(score_texts([t or "" for t in texts.iloc[i:j]], *shared.value) < 0.5)
-        return C.release(pd.Series(np.concatenate(out) if out else [], dtype="bool"))
+        return C.release(pd.Series(clean_texts(texts, shared.value), dtype="bool"))
 
     return docs.where(clean(F.col("text")))

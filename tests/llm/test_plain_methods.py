@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import itertools
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from holecard.llm import columnar as C
-from holecard.llm import language_id, queries, toxicity
+from holecard.llm import language_id, packing, queries, toxicity
 
 
 def plain_em(n, p, share):
@@ -166,3 +168,53 @@ def test_workers_give_memory_back_after_a_task():
     last = list((peak.append(held()), a)[1] for a in C.releasing(task([0])))
     assert len(last) == 1 and peak[0] - held() > 100 << 20
     assert C.release(5) == 5
+
+
+def peak_bytes(work) -> int:
+    """The most that one call holds at once beyond what was there before."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_hashing_words_takes_little_memory_and_no_other_hashes(monkeypatch):
+    r = np.random.default_rng(5)
+    words = [bytes(r.integers(97, 123, n).astype(np.uint8)) for n in r.integers(1, 12, 250_000)]
+    words[70_000:70_000] = [b"x" * n for n in (4096, 4097, 300_000, 700_000)]
+    buf = np.frombuffer(b" ".join(words), np.uint8)
+    sp = C.spans(buf, np.array([0, len(buf)]))
+    assert len(sp.starts) == len(words)
+    assert peak_bytes(lambda: C.span_hashes(buf, sp)) < 40 << 20  # 59 MB when 2 MB are hashed at a time
+    found = C.span_hashes(buf, sp)
+    monkeypatch.setattr(C, "HASH_BYTES", 2 << 20)
+    assert (C.span_hashes(buf, sp) == found).all()
+
+
+def test_remembered_words_are_small_and_bounded(monkeypatch):
+    words = packing.WordIds(queries.tokenizer_path())
+    texts = [" ".join(f"w{i * 7919 % 100_003}q{i}" for i in range(lo, lo + 3000)) for lo in range(0, 12_000, 3000)]
+    whole = [words._encode(t) + [2] for t in texts]
+
+    def encode(text):
+        buf = np.frombuffer(text.encode(), np.uint8)
+        return words.encode(buf, np.array([0, len(buf)]), 2)[0].tolist()
+
+    assert [encode(t) for t in texts + texts] == whole + whole
+    held = sum(a.nbytes for a in (words.known, words.start, words.count, words.ids))
+    assert len(words.known) == 12_000 and held <= 16 * 12_000 + 2 * len(words.ids)
+    monkeypatch.setattr(packing, "CACHE_IDS", 1000)
+    assert [encode(t) for t in texts] == whole and len(words.known) == 3000
+
+
+def test_a_filter_scores_texts_in_small_parts():
+    r = np.random.default_rng(6)
+    texts = pd.Series(["".join(map(chr, r.integers(97, 123, 1000))) + " vile grumbok" * (k % 3 == 0) for k in range(90)])
+    plain = toxicity.train(texts.tolist(), np.arange(90) % 3 == 0).plain()
+    many = pd.concat([texts] * 20 + [pd.Series([None, ""])], ignore_index=True)
+    found = []
+    assert peak_bytes(lambda: found.append(toxicity.clean_texts(many, plain))) < 60 << 20  # 114 MB in parts of 2 MB
+    assert (found[0] == (toxicity.score_texts([t or "" for t in many], *plain) < 0.5)).all()
+    assert len(toxicity.clean_texts(many[:0], plain)) == 0
