@@ -15,10 +15,12 @@ the corpus frequency of its rarest word, which bounds the token's own.
 
 Documents with equal sets are one class from the start.  Entries of a posting
 list that pass the bounds on size and on bucketed counts are candidates; lists
-give candidate clusters, and within a cluster the full sets are verified.  Large
-clusters are split into bands of sizes, so wide that similar sets are in one or
-in neighbouring bands, bands into blocks of bounded size, and blocks that may
-hold similar sets are paired.  Texts are hashed once; what travels to the pairs
+give candidate clusters, and within a cluster the full sets are verified.  Of
+large clusters first those sets go that share too few tokens with the others of
+like size, whichever these are, to be similar to any: long sets meet by chance,
+and their clusters grow with the corpus.  What stays is split into bands of
+sizes, so wide that similar sets are in one or in neighbouring bands, bands into
+blocks of bounded size, and blocks that may hold similar sets are paired.  Texts are hashed once; what travels to the pairs
 are shingle hashes.  So no pair of a group is ever a row, and a verified link is
 never lost.
 """
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from holecard.llm import columnar as C
 from holecard.llm.components import components, forest
-from holecard.llm.packed import BUCKET_BYTES, blobs, bucket_count, runs, text_bytes, unblob
+from holecard.llm.packed import BUCKET_BYTES, LEAST_BUCKETS, blobs, bucket_count, runs, text_bytes, unblob
 from holecard.session import write_table
 
 SHINGLE = 3
@@ -50,8 +52,12 @@ RARE_BELOW = 1 << 21
 SKETCH = 16
 #: Posting lists up to this length are filtered pair by pair inside their task.
 LIST_PAIRS = 4096
-#: Documents of a verification block.
-BLOCK = 96
+#: Sets of a verification block, and bytes of their hashes.  A set travels once
+#: for every block that it may meet, so blocks are as large as a task can hold.
+BLOCK = 1024
+BLOCK_BYTES = 4 << 20
+#: Sets (to the left; 4 times as many to the right) and hashes of one matrix.
+PART, PART_HASHES = 96, 1 << 18
 #: Values of a verification matrix.
 MATRIX = 1 << 22
 #: 64-bit words of the bitmap that tells which texts may be needed again, the
@@ -334,22 +340,29 @@ def band_width(t: int) -> float:
     return math.log(100 / t) * 1.001 if t < 100 else 1.0
 
 
+def _large():
+    """Whether a cluster of ``m`` sets with ``hashes`` members is more than one block."""
+    return (F.col("m") > BLOCK) | (F.col("hashes") * 8 > BLOCK_BYTES)
+
+
 def block_places(members: DataFrame, t: int) -> DataFrame:
     """``members (cluster, node, n, ...)`` with ``mine``, a set's block, and
     ``others``, the blocks that it is paired with, its own included.
 
-    A cluster of up to BLOCK sets is one block.  In others a band of sizes has
-    a block for every BLOCK sets, and pairs are made inside a band and with the
+    A cluster of up to BLOCK sets and BLOCK_BYTES is one block.  In others a band
+    of sizes has blocks of at most that, as a mean, and pairs are made inside a band and with the
     bands beside it.  The bands of a cluster are few, as the logarithm of sizes is.
     """
     band = F.floor(F.log(F.col("n")) / F.lit(band_width(t)))
     members = members.withColumn("band", band)
-    bands = members.groupBy("cluster", "band").agg(F.count(F.lit(1)).alias("m")) \
+    bands = members.groupBy("cluster", "band").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("hashes")) \
+        .withColumn("blocks", F.ceil(F.greatest(F.col("m") / F.lit(BLOCK), F.col("hashes") * 8 / F.lit(BLOCK_BYTES)))) \
         .groupBy(F.col("cluster").alias("of")).agg(
-            F.map_from_entries(F.collect_list(F.struct("band", "m"))).alias("bands"), F.sum("m").alias("m"))
-    blocks = lambda b: F.ceil(F.coalesce(F.col("bands")[b], F.lit(0)) / F.lit(BLOCK)).cast("long")
+            F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("bands"),
+            F.sum("m").alias("m"), F.sum("hashes").alias("hashes"))
+    blocks = lambda b: F.coalesce(F.col("bands")[b], F.lit(0)).cast("long")
     block = lambda b, i: F.shiftleft(b, 32) + i
-    one = F.col("m") <= BLOCK
+    one = ~_large()
     own = F.pmod(F.xxhash64("node"), F.greatest(blocks(F.col("band")), F.lit(1)))
     out = members.join(bands, members["cluster"] == bands["of"]) \
         .withColumn("mine", F.when(one, F.lit(0).cast("long")).otherwise(block(F.col("band"), own)))
@@ -360,7 +373,7 @@ def block_places(members: DataFrame, t: int) -> DataFrame:
 
     near = F.concat(*(all_of(F.col("band") + k) for k in (-1, 0, 1)))
     return out.withColumn("others", F.when(one, F.array(F.lit(0).cast("long"))).otherwise(near)) \
-        .drop("of", "bands", "m", "band")
+        .drop("of", "bands", "m", "hashes", "band")
 
 
 def maybe_needed(rows: DataFrame, needed: DataFrame, on: tuple, by: tuple) -> DataFrame:
@@ -378,6 +391,92 @@ def maybe_needed(rows: DataFrame, needed: DataFrame, on: tuple, by: tuple) -> Da
         .where(F.col("_hc_bits").bitwiseAND(bit(on)) != 0).drop("_hc_word", "_hc_bits")
 
 
+def _texts(docs: DataFrame, members: DataFrame, *columns: str) -> DataFrame:
+    """``(text, node, *columns)`` of ``members (rep, hash, node, ...)``: a text with that hash of a row
+    with that doc_id."""
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("doc_id"), "text",
+                        F.xxhash64("text").alias("text_hash"))
+    texts = maybe_needed(texts, members, ("doc_id", "text_hash"), ("rep", "hash"))
+    # of repeated rows one
+    return texts.join(members, (texts["doc_id"] == members["rep"]) & (texts["text_hash"] == members["hash"])) \
+        .groupBy("rep", "hash", "node").agg(*(F.first(c).alias(c) for c in ("text", *columns))) \
+        .select("text", "node", *columns)
+
+
+def _own_sets(batch, size: int):
+    """The rows of a batch ``(text, node, ...)`` whose texts have that node, with their sets; slice by slice."""
+    nodes = np.asarray(batch.column(1))
+    for i, j, buf, offs in C.text_slices(batch.column(0)):
+        found = _Sets(buf, offs, size)
+        # not another text with this hash
+        own = [k for k, this in enumerate(found.nodes()) if this == nodes[i + k]]
+        if own:
+            yield batch.take(pa.array([i + k for k in own])), [found.hashes[k] for k in own]
+
+
+def linkable(docs: DataFrame, members: DataFrame, size: int, t: int) -> DataFrame:
+    """``members`` without sets of large clusters that are similar to no other.
+
+    A set that is similar to another shares ``t`` hundredths of its members, at
+    least, with it, and so with all sets of like sizes of its cluster together.
+    Those are counted by one exchange of the hashes, dealt by cluster and hash.
+    """
+    large = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("hashes")) \
+        .where(_large()).select(F.col("cluster").alias("of"))
+    asked = write_table(members.join(large, members["cluster"] == large["of"], "left_semi"), "asked")
+    sent = asked.agg(F.sum(F.col("n") * 20)).first()[0]
+    if not sent:
+        return members
+    shards = max(LEAST_BUCKETS, -(-sent // (BUCKET_BYTES // 2)))
+
+    def deal(batches):
+        parts, have = [], 0
+
+        def flush():
+            key, node, n = (np.concatenate(x) for x in zip(*parts))
+            shard = (C.mix(key) % _U(shards)).astype(np.int32)
+            order = np.argsort(shard, kind="stable")
+            cut = runs(shard[order])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(shard[order][cut[:-1]]), blobs(cut, key[order]), blobs(cut, node[order]), blobs(cut, n[order])],
+                names=["shard", "keys", "nodes", "sizes"])
+
+        for batch in batches:
+            for rows, sets in _own_sets(batch, size):
+                cluster = C.mix(np.asarray(rows.column(2)).astype(_U))
+                for s, node, of in zip(sets, np.asarray(rows.column(1)), cluster):
+                    parts.append((C.mix(s + of), np.full(len(s), node, np.int64), np.full(len(s), len(s), np.uint32)))
+                    have += len(s)
+                if have > FLUSH // 4:
+                    yield flush()
+                    parts, have = [], 0
+        if have:
+            yield flush()
+
+    def count(tab):
+        key, _ = unblob(tab["keys"], _U)
+        node, _ = unblob(tab["nodes"], np.int64)
+        n = unblob(tab["sizes"], np.uint32)[0].astype(np.int64)
+        order = np.lexsort((n, key))
+        key, node, n = key[order], node[order], n[order]
+        # of the sets with a token those of the nearest sizes
+        meet = (key[1:] == key[:-1]) & (100 * n[:-1] >= t * n[1:])
+        shared = np.zeros(len(key), bool)
+        shared[1:] |= meet
+        shared[:-1] |= meet
+        node, times = np.unique(node[shared], return_counts=True)
+        return pa.table({"of": pa.array(node, pa.int64()), "shared": pa.array(times, pa.int64())})
+
+    shared = _texts(docs, asked, "cluster").mapInArrow(
+        lambda batches: C.releasing(deal(batches)), "shard int, keys binary, nodes binary, sizes binary") \
+        .groupBy("shard").applyInArrow(lambda table: C.release(count(table)), "of long, shared long") \
+        .groupBy("of").agg(F.sum("shared").alias("shared"))
+    alone = asked.join(shared, asked["node"] == shared["of"], "left") \
+        .where(100 * F.coalesce("shared", F.lit(0)) < t * F.col("n")).select(F.col("node").alias("_hc_of"))
+    alone = write_table(alone, "alone")
+    return members.join(alone, members["node"] == alone["_hc_of"], "left_anti")
+
+
 def verified_edges(docs: DataFrame, members: DataFrame, least_shards: int, size: int, t: int) -> DataFrame:
     """Links ``(a, b)`` between nodes, a spanning forest per task.
 
@@ -385,35 +484,22 @@ def verified_edges(docs: DataFrame, members: DataFrame, least_shards: int, size:
     sizes, and the doc_id and the text's hash of a row that has the set; a
     doc_id alone may be null or repeated.  Every text is hashed once; its
     shingle hashes go to each pair of blocks that its own block is in, at least
-    ``least_shards`` shards and one for every BUCKET_BYTES that they come to.
+    ``least_shards`` shards and one for every two BLOCK_BYTES that they come to.
     """
     placed = write_table(block_places(members, t), "places")
     sent = placed.agg(F.sum(F.col("n") * 8 * F.size("others"))).first()[0] or 0
-    shards = max(least_shards, -(-sent // BUCKET_BYTES))
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("doc_id"), "text",
-                        F.xxhash64("text").alias("text_hash"))
-    texts = maybe_needed(texts, placed, ("doc_id", "text_hash"), ("rep", "hash"))
-    # of repeated rows one
-    rows = texts.join(placed, (texts["doc_id"] == placed["rep"]) & (texts["text_hash"] == placed["hash"])) \
-        .groupBy("rep", "hash", "node").agg(*(F.first(c).alias(c) for c in ("text", "cluster", "mine", "others"))) \
-        .select("text", "node", "cluster", "mine", "others")
+    shards = max(least_shards, -(-sent // (2 * BLOCK_BYTES)))
 
     def tokens(batches):
         for batch in batches:
-            nodes = np.asarray(batch.column(1))
-            for i, j, buf, offs in C.text_slices(batch.column(0)):
-                found = _Sets(buf, offs, size)
-                # not another text with this hash
-                own = [k for k, this in enumerate(found.nodes()) if this == nodes[i + k]]
-                if own:
-                    at = pa.array([i + k for k in own])
-                    yield pa.RecordBatch.from_arrays(
-                        [c.take(at) for c in batch.columns[1:]]
-                        + [pa.array([found.hashes[k].tobytes() for k in own], pa.binary())],
-                        names=["node", "cluster", "mine", "others", "tokens"])
-
-    sets = rows.mapInArrow(lambda batches: C.releasing(tokens(batches)),
-                           "node long, cluster long, mine long, others array<bigint>, tokens binary")
+            for rows, sets in _own_sets(batch, size):
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns[1:], pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=["node", "cluster", "mine", "others", "tokens"])
+
+    sets = _texts(docs, placed, "cluster", "mine", "others").mapInArrow(
+        lambda batches: C.releasing(tokens(batches)),
+        "node long, cluster long, mine long, others array<bigint>, tokens binary")
     sets = sets.select("node", "cluster", "mine", "tokens", F.explode("others").alias("other"))
     sets = sets.select("node", "cluster", "mine", "tokens",
                        F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y")) \
@@ -434,14 +520,17 @@ def verified_edges(docs: DataFrame, members: DataFrame, least_shards: int, size:
             if not len(left) or not len(right):
                 continue
             sets = {k: flat[ends[k] - n[k]:ends[k]] for k in at}
-            for lo_r in range(0, len(right), 4 * BLOCK):
-                part = right[lo_r:lo_r + 4 * BLOCK]
-                both = _overlaps([sets[k] for k in left], [sets[k] for k in part])
-                union = n[left][:, None] + n[part][None, :] - both
-                i, j = np.nonzero(100 * both >= t * union)
-                differs = node[left[i]] != node[part[j]]
-                a.append(node[left[i]][differs])
-                b.append(node[part[j]][differs])
+            step = max(1, min(PART, PART_HASHES // int(n[at].max())))
+            for lo_l in range(0, len(left), step):
+                own = left[lo_l:lo_l + step]
+                for lo_r in range(lo_l if same else 0, len(right), 4 * step):
+                    part = right[lo_r:lo_r + 4 * step]
+                    both = _overlaps([sets[k] for k in own], [sets[k] for k in part])
+                    union = n[own][:, None] + n[part][None, :] - both
+                    i, j = np.nonzero(100 * both >= t * union)
+                    differs = node[own[i]] != node[part[j]]
+                    a.append(node[own[i]][differs])
+                    b.append(node[part[j]][differs])
         roots = forest(np.concatenate(a).tolist(), np.concatenate(b).tolist()) if a else {}
         moved = [(p, q) for p, q in roots.items() if p != q]
         return pa.table({"a": pa.array([p for p, _ in moved], pa.int64()),
@@ -482,6 +571,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
     clusters = components(candidate_edges(docs, buckets, words, counts, rare_below, shingle, threshold))
     members = clusters.withColumnRenamed("id", "node").join(classes, "node") \
         .select("rep", "hash", "node", "n", F.col("component").alias("cluster"))
+    members = linkable(docs, write_table(members, "members"), shingle, threshold)
     links = components(verified_edges(docs, members, 4 * buckets, shingle, threshold))
     # ids come in last: sets without an id, or with the same one, are no link
     linked = classes.join(links, classes["node"] == links["id"], "left") \

@@ -201,6 +201,43 @@ def test_blocks_meet_for_all_sizes_of_links(spark, monkeypatch, threshold):
     assert paired < 0.8 * len(places) ** 2
 
 
+def test_blocks_hold_as_much_as_a_task_can(spark):
+    """What a set costs to send grows with the bytes of its cluster, not with its number of sets."""
+    rows = [(1, k, 100 + k % 5) for k in range(4000)] + [(2, 10_000 + k, 60_000) for k in range(40)]
+    places = ngram_join.block_places(spark.createDataFrame(rows, "cluster long, node long, n long"), 80).collect()
+    assert max(len(r.others) for r in places if r.cluster == 1) <= 4
+    assert 4 <= max(len(r.others) for r in places if r.cluster == 2) <= 5
+
+
+def chance_cluster(spark):
+    """Documents that share a passage, and a near copy of every tenth; all members of one cluster."""
+    passage = random_words(60, 40, 10_000)
+    rows = [(k, " ".join(passage + random_words(100 + k, 160 + k, 10_000))) for k in range(40)]
+    rows += [(1000 + k, f"{t} end") for k, t in rows[::10]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    members = ngram_join.set_rows(df).selectExpr("doc_id AS rep", "hash", "node", "n_shingles AS n", "5L AS cluster")
+    return rows, df, members
+
+
+def test_sets_that_meet_by_chance_leave_large_clusters(spark, monkeypatch):
+    rows, df, members = chance_cluster(spark)
+    assert ngram_join.linkable(df, members, 3, 90).count() == len(rows)  # one block
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    left = {r.rep for r in ngram_join.linkable(df, members, 3, 90).collect()}
+    assert left == {0, 10, 20, 30, 1000, 1010, 1020, 1030}
+
+
+@pytest.mark.parametrize("part", [1, 3, 96])
+def test_near_duplicates_in_large_clusters(spark, docs, corpus, monkeypatch, part):
+    rows, df, _ = chance_cluster(spark)
+    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(ngram_join, "LIST_PAIRS", 2)
+    monkeypatch.setattr(ngram_join, "PART", part)
+    for table, found in ((df, rows), (docs, [(r[0], r[1]) for r in corpus])):
+        got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(table).collect())
+        assert got == brute_groups(found)
+
+
 @pytest.mark.parametrize("room", [1, 4096])
 def test_bitmap_drops_no_needed_row(spark, monkeypatch, room):
     monkeypatch.setattr(ngram_join, "BITMAP_WORDS", room)
