@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from holecard.llm import columnar as C
 from holecard.llm.components import components, forest
 from holecard.llm.packed import BUCKET_BYTES, LEAST_BUCKETS, blobs, bucket_count, runs, text_bytes, unblob
-from holecard.session import write_table
+from holecard.session import shuffles_freed, write_table
 
 SHINGLE = 3
 THRESHOLD = 90
@@ -556,6 +556,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
     """
     if not 75 <= threshold <= 100:
         raise ValueError(f"threshold {threshold} is not in 75 to 100")
+    with shuffles_freed(docs.sparkSession):
+        sets, reached = _reached(docs, shingle, threshold)
+    out = sets.join(reached, (sets["node"] == reached["of"]) & (sets["n_shingles"] > 0), "left") \
+        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    known = lambda c: F.when(F.col(c) != F.lit(_NONE), F.col(c)).alias(c)
+    return out.select(known("doc_id"), "n_shingles", known("component_id"))
+
+
+def _reached(docs: DataFrame, shingle: int, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """Tables of the sets of all rows, and of the ids that linked and repeated sets reach."""
     n_bytes = text_bytes(docs)
     buckets = bucket_count(n_bytes)
     sets = write_table(set_rows(docs, shingle)
@@ -581,7 +591,4 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
     linked = write_table(linked.where("copies > 1 OR linked"), "linked")
     least = linked.groupBy("root").agg(F.min("rep").alias("component"))
     reached = write_table(linked.join(least, "root").select(F.col("node").alias("of"), "component"), "reached")
-    out = sets.join(reached, (sets["node"] == reached["of"]) & (sets["n_shingles"] > 0), "left") \
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    known = lambda c: F.when(F.col(c) != F.lit(_NONE), F.col(c)).alias(c)
-    return out.select(known("doc_id"), "n_shingles", known("component_id"))
+    return sets, reached

@@ -8,6 +8,7 @@ only a local-mode session with no setting gets a scratch folder of its own.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -132,3 +133,16 @@ def write_table(df, name: str = "table", partition_by: tuple = ()):
     path = scratch_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def shuffles_freed(spark):
+    """Shuffle files of every query that runs inside go when it ends, not when
+    the driver happens to collect its garbage; for steps that each write a table."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -256,6 +256,14 @@ def test_pairs_of_blocks_carry_no_text(spark, docs):
     assert "tokens" in exploded and "text" not in exploded.replace("text_hash", "")
 
 
+def test_shuffle_files_of_near_duplicates_go_with_each_step(spark, docs, monkeypatch):
+    key, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    write, before = ngram_join.write_table, spark.conf.get(key)
+    monkeypatch.setattr(ngram_join, "write_table", lambda *a: seen.append(spark.conf.get(key)) or write(*a))
+    ngram_join.near_duplicates(docs)
+    assert len(seen) >= 6 and set(seen) == {"true"} and spark.conf.get(key) == before
+
+
 def test_near_duplicates_empty(spark):
     assert ngram_join.near_duplicates(empty(spark)).count() == 0
 
