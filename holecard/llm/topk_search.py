@@ -2,7 +2,7 @@
 
 Method: norm-sorted search.  Vectors are range-sorted by descending length over
 the whole table and packed into blocks, rotated by the singular vectors of a
-sample.  All queries first meet the range of the longest vectors; their k-th
+sample.  All queries first meet the block of the longest vectors; their k-th
 scores there bound what can follow: a query goes on only to ranges whose longest
 vector c has |q| |c| at or above its k-th score, in blocks of queries of like
 bounds, by an equi-join on the range.  Inside a block the scan ends where |q| |c|
@@ -33,8 +33,11 @@ SAMPLE = 5000
 LARGEST_ROTATION = 1024
 #: Vectors of one step of a scan.
 STEP = 512
-#: Most ranges of lengths that queries are sent to; the driver knows the longest of each.
-RANGES = 4096
+#: Most ranges of lengths that queries are sent to.  The driver knows the longest
+#: of each, and samples a few hundred rows for each to find their bounds.
+RANGES = 256
+#: The range of the longest block, which all queries meet first.
+LONGEST = -1
 
 
 def scaled(vector: Column, scale: int = SCALE) -> Column:
@@ -46,6 +49,18 @@ def scaled(vector: Column, scale: int = SCALE) -> Column:
 
 
 
+def narrow(values: np.ndarray) -> np.ndarray:
+    """Whole numbers in the fewest bytes that hold them all."""
+    ends = (int(values.min()), int(values.max())) if len(values) else (0, 0)
+    return values.astype(next(k for k in (np.int8, np.int16, np.int32, np.int64)
+                              if np.iinfo(k).min <= ends[0] and ends[1] <= np.iinfo(k).max))
+
+
+def widened(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` values whose bytes :func:`narrow` made, as 64-bit numbers."""
+    return np.frombuffer(data, f"i{len(data) // n if n else 8}").astype(np.int64)
+
+
 def exact_scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Integer inner products; beyond 64 bits they stop at the ends of a long."""
     most = (float(np.abs(q.astype(np.float64)).max(initial=0)) * float(np.abs(c.astype(np.float64)).max(initial=0))
@@ -140,13 +155,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = TOP, scale: int = SCALE
     own = write_table(own.withColumn("length", length), "vectors")
     total = own.count()
     rotation = own.sparkSession.sparkContext.broadcast(_rotation(own, total, sample))
-    n_blocks = max(LEAST_BLOCKS, -(-total // block))
-    per_range = -(-n_blocks // RANGES)
+    n_ranges = min(RANGES, max(LEAST_BLOCKS, -(-total // block)))
 
     def packer(most: int, limits: bool):
         """Rows in their order as blocks of one dimension each; a partition's
-        number is that of its range."""
-        def one(rows: pa.Table, part: int) -> pa.RecordBatch:
+        number is that of its range, but for the first rows of the first."""
+        def one(rows: pa.Table, to: int) -> pa.RecordBatch:
             sizes = np.asarray(rows["comps"].combine_chunks().value_lengths())
             out = []
             for width in np.unique(sizes):
@@ -154,8 +168,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = TOP, scale: int = SCALE
                 mine = rows.take(at)
                 flat = np.asarray(mine["comps"].combine_chunks().flatten(), np.int64)
                 limit = np.asarray(mine["kth"].cast(pa.float64()).fill_null(-np.inf)) if limits else np.zeros(0)
-                out.append((part // per_range, float(np.asarray(mine["length"]).max()), int(width),
-                            np.asarray(mine["row"]).tobytes(), np.asarray(mine["vec_id"]).tobytes(), flat.tobytes(),
+                out.append((to, float(np.asarray(mine["length"]).max()), int(width),
+                            np.asarray(mine["row"]).tobytes(), np.asarray(mine["vec_id"]).tobytes(), narrow(flat).tobytes(),
                             limit.tobytes(), float(np.min(np.asarray(mine["ratio"]))) if limits else 0.0))
             cols = list(zip(*out))
             return pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds)], names)
@@ -165,23 +179,24 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = TOP, scale: int = SCALE
 
         def work(batches):
             part = TaskContext.get().partitionId()
+            to = part or LONGEST
             held, n = [], 0
             for batch in batches:
                 while n + batch.num_rows >= most:
                     held.append(batch.slice(0, most - n))
                     batch = batch.slice(most - n)
-                    yield one(pa.Table.from_batches(held), part)
-                    held, n = [], 0
+                    yield one(pa.Table.from_batches(held), to)
+                    held, n, to = [], 0, part
                 if batch.num_rows:
                     held.append(batch)
                     n += batch.num_rows
             if n:
-                yield one(pa.Table.from_batches(held), part)
+                yield one(pa.Table.from_batches(held), to)
         return work
 
     packed = "range int, top double, width int, rows binary, ids binary, data binary, limits binary, ratio double"
     by_length = [F.desc("length"), F.asc("row")]
-    blocks = own.repartitionByRange(n_blocks, *by_length).sortWithinPartitions(*by_length) \
+    blocks = own.repartitionByRange(n_ranges, *by_length).sortWithinPartitions(*by_length) \
         .mapInArrow(packer(block, False), packed)
     blocks = write_table(blocks.drop("limits", "ratio"), "blocks")
     tops = blocks.groupBy("range").agg(F.max("top").alias("top")).orderBy("range").collect()
@@ -197,7 +212,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = TOP, scale: int = SCALE
             for batch in batches:
                 for x in range(batch.num_rows):
                     width, *data = (batch.column(c)[x].as_py() for c in range(8))
-                    c_rows, c_ids, c, q_rows, q_ids, q = (np.frombuffer(d, np.int64) for d in data[:6])
+                    c_rows, c_ids, q_rows, q_ids = (np.frombuffer(data[i], np.int64) for i in (0, 1, 3, 4))
+                    c, q = widened(data[2], len(c_rows) * width), widened(data[5], len(q_rows) * width)
                     limit = np.frombuffer(data[6], np.float64) if data[6] else None
                     row, best, score = search_block(q_rows, q.reshape(len(q_rows), width), c_rows, c_ids,
                                                     c.reshape(len(c_rows), width), rotation.value, k, limit)
